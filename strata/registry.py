@@ -14,7 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.quality import expectations, quality_score
+from strata.operators.expectations import expectation_report
 from strata.plans import gold
+from strata.plans import silver as S
+from strata.plans.bronze import bronze
 from strata.plans.silver import flatten, silver
 from strata.sources.songs import load_songs
 
@@ -38,7 +42,91 @@ def q_album_releases_by_year(spark, sf_dir):
     return gold.album_releases_by_year(_silver(spark, sf_dir))
 
 
+def _songs(spark, sf_dir):
+    return load_songs(spark, sf_dir)
+
+
+def q_top_artists_by_decade(spark, sf_dir):
+    return gold.top_artists_by_decade(_silver(spark, sf_dir))
+
+
+def q_top_artists_by_decade_v2(spark, sf_dir):
+    return gold.top_artists_by_decade_v2(_silver(spark, sf_dir))
+
+
+def q_music_trends(spark, sf_dir):
+    return gold.music_trends(_silver(spark, sf_dir))
+
+
+def q_music_trends_v2(spark, sf_dir):
+    return gold.music_trends_v2(_silver(spark, sf_dir))
+
+
+def q_quality_dashboard(spark, sf_dir):
+    return gold.quality_dashboard(_silver(spark, sf_dir), updated_at=pinned_ts())
+
+
+def q_quality_dashboard_v2(spark, sf_dir):
+    return gold.quality_dashboard_v2(_silver(spark, sf_dir), updated_at=pinned_ts())
+
+
+def q_expectation_report(spark, sf_dir):
+    return expectation_report(_silver(spark, sf_dir), expectations(AS_OF_YEAR))
+
+
+def q_quality_score(spark, sf_dir):
+    return _songs(spark, sf_dir).select(
+        "song_id", "title", quality_score(AS_OF_YEAR).alias("data_quality_score"))
+
+
+def q_bronze_songs(spark, sf_dir):
+    raw = load_songs(spark, sf_dir, with_source_file=True)
+    return bronze(raw, ingested_at=pinned_ts(), source_file=F.col("source_file")).drop("source_file")
+
+
+def _rules(spark, sf_dir, parts):
+    cols = {}
+    for part in parts:
+        cols.update(part())
+    return _songs(spark, sf_dir).select("song_id", *[c.alias(n) for n, c in cols.items()
+                                                     if n != "song_id"])
+
+
+def q_silver_identity(spark, sf_dir):
+    return _rules(spark, sf_dir, [S.identity_columns])
+
+
+def q_silver_ranges(spark, sf_dir):
+    return _rules(spark, sf_dir, [lambda: S.range_columns(AS_OF_YEAR)])
+
+
+def q_silver_defaults(spark, sf_dir):
+    return _rules(spark, sf_dir, [S.default_columns])
+
+
+def q_silver_structs(spark, sf_dir):
+    return flatten(_rules(spark, sf_dir, [S.struct_columns]))
+
+
+def q_silver_categories(spark, sf_dir):
+    return _rules(spark, sf_dir, [S.category_columns])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_songs": q_silver_songs,
     "album_releases_by_year": q_album_releases_by_year,
+    "top_artists_by_decade": q_top_artists_by_decade,
+    "top_artists_by_decade_v2": q_top_artists_by_decade_v2,
+    "music_trends": q_music_trends,
+    "music_trends_v2": q_music_trends_v2,
+    "quality_dashboard": q_quality_dashboard,
+    "quality_dashboard_v2": q_quality_dashboard_v2,
+    "expectation_report": q_expectation_report,
+    "quality_score": q_quality_score,
+    "bronze_songs": q_bronze_songs,
+    "silver_identity": q_silver_identity,
+    "silver_ranges": q_silver_ranges,
+    "silver_defaults": q_silver_defaults,
+    "silver_structs": q_silver_structs,
+    "silver_categories": q_silver_categories,
 }
