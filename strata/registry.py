@@ -16,7 +16,19 @@ from pyspark.sql import functions as F
 
 from strata.functions.quality import expectations, quality_score
 from strata.operators.expectations import expectation_report
+from pyspark.sql import types as T
+
+from strata.operators.numbering import number_within
+from strata.operators.semijoin import keep_keys
+from strata.operators.topn import top_k, top_n_per_group
+from strata.plans import extracts as X
 from strata.plans import gold
+from strata.schemas import RAW_SONG_SCHEMA, SONG_SCHEMA
+from strata.session import scratch_path
+from strata.sinks.files import write_json, write_partitioned_json
+from strata.sources.files import (
+    describe, file_inventory, read_csv, read_json, read_parquet, register_view,
+)
 from strata.plans import silver as S
 from strata.plans.bronze import bronze
 from strata.plans.silver import flatten, silver
@@ -26,6 +38,15 @@ AS_OF_YEAR = 2025
 PINNED_TS = _dt.datetime(2025, 1, 1, 0, 0, 0)
 
 
+EXTRACT_SCHEMA = T.StructType(
+    SONG_SCHEMA.fields + [T.StructField("extraction_timestamp", T.TimestampType())])
+TOP_ARTISTS_SCHEMA = T.StructType(
+    SONG_SCHEMA.fields + [T.StructField("song_number_by_artist", T.IntegerType())])
+SAMPLE_SCHEMA = T.StructType(
+    RAW_SONG_SCHEMA.fields + [T.StructField("extraction_timestamp", T.TimestampType()),
+                              T.StructField("data_source", T.StringType())])
+
+
 def pinned_ts():
     return F.lit(PINNED_TS)
 
@@ -112,6 +133,126 @@ def q_silver_categories(spark, sf_dir):
     return _rules(spark, sf_dir, [S.category_columns])
 
 
+# --- extracts -------------------------------------------------------------
+
+def _table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def q_extract_complete(spark, sf_dir):
+    return X.extract_complete(_songs(spark, sf_dir), extracted_at=pinned_ts())
+
+
+def q_extract_2000s(spark, sf_dir):
+    return X.extract_recent(_songs(spark, sf_dir), extracted_at=pinned_ts())
+
+
+def q_extract_2000s_json(spark, sf_dir):
+    path = scratch_path(spark, "songs_2000s")
+    write_partitioned_json(q_extract_2000s(spark, sf_dir), path, "year")
+    return read_json(spark, path, schema=EXTRACT_SCHEMA)
+
+
+def q_extract_top_artists(spark, sf_dir):
+    return X.extract_top_artists(_songs(spark, sf_dir))
+
+
+def q_extract_top_artists_json(spark, sf_dir):
+    path = scratch_path(spark, "top_artists")
+    write_partitioned_json(q_extract_top_artists(spark, sf_dir), path, "artist_name")
+    return read_json(spark, path, schema=TOP_ARTISTS_SCHEMA)
+
+
+def q_extract_sample(spark, sf_dir):
+    return X.extract_sample(_songs(spark, sf_dir), n=1000, seed=42, extracted_at=pinned_ts())
+
+
+def _complete_json(spark, sf_dir):
+    path = scratch_path(spark, "songs_complete")
+    write_json(q_extract_complete(spark, sf_dir), path)
+    return read_json(spark, path, schema=EXTRACT_SCHEMA)
+
+
+def q_extract_stats(spark, sf_dir):
+    return X.extract_stats(_complete_json(spark, sf_dir))
+
+
+def q_top10_artists(spark, sf_dir):
+    return X.top_artists_report(_complete_json(spark, sf_dir), 10)
+
+
+def q_reconcile_counts(spark, sf_dir):
+    path = scratch_path(spark, "sample_1000")
+    write_json(q_extract_sample(spark, sf_dir), path)
+    return X.reconcile_counts(_songs(spark, sf_dir), read_json(spark, path, schema=SAMPLE_SCHEMA))
+
+
+def q_source_probe(spark, sf_dir):
+    return X.source_probe(read_parquet(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet",
+                                       with_source_file=True))
+
+
+def q_category_histogram(spark, sf_dir):
+    path = scratch_path(spark, "part_csv")
+    _table(spark, sf_dir, "part").write.mode("overwrite").option("header", "true").csv(path)
+    register_view(read_csv(spark, path), "part_csv")
+    return spark.sql("SELECT p_type, count(p_type) AS total FROM part_csv "
+                     "GROUP BY p_type ORDER BY p_type")
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "part_csv")
+    _table(spark, sf_dir, "part").write.mode("overwrite").option("header", "true").csv(path)
+    return read_csv(spark, path)
+
+
+def q_json_roundtrip(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "orders_json")
+    write_json(orders, path)
+    return read_json(spark, path, schema=orders.schema)
+
+
+def q_partitioned_json_roundtrip(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
+    path = scratch_path(spark, "orders_by_year")
+    write_partitioned_json(orders, path, "o_year")
+    return read_json(spark, path, schema=orders.schema)
+
+
+def q_file_inventory(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
+    path = scratch_path(spark, "orders_by_year")
+    write_partitioned_json(orders, path, "o_year")
+    return file_inventory(spark, path, glob="*.json")
+
+
+def q_schema_description(spark, sf_dir):
+    return describe(_table(spark, sf_dir, "lineitem"))
+
+
+def q_semi_join_top_suppliers(spark, sf_dir):
+    li = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
+    counts = (li.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") >= 10))
+    top = top_k(counts, [F.desc("_n"), F.asc("l_suppkey")], 25)
+    kept = keep_keys(li, top, "l_suppkey", max_rows=25)
+    return number_within(kept, ["l_suppkey"],
+                         [F.col("l_shipdate"), F.col("l_orderkey"), F.col("l_linenumber")],
+                         out_col="line_number_by_supplier", max_groups=25)
+
+
+def q_topn_suppliers_per_flag(spark, sf_dir):
+    li = _table(spark, sf_dir, "lineitem")
+    agg = li.groupBy("l_returnflag", "l_suppkey").agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum("l_quantity").alias("total_quantity"),
+        F.round(F.avg("l_quantity"), 2).alias("avg_quantity"))
+    return top_n_per_group(agg.where(F.col("line_count") >= 3), ["l_returnflag"],
+                           [F.desc("line_count"), F.desc("total_quantity"), F.asc("l_suppkey")],
+                           5, rank_col="supplier_rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_songs": q_silver_songs,
     "album_releases_by_year": q_album_releases_by_year,
@@ -129,4 +270,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_defaults": q_silver_defaults,
     "silver_structs": q_silver_structs,
     "silver_categories": q_silver_categories,
+    "extract_complete": q_extract_complete,
+    "extract_2000s": q_extract_2000s,
+    "extract_2000s_json": q_extract_2000s_json,
+    "extract_top_artists": q_extract_top_artists,
+    "extract_top_artists_json": q_extract_top_artists_json,
+    "extract_sample": q_extract_sample,
+    "source_probe": q_source_probe,
+    "reconcile_counts": q_reconcile_counts,
+    "extract_stats": q_extract_stats,
+    "top10_artists": q_top10_artists,
+    "category_histogram": q_category_histogram,
+    "csv_roundtrip": q_csv_roundtrip,
+    "json_roundtrip": q_json_roundtrip,
+    "partitioned_json_roundtrip": q_partitioned_json_roundtrip,
+    "file_inventory": q_file_inventory,
+    "schema_description": q_schema_description,
+    "semi_join_top_suppliers": q_semi_join_top_suppliers,
+    "topn_suppliers_per_flag": q_topn_suppliers_per_flag,
 }
