@@ -25,6 +25,7 @@ from strata.plans import extracts as X
 from strata.plans import gold
 from strata.schemas import RAW_SONG_SCHEMA, SONG_SCHEMA
 from strata.session import scratch_path
+from strata.streaming.layers import run_medallion
 from strata.sinks.files import write_json, write_partitioned_json
 from strata.sources.files import (
     describe, file_inventory, read_csv, read_json, read_parquet, register_view,
@@ -253,6 +254,19 @@ def q_topn_suppliers_per_flag(spark, sf_dir):
                            5, rank_col="supplier_rank")
 
 
+# --- streaming --------------------------------------------------------------
+
+def q_stream_bronze_silver(spark, sf_dir):
+    """Songs land as JSON files; bronze and silver streams drain them in
+    several micro-batches; the silver files are the result."""
+    landing = scratch_path(spark, "landing")
+    write_json(_songs(spark, sf_dir).repartition(4), landing)
+    target = scratch_path(spark, "medallion")
+    run_medallion(spark, landing, target, as_of_year=AS_OF_YEAR, max_files_per_trigger=2,
+                  refresh=False, processed_at=pinned_ts())
+    return flatten(spark.read.parquet(f"{target}/silver"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_songs": q_silver_songs,
     "album_releases_by_year": q_album_releases_by_year,
@@ -288,4 +302,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_description": q_schema_description,
     "semi_join_top_suppliers": q_semi_join_top_suppliers,
     "topn_suppliers_per_flag": q_topn_suppliers_per_flag,
+    "stream_bronze_silver": q_stream_bronze_silver,
 }
