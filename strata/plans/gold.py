@@ -173,13 +173,13 @@ def quality_dashboard(silver: DataFrame, updated_at: Column | None = None) -> Da
     }
     per_group, total = group_and_total(silver, "decade_category", "table_level", partials)
     stype = _score_type(silver)
-    cols = ["total_records", "missing_song_ids", "missing_titles", "missing_artists",
-            "missing_years"]
+    counts = ["total_records", "missing_song_ids", "missing_titles", "missing_artists",
+              "missing_years"]
     tail = ["high_quality_records", "hit_songs_count", "standard_duration_songs"]
 
     def finish(df: DataFrame, level: Column, songs_2010s: Column) -> DataFrame:
         return df.select(
-            level.alias("table_level"), *cols,
+            level.alias("table_level"), *counts,
             F.round(decimal_mean("_score_sum", "_score_n", stype), 3).alias("avg_quality_score"),
             *tail, songs_2010s.alias("songs_2010s"), _now(updated_at).alias("last_updated"))
 

@@ -24,7 +24,7 @@ from strata.operators.topn import top_k, top_n_per_group
 from strata.plans import extracts as X
 from strata.plans import gold
 from strata.schemas import RAW_SONG_SCHEMA, SONG_SCHEMA
-from strata.session import scratch_path
+from strata.session import apply_defaults, scratch_path
 from strata.streaming.layers import run_medallion
 from strata.sinks.files import write_json, write_partitioned_json
 from strata.sources.files import (
@@ -53,7 +53,7 @@ def pinned_ts():
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver(load_songs(spark, sf_dir), as_of_year=AS_OF_YEAR, processed_at=pinned_ts())
+    return silver(_songs(spark, sf_dir), as_of_year=AS_OF_YEAR, processed_at=pinned_ts())
 
 
 def q_silver_songs(spark, sf_dir):
@@ -65,6 +65,7 @@ def q_album_releases_by_year(spark, sf_dir):
 
 
 def _songs(spark, sf_dir):
+    apply_defaults(spark)
     return load_songs(spark, sf_dir)
 
 

@@ -20,6 +20,21 @@ def read_parquet(spark: SparkSession, path: str, with_source_file: bool = False)
     return df
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A single large row group (or a handful of files) is read by one task and
+    every narrow operator after it stays in that task. Only then is the input
+    round-robin repartitioned; a large, many-file input already has more
+    splits than cores and is left untouched (no shuffle).
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """Catalog table scan."""
     return spark.table(name)

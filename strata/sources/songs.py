@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.rules import first_match
+from strata.sources.files import ensure_parallelism
 from strata.schemas import SONG_COLUMNS
 
 
@@ -79,16 +80,25 @@ def songs_from_lineitem(lineitem: DataFrame, with_source_file: bool = False) ->
             (F.lit(1950) + (ok * 7 + ln * 13) % 85).cast("int")),
     }
     keep = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
-    base = lineitem.select(*keep, *(["_metadata"] if with_source_file else []))
+    src = None
+    if with_source_file:
+        src = F.col("_file") if "_file" in lineitem.columns else F.col("_metadata.file_path")
+    base = lineitem.select(*keep, *([src.alias("_src")] if src is not None else []))
     base = base.withColumn("_h", h)
     out = [cols[c].alias(c) for c in SONG_COLUMNS]
     out += [_null("string").alias("partial_sequence"), _null("string").alias("value")]
     if with_source_file:
-        out.append(F.col("_metadata.file_path").alias("source_file"))
+        out.append(F.col("_src").alias("source_file"))
     return base.select(*out)
 
 
-def load_songs(spark: SparkSession, sf_dir: str, with_source_file: bool = False) -> DataFrame:
+def load_songs(spark: SparkSession, sf_dir: str, with_source_file: bool = False,
+               min_partitions: int | None = None) -> DataFrame:
     """Songs for a driver data directory (reads ``lineitem.parquet``)."""
     lineitem = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
+    if with_source_file:
+        lineitem = lineitem.select(*keys, F.col("_metadata.file_path").alias("_file"))
+    lineitem = ensure_parallelism(lineitem.select(*keys, *(["_file"] if with_source_file else [])),
+                                  min_partitions)
     return songs_from_lineitem(lineitem, with_source_file=with_source_file)
