@@ -55,7 +55,7 @@ def save_table(df: DataFrame, name: str, comment: str | None = None,
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
     if comment is not None:
         escaped = comment.replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = '{escaped}')")
+        spark.sql(f"COMMENT ON TABLE {name} IS '{escaped}'")
     return name
 
 

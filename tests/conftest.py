@@ -13,7 +13,9 @@ SF_MED = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from strata.session import build_session
-    s = build_session("local[*]", shuffle_partitions=8, app_name="strata-tests")
+    warehouse = tempfile.mkdtemp(prefix="strata-test-warehouse-")
+    s = build_session("local[*]", shuffle_partitions=8, app_name="strata-tests",
+                      extra={"spark.sql.warehouse.dir": warehouse})
     ckpt = tempfile.mkdtemp(prefix="strata-test-ckpt-")
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", ckpt)
