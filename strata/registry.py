@@ -28,7 +28,7 @@ from strata.session import apply_defaults, scratch_path
 from strata.streaming.layers import run_medallion
 from strata.sinks.files import write_json, write_partitioned_json
 from strata.sources.files import (
-    describe, file_inventory, read_csv, read_json, read_parquet, register_view,
+    describe, file_inventory, preview, read_csv, read_json, read_parquet, register_view,
 )
 from strata.plans import silver as S
 from strata.plans.bronze import bronze
@@ -229,6 +229,10 @@ def q_file_inventory(spark, sf_dir):
     return file_inventory(spark, path, glob="*.json")
 
 
+def q_source_preview(spark, sf_dir):
+    return preview(read_parquet(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet"), 5)
+
+
 def q_schema_description(spark, sf_dir):
     return describe(_table(spark, sf_dir, "lineitem"))
 
@@ -301,6 +305,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partitioned_json_roundtrip": q_partitioned_json_roundtrip,
     "file_inventory": q_file_inventory,
     "schema_description": q_schema_description,
+    "source_preview": q_source_preview,
     "semi_join_top_suppliers": q_semi_join_top_suppliers,
     "topn_suppliers_per_flag": q_topn_suppliers_per_flag,
     "stream_bronze_silver": q_stream_bronze_silver,

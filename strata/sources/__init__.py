@@ -2,7 +2,7 @@
 literal records, and the songs projection over the driver's ``lineitem``."""
 
 from strata.sources.files import (  # noqa: F401
-    describe, file_inventory, read_csv, read_json, read_parquet, read_table, register_view,
+    describe, ensure_parallelism, file_inventory, preview, read_csv, read_json, read_parquet, read_table, register_view,
 )
 from strata.sources.songs import songs_from_lineitem, load_songs  # noqa: F401
 from strata.sources.literals import sample_records, records_frame  # noqa: F401

@@ -28,11 +28,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     round-robin repartitioned; a large, many-file input already has more
     splits than cores and is left untouched (no shuffle).
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the plan as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -61,6 +62,11 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None
     return reader.json(path)
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows the scan produces (``LIMIT n``, no ordering)."""
+    return df.limit(n)
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """Expose a DataFrame to SQL as a temporary view."""
     df.createOrReplaceTempView(name)

@@ -52,7 +52,8 @@ def test_matches_oracle(spark, duck, name):
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(E.queries()) - set(ORACLE)
-    assert rows_only == {"extract_sample", "source_probe", "file_inventory"}
+    assert rows_only == {"extract_sample", "source_probe", "file_inventory",
+                         "source_preview"}
 
 
 def test_entry_runs(spark):
