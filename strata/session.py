@@ -38,7 +38,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", "16g")
     )
     for key, value in {**DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
