@@ -30,9 +30,21 @@ SILVER_METRICS = "silver_expectations"
 
 def bronze_stream(spark: SparkSession, source: str, fmt: str = "json", schema=None,
                   multi_line: bool = False, max_files_per_trigger: int | None = None,
-                  ingested_at: Column | None = None) -> DataFrame:
-    """Streaming read of new files under ``source`` -> bronze rows."""
+                  ingested_at: Column | None = None,
+                  archive_dir: str | None = None, options: dict | None = None) -> DataFrame:
+    """Streaming read of new files under ``source`` -> bronze rows.
+
+    ``max_files_per_trigger`` bounds a micro-batch. With ``archive_dir``
+    processed files are moved out of the landing folder (``cleanSource``), so
+    the per-trigger listing stays small however long the stream runs. Other
+    file-source options (``latestFirst``, ``maxFileAge``, ...) pass through
+    ``options``.
+    """
     reader = spark.readStream.schema(schema or RAW_SONG_SCHEMA).format(fmt)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    for key, value in (options or {}).items():
+        reader = reader.option(key, value)
     if fmt == "json":
         reader = reader.option("multiLine", str(multi_line).lower())
     elif fmt == "csv":

@@ -72,3 +72,38 @@ def test_source_probe_and_preview(spark):
     assert row.total_rows == src.count() and row.total_files == 1
     assert row.first_file.endswith("lineitem.parquet") and row.first_file == row.last_file
     assert preview(src, 5).count() == 5
+
+
+def test_archive_processed_files(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing/in"
+    os.makedirs(landing)
+    for i in range(3):
+        with open(f"{landing}/f{i}.json", "w") as fh:
+            fh.write(json.dumps(_docs(3)[i]))
+    q = start_append(bronze_stream(spark, landing, archive_dir=f"{tmp_dir}/archive"),
+                     f"{tmp_dir}/bronze", f"{tmp_dir}/ckpt")
+    q.awaitTermination()
+    # Files of the last batch are archived when the next batch starts; a second
+    # run (no new data) finishes the clean-up.
+    q = start_append(bronze_stream(spark, landing, archive_dir=f"{tmp_dir}/archive"),
+                     f"{tmp_dir}/bronze", f"{tmp_dir}/ckpt")
+    q.awaitTermination()
+    assert spark.read.parquet(f"{tmp_dir}/bronze").count() == 3
+
+
+def test_rebalanced_partitioned_write_splits_hot_value(spark, tmp_dir):
+    from strata.sinks.files import write_partitioned_json
+    # Year 2000 holds ~90 % of the rows.
+    df = spark.range(200000).select(
+        F.when(F.col("id") % 10 == 0, F.lit(1999)).otherwise(F.lit(2000)).alias("year"),
+        F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("pad")).repartition(8)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        write_partitioned_json(df, f"{tmp_dir}/out", "year")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = [f for f in os.listdir(f"{tmp_dir}/out/year=2000") if f.endswith(".json")]
+    cold = [f for f in os.listdir(f"{tmp_dir}/out/year=1999") if f.endswith(".json")]
+    assert len(hot) > 1 and len(hot) > len(cold)
+    back = spark.read.json(f"{tmp_dir}/out")
+    assert back.count() == 200000
