@@ -213,6 +213,34 @@ def quality_dashboard_v2(silver: DataFrame, updated_at: Column | None = None) ->
     )
 
 
+# ---------------------------------------------------------------------------
+# Table properties of the published layers.
+# ---------------------------------------------------------------------------
+TABLE_PROPERTIES = {
+    "songs_bronze": {"quality": "bronze", "pipeline.level": "raw"},
+    "songs_silver": {"quality": "silver", "pipeline.level": "cleaned",
+                     "business.focus": "album_releases_analysis"},
+    "album_releases_by_year": {"quality": "gold", "business.purpose": "album_analysis"},
+    "top_artists_by_decade": {"quality": "gold", "business.purpose": "artist_ranking"},
+    "top_artists_by_decade_v2": {"quality": "gold", "business.purpose": "artist_ranking"},
+    "music_trends_analysis": {"quality": "gold", "business.purpose": "trend_analysis"},
+    "music_trends_analysis_v2": {"quality": "gold", "business.purpose": "trend_analysis"},
+    "data_quality_dashboard": {"quality": "gold", "business.purpose": "data_monitoring"},
+    "data_quality_dashboard_v2": {"quality": "gold", "business.purpose": "data_monitoring"},
+}
+TABLE_COMMENTS = {
+    "songs_bronze": "Bronze: raw song rows with ingestion time and source file",
+    "songs_silver": "Silver: cleaned songs for album release analysis",
+    "album_releases_by_year": "Gold: album releases per year and artist",
+    "top_artists_by_decade": "Gold: top artists per decade with performance metrics",
+    "top_artists_by_decade_v2": "Gold: top artists per decade with performance metrics",
+    "music_trends_analysis": "Gold: aggregated music trends",
+    "music_trends_analysis_v2": "Gold: aggregated music trends",
+    "data_quality_dashboard": "Gold: data quality monitoring",
+    "data_quality_dashboard_v2": "Data quality monitoring dashboard",
+}
+# ---------------------------------------------------------------------------
+
 GOLD_TABLES = {
     "album_releases_by_year": album_releases_by_year,
     "top_artists_by_decade": top_artists_by_decade,

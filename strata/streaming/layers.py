@@ -20,10 +20,10 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.functions.quality import expectations
 from strata.operators.expectations import observe_expectations
 from strata.plans.bronze import bronze
-from strata.plans.gold import GOLD_TABLES
+from strata.plans.gold import GOLD_TABLES, TABLE_COMMENTS, TABLE_PROPERTIES
 from strata.plans.silver import silver
 from strata.schemas import BRONZE_SCHEMA, RAW_SONG_SCHEMA
-from strata.sinks.files import write_parquet
+from strata.sinks.files import save_table, write_parquet
 
 SILVER_METRICS = "silver_expectations"
 
@@ -96,12 +96,21 @@ def expectation_totals(query: StreamingQuery, name: str = SILVER_METRICS) -> dic
 
 
 def refresh_gold(spark: SparkSession, silver_path: str, gold_root: str,
-                 tables: dict | None = None) -> dict[str, str]:
-    """Recompute every gold table from the silver files and overwrite it."""
+                 tables: dict | None = None, catalog_prefix: str | None = None) -> dict[str, str]:
+    """Recompute every gold table from the silver files and overwrite it.
+
+    With ``catalog_prefix`` (e.g. ``"analytics."``) the tables are published
+    in the catalog instead, with their comments and properties.
+    """
     current = spark.read.parquet(silver_path)
     out = {}
     for name, build in (tables or GOLD_TABLES).items():
-        out[name] = write_parquet(build(current), f"{gold_root.rstrip('/')}/{name}")
+        if catalog_prefix is not None:
+            out[name] = save_table(build(current), f"{catalog_prefix}{name}",
+                                   comment=TABLE_COMMENTS.get(name),
+                                   properties=TABLE_PROPERTIES.get(name))
+        else:
+            out[name] = write_parquet(build(current), f"{gold_root.rstrip('/')}/{name}")
     return out
 
 

@@ -73,3 +73,18 @@ def test_describe(spark):
     rows = describe(spark.read.parquet(f"{SF_SMALL}/orders.parquet")).collect()
     assert [(r.col_name, r.data_type) for r in rows][:2] == [("o_orderkey", "bigint"),
                                                              ("o_custkey", "bigint")]
+
+
+def test_gold_published_to_catalog(spark, tmp_dir):
+    from strata.plans.silver import silver
+    from strata.streaming.layers import refresh_gold
+    path = f"{tmp_dir}/silver"
+    silver(load_songs(spark, SF_SMALL), as_of_year=2025).write.parquet(path)
+    spark.sql("CREATE DATABASE IF NOT EXISTS strata_test_gold")
+    out = refresh_gold(spark, path, f"{tmp_dir}/gold", catalog_prefix="strata_test_gold.")
+    assert len(out) == 7
+    props = {r.key: r.value for r in
+             spark.sql("SHOW TBLPROPERTIES strata_test_gold.top_artists_by_decade").collect()}
+    assert props["business.purpose"] == "artist_ranking"
+    assert spark.table("strata_test_gold.data_quality_dashboard").count() >= 1
+    spark.sql("DROP DATABASE strata_test_gold CASCADE")
