@@ -1,12 +1,13 @@
 """Exact random sample of ``n`` rows (``ORDER BY rand() LIMIT n``) that scales.
 
-Sorting everything by a random key (or a per-task top-n merged in one task,
-which grows with the number of tasks) is avoided: rows are scored with
-``rand(seed)``, only rows whose score is below a cut ``p`` chosen to keep
-about ``n + 8 sqrt(n)`` rows survive, and the final top-n runs on those. The
-survivors hold the ``n`` smallest scores whenever at least ``n`` survive,
-which is checked (the cut is widened otherwise), so the result is exactly
-the ``n`` rows with the smallest scores.
+Each row gets a pseudo-random score: a seeded 64-bit ``xxhash64`` of the
+row's values. Unlike ``rand()``, the score does not depend on partitioning or
+on the order rows reach a task, so every pass (and every retried task) scores
+a row the same way. Rows whose score is below a cut chosen to keep about
+``n + 8 sqrt(n)`` rows survive, and the final top-n runs on those: the merge
+handles ~n rows instead of n per task, and no full sort happens. The number
+of survivors is counted (and the cut widened if short), so the result is
+exactly the ``n`` rows with the smallest scores.
 """
 
 from __future__ import annotations
@@ -17,18 +18,27 @@ import random
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_SPAN = 2 ** 64
+_LOW = -(2 ** 63)
+
+
+def score(df: DataFrame, seed: int):
+    """Seeded hash of all columns, uniform over the signed 64-bit range."""
+    return F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
+
 
 def sample_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
-    """Exactly ``min(n, count)`` uniformly chosen rows."""
+    """Exactly ``min(n, count)`` uniformly chosen rows (fixed by ``seed``)."""
     seed = random.randrange(1 << 31) if seed is None else seed
-    scored = df.withColumn("_r", F.rand(seed))
+    scored = df.withColumn("_r", score(df, seed))
     total = df.count()
     if total <= n:
-        return scored.drop("_r")
-    cut = min(1.0, (n + 8.0 * math.sqrt(n) + 16.0) / total)
+        return df
+    share = min(1.0, (n + 8.0 * math.sqrt(n) + 16.0) / total)
     while True:
-        candidates = scored.where(F.col("_r") < cut)
-        if cut >= 1.0 or candidates.count() >= n:
+        cut = _LOW + int(share * _SPAN) if share < 1.0 else None
+        candidates = scored if cut is None else scored.where(F.col("_r") < F.lit(cut))
+        if cut is None or candidates.count() >= n:
             break
-        cut = min(1.0, cut * 2.0)
+        share = min(1.0, share * 2.0)
     return candidates.orderBy("_r").limit(n).drop("_r")

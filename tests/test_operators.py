@@ -37,13 +37,19 @@ def test_number_within_null_group_and_broadcast(spark):
 
 
 def test_sample_rows_exact(spark):
+    from strata.operators.sample import score
     df = spark.range(50000)
     s = sample_rows(df, 1000, seed=7)
     rows = [r.id for r in s.collect()]
     assert len(rows) == 1000 and len(set(rows)) == 1000
     # Exactly the 1000 smallest scores: same as the full sort by the same scores.
-    full = df.withColumn("_r", F.rand(7)).orderBy("_r").limit(1000)
+    full = df.withColumn("_r", score(df, 7)).orderBy("_r").limit(1000)
     assert sorted(rows) == sorted(r.id for r in full.collect())
+    # Independent of partitioning (scores come from row values, not positions).
+    again = sample_rows(df.repartition(13), 1000, seed=7)
+    assert sorted(r.id for r in again.collect()) == sorted(rows)
+    # Roughly uniform: the sample mean of 0..49999 is near 25000.
+    assert abs(sum(rows) / len(rows) - 25000) < 2500
     assert sample_rows(spark.range(10), 1000, seed=1).count() == 10
 
 
