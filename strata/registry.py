@@ -265,7 +265,7 @@ def q_stream_bronze_silver(spark, sf_dir):
     """Songs land as JSON files; bronze and silver streams drain them in
     several micro-batches; the silver files are the result."""
     landing = scratch_path(spark, "landing")
-    write_json(_songs(spark, sf_dir).repartition(8), landing)
+    write_json(_songs(spark, sf_dir), landing)
     target = scratch_path(spark, "medallion")
     run_medallion(spark, landing, target, as_of_year=AS_OF_YEAR, max_files_per_trigger=4,
                   refresh=False, processed_at=pinned_ts())

@@ -122,7 +122,8 @@ def run_medallion(spark: SparkSession, source: str, target: str, fmt: str = "jso
 
     With ``availableNow`` each stream drains what has landed and stops, in
     order; with ``processingTime`` the two streams keep running and the
-    caller refreshes gold on its own schedule.
+    caller refreshes gold on its own schedule. ``max_files_per_trigger``
+    rate-limits the landing (bronze) stream; silver takes what bronze wrote.
     """
     root = target.rstrip("/")
     paths = {"bronze": f"{root}/bronze", "silver": f"{root}/silver", "gold": f"{root}/gold"}
@@ -132,8 +133,7 @@ def run_medallion(spark: SparkSession, source: str, target: str, fmt: str = "jso
     if trigger == "availableNow":
         bronze_q.awaitTermination()
     silver_q = start_append(
-        silver_stream(spark, paths["bronze"], as_of_year=as_of_year, processed_at=processed_at,
-                      max_files_per_trigger=max_files_per_trigger),
+        silver_stream(spark, paths["bronze"], as_of_year=as_of_year, processed_at=processed_at),
         paths["silver"], f"{root}/_checkpoints/silver", trigger=trigger)
     result = {"paths": paths, "queries": [bronze_q, silver_q]}
     if trigger == "availableNow":
