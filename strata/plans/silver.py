@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.categories import decade_category, duration_category, popularity_tier
 from strata.functions.quality import current_year, quality_score
-from strata.functions.rules import blank_to, default_outside, nonblank, null_outside, within
+from strata.functions.rules import blank_to, default_outside, null_outside, within
 
 SILVER_COLUMNS = [
     "song_id", "artist_id", "artist_name", "title", "release_year", "album_info",
@@ -130,12 +130,6 @@ def flatten(df: DataFrame, structs: dict[str, list[str]] | None = None) -> DataF
     return df.select(*out)
 
 
-def expectation_flags(df: DataFrame, as_of_year: int | None = None) -> DataFrame:
-    """Silver rows with one boolean column per expectation (``exp_<name>``)."""
-    from strata.functions.quality import expectations
-    return df.select("*", *[p.alias(f"exp_{n}") for n, p in expectations(as_of_year).items()])
-
-
 __all__ = ["silver", "flatten", "admission", "SILVER_COLUMNS", "SILVER_STRUCTS",
            "identity_columns", "range_columns", "default_columns", "struct_columns",
-           "category_columns", "nonblank"]
+           "category_columns"]

@@ -13,32 +13,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.quality import expectations, quality_score
 from strata.operators.expectations import expectation_report
-from pyspark.sql import types as T
-
 from strata.operators.numbering import number_within
 from strata.operators.semijoin import keep_keys
 from strata.operators.topn import top_k, top_n_per_group
 from strata.plans import extracts as X
 from strata.plans import gold
+from strata.plans import silver as S
+from strata.plans.bronze import bronze
+from strata.plans.silver import flatten, silver
 from strata.schemas import RAW_SONG_SCHEMA, SONG_SCHEMA
 from strata.session import apply_defaults, scratch_path
-from strata.streaming.layers import run_medallion
 from strata.sinks.files import write_json, write_partitioned_json
 from strata.sources.files import (
     describe, file_inventory, preview, read_csv, read_json, read_parquet, register_view,
 )
-from strata.plans import silver as S
-from strata.plans.bronze import bronze
-from strata.plans.silver import flatten, silver
 from strata.sources.songs import load_songs
+from strata.streaming.layers import run_medallion
 
 AS_OF_YEAR = 2025
 PINNED_TS = _dt.datetime(2025, 1, 1, 0, 0, 0)
 
-
 EXTRACT_SCHEMA = T.StructType(
     SONG_SCHEMA.fields + [T.StructField("extraction_timestamp", T.TimestampType())])
 TOP_ARTISTS_SCHEMA = T.StructType(
@@ -52,6 +50,11 @@ def pinned_ts():
     return F.lit(PINNED_TS)
 
 
+def _songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_defaults(spark)
+    return load_songs(spark, sf_dir)
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(_songs(spark, sf_dir), as_of_year=AS_OF_YEAR, processed_at=pinned_ts())
 
@@ -64,11 +67,6 @@ def q_album_releases_by_year(spark, sf_dir):
     return gold.album_releases_by_year(_silver(spark, sf_dir))
 
 
-def _songs(spark, sf_dir):
-    apply_defaults(spark)
-    return load_songs(spark, sf_dir)
-
-
 def q_top_artists_by_decade(spark, sf_dir):
     return gold.top_artists_by_decade(_silver(spark, sf_dir))
 
