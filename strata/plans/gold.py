@@ -91,8 +91,7 @@ def _artist_aggregates(df: DataFrame, decade: Column) -> DataFrame:
         F.count_distinct("album_info").alias("total_releases"),
         F.avg("popularity_score").alias("_avg_pop"),
         span.cast("int").alias("career_span_years"),
-        representative("artist_location", _ROW_KEY).alias("_location"),
-        representative("popularity_tier", _ROW_KEY).alias("_tier"),
+        representative(_ROW_KEY, ["artist_location", "popularity_tier"]).alias("_first"),
     )
 
 
@@ -106,8 +105,9 @@ def _rank_artists(agg: DataFrame, min_songs: int, top_n: int) -> DataFrame:
     return ranked.select(
         "decade", "artist_name", "artist_rank", "total_songs", "total_releases",
         F.round("_avg_pop", 4).alias("avg_song_hotness"), "career_span_years",
-        F.coalesce("_location", F.lit(UNKNOWN_LOCATION)).alias("geographic_info"),
-        productivity.alias("productivity_score"), "_tier", "_avg_pop",
+        F.coalesce("_first.artist_location", F.lit(UNKNOWN_LOCATION)).alias("geographic_info"),
+        productivity.alias("productivity_score"), F.col("_first.popularity_tier").alias("_tier"),
+        "_avg_pop",
     )
 
 
