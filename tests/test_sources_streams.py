@@ -107,3 +107,19 @@ def test_rebalanced_partitioned_write_splits_hot_value(spark, tmp_dir):
     assert len(hot) > 1 and len(hot) > len(cold)
     back = spark.read.json(f"{tmp_dir}/out")
     assert back.count() == 200000
+
+
+def test_extract_complete_with_source_file(spark):
+    from strata.plans.extracts import extract_complete
+    songs = load_songs(spark, SF_SMALL, with_source_file=True)
+    out = extract_complete(songs, source_file=F.col("source_file"))
+    assert out.columns[-2:] == ["extraction_timestamp", "source_parquet_file"]
+    files = [r[0] for r in out.select("source_parquet_file").distinct().collect()]
+    assert len(files) == 1 and files[0].endswith("lineitem.parquet")
+
+
+def test_category_histogram_null_group_counts_zero(spark):
+    from strata.plans.extracts import category_histogram
+    df = spark.createDataFrame([("IF",), ("VS1",), (None,), ("IF",), (None,)], "clarity string")
+    rows = [tuple(r) for r in category_histogram(df, "clarity").collect()]
+    assert rows == [(None, 0), ("IF", 2), ("VS1", 1)]
