@@ -1,0 +1,174 @@
+"""The whole gold layer from one scan of silver.
+
+Refreshing the seven gold tables one by one reads silver seven times. Here
+silver is aggregated once, at the grain (decade_category, release_year,
+artist_name, album_info), into partial sums and counts that every gold table
+can be rolled up from:
+
+- counts, conditional counts, sums and non-NULL counts merge by addition;
+- min/max (years, timestamps, the representative row struct) merge by min/max;
+- distinct albums are the distinct album keys of the partial rows.
+
+The partial table is checkpointed (it is read by seven plans) and is far
+smaller than silver whenever albums hold more than one song. Each table
+equals its one-scan-per-table definition in ``strata.plans.gold`` (tested);
+averages of doubles are sums over counts either way, so only the order of
+floating-point additions differs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.functions.categories import (
+    SIGNIFICANCE_MIN_ROWS, SIGNIFICANCE_MIN_ROWS_LOUDNESS, analysis_period, artist_tier, decade_v2,
+    significance,
+)
+from strata.operators.totals import decimal_mean
+from strata.plans import gold as G
+from strata.session import checkpoint_root
+
+_MEASURES = {"dur": "duration_seconds", "tempo": "tempo_bpm", "pop": "popularity_score",
+             "loud": "loudness_db"}
+
+
+def partials(silver: DataFrame) -> DataFrame:
+    """Silver aggregated at (decade_category, release_year, artist_name, album_info)."""
+    score = F.col("data_quality_score")
+    pop = F.col("popularity_score")
+    aggs = [
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("song_id").isNull()).alias("missing_song_ids"),
+        F.count_if(F.col("title").isNull()).alias("missing_titles"),
+        F.count_if(F.col("artist_name").isNull()).alias("missing_artists"),
+        F.count_if(score >= G.HIGH_QUALITY_MIN).alias("high_quality_records"),
+        F.count_if(F.col("popularity_tier") == G.HIT_TIER).alias("hit_songs_count"),
+        F.count_if(F.col("duration_category") == G.STANDARD_DURATION)
+         .alias("standard_duration_songs"),
+        F.count_if(F.col("decade_category") == G.DECADE_2010S).alias("songs_2010s"),
+        F.sum(score).alias("score_sum"), F.count(score).alias("score_n"),
+        F.min("processing_timestamp").alias("first_ts"),
+        F.max("processing_timestamp").alias("last_ts"),
+        F.min(F.when(pop.isNotNull(), F.struct(*G._ROW_KEY, "artist_location", "popularity_tier")))
+         .alias("rep"),
+    ]
+    for short, col in _MEASURES.items():
+        aggs += [F.sum(col).alias(f"{short}_sum"), F.count(col).alias(f"{short}_n")]
+    checkpoint_root(silver.sparkSession)
+    return (silver.groupBy("decade_category", "release_year", "artist_name", "album_info")
+                  .agg(*aggs).checkpoint(eager=True))
+
+
+def _mean(total: str, count: str) -> Column:
+    return F.when(F.sum(count) > 0, F.sum(total) / F.sum(count))
+
+
+def album_releases_by_year(p: DataFrame, stype: T.DecimalType, min_songs: int = 2) -> DataFrame:
+    return (p.where(F.col("release_year").isNotNull())
+             .groupBy("release_year", "artist_name").agg(
+                 F.sum("n").alias("total_songs"),
+                 F.round(_mean("dur_sum", "dur_n") / 60, 2).alias("avg_duration_minutes"),
+                 F.round(_mean("tempo_sum", "tempo_n"), 2).alias("avg_tempo"),
+                 F.round(_mean("pop_sum", "pop_n"), 4).alias("avg_song_hotness"),
+                 F.count("album_info").alias("distinct_releases"),
+                 F.round(decimal_mean(F.sum("score_sum"), F.sum("score_n"), stype), 3)
+                  .alias("avg_quality_score"),
+                 F.min("first_ts").alias("first_song_date"),
+                 F.max("last_ts").alias("last_song_date"))
+             .where(F.col("total_songs") >= min_songs))
+
+
+def _top_artists(p: DataFrame, decade: Column, tier_from_avg: bool, min_songs: int,
+                 top_n: int) -> DataFrame:
+    has_pop = F.col("pop_n") > 0
+    agg = (p.where(F.col("release_year").isNotNull() & has_pop)
+            .groupBy(decade.alias("decade"), "artist_name").agg(
+                F.sum("pop_n").alias("total_songs"),
+                F.count_distinct("album_info").alias("total_releases"),
+                (F.sum("pop_sum") / F.sum("pop_n")).alias("_avg_pop"),
+                (F.max("release_year") - F.min("release_year") + 1).cast("int")
+                 .alias("career_span_years"),
+                F.min("rep").alias("_first")))
+    ranked = G._rank_artists(agg, min_songs, top_n)
+    tier = artist_tier(F.col("_avg_pop")) if tier_from_avg else F.col("_tier")
+    return ranked.withColumn("popularity_tier", tier).drop("_tier", "_avg_pop")
+
+
+def _trend_rows(p: DataFrame, period: Column, tag_col: str, tags: dict, min_rows: int,
+                min_rows_loudness: int) -> DataFrame:
+    sums = [x for short in _MEASURES for x in (F.sum(f"{short}_sum").alias(f"{short}_sum"),
+                                               F.sum(f"{short}_n").alias(f"{short}_n"))]
+    wide = (p.where(F.col("release_year").isNotNull())
+             .groupBy(period.alias("analysis_period")).agg(*sums))
+    specs = [("avg_duration_minutes", "dur", lambda c: F.round(c / 60, 2), min_rows),
+             ("avg_tempo_bpm", "tempo", lambda c: F.round(c, 2), min_rows),
+             ("avg_popularity_score", "pop", lambda c: F.round(c, 4), min_rows),
+             ("avg_loudness_db", "loud", lambda c: F.round(c, 2), min_rows_loudness)]
+    rows = []
+    for name, short, finish, k in specs:
+        n = F.col(f"{short}_n")
+        rows.append(F.struct(
+            F.lit(name).alias("metric_name"),
+            finish(F.col(f"{short}_sum") / n).cast("double").alias("metric_value"),
+            F.lit(tags[name]).alias(tag_col),
+            significance(n, k).alias("statistical_significance"),
+            n.alias("sample_size")))
+    return (wide.select("analysis_period", F.inline(F.array(*rows)))
+                .where(F.col("sample_size") > 0))
+
+
+def _dashboard(p: DataFrame, stype: T.DecimalType, updated_at: Column | None,
+               per_decade: bool) -> DataFrame:
+    counters = ["missing_song_ids", "missing_titles", "missing_artists", "high_quality_records",
+                "hit_songs_count", "standard_duration_songs", "songs_2010s", "score_sum",
+                "score_n"]
+    sums = [F.sum("n").alias("total_records"),
+            F.sum(F.when(F.col("release_year").isNull(), F.col("n")).otherwise(0))
+             .alias("missing_years")]
+    sums += [F.sum(c).alias(c) for c in counters]
+    now = updated_at if updated_at is not None else F.current_timestamp()
+
+    def finish(df: DataFrame, level: Column, songs_2010s: Column, v2: bool) -> DataFrame:
+        cols = [level.alias("table_level"),
+                F.coalesce("total_records", F.lit(0).cast("long")).alias("total_records")]
+        cols += [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in
+                 ["missing_song_ids", "missing_titles", "missing_artists", "missing_years"]]
+        cols.append(F.round(decimal_mean("score_sum", "score_n", stype), 3)
+                    .alias("avg_quality_score"))
+        tail = ["high_quality_records"] if v2 else [
+            "high_quality_records", "hit_songs_count", "standard_duration_songs"]
+        cols += [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in tail]
+        if not v2:
+            cols.append(songs_2010s.alias("songs_2010s"))
+        cols.append(now.alias("last_updated"))
+        return df.select(*cols)
+
+    total = finish(p.agg(*sums), F.lit(G.TOTAL_LEVEL),
+                   F.coalesce("songs_2010s", F.lit(0).cast("long")), v2=not per_decade)
+    if not per_decade:
+        return total
+    groups = (p.where(F.col("decade_category").isNotNull())
+               .groupBy(F.col("decade_category").alias("_level")).agg(*sums))
+    return total.unionByName(finish(groups, F.col("_level"), F.col("total_records"), v2=False))
+
+
+def gold_layer(silver: DataFrame, updated_at: Column | None = None,
+               min_rows: int = SIGNIFICANCE_MIN_ROWS,
+               min_rows_loudness: int = SIGNIFICANCE_MIN_ROWS_LOUDNESS) -> dict[str, DataFrame]:
+    """All gold tables (same names as ``gold.GOLD_TABLES``) from one silver scan."""
+    p = partials(silver)
+    stype = G._score_type(silver)
+    year = F.col("release_year")
+    return {
+        "album_releases_by_year": album_releases_by_year(p, stype),
+        "top_artists_by_decade": _top_artists(p, F.col("decade_category"), False, 3, 50),
+        "top_artists_by_decade_v2": _top_artists(p, decade_v2(year), True, 3, 50),
+        "music_trends_analysis": _trend_rows(p, F.col("decade_category"), "trend_category",
+                                             G.TREND_CATEGORIES, min_rows, min_rows_loudness),
+        "music_trends_analysis_v2": _trend_rows(p, analysis_period(year), "trend_direction",
+                                                G.TREND_DIRECTIONS, min_rows, min_rows_loudness),
+        "data_quality_dashboard": _dashboard(p, stype, updated_at, per_decade=True),
+        "data_quality_dashboard_v2": _dashboard(p, stype, updated_at, per_decade=False),
+    }

@@ -21,6 +21,7 @@ from strata.functions.quality import expectations
 from strata.operators.expectations import observe_expectations
 from strata.plans.bronze import bronze
 from strata.plans.gold import GOLD_TABLES, TABLE_COMMENTS, TABLE_PROPERTIES
+from strata.plans.gold_shared import gold_layer
 from strata.plans.silver import silver
 from strata.schemas import BRONZE_SCHEMA, RAW_SONG_SCHEMA
 from strata.sinks.files import save_table, write_parquet
@@ -96,21 +97,28 @@ def expectation_totals(query: StreamingQuery, name: str = SILVER_METRICS) -> dic
 
 
 def refresh_gold(spark: SparkSession, silver_path: str, gold_root: str,
-                 tables: dict | None = None, catalog_prefix: str | None = None) -> dict[str, str]:
+                 tables: dict | None = None, catalog_prefix: str | None = None,
+                 shared_scan: bool = True) -> dict[str, str]:
     """Recompute every gold table from the silver files and overwrite it.
 
+    ``shared_scan`` (default) reads silver once for all tables
+    (``gold_shared.gold_layer``); otherwise each table reads it on its own.
     With ``catalog_prefix`` (e.g. ``"analytics."``) the tables are published
     in the catalog instead, with their comments and properties.
     """
     current = spark.read.parquet(silver_path)
+    if tables is None and shared_scan:
+        frames = gold_layer(current)
+    else:
+        frames = {name: build(current) for name, build in (tables or GOLD_TABLES).items()}
     out = {}
-    for name, build in (tables or GOLD_TABLES).items():
+    for name, frame in frames.items():
         if catalog_prefix is not None:
-            out[name] = save_table(build(current), f"{catalog_prefix}{name}",
+            out[name] = save_table(frame, f"{catalog_prefix}{name}",
                                    comment=TABLE_COMMENTS.get(name),
                                    properties=TABLE_PROPERTIES.get(name))
         else:
-            out[name] = write_parquet(build(current), f"{gold_root.rstrip('/')}/{name}")
+            out[name] = write_parquet(frame, f"{gold_root.rstrip('/')}/{name}")
     return out
 
 

@@ -1,0 +1,40 @@
+"""The one-scan gold layer equals the table-by-table definitions."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.plans.gold import GOLD_TABLES
+from strata.plans.gold_shared import gold_layer
+from strata.registry import _silver
+from tests.conftest import SF_MED
+
+
+@pytest.fixture(scope="module")
+def silver_df(spark):
+    return _silver(spark, SF_MED)
+
+
+@pytest.fixture(scope="module")
+def shared(silver_df):
+    return gold_layer(silver_df, updated_at=F.lit("2025-01-01").cast("timestamp"))
+
+
+@pytest.mark.parametrize("name", sorted(GOLD_TABLES))
+def test_shared_equals_direct(spark, silver_df, shared, name):
+    build = GOLD_TABLES[name]
+    if "dashboard" in name:
+        direct = build(silver_df, updated_at=F.lit("2025-01-01").cast("timestamp"))
+    else:
+        direct = build(silver_df)
+    got = shared[name]
+    assert got.columns == direct.columns
+    assert [f.dataType for f in got.schema.fields] == [f.dataType for f in direct.schema.fields]
+    assert got.count() == direct.count() > 0
+    assert got.exceptAll(direct).count() == 0 and direct.exceptAll(got).count() == 0
+
+
+def test_shared_layer_scans_silver_once(spark, silver_df):
+    tables = gold_layer(silver_df)
+    for df in tables.values():
+        df.write.format("noop").mode("overwrite").save()
+        assert "FileScan" not in df._jdf.queryExecution().executedPlan().toString()
