@@ -85,3 +85,11 @@ def test_long_metrics_skips_empty_metric(spark):
     got = sorted((r.period, r.metric_name, r.metric_value, r.statistical_significance,
                   r.sample_size) for r in out.collect())
     assert got == [("a", "mx", 2.0, "high", 2), ("b", "my", 2.0, "high", 1)]
+
+
+def test_number_within_empty_and_global(spark):
+    empty = spark.createDataFrame([], "g string, o int")
+    assert number_within(empty, ["g"], [F.col("o")]).count() == 0
+    df = spark.range(5000).select((F.col("id") * 37 % 5000).alias("o")).repartition(7)
+    got = number_within(df, [], [F.col("o")], out_col="rn")
+    assert [tuple(r) for r in got.orderBy("o").collect()] == [(i, i + 1) for i in range(5000)]
