@@ -47,7 +47,7 @@ TREND_DIRECTIONS = {
 # ---------------------------------------------------------------------------
 
 # Row keys that make "some row of the group" choices deterministic.
-_ROW_KEY = ["song_id", "title"]
+ROW_KEY = ["song_id", "title"]
 
 
 def _now(at: Column | None) -> Column:
@@ -91,11 +91,11 @@ def _artist_aggregates(df: DataFrame, decade: Column) -> DataFrame:
         F.count_distinct("album_info").alias("total_releases"),
         F.avg("popularity_score").alias("_avg_pop"),
         span.cast("int").alias("career_span_years"),
-        representative(_ROW_KEY, ["artist_location", "popularity_tier"]).alias("_first"),
+        representative(ROW_KEY, ["artist_location", "popularity_tier"]).alias("_first"),
     )
 
 
-def _rank_artists(agg: DataFrame, min_songs: int, top_n: int) -> DataFrame:
+def rank_artists(agg: DataFrame, min_songs: int, top_n: int) -> DataFrame:
     ranked = top_n_per_group(
         agg.where(F.col("total_songs") >= min_songs), ["decade"],
         [F.desc("total_songs"), F.desc("_avg_pop"), F.asc("artist_name")],
@@ -114,7 +114,7 @@ def _rank_artists(agg: DataFrame, min_songs: int, top_n: int) -> DataFrame:
 def top_artists_by_decade(silver: DataFrame, min_songs: int = 3, top_n: int = 50) -> DataFrame:
     """Top artists per silver decade; tier = the tier of a representative song."""
     base = silver.where(F.col("release_year").isNotNull() & F.col("popularity_score").isNotNull())
-    ranked = _rank_artists(_artist_aggregates(base, F.col("decade_category")), min_songs, top_n)
+    ranked = rank_artists(_artist_aggregates(base, F.col("decade_category")), min_songs, top_n)
     return ranked.withColumn("popularity_tier", F.col("_tier")).drop("_tier", "_avg_pop")
 
 
@@ -122,7 +122,7 @@ def top_artists_by_decade_v2(silver: DataFrame, min_songs: int = 3, top_n: int =
     """Second edition: decades from release_year (2020s fold into 2010s) and the
     tier derived from the artist's average popularity."""
     base = silver.where(F.col("release_year").isNotNull() & F.col("popularity_score").isNotNull())
-    ranked = _rank_artists(_artist_aggregates(base, decade_v2("release_year")), min_songs, top_n)
+    ranked = rank_artists(_artist_aggregates(base, decade_v2("release_year")), min_songs, top_n)
     return ranked.withColumn("popularity_tier", artist_tier(F.col("_avg_pop"))).drop("_tier", "_avg_pop")
 
 
@@ -157,7 +157,7 @@ def music_trends_v2(silver: DataFrame, min_rows: int = SIGNIFICANCE_MIN_ROWS,
     return long_metrics(base, analysis_period("release_year"), "analysis_period", metrics)
 
 
-def _score_type(silver: DataFrame) -> T.DecimalType:
+def score_type(silver: DataFrame) -> T.DecimalType:
     dtype = silver.schema["data_quality_score"].dataType
     return dtype if isinstance(dtype, T.DecimalType) else T.DecimalType(15, 1)
 
@@ -179,7 +179,7 @@ def quality_dashboard(silver: DataFrame, updated_at: Column | None = None) -> Da
         "songs_2010s": F.count_if(F.col("decade_category") == DECADE_2010S),
     }
     per_group, total = group_and_total(silver, "decade_category", "table_level", partials)
-    stype = _score_type(silver)
+    stype = score_type(silver)
     counts = ["total_records", "missing_song_ids", "missing_titles", "missing_artists",
               "missing_years"]
     tail = ["high_quality_records", "hit_songs_count", "standard_duration_songs"]

@@ -51,7 +51,7 @@ def partials(silver: DataFrame) -> DataFrame:
         F.sum(score).alias("score_sum"), F.count(score).alias("score_n"),
         F.min("processing_timestamp").alias("first_ts"),
         F.max("processing_timestamp").alias("last_ts"),
-        F.min(F.when(pop.isNotNull(), F.struct(*G._ROW_KEY, "artist_location", "popularity_tier")))
+        F.min(F.when(pop.isNotNull(), F.struct(*G.ROW_KEY, "artist_location", "popularity_tier")))
          .alias("rep"),
     ]
     for short, col in _MEASURES.items():
@@ -91,7 +91,7 @@ def _top_artists(p: DataFrame, decade: Column, tier_from_avg: bool, min_songs: i
                 (F.max("release_year") - F.min("release_year") + 1).cast("int")
                  .alias("career_span_years"),
                 F.min("rep").alias("_first")))
-    ranked = G._rank_artists(agg, min_songs, top_n)
+    ranked = G.rank_artists(agg, min_songs, top_n)
     tier = artist_tier(F.col("_avg_pop")) if tier_from_avg else F.col("_tier")
     return ranked.withColumn("popularity_tier", tier).drop("_tier", "_avg_pop")
 
@@ -159,7 +159,7 @@ def gold_layer(silver: DataFrame, updated_at: Column | None = None,
                min_rows_loudness: int = SIGNIFICANCE_MIN_ROWS_LOUDNESS) -> dict[str, DataFrame]:
     """All gold tables (same names as ``gold.GOLD_TABLES``) from one silver scan."""
     p = partials(silver)
-    stype = G._score_type(silver)
+    stype = G.score_type(silver)
     year = F.col("release_year")
     return {
         "album_releases_by_year": album_releases_by_year(p, stype),
