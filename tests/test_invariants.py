@@ -44,3 +44,17 @@ def test_expectation_outcomes_partition_rows(spark):
     n = _silver(spark, SF_MED).count()
     for r in Q["expectation_report"](spark, SF_MED).collect():
         assert r.passed + r.failed + r.undetermined == n
+
+
+def test_fixture_facts(spark):
+    s = _silver(spark, SF_MED)
+    row = s.agg(F.count("*").alias("n"),
+                F.count_if(F.col("release_year").isNull()).alias("no_year"),
+                F.count_if(F.col("duration_seconds").isNull()).alias("no_duration"),
+                F.count_if(F.col("tempo_bpm").isNull()).alias("no_tempo"),
+                F.countDistinct("decade_category").alias("decades"),
+                F.countDistinct("duration_category").alias("durations"),
+                F.countDistinct("popularity_tier").alias("tiers")).collect()[0]
+    assert tuple(row) == (54294, 7002, 5965, 11908, 8, 5, 5)
+    scores = {r[0] for r in s.select("data_quality_score").distinct().collect()}
+    assert {str(x) for x in scores} >= {"0.4", "0.6", "0.8", "1.0"}
