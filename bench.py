@@ -36,9 +36,15 @@ def main() -> None:
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
                           app_name="strata-bench")
-    def run(name: str) -> float:
+    errors = {}
+
+    def run(name: str) -> float | None:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as exc:  # noqa: BLE001 - report, keep benchmarking the rest
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            return None
         return round(time.perf_counter() - t0, 3)
 
     cold = {name: run(name) for name in HEADLINE}
@@ -50,19 +56,28 @@ def main() -> None:
     from strata.session import scratch_path
     from strata.streaming.layers import refresh_gold
     silver_path = scratch_path(spark, "bench_silver")
-    _silver(spark, sf_dir).write.parquet(silver_path)
+    try:
+        _silver(spark, sf_dir).write.parquet(silver_path)
+    except Exception as exc:  # noqa: BLE001
+        errors["silver_write"] = f"{type(exc).__name__}: {str(exc)[:200]}"
     refresh = {}
-    for label, shared in [("shared_scan", True), ("per_table", False)]:
-        refresh_gold(spark, silver_path, scratch_path(spark, "bench_gold"), shared_scan=shared)
-        t0 = time.perf_counter()
-        refresh_gold(spark, silver_path, scratch_path(spark, "bench_gold"), shared_scan=shared)
-        refresh[label] = round(time.perf_counter() - t0, 3)
+    try:
+        for label, shared in [("shared_scan", True), ("per_table", False)]:
+            refresh_gold(spark, silver_path, scratch_path(spark, "bench_gold"), shared_scan=shared)
+            t0 = time.perf_counter()
+            refresh_gold(spark, silver_path, scratch_path(spark, "bench_gold"), shared_scan=shared)
+            refresh[label] = round(time.perf_counter() - t0, 3)
+    except Exception as exc:  # noqa: BLE001
+        errors["gold_refresh"] = f"{type(exc).__name__}: {str(exc)[:200]}"
     spark.stop()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
-        "metric": "headline_queries_total", "value": round(sum(times.values()), 3),
+        "metric": "headline_queries_total",
+        "value": round(sum(v for v in times.values() if v is not None), 3),
         "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir,
-        "cpus": int(cpus), "cold": cold, "cold_total": round(sum(cold.values()), 3),
+        "cpus": int(cpus), "cold": cold,
+        "cold_total": round(sum(v for v in cold.values() if v is not None), 3),
+        "errors": errors,
         "gold_refresh_from_silver": refresh,
     }))
 
