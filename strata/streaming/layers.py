@@ -3,7 +3,10 @@
 - Bronze: a file stream over the landing folder; each new file is read once
   (the checkpoint records which files were seen), rows get provenance columns.
 - Silver: a stream over bronze's output files through the same transform as
-  batch; expectation counters ride along as observed metrics.
+  batch; expectation counters ride along as observed metrics. Bronze is a
+  file-sink output, so the silver stream lists it through the sink's
+  ``_spark_metadata`` log: only committed files are read, never files left by
+  failed or in-flight tasks.
 - Gold: recomputed from the whole of silver and overwritten (a materialized
   view). Incremental gold is not possible as the tables are written:
   streaming rejects distinct aggregates and ``row_number``.
