@@ -34,8 +34,13 @@ _MEASURES = {"dur": "duration_seconds", "tempo": "tempo_bpm", "pop": "popularity
              "loud": "loudness_db"}
 
 
-def partials(silver: DataFrame) -> DataFrame:
-    """Silver aggregated at (decade_category, release_year, artist_name, album_info)."""
+GRAIN = ["decade_category", "release_year", "artist_name", "album_info"]
+DECADE_GRAIN = ["decade_category", "release_year"]
+
+
+def partial_aggs(with_rows: bool = True) -> list[Column]:
+    """Partial aggregates every gold table rolls up from. ``with_rows=False``
+    leaves out the representative row (only the rankings need it)."""
     score = F.col("data_quality_score")
     pop = F.col("popularity_score")
     aggs = [
@@ -51,14 +56,19 @@ def partials(silver: DataFrame) -> DataFrame:
         F.sum(score).alias("score_sum"), F.count(score).alias("score_n"),
         F.min("processing_timestamp").alias("first_ts"),
         F.max("processing_timestamp").alias("last_ts"),
-        F.min(F.when(pop.isNotNull(), F.struct(*G.ROW_KEY, "artist_location", "popularity_tier")))
-         .alias("rep"),
     ]
+    if with_rows:
+        aggs.append(F.min(F.when(pop.isNotNull(), F.struct(*G.ROW_KEY, "artist_location",
+                                                          "popularity_tier"))).alias("rep"))
     for short, col in _MEASURES.items():
         aggs += [F.sum(col).alias(f"{short}_sum"), F.count(col).alias(f"{short}_n")]
+    return aggs
+
+
+def partials(silver: DataFrame) -> DataFrame:
+    """Silver aggregated at (decade_category, release_year, artist_name, album_info)."""
     checkpoint_root(silver.sparkSession)
-    return (silver.groupBy("decade_category", "release_year", "artist_name", "album_info")
-                  .agg(*aggs).checkpoint(eager=True))
+    return silver.groupBy(*GRAIN).agg(*partial_aggs()).checkpoint(eager=True)
 
 
 def _mean(total: str, count: str) -> Column:
@@ -154,6 +164,22 @@ def _dashboard(p: DataFrame, stype: T.DecimalType, updated_at: Column | None,
     return total.unionByName(finish(groups, F.col("_level"), F.col("total_records"), v2=False))
 
 
+def decade_tables(p: DataFrame, stype: T.DecimalType = T.DecimalType(15, 1),
+                  updated_at: Column | None = None, min_rows: int = SIGNIFICANCE_MIN_ROWS,
+                  min_rows_loudness: int = SIGNIFICANCE_MIN_ROWS_LOUDNESS) -> dict[str, DataFrame]:
+    """The decomposable gold tables (trends, dashboards) from partials at
+    (decade_category, release_year) grain or finer."""
+    year = F.col("release_year")
+    return {
+        "music_trends_analysis": _trend_rows(p, F.col("decade_category"), "trend_category",
+                                             G.TREND_CATEGORIES, min_rows, min_rows_loudness),
+        "music_trends_analysis_v2": _trend_rows(p, analysis_period(year), "trend_direction",
+                                                G.TREND_DIRECTIONS, min_rows, min_rows_loudness),
+        "data_quality_dashboard": _dashboard(p, stype, updated_at, per_decade=True),
+        "data_quality_dashboard_v2": _dashboard(p, stype, updated_at, per_decade=False),
+    }
+
+
 def gold_layer(silver: DataFrame, updated_at: Column | None = None,
                min_rows: int = SIGNIFICANCE_MIN_ROWS,
                min_rows_loudness: int = SIGNIFICANCE_MIN_ROWS_LOUDNESS) -> dict[str, DataFrame]:
@@ -165,10 +191,5 @@ def gold_layer(silver: DataFrame, updated_at: Column | None = None,
         "album_releases_by_year": album_releases_by_year(p, stype),
         "top_artists_by_decade": _top_artists(p, F.col("decade_category"), False, 3, 50),
         "top_artists_by_decade_v2": _top_artists(p, decade_v2(year), True, 3, 50),
-        "music_trends_analysis": _trend_rows(p, F.col("decade_category"), "trend_category",
-                                             G.TREND_CATEGORIES, min_rows, min_rows_loudness),
-        "music_trends_analysis_v2": _trend_rows(p, analysis_period(year), "trend_direction",
-                                                G.TREND_DIRECTIONS, min_rows, min_rows_loudness),
-        "data_quality_dashboard": _dashboard(p, stype, updated_at, per_decade=True),
-        "data_quality_dashboard_v2": _dashboard(p, stype, updated_at, per_decade=False),
+        **decade_tables(p, stype, updated_at, min_rows, min_rows_loudness),
     }
