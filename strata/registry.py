@@ -32,7 +32,7 @@ from strata.sources.files import (
     describe, file_inventory, preview, read_csv, read_json, read_parquet, register_view,
 )
 from strata.sources.songs import load_songs
-from strata.streaming.layers import run_medallion
+from strata.streaming.layers import run_medallion, stream_decade_gold
 
 AS_OF_YEAR = 2025
 PINNED_TS = _dt.datetime(2025, 1, 1, 0, 0, 0)
@@ -259,15 +259,28 @@ def q_topn_suppliers_per_flag(spark, sf_dir):
 
 # --- streaming --------------------------------------------------------------
 
-def q_stream_bronze_silver(spark, sf_dir):
+def _streamed(spark, sf_dir) -> dict:
     """Songs land as JSON files; bronze and silver streams drain them in
-    several micro-batches; the silver files are the result."""
+    several micro-batches."""
     landing = scratch_path(spark, "landing")
     write_json(_songs(spark, sf_dir), landing)
     target = scratch_path(spark, "medallion")
-    run_medallion(spark, landing, target, as_of_year=AS_OF_YEAR, max_files_per_trigger=4,
-                  refresh=False, processed_at=pinned_ts())
-    return flatten(spark.read.parquet(f"{target}/silver"))
+    res = run_medallion(spark, landing, target, as_of_year=AS_OF_YEAR, max_files_per_trigger=4,
+                        refresh=False, processed_at=pinned_ts())
+    return res["paths"]
+
+
+def q_stream_bronze_silver(spark, sf_dir):
+    return flatten(spark.read.parquet(_streamed(spark, sf_dir)["silver"]))
+
+
+def q_stream_quality_dashboard(spark, sf_dir):
+    """The dashboard maintained incrementally by a stateful stream over silver."""
+    paths = _streamed(spark, sf_dir)
+    gold_root = f"{paths['gold']}_incremental"
+    stream_decade_gold(spark, paths["silver"], gold_root, f"{gold_root}/_checkpoint",
+                       updated_at=pinned_ts()).awaitTermination()
+    return spark.read.parquet(f"{gold_root}/data_quality_dashboard")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -307,4 +320,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "semi_join_top_suppliers": q_semi_join_top_suppliers,
     "topn_suppliers_per_flag": q_topn_suppliers_per_flag,
     "stream_bronze_silver": q_stream_bronze_silver,
+    "stream_quality_dashboard": q_stream_quality_dashboard,
 }
