@@ -75,9 +75,20 @@ def main() -> None:
         ("window row_number", lambda: df.withColumn(
             "rn", F.row_number().over(Window.partitionBy("g").orderBy("o", "id")))),
         ("number_within", lambda: number_within(df, ["g"], [F.col("o"), F.col("id")], "rn")),
+        ("groupBy(g) count/sum/distinct", lambda: df.groupBy("g").agg(
+            F.count("*"), F.sum("o"), F.count_distinct(F.col("o") % 97))),
     ]:
         sc.setJobGroup(label, label)
         build().write.format("noop").mode("overwrite").save()
+
+    from strata.sinks.files import write_partitioned_json
+    out_root = tempfile.mkdtemp(prefix="strata-skew-out-")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+    sc.setJobGroup("partitionBy(g) write, REBALANCE", "rebalance")
+    write_partitioned_json(df, f"{out_root}/rebalanced", "g")
+    sc.setJobGroup("partitionBy(g) write, repartition(g)", "repartition")
+    df.repartition("g").write.partitionBy("g").json(f"{out_root}/repartitioned")
     spark.stop()
 
     rows, owner = stage_rows(log_dir)
@@ -93,8 +104,12 @@ def main() -> None:
         print(f"| {owner.get(sid, '?')} | {sid} | {len(r)} | {max(r):,} | "
               f"{int(statistics.median(r)):,} | {max(r) / total:.2f} |")
     print("\nRows read = input records + shuffle records. Scan stages read 1/8 each; what "
-          "matters is the stage after the shuffle: the window hands the hot group to one "
-          "task, the range-partitioned numbering spreads it over all tasks.")
+          "matters is the stage after the shuffle. The window hands the hot group to one "
+          "task; the range-partitioned numbering spreads it over all tasks. The grouped "
+          "aggregate combines each group inside every scan task first, so its post-shuffle "
+          "tasks read a handful of rows. For the partitioned write, `repartition(g)` sends "
+          "the hot value to one writer task, while the `REBALANCE` hint lets AQE split it "
+          "into several tasks (and files).")
 
 
 if __name__ == "__main__":
