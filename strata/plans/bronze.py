@@ -7,28 +7,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.schemas import RAW_SONG_SCHEMA
 
 
-def conform_raw(df: DataFrame) -> list[Column]:
-    """The declared raw columns, cast; columns missing from the input are NULL."""
+def conform_raw(df: DataFrame, schema: T.StructType = RAW_SONG_SCHEMA) -> list[Column]:
+    """The declared columns, cast; columns missing from the input are NULL."""
     present = set(df.columns)
     return [
         (F.col(f.name).cast(f.dataType) if f.name in present
          else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in RAW_SONG_SCHEMA.fields
+        for f in schema.fields
     ]
 
 
 def bronze(raw: DataFrame, ingested_at: Column | None = None,
-           source_file: Column | None = None) -> DataFrame:
+           source_file: Column | None = None,
+           schema: T.StructType = RAW_SONG_SCHEMA) -> DataFrame:
     """Declared columns + ``ingestion_timestamp`` + ``source_file``.
 
-    ``source_file`` defaults to the hidden ``_metadata.file_path`` of the file
-    scan; ``ingested_at`` defaults to the (per micro-batch) clock.
+    ``schema`` is the declared table (the songs by default; any record type,
+    e.g. the sample orders, works the same way). ``source_file`` defaults to
+    the hidden ``_metadata.file_path`` of the file scan; ``ingested_at``
+    defaults to the (per micro-batch) clock.
     """
     ts = ingested_at if ingested_at is not None else F.current_timestamp()
     src = source_file if source_file is not None else F.col("_metadata.file_path")
-    return raw.select(*conform_raw(raw), ts.alias("ingestion_timestamp"),
+    return raw.select(*conform_raw(raw, schema), ts.alias("ingestion_timestamp"),
                       src.alias("source_file"))

@@ -44,7 +44,8 @@ def bronze_stream(spark: SparkSession, source: str, fmt: str = "json", schema=No
     file-source options (``latestFirst``, ``maxFileAge``, ...) pass through
     ``options``.
     """
-    reader = spark.readStream.schema(schema or RAW_SONG_SCHEMA).format(fmt)
+    declared = schema or RAW_SONG_SCHEMA
+    reader = spark.readStream.schema(declared).format(fmt)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     for key, value in (options or {}).items():
@@ -55,7 +56,7 @@ def bronze_stream(spark: SparkSession, source: str, fmt: str = "json", schema=No
         reader = reader.option("header", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return bronze(reader.load(source), ingested_at=ingested_at)
+    return bronze(reader.load(source), ingested_at=ingested_at, schema=declared)
 
 
 def silver_stream(spark: SparkSession, bronze_path: str, as_of_year: int | None = None,

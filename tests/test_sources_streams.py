@@ -123,3 +123,17 @@ def test_category_histogram_null_group_counts_zero(spark):
     df = spark.createDataFrame([("IF",), ("VS1",), (None,), ("IF",), (None,)], "clarity string")
     rows = [tuple(r) for r in category_histogram(df, "clarity").collect()]
     assert rows == [(None, 0), ("IF", 2), ("VS1", 1)]
+
+
+def test_sample_records_json_to_bronze_stream(spark, tmp_dir):
+    from strata.schemas import ORDER_SCHEMA
+    from strata.sinks.files import write_records_json
+    from strata.sources.literals import ORDERS
+    write_records_json(spark, ORDERS, ORDER_SCHEMA, f"{tmp_dir}/orders")
+    q = start_append(bronze_stream(spark, f"{tmp_dir}/orders", schema=ORDER_SCHEMA),
+                     f"{tmp_dir}/bronze_orders", f"{tmp_dir}/ckpt")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{tmp_dir}/bronze_orders")
+    assert out.columns == [f.name for f in ORDER_SCHEMA.fields] + ["ingestion_timestamp",
+                                                                   "source_file"]
+    assert out.count() == 7 and out.where("total_amount IS NULL").count() == 0
