@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.categories import decade_category, duration_category, popularity_tier
+from strata.functions import quality as Q
 from strata.functions.quality import current_year, quality_score
 from strata.functions.rules import blank_to, default_outside, null_outside, within
 
@@ -51,32 +52,33 @@ def identity_columns() -> dict[str, Column]:
 
 def range_columns(as_of_year: int | None = None) -> dict[str, Column]:
     return {
-        "release_year": null_outside("year", 1900, current_year(as_of_year)),
-        "duration_seconds": null_outside("duration", 30, 1800, lo_open=True),
-        "tempo_bpm": null_outside("tempo", 40, 250),
+        "release_year": null_outside("year", Q.FIRST_YEAR, current_year(as_of_year)),
+        "duration_seconds": null_outside("duration", Q.MIN_DURATION_SECONDS,
+                                         Q.MAX_DURATION_SECONDS, lo_open=True),
+        "tempo_bpm": null_outside("tempo", Q.MIN_TEMPO_BPM, Q.MAX_TEMPO_BPM),
         "loudness_db": F.col("loudness"),
     }
 
 
 def default_columns() -> dict[str, Column]:
     return {
-        "album_info": blank_to("release", "Unknown Release"),
-        "popularity_score": default_outside("song_hotnes", 0, 1, 0.0),
-        "artist_location": blank_to("artist_location", "Unknown"),
+        "album_info": blank_to("release", Q.UNKNOWN_RELEASE),
+        "popularity_score": default_outside("song_hotnes", *Q.HOTNESS_RANGE, Q.HOTNESS_DEFAULT),
+        "artist_location": blank_to("artist_location", Q.UNKNOWN_LOCATION),
     }
 
 
 def struct_columns() -> dict[str, Column]:
-    coords_ok = within("artist_lat", -90, 90) & within("artist_long", -180, 180)
+    coords_ok = within("artist_lat", *Q.LATITUDE_RANGE) & within("artist_long", *Q.LONGITUDE_RANGE)
     null_d = F.lit(None).cast("double")
     duration = F.col("duration")
     return {
         "key_info": F.struct(
-            null_outside("key", 0, 11).alias("key_number"),
-            null_outside("key_confidence", 0, 1).alias("confidence")),
+            null_outside("key", *Q.KEY_RANGE).alias("key_number"),
+            null_outside("key_confidence", *Q.CONFIDENCE_RANGE).alias("confidence")),
         "time_signature_info": F.struct(
-            null_outside("time_signature", 1, 12).alias("signature"),
-            null_outside("time_signature_confidence", 0, 1).alias("confidence")),
+            null_outside("time_signature", *Q.TIME_SIGNATURE_RANGE).alias("signature"),
+            null_outside("time_signature_confidence", *Q.CONFIDENCE_RANGE).alias("confidence")),
         "artist_coordinates": F.when(
             coords_ok,
             F.struct(F.col("artist_lat").alias("latitude"),
