@@ -21,6 +21,11 @@ from strata.schemas import SONG_COLUMNS
 SAMPLE_SOURCE_LABEL = "sample_dataset"
 SOURCE_LABEL = "Original Parquet"
 EXTRACT_LABEL = "Extracted JSON"
+RECENT_SINCE = 2000          # the by-year extract keeps songs from this year on
+TOP_ARTISTS = 100            # the top-artists extract: 100 artists ...
+TOP_ARTISTS_MIN_SONGS = 10   # ... with at least 10 songs
+SAMPLE_SIZE = 1000
+TOP_REPORT = 10
 # ---------------------------------------------------------------------------
 
 
@@ -40,7 +45,7 @@ def extract_complete(songs: DataFrame, extracted_at: Column | None = None,
                  .select(*SONG_COLUMNS, *extra))
 
 
-def extract_recent(songs: DataFrame, since: int = 2000,
+def extract_recent(songs: DataFrame, since: int = RECENT_SINCE,
                    extracted_at: Column | None = None) -> DataFrame:
     """Songs from ``since`` on with artist and title present (to be partitioned by year)."""
     return (songs.where(F.col("year").isNotNull() & (F.col("year") >= since)
@@ -48,7 +53,8 @@ def extract_recent(songs: DataFrame, since: int = 2000,
                  .select(*SONG_COLUMNS, _now(extracted_at).alias("extraction_timestamp")))
 
 
-def top_artist_names(songs: DataFrame, top_n: int = 100, min_songs: int = 10) -> DataFrame:
+def top_artist_names(songs: DataFrame, top_n: int = TOP_ARTISTS,
+                     min_songs: int = TOP_ARTISTS_MIN_SONGS) -> DataFrame:
     """The ``top_n`` artists with most songs (at least ``min_songs``); ties by name."""
     counts = (songs.where(F.col("artist_name").isNotNull())
                    .groupBy("artist_name").agg(F.count(F.lit(1)).alias("_n"))
@@ -56,7 +62,8 @@ def top_artist_names(songs: DataFrame, top_n: int = 100, min_songs: int = 10) ->
     return top_k(counts, [F.desc("_n"), F.asc("artist_name")], top_n).select("artist_name")
 
 
-def extract_top_artists(songs: DataFrame, top_n: int = 100, min_songs: int = 10) -> DataFrame:
+def extract_top_artists(songs: DataFrame, top_n: int = TOP_ARTISTS,
+                        min_songs: int = TOP_ARTISTS_MIN_SONGS) -> DataFrame:
     """Songs of the top artists, numbered per artist by year.
 
     The key set is a top-k, so its size bound (``top_n``) justifies a
@@ -71,7 +78,7 @@ def extract_top_artists(songs: DataFrame, top_n: int = 100, min_songs: int = 10)
                          out_col="song_number_by_artist", max_groups=top_n)
 
 
-def extract_sample(songs: DataFrame, n: int = 1000, seed: int | None = None,
+def extract_sample(songs: DataFrame, n: int = SAMPLE_SIZE, seed: int | None = None,
                    extracted_at: Column | None = None) -> DataFrame:
     """Exactly ``n`` random songs with an id, tagged as the sample dataset."""
     chosen = sample_rows(songs.where(F.col("song_id").isNotNull()), n, seed)
@@ -110,7 +117,7 @@ def extract_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def top_artists_report(df: DataFrame, k: int = 10) -> DataFrame:
+def top_artists_report(df: DataFrame, k: int = TOP_REPORT) -> DataFrame:
     """The ``k`` artists with most songs; ties by name."""
     per_artist = (df.where(F.col("artist_name").isNotNull()).groupBy("artist_name").agg(
         F.count(F.lit(1)).alias("song_count"),

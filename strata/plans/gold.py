@@ -32,6 +32,9 @@ HIT_TIER = "Hit"
 STANDARD_DURATION = "Standard"
 DECADE_2010S = "2010s"
 HIGH_QUALITY_MIN = 0.8
+MIN_SONGS_PER_YEAR = 2       # album releases: artists with >= 2 songs in the year
+MIN_SONGS_RANKED = 3         # rankings: artists with >= 3 songs in the decade
+TOP_PER_DECADE = 50
 TREND_CATEGORIES = {
     "avg_duration_minutes": "duration_trend",
     "avg_tempo_bpm": "tempo_trend",
@@ -54,7 +57,7 @@ def _now(at: Column | None) -> Column:
     return at if at is not None else F.current_timestamp()
 
 
-def album_releases_by_year(silver: DataFrame, min_songs: int = 2,
+def album_releases_by_year(silver: DataFrame, min_songs: int = MIN_SONGS_PER_YEAR,
                            ordered: bool = False, exact_distinct: bool = True) -> DataFrame:
     """Per (release_year, artist): song count, averages, distinct albums.
 
@@ -111,14 +114,16 @@ def rank_artists(agg: DataFrame, min_songs: int, top_n: int) -> DataFrame:
     )
 
 
-def top_artists_by_decade(silver: DataFrame, min_songs: int = 3, top_n: int = 50) -> DataFrame:
+def top_artists_by_decade(silver: DataFrame, min_songs: int = MIN_SONGS_RANKED,
+                          top_n: int = TOP_PER_DECADE) -> DataFrame:
     """Top artists per silver decade; tier = the tier of a representative song."""
     base = silver.where(F.col("release_year").isNotNull() & F.col("popularity_score").isNotNull())
     ranked = rank_artists(_artist_aggregates(base, F.col("decade_category")), min_songs, top_n)
     return ranked.withColumn("popularity_tier", F.col("_tier")).drop("_tier", "_avg_pop")
 
 
-def top_artists_by_decade_v2(silver: DataFrame, min_songs: int = 3, top_n: int = 50) -> DataFrame:
+def top_artists_by_decade_v2(silver: DataFrame, min_songs: int = MIN_SONGS_RANKED,
+                             top_n: int = TOP_PER_DECADE) -> DataFrame:
     """Second edition: decades from release_year (2020s fold into 2010s) and the
     tier derived from the artist's average popularity."""
     base = silver.where(F.col("release_year").isNotNull() & F.col("popularity_score").isNotNull())

@@ -75,7 +75,8 @@ def _mean(total: str, count: str) -> Column:
     return F.when(F.sum(count) > 0, F.sum(total) / F.sum(count))
 
 
-def album_releases_by_year(p: DataFrame, stype: T.DecimalType, min_songs: int = 2) -> DataFrame:
+def album_releases_by_year(p: DataFrame, stype: T.DecimalType,
+                           min_songs: int = G.MIN_SONGS_PER_YEAR) -> DataFrame:
     return (p.where(F.col("release_year").isNotNull())
              .groupBy("release_year", "artist_name").agg(
                  F.sum("n").alias("total_songs"),
@@ -189,7 +190,9 @@ def gold_layer(silver: DataFrame, updated_at: Column | None = None,
     year = F.col("release_year")
     return {
         "album_releases_by_year": album_releases_by_year(p, stype),
-        "top_artists_by_decade": _top_artists(p, F.col("decade_category"), False, 3, 50),
-        "top_artists_by_decade_v2": _top_artists(p, decade_v2(year), True, 3, 50),
+        "top_artists_by_decade": _top_artists(p, F.col("decade_category"), False,
+                                              G.MIN_SONGS_RANKED, G.TOP_PER_DECADE),
+        "top_artists_by_decade_v2": _top_artists(p, decade_v2(year), True,
+                                                 G.MIN_SONGS_RANKED, G.TOP_PER_DECADE),
         **decade_tables(p, stype, updated_at, min_rows, min_rows_loudness),
     }
