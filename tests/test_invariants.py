@@ -58,3 +58,16 @@ def test_fixture_facts(spark):
     assert tuple(row) == (54294, 7002, 5965, 11908, 8, 5, 5)
     scores = {r[0] for r in s.select("data_quality_score").distinct().collect()}
     assert {str(x) for x in scores} >= {"0.4", "0.6", "0.8", "1.0"}
+
+
+def test_trend_significance_threshold_argument(spark):
+    from strata.plans import gold
+    s = _silver(spark, SF_MED)
+    labels = {r[0] for r in gold.music_trends(s).select("statistical_significance").collect()}
+    assert labels == {"high"}
+    strict = gold.music_trends(s, min_rows=10**9, min_rows_loudness=10**9)
+    assert {r[0] for r in strict.select("statistical_significance").collect()} == {"medium"}
+    # The loudness metric has its own, lower threshold.
+    mixed = gold.music_trends_v2(s, min_rows=10**9, min_rows_loudness=1)
+    by_metric = {(r.metric_name, r.statistical_significance) for r in mixed.collect()}
+    assert ("avg_loudness_db", "high") in by_metric and ("avg_tempo_bpm", "medium") in by_metric
