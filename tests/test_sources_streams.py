@@ -137,3 +137,20 @@ def test_sample_records_json_to_bronze_stream(spark, tmp_dir):
     assert out.columns == [f.name for f in ORDER_SCHEMA.fields] + ["ingestion_timestamp",
                                                                    "source_file"]
     assert out.count() == 7 and out.where("total_amount IS NULL").count() == 0
+
+
+def test_sample_extract_labels_and_size(spark):
+    from strata.plans.extracts import extract_sample
+    out = extract_sample(load_songs(spark, SF_SMALL), n=100, seed=5)
+    rows = out.select("data_source", "song_id").collect()
+    assert len(rows) == 100 and {r.data_source for r in rows} == {"sample_dataset"}
+    assert all(r.song_id is not None for r in rows)
+
+
+def test_album_releases_read_time_order(spark):
+    from strata.plans.gold import album_releases_by_year
+    from strata.plans.silver import silver
+    rows = album_releases_by_year(silver(load_songs(spark, SF_SMALL), 2025),
+                                  ordered=True).collect()
+    keys = [(-r.release_year, -r.total_songs, r.artist_name) for r in rows]
+    assert keys == sorted(keys)
