@@ -2,5 +2,5 @@
 
 from strata.streaming.layers import (  # noqa: F401
     bronze_stream, expectation_totals, refresh_gold, run_medallion, silver_stream, start_append,
-    stream_decade_gold,
+    stream_decade_gold, ExpectationMonitor,
 )

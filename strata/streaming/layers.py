@@ -17,8 +17,10 @@ restarted job (or a lost executor) resumes without repeating or losing files.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from strata.functions.quality import expectations
 from strata.operators.expectations import observe_expectations
@@ -100,6 +102,45 @@ def expectation_totals(query: StreamingQuery, name: str = SILVER_METRICS) -> dic
     return totals
 
 
+class ExpectationMonitor(StreamingQueryListener):
+    """Accumulate the observed expectation counters of every micro-batch.
+
+    ``recentProgress`` keeps only the last progress reports; a listener sees
+    all of them, so totals stay exact on a stream that runs for weeks.
+    ``on_violation(query_name, batch_id, {rule: failed})`` is called for a
+    batch with failed rows (alerting hook).
+    """
+
+    def __init__(self, name: str = SILVER_METRICS, on_violation=None):
+        super().__init__()
+        self.name = name
+        self.on_violation = on_violation
+        self.totals: dict[str, int] = {}
+        self._lock = threading.Lock()
+
+    def onQueryStarted(self, event):  # noqa: N802 - listener API
+        pass
+
+    def onQueryProgress(self, event):  # noqa: N802
+        metrics = (event.progress.observedMetrics or {}).get(self.name)
+        if metrics is None:
+            return
+        values = {k: int(v or 0) for k, v in metrics.asDict().items()}
+        with self._lock:
+            for key, value in values.items():
+                self.totals[key] = self.totals.get(key, 0) + value
+        failed = {k[: -len("__failed")]: v for k, v in values.items()
+                  if k.endswith("__failed") and v}
+        if failed and self.on_violation is not None:
+            self.on_violation(event.progress.name, event.progress.batchId, failed)
+
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        pass
+
+
 def refresh_gold(spark: SparkSession, silver_path: str, gold_root: str,
                  tables: dict | None = None, catalog_prefix: str | None = None,
                  shared_scan: bool = True) -> dict[str, str]:

@@ -80,3 +80,26 @@ def test_incremental_decade_gold_matches_batch(spark, tmp_dir):
     s2 = run_once()
     assert s2.count() > first
     check(s2)
+
+
+def test_expectation_monitor_listener(spark, tmp_dir):
+    import time as _time
+    from strata.streaming.layers import ExpectationMonitor
+    songs = load_songs(spark, SF_SMALL)
+    landing = f"{tmp_dir}/landing"
+    write_json(songs.repartition(3), landing)
+    alerts = []
+    monitor = ExpectationMonitor(on_violation=lambda q, b, failed: alerts.append((b, failed)))
+    spark.streams.addListener(monitor)
+    try:
+        res = run_medallion(spark, landing, f"{tmp_dir}/t", as_of_year=2025,
+                            max_files_per_trigger=1, refresh=False, processed_at=ts())
+        for _ in range(50):                      # listener events are delivered async
+            if monitor.totals.get("rows") == res["expectations"]["rows"]:
+                break
+            _time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(monitor)
+    assert monitor.totals == res["expectations"]
+    assert alerts and all("valid_year" in f or "valid_duration" in f or "valid_song_id" in f
+                          for _, f in alerts)
