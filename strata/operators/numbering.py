@@ -52,8 +52,11 @@ def number_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequ
         "_first", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"))
 
     if max_groups is not None:
-        bound = positioned.rdd.getNumPartitions() + max_groups
-        if bound <= MAX_BROADCAST_KEYS:
+        try:
+            bound = positioned.rdd.getNumPartitions() + max_groups
+        except Exception:  # noqa: BLE001 - no RDD access: leave the join to AQE
+            bound = None
+        if bound is not None and bound <= MAX_BROADCAST_KEYS:
             spans = F.broadcast(spans)
 
     cond = F.col("_pid") == F.col("_s_pid")
