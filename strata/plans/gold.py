@@ -246,6 +246,13 @@ TABLE_COMMENTS = {
 }
 # ---------------------------------------------------------------------------
 
+# Partition columns of the stored gold tables (pruning for per-year/per-decade reads).
+GOLD_PARTITIONING = {
+    "album_releases_by_year": ["release_year"],
+    "top_artists_by_decade": ["decade"],
+    "top_artists_by_decade_v2": ["decade"],
+}
+
 GOLD_TABLES = {
     "album_releases_by_year": album_releases_by_year,
     "top_artists_by_decade": top_artists_by_decade,

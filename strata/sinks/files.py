@@ -46,10 +46,14 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 def save_table(df: DataFrame, name: str, comment: str | None = None,
                properties: dict[str, str] | None = None, mode: str = "overwrite",
-               fmt: str = "parquet") -> str:
+               fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
     """Catalog table with a comment and key/value properties."""
     spark = df.sparkSession
-    df.write.mode(mode).format(fmt).saveAsTable(name)
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.mode(mode).format(fmt) \
+          .partitionBy(*partition_by).saveAsTable(name)
+    else:
+        df.write.mode(mode).format(fmt).saveAsTable(name)
     if properties:
         props = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")

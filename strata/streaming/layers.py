@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from strata.functions.quality import expectations
 from strata.operators.expectations import observe_expectations
 from strata.plans.bronze import bronze
-from strata.plans.gold import GOLD_TABLES, TABLE_COMMENTS, TABLE_PROPERTIES
+from strata.plans.gold import GOLD_PARTITIONING, GOLD_TABLES, TABLE_COMMENTS, TABLE_PROPERTIES
 from strata.plans.gold_shared import gold_layer
 from strata.plans.silver import silver
 from strata.schemas import BRONZE_SCHEMA, RAW_SONG_SCHEMA
@@ -158,12 +158,14 @@ def refresh_gold(spark: SparkSession, silver_path: str, gold_root: str,
         frames = {name: build(current) for name, build in (tables or GOLD_TABLES).items()}
     out = {}
     for name, frame in frames.items():
+        parts = GOLD_PARTITIONING.get(name)
         if catalog_prefix is not None:
             out[name] = save_table(frame, f"{catalog_prefix}{name}",
                                    comment=TABLE_COMMENTS.get(name),
-                                   properties=TABLE_PROPERTIES.get(name))
+                                   properties=TABLE_PROPERTIES.get(name), partition_by=parts)
         else:
-            out[name] = write_parquet(frame, f"{gold_root.rstrip('/')}/{name}")
+            out[name] = write_parquet(frame, f"{gold_root.rstrip('/')}/{name}",
+                                      partition_by=parts)
     return out
 
 

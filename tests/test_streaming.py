@@ -103,3 +103,17 @@ def test_expectation_monitor_listener(spark, tmp_dir):
     assert monitor.totals == res["expectations"]
     assert alerts and all("valid_year" in f or "valid_duration" in f or "valid_song_id" in f
                           for _, f in alerts)
+
+
+def test_gold_refresh_partitioned_layout(spark, tmp_dir):
+    import os
+    from strata.streaming.layers import refresh_gold
+    silver_path = f"{tmp_dir}/silver"
+    silver(load_songs(spark, SF_SMALL), as_of_year=2025).write.parquet(silver_path)
+    out = refresh_gold(spark, silver_path, f"{tmp_dir}/gold")
+    years = [d for d in os.listdir(out["album_releases_by_year"]) if d.startswith("release_year=")]
+    decades = [d for d in os.listdir(out["top_artists_by_decade"]) if d.startswith("decade=")]
+    assert len(years) > 10 and len(decades) >= 7
+    table = spark.read.parquet(out["album_releases_by_year"])
+    plan = table.where("release_year = 2000")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(release_year" in plan
