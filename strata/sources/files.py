@@ -20,20 +20,26 @@ def read_parquet(spark: SparkSession, path: str, with_source_file: bool = False)
     return df
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
+                       unique_key: list[str] | None = None) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores.
 
     A single large row group (or a handful of files) is read by one task and
     every narrow operator after it stays in that task. Only then is the input
-    round-robin repartitioned; a large, many-file input already has more
-    splits than cores and is left untouched (no shuffle).
+    repartitioned; a large, many-file input already has more splits than
+    cores and is left untouched (no shuffle). With a ``unique_key`` the rows
+    are hash-partitioned on it (balanced, and deterministic without the
+    pre-sort Spark adds to round-robin shuffles); otherwise round-robin,
+    which also spreads many identical rows.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - sessions without RDD access: leave the plan as is
         return df
-    return df.repartition(target) if splits < target else df
+    if splits >= target:
+        return df
+    return df.repartition(target, *unique_key) if unique_key else df.repartition(target)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -100,5 +100,5 @@ def load_songs(spark: SparkSession, sf_dir: str, with_source_file: bool = False,
     if with_source_file:
         lineitem = lineitem.select(*keys, F.col("_metadata.file_path").alias("_file"))
     lineitem = ensure_parallelism(lineitem.select(*keys, *(["_file"] if with_source_file else [])),
-                                  min_partitions)
+                                  min_partitions, unique_key=["l_orderkey", "l_linenumber"])
     return songs_from_lineitem(lineitem, with_source_file=with_source_file)
