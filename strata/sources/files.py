@@ -7,6 +7,8 @@ both of which are wrong at scale.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +41,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
         return df
     if splits >= target:
         return df
-    return df.repartition(target, *unique_key) if unique_key else df.repartition(target)
+    spread = df.repartition(target, *unique_key) if unique_key else df.repartition(target)
+    # The observed row count (the source size, visible through an Observation
+    # or the query listener) also keeps Catalyst from moving later filters back
+    # below the exchange into the single scan task.
+    return spread.observe(f"source_rows_{uuid.uuid4().hex[:8]}", F.count(F.lit(1)).alias("rows"))
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
