@@ -37,10 +37,12 @@ SILVER_METRICS = "silver_expectations"
 def bronze_stream(spark: SparkSession, source: str, fmt: str = "json", schema=None,
                   multi_line: bool = False, max_files_per_trigger: int | None = None,
                   ingested_at: Column | None = None,
-                  archive_dir: str | None = None, options: dict | None = None) -> DataFrame:
+                  archive_dir: str | None = None, options: dict | None = None,
+                  max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of new files under ``source`` -> bronze rows.
 
-    ``max_files_per_trigger`` bounds a micro-batch. With ``archive_dir``
+    ``max_files_per_trigger`` / ``max_bytes_per_trigger`` bound a micro-batch
+    (by file count, or by size when landed files vary). With ``archive_dir``
     processed files are moved out of the landing folder (``cleanSource``), so
     the per-trigger listing stays small however long the stream runs. Other
     file-source options (``latestFirst``, ``maxFileAge``, ...) pass through
@@ -58,6 +60,8 @@ def bronze_stream(spark: SparkSession, source: str, fmt: str = "json", schema=No
         reader = reader.option("header", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(int(max_bytes_per_trigger)))
     return bronze(reader.load(source), ingested_at=ingested_at, schema=declared)
 
 
@@ -205,18 +209,21 @@ def stream_decade_gold(spark: SparkSession, silver_path: str, gold_root: str,
 def run_medallion(spark: SparkSession, source: str, target: str, fmt: str = "json",
                   as_of_year: int | None = None, trigger: str = "availableNow",
                   max_files_per_trigger: int | None = None, refresh: bool = True,
-                  processed_at: Column | None = None) -> dict:
+                  processed_at: Column | None = None,
+                  max_bytes_per_trigger: int | None = None) -> dict:
     """Land -> bronze -> silver (streams) -> gold (recompute), under ``target``.
 
     With ``availableNow`` each stream drains what has landed and stops, in
     order; with ``processingTime`` the two streams keep running and the
     caller refreshes gold on its own schedule. ``max_files_per_trigger``
-    rate-limits the landing (bronze) stream; silver takes what bronze wrote.
+    (or ``max_bytes_per_trigger``) rate-limits the landing (bronze) stream;
+    silver takes what bronze wrote.
     """
     root = target.rstrip("/")
     paths = {"bronze": f"{root}/bronze", "silver": f"{root}/silver", "gold": f"{root}/gold"}
     bronze_q = start_append(
-        bronze_stream(spark, source, fmt=fmt, max_files_per_trigger=max_files_per_trigger),
+        bronze_stream(spark, source, fmt=fmt, max_files_per_trigger=max_files_per_trigger,
+                      max_bytes_per_trigger=max_bytes_per_trigger),
         paths["bronze"], f"{root}/_checkpoints/bronze", trigger=trigger)
     if trigger == "availableNow":
         bronze_q.awaitTermination()

@@ -154,3 +154,18 @@ def test_album_releases_read_time_order(spark):
                                   ordered=True).collect()
     keys = [(-r.release_year, -r.total_songs, r.artist_name) for r in rows]
     assert keys == sorted(keys)
+
+
+def test_bronze_stream_size_limited_batches(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    os.makedirs(landing)
+    for i in range(4):
+        with open(f"{landing}/f{i}.json", "w") as fh:
+            fh.write("\n".join(json.dumps({**d, "song_id": f"S{i}-{j}"})
+                               for j, d in enumerate(_docs(3) * 200)))
+    size = os.path.getsize(f"{landing}/f0.json")
+    q = start_append(bronze_stream(spark, landing, max_bytes_per_trigger=int(size * 1.5)),
+                     f"{tmp_dir}/bronze", f"{tmp_dir}/ckpt")
+    q.awaitTermination()
+    batches = [p.numInputRows for p in q.recentProgress if p.numInputRows]
+    assert len(batches) >= 2 and sum(batches) == 2400
