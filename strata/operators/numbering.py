@@ -62,5 +62,6 @@ def number_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequ
     cond = F.col("_pid") == F.col("_s_pid")
     for c in part:
         cond = cond & positioned[c].eqNullSafe(F.col(f"_s_{c}"))
-    number = (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("int")
+    # bigint: a hot group can hold more than 2^31 rows at the target scale.
+    number = (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("long")
     return positioned.join(spans, cond, "inner").select(*df.columns, number.alias(out_col))

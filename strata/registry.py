@@ -40,7 +40,7 @@ PINNED_TS = _dt.datetime(2025, 1, 1, 0, 0, 0)
 EXTRACT_SCHEMA = T.StructType(
     SONG_SCHEMA.fields + [T.StructField("extraction_timestamp", T.TimestampType())])
 TOP_ARTISTS_SCHEMA = T.StructType(
-    SONG_SCHEMA.fields + [T.StructField("song_number_by_artist", T.IntegerType())])
+    SONG_SCHEMA.fields + [T.StructField("song_number_by_artist", T.LongType())])
 SAMPLE_SCHEMA = T.StructType(
     RAW_SONG_SCHEMA.fields + [T.StructField("extraction_timestamp", T.TimestampType()),
                               T.StructField("data_source", T.StringType())])
