@@ -1,5 +1,8 @@
 """``row_number() OVER (PARTITION BY g ORDER BY o)`` that survives hot groups.
 
+(Optionally only the groups above a size threshold take the range path
+described below; the rest use an ordinary window.)
+
 A window partitioned by ``g`` sends every row of a group to one task; when a
 single group holds a third of the data that task holds a third of the data.
 Here the rows are range-partitioned on the full sort key instead, so a hot
@@ -27,17 +30,61 @@ from strata.session import checkpoint_root
 
 
 def number_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[Column],
-                  out_col: str = "row_number", max_groups: int | None = None) -> DataFrame:
+                  out_col: str = "row_number", max_groups: int | None = None,
+                  hot_rows: int | None = None) -> DataFrame:
     """Append ``out_col`` = 1, 2, ... within each ``partition_cols`` group.
 
     ``order_cols`` should end in a key that is unique within the group (rows
     equal on every key are interchangeable, so any order among them is fine).
     ``max_groups`` is a proven bound on the number of groups; with it the
     per-partition span table is broadcast.
+
+    With ``hot_rows`` the work is split by group size: groups above
+    ``hot_rows`` rows take the range-partitioned path, all others an ordinary
+    window, which is cheaper and safe for them (no such group exceeds
+    ``hot_rows`` rows in one task). Without it every group takes the range path.
     """
+    if hot_rows is not None:
+        return _number_split_by_size(df, list(partition_cols), list(order_cols), out_col,
+                                     hot_rows)
+    return _number_by_ranges(df, list(partition_cols), list(order_cols), out_col, max_groups)
+
+
+def _window_number(df: DataFrame, part: list[str], order_cols: list[Column],
+                   out_col: str) -> DataFrame:
+    w = Window.partitionBy(*part).orderBy(*order_cols)
+    return df.withColumn(out_col, F.row_number().over(w).cast("long"))
+
+
+def _match(df: DataFrame, keys: DataFrame, part: list[str]) -> Column:
+    cond = F.lit(True)
+    for c in part:
+        cond = cond & df[c].eqNullSafe(keys[f"_k_{c}"])
+    return cond
+
+
+def _number_split_by_size(df: DataFrame, part: list[str], order_cols: list[Column],
+                          out_col: str, hot_rows: int) -> DataFrame:
+    checkpoint_root(df.sparkSession)
+    # Group sizes: partial aggregation, so even a hot group costs one row per task.
+    hot = (df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > hot_rows)
+             .select(*[F.col(c).alias(f"_k_{c}") for c in part])
+             .checkpoint(eager=True))
+    n_hot = hot.count()            # at most rows / hot_rows keys
+    if n_hot == 0:
+        return _window_number(df, part, order_cols, out_col)
+    keys = F.broadcast(hot) if n_hot <= MAX_BROADCAST_KEYS else hot
+    cold = df.join(keys, _match(df, hot, part), "left_anti")
+    heavy = df.join(keys, _match(df, hot, part), "left_semi")
+    return (_window_number(cold, part, order_cols, out_col)
+            .unionByName(_number_by_ranges(heavy, part, order_cols, out_col, n_hot)))
+
+
+def _number_by_ranges(df: DataFrame, part: list[str], order_cols: list[Column], out_col: str,
+                      max_groups: int | None) -> DataFrame:
     spark = df.sparkSession
     checkpoint_root(spark)
-    part = list(partition_cols)
     ordered = df.orderBy(*[F.col(c).asc_nulls_first() for c in part], *order_cols)
     positioned = ordered.select(
         "*", F.spark_partition_id().alias("_pid"),

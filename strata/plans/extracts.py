@@ -28,6 +28,10 @@ SAMPLE_SIZE = 1000
 TOP_REPORT = 10
 # ---------------------------------------------------------------------------
 
+# Artists with more songs than this are numbered by the range-partitioned path;
+# smaller ones by an ordinary window (one task sorts at most this many rows).
+HOT_ARTIST_ROWS = 5_000_000
+
 
 def _now(at: Column | None) -> Column:
     return at if at is not None else F.current_timestamp()
@@ -63,19 +67,22 @@ def top_artist_names(songs: DataFrame, top_n: int = TOP_ARTISTS,
 
 
 def extract_top_artists(songs: DataFrame, top_n: int = TOP_ARTISTS,
-                        min_songs: int = TOP_ARTISTS_MIN_SONGS) -> DataFrame:
+                        min_songs: int = TOP_ARTISTS_MIN_SONGS,
+                        hot_rows: int | None = HOT_ARTIST_ROWS) -> DataFrame:
     """Songs of the top artists, numbered per artist by year.
 
     The key set is a top-k, so its size bound (``top_n``) justifies a
-    broadcast semi join. Numbering is skew-safe (see ``number_within``);
-    ties on year are broken by every remaining column.
+    broadcast semi join. Numbering is skew-safe (see ``number_within``):
+    artists above ``hot_rows`` songs are cut across tasks, the others use an
+    ordinary window (``hot_rows=None``: every artist takes the range path).
+    Ties on year are broken by every remaining column.
     """
     chosen = keep_keys(songs.select(*SONG_COLUMNS), top_artist_names(songs, top_n, min_songs),
                        "artist_name", max_rows=top_n)
     order = ["year", "song_id", "title"] + [c for c in SONG_COLUMNS
                                             if c not in ("year", "song_id", "title", "artist_name")]
     return number_within(chosen, ["artist_name"], [F.col(c).asc_nulls_first() for c in order],
-                         out_col="song_number_by_artist", max_groups=top_n)
+                         out_col="song_number_by_artist", max_groups=top_n, hot_rows=hot_rows)
 
 
 def extract_sample(songs: DataFrame, n: int = SAMPLE_SIZE, seed: int | None = None,

@@ -93,3 +93,17 @@ def test_number_within_empty_and_global(spark):
     df = spark.range(5000).select((F.col("id") * 37 % 5000).alias("o")).repartition(7)
     got = number_within(df, [], [F.col("o")], out_col="rn")
     assert [tuple(r) for r in got.orderBy("o").collect()] == [(i, i + 1) for i in range(5000)]
+
+
+def test_number_within_split_by_size(spark):
+    df = skewed(spark, 20000)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o", "id")))
+    for hot_rows in [100, 1_000_000]:           # hot group routed to ranges / all windows
+        got = number_within(df, ["g"], [F.col("o"), F.col("id")], out_col="rn",
+                            hot_rows=hot_rows)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    nulls = spark.createDataFrame([(None, i) for i in range(50)] + [("a", 1), ("a", 0)],
+                                  "g string, o int")
+    got = number_within(nulls, ["g"], [F.col("o")], out_col="rn", hot_rows=10)
+    w = nulls.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")))
+    assert got.exceptAll(w).count() == 0 and w.exceptAll(got).count() == 0

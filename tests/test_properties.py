@@ -82,8 +82,9 @@ def test_number_within_equals_row_number(spark, rows, parts):
     df = spark.createDataFrame(rows, "g int, o int").withColumn("id", F.monotonically_increasing_id())
     df = df.repartition(parts).cache()
     try:
-        got = number_within(df, ["g"], [F.col("o"), F.col("id")], "rn")
         want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o", "id")))
-        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        for hot in [None, 5]:
+            got = number_within(df, ["g"], [F.col("o"), F.col("id")], "rn", hot_rows=hot)
+            assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     finally:
         df.unpersist()
