@@ -31,7 +31,7 @@ from strata.session import checkpoint_root
 
 def number_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[Column],
                   out_col: str = "row_number", max_groups: int | None = None,
-                  hot_rows: int | None = None) -> DataFrame:
+                  hot_rows: int | None = None, group_sizes: DataFrame | None = None) -> DataFrame:
     """Append ``out_col`` = 1, 2, ... within each ``partition_cols`` group.
 
     ``order_cols`` should end in a key that is unique within the group (rows
@@ -43,10 +43,12 @@ def number_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequ
     ``hot_rows`` rows take the range-partitioned path, all others an ordinary
     window, which is cheaper and safe for them (no such group exceeds
     ``hot_rows`` rows in one task). Without it every group takes the range path.
+    ``group_sizes`` (the group columns plus a row count ``_n``) saves the pass
+    that counts them when the caller already has the counts.
     """
     if hot_rows is not None:
         return _number_split_by_size(df, list(partition_cols), list(order_cols), out_col,
-                                     hot_rows)
+                                     hot_rows, group_sizes)
     return _number_by_ranges(df, list(partition_cols), list(order_cols), out_col, max_groups)
 
 
@@ -64,11 +66,13 @@ def _match(df: DataFrame, keys: DataFrame, part: list[str]) -> Column:
 
 
 def _number_split_by_size(df: DataFrame, part: list[str], order_cols: list[Column],
-                          out_col: str, hot_rows: int) -> DataFrame:
+                          out_col: str, hot_rows: int,
+                          group_sizes: DataFrame | None = None) -> DataFrame:
     checkpoint_root(df.sparkSession)
     # Group sizes: partial aggregation, so even a hot group costs one row per task.
-    hot = (df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > hot_rows)
+    sizes = (group_sizes if group_sizes is not None
+             else df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")))
+    hot = (sizes.where(F.col("_n") > hot_rows)
              .select(*[F.col(c).alias(f"_k_{c}") for c in part])
              .checkpoint(eager=True))
     n_hot = hot.count()            # at most rows / hot_rows keys

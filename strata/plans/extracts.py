@@ -13,6 +13,7 @@ from strata.operators.numbering import number_within
 from strata.operators.sample import sample_rows
 from strata.operators.semijoin import keep_keys
 from strata.operators.topn import top_k
+from strata.session import checkpoint_root
 from strata.schemas import SONG_COLUMNS
 
 # ---------------------------------------------------------------------------
@@ -57,13 +58,20 @@ def extract_recent(songs: DataFrame, since: int = RECENT_SINCE,
                  .select(*SONG_COLUMNS, _now(extracted_at).alias("extraction_timestamp")))
 
 
-def top_artist_names(songs: DataFrame, top_n: int = TOP_ARTISTS,
-                     min_songs: int = TOP_ARTISTS_MIN_SONGS) -> DataFrame:
-    """The ``top_n`` artists with most songs (at least ``min_songs``); ties by name."""
+def top_artist_counts(songs: DataFrame, top_n: int = TOP_ARTISTS,
+                      min_songs: int = TOP_ARTISTS_MIN_SONGS) -> DataFrame:
+    """``(artist_name, _n)`` of the ``top_n`` artists with most songs (at least
+    ``min_songs``); ties by name."""
     counts = (songs.where(F.col("artist_name").isNotNull())
                    .groupBy("artist_name").agg(F.count(F.lit(1)).alias("_n"))
                    .where(F.col("_n") >= min_songs))
-    return top_k(counts, [F.desc("_n"), F.asc("artist_name")], top_n).select("artist_name")
+    return top_k(counts, [F.desc("_n"), F.asc("artist_name")], top_n)
+
+
+def top_artist_names(songs: DataFrame, top_n: int = TOP_ARTISTS,
+                     min_songs: int = TOP_ARTISTS_MIN_SONGS) -> DataFrame:
+    """The ``top_n`` artists with most songs (at least ``min_songs``); ties by name."""
+    return top_artist_counts(songs, top_n, min_songs).select("artist_name")
 
 
 def extract_top_artists(songs: DataFrame, top_n: int = TOP_ARTISTS,
@@ -77,12 +85,15 @@ def extract_top_artists(songs: DataFrame, top_n: int = TOP_ARTISTS,
     ordinary window (``hot_rows=None``: every artist takes the range path).
     Ties on year are broken by every remaining column.
     """
-    chosen = keep_keys(songs.select(*SONG_COLUMNS), top_artist_names(songs, top_n, min_songs),
-                       "artist_name", max_rows=top_n)
+    checkpoint_root(songs.sparkSession)
+    # <= top_n rows, computed once: the semi-join keys and the group sizes.
+    top = top_artist_counts(songs, top_n, min_songs).checkpoint(eager=True)
+    chosen = keep_keys(songs.select(*SONG_COLUMNS), top, "artist_name", max_rows=top_n)
     order = ["year", "song_id", "title"] + [c for c in SONG_COLUMNS
                                             if c not in ("year", "song_id", "title", "artist_name")]
     return number_within(chosen, ["artist_name"], [F.col(c).asc_nulls_first() for c in order],
-                         out_col="song_number_by_artist", max_groups=top_n, hot_rows=hot_rows)
+                         out_col="song_number_by_artist", max_groups=top_n, hot_rows=hot_rows,
+                         group_sizes=top)
 
 
 def extract_sample(songs: DataFrame, n: int = SAMPLE_SIZE, seed: int | None = None,

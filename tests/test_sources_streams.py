@@ -169,3 +169,14 @@ def test_bronze_stream_size_limited_batches(spark, tmp_dir):
     q.awaitTermination()
     batches = [p.numInputRows for p in q.recentProgress if p.numInputRows]
     assert len(batches) >= 2 and sum(batches) == 2400
+
+
+def test_top_artists_numbering_modes_agree(spark):
+    from strata.plans.extracts import extract_top_artists
+    songs = load_songs(spark, SF_SMALL)
+    window = extract_top_artists(songs, top_n=5, min_songs=10, hot_rows=10**9)
+    mixed = extract_top_artists(songs, top_n=5, min_songs=10, hot_rows=400)
+    ranges = extract_top_artists(songs, top_n=5, min_songs=10, hot_rows=None)
+    assert window.count() > 0
+    for other in (mixed, ranges):
+        assert window.exceptAll(other).count() == 0 and other.exceptAll(window).count() == 0
