@@ -175,7 +175,7 @@ def test_top_artists_numbering_modes_agree(spark):
     from strata.plans.extracts import extract_top_artists
     songs = load_songs(spark, SF_SMALL)
     window = extract_top_artists(songs, top_n=5, min_songs=10, hot_rows=10**9)
-    mixed = extract_top_artists(songs, top_n=5, min_songs=10, hot_rows=595)  # 2 hot, 3 not
+    mixed = extract_top_artists(songs, top_n=5, min_songs=10, hot_rows=595)  # 3 hot, 2 not
     ranges = extract_top_artists(songs, top_n=5, min_songs=10, hot_rows=None)
     assert window.count() > 0
     for other in (mixed, ranges):
