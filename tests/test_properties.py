@@ -88,3 +88,14 @@ def test_number_within_equals_row_number(spark, rows, parts):
             assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     finally:
         df.unpersist()
+
+
+@SETTINGS
+@given(st.integers(0, 3000), st.integers(1, 400), st.integers(1, 9), st.integers(0, 10**6))
+def test_sample_rows_exact_for_any_size(spark, rows, n, parts, seed):
+    from strata.operators.sample import sample_rows, score
+    df = spark.range(rows).repartition(parts)
+    got = sorted(r.id for r in sample_rows(df, n, seed=seed).collect())
+    assert len(got) == min(n, rows) and len(set(got)) == len(got)
+    brute = df.withColumn("_r", score(df, seed)).orderBy("_r").limit(n)
+    assert got == sorted(r.id for r in brute.collect())
