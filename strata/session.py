@@ -63,14 +63,20 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is created and registered, so executors and the driver agree.
+    Read from the session. Only a local-mode session (tests, single machine)
+    with the setting unset gets a private temporary folder; on a cluster an
+    unset setting is an error, since a machine-local folder is not shared by
+    the executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = getattr(spark, "sparkContext", None)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster "
+                             "(e.g. on the distributed file system)")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and sc.getCheckpointDir() is None:

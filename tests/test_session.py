@@ -33,3 +33,30 @@ def test_ensure_parallelism_only_spreads_single_split_inputs(spark, tmp_dir):
     assert sorted(r.id for r in spread.collect()) == list(range(1000))
     plan = spread._jdf.queryExecution().optimizedPlan().toString()
     assert "CollectMetrics" in plan and "RepartitionByExpression" in plan
+
+
+def test_cluster_without_checkpoint_dir_is_an_error():
+    import pytest
+
+    class Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+        def set(self, key, value):
+            self.values[key] = value
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Conf({"spark.master": "spark://cluster:7077"})
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+    Session.conf.values["spark.checkpoint.dir"] = "hdfs:///shared/ckpt"
+    assert checkpoint_root(Session()) == "hdfs:///shared/ckpt"
