@@ -49,8 +49,13 @@ def test_cluster_without_checkpoint_dir_is_an_error():
             self.values[key] = value
 
     class Context:
+        registered = None
+
         def getCheckpointDir(self):
-            return None
+            return self.registered
+
+        def setCheckpointDir(self, path):
+            Context.registered = path
 
     class Session:
         conf = Conf({"spark.master": "spark://cluster:7077"})
@@ -60,3 +65,4 @@ def test_cluster_without_checkpoint_dir_is_an_error():
         checkpoint_root(Session())
     Session.conf.values["spark.checkpoint.dir"] = "hdfs:///shared/ckpt"
     assert checkpoint_root(Session()) == "hdfs:///shared/ckpt"
+    assert Context.registered == "hdfs:///shared/ckpt"
