@@ -6,7 +6,7 @@ Runs each registered headline query over ``$BENCH_SF_DIR`` (default
 Each query is executed in full with the ``noop`` sink (all rows produced,
 nothing collected to the driver). Every query runs once untimed-for-the-total
 (JVM JIT and code generation warm-up; its time is reported as ``cold``), then
-once timed; ``value`` is the sum of the timed runs.
+twice more; ``value`` is the sum of each query's faster warm run.
 """
 
 from __future__ import annotations
@@ -50,7 +50,10 @@ def main() -> None:
         return round(time.perf_counter() - t0, 3)
 
     cold = {name: run(name) for name in HEADLINE}
-    times = {name: run(name) for name in HEADLINE}
+    first = {name: run(name) for name in HEADLINE}
+    second = {name: run(name) for name in HEADLINE}
+    times = {name: (min(a, b) if a is not None and b is not None else (a or b))
+             for name, a, b in ((n, first[n], second[n]) for n in HEADLINE)}
 
     # Gold refresh from a materialized silver: all seven tables from one scan
     # versus one scan per table (silver written once, untimed).
