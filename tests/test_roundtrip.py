@@ -86,5 +86,6 @@ def test_gold_published_to_catalog(spark, tmp_dir):
     props = {r.key: r.value for r in
              spark.sql("SHOW TBLPROPERTIES strata_test_gold.top_artists_by_decade").collect()}
     assert props["business.purpose"] == "artist_ranking"
-    assert spark.table("strata_test_gold.data_quality_dashboard").count() >= 1
+    from strata.sources.files import read_table
+    assert read_table(spark, "strata_test_gold.data_quality_dashboard").count() >= 1
     spark.sql("DROP DATABASE strata_test_gold CASCADE")
