@@ -61,6 +61,7 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--interval", default="1 minute")
     m.add_argument("--max-files-per-trigger", type=int, default=None)
     m.add_argument("--max-bytes-per-trigger", type=int, default=None)
+    m.add_argument("--incremental-gold", action="store_true")
 
     g = sub.add_parser("gold")
     g.add_argument("--silver", required=True)
@@ -84,7 +85,8 @@ def main(argv: list[str] | None = None) -> int:
         from strata.streaming.layers import run_medallion
         res = run_medallion(spark, args.source, args.target, fmt=args.format,
                             trigger=args.trigger, max_files_per_trigger=args.max_files_per_trigger,
-                            max_bytes_per_trigger=args.max_bytes_per_trigger)
+                            max_bytes_per_trigger=args.max_bytes_per_trigger,
+                            incremental_gold=args.incremental_gold, interval=args.interval)
         if args.trigger == "processingTime":
             for q in res["queries"]:
                 q.awaitTermination()

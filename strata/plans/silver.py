@@ -120,6 +120,12 @@ def silver(bronze: DataFrame, as_of_year: int | None = None,
     return bronze.where(admission()).select(*[cols[c].alias(c) for c in SILVER_COLUMNS])
 
 
+def silver_schema(spark):
+    """The silver columns and types (the transform applied to an empty bronze)."""
+    from strata.schemas import BRONZE_SCHEMA
+    return silver(spark.createDataFrame([], BRONZE_SCHEMA), as_of_year=2000).schema
+
+
 def flatten(df: DataFrame, structs: dict[str, list[str]] | None = None) -> DataFrame:
     """Replace struct columns by ``<struct>_<field>`` top-level columns."""
     structs = structs or SILVER_STRUCTS

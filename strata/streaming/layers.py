@@ -27,7 +27,7 @@ from strata.operators.expectations import observe_expectations
 from strata.plans.bronze import bronze
 from strata.plans.gold import GOLD_PARTITIONING, GOLD_TABLES, TABLE_COMMENTS, TABLE_PROPERTIES
 from strata.plans.gold_shared import gold_layer
-from strata.plans.silver import silver
+from strata.plans.silver import silver, silver_schema
 from strata.schemas import BRONZE_SCHEMA, RAW_SONG_SCHEMA
 from strata.sinks.files import save_table, write_parquet
 
@@ -189,7 +189,7 @@ def stream_decade_gold(spark: SparkSession, silver_path: str, gold_root: str,
     """
     from strata.plans.gold_shared import DECADE_GRAIN, decade_tables, partial_aggs
 
-    source = spark.readStream.schema(spark.read.parquet(silver_path).schema).parquet(silver_path)
+    source = spark.readStream.schema(silver_schema(spark)).parquet(silver_path)
     running = source.groupBy(*DECADE_GRAIN).agg(*partial_aggs(with_rows=False))
     root = gold_root.rstrip("/")
 
@@ -210,30 +210,40 @@ def run_medallion(spark: SparkSession, source: str, target: str, fmt: str = "jso
                   as_of_year: int | None = None, trigger: str = "availableNow",
                   max_files_per_trigger: int | None = None, refresh: bool = True,
                   processed_at: Column | None = None,
-                  max_bytes_per_trigger: int | None = None) -> dict:
+                  max_bytes_per_trigger: int | None = None,
+                  incremental_gold: bool = False, interval: str = "1 minute") -> dict:
     """Land -> bronze -> silver (streams) -> gold (recompute), under ``target``.
 
     With ``availableNow`` each stream drains what has landed and stops, in
     order; with ``processingTime`` the two streams keep running and the
     caller refreshes gold on its own schedule. ``max_files_per_trigger``
     (or ``max_bytes_per_trigger``) rate-limits the landing (bronze) stream;
-    silver takes what bronze wrote.
+    silver takes what bronze wrote. ``incremental_gold`` also runs
+    ``stream_decade_gold`` over silver (into ``gold/``), which keeps the trend
+    and dashboard tables current in continuous mode.
     """
     root = target.rstrip("/")
     paths = {"bronze": f"{root}/bronze", "silver": f"{root}/silver", "gold": f"{root}/gold"}
     bronze_q = start_append(
         bronze_stream(spark, source, fmt=fmt, max_files_per_trigger=max_files_per_trigger,
                       max_bytes_per_trigger=max_bytes_per_trigger),
-        paths["bronze"], f"{root}/_checkpoints/bronze", trigger=trigger)
+        paths["bronze"], f"{root}/_checkpoints/bronze", trigger=trigger, interval=interval)
     if trigger == "availableNow":
         bronze_q.awaitTermination()
     silver_q = start_append(
         silver_stream(spark, paths["bronze"], as_of_year=as_of_year, processed_at=processed_at),
-        paths["silver"], f"{root}/_checkpoints/silver", trigger=trigger)
+        paths["silver"], f"{root}/_checkpoints/silver", trigger=trigger, interval=interval)
     result = {"paths": paths, "queries": [bronze_q, silver_q]}
     if trigger == "availableNow":
         silver_q.awaitTermination()
         result["expectations"] = expectation_totals(silver_q)
-        if refresh:
-            result["gold"] = refresh_gold(spark, paths["silver"], paths["gold"])
+    if incremental_gold:
+        gold_q = stream_decade_gold(spark, paths["silver"], paths["gold"],
+                                    f"{root}/_checkpoints/gold", trigger=trigger,
+                                    interval=interval)
+        result["queries"].append(gold_q)
+        if trigger == "availableNow":
+            gold_q.awaitTermination()
+    if trigger == "availableNow" and refresh:
+        result["gold"] = refresh_gold(spark, paths["silver"], paths["gold"])
     return result

@@ -117,3 +117,38 @@ def test_gold_refresh_partitioned_layout(spark, tmp_dir):
     table = spark.read.parquet(out["album_releases_by_year"])
     plan = table.where("release_year = 2000")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(release_year" in plan
+
+
+def test_run_medallion_with_incremental_gold(spark, tmp_dir):
+    from strata.plans.gold import quality_dashboard_v2
+    songs = load_songs(spark, SF_SMALL)
+    write_json(songs.repartition(2), f"{tmp_dir}/landing")
+    res = run_medallion(spark, f"{tmp_dir}/landing", f"{tmp_dir}/t", as_of_year=2025,
+                        refresh=False, incremental_gold=True, processed_at=ts())
+    got = spark.read.parquet(f"{res['paths']['gold']}/data_quality_dashboard_v2")
+    want = quality_dashboard_v2(spark.read.parquet(res["paths"]["silver"]))
+    cols = [c for c in want.columns if c != "last_updated"]
+    assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
+    assert len(res["queries"]) == 3
+
+
+def test_continuous_mode_keeps_incremental_gold_current(spark, tmp_dir):
+    from strata.plans.gold import quality_dashboard_v2
+    songs = load_songs(spark, SF_SMALL)
+    landing = f"{tmp_dir}/landing"
+    write_json(songs.limit(3000), landing)
+    res = run_medallion(spark, landing, f"{tmp_dir}/t", as_of_year=2025, trigger="processingTime",
+                        interval="1 second", incremental_gold=True, processed_at=ts())
+    try:
+        write_json(songs.limit(500), landing, mode="append")
+        for q in res["queries"]:
+            q.processAllAvailable()
+        for q in res["queries"]:          # bronze -> silver -> gold, drained in order
+            q.processAllAvailable()
+        silver_now = spark.read.parquet(res["paths"]["silver"])
+        got = spark.read.parquet(f"{res['paths']['gold']}/data_quality_dashboard_v2")
+        want = quality_dashboard_v2(silver_now)
+        assert got.first()["total_records"] == want.first()["total_records"] == silver_now.count()
+    finally:
+        for q in res["queries"]:
+            q.stop()
