@@ -7,4 +7,6 @@ from strata.operators.representative import representative  # noqa: F401
 from strata.operators.semijoin import keep_keys  # noqa: F401
 from strata.operators.numbering import number_within  # noqa: F401
 from strata.operators.sample import sample_rows  # noqa: F401
-from strata.operators.expectations import expectation_counts, expectation_report  # noqa: F401
+from strata.operators.expectations import (  # noqa: F401
+    expectation_counts, expectation_report, observe_expectations,
+)
