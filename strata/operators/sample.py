@@ -3,42 +3,53 @@
 Each row gets a pseudo-random score: a seeded 64-bit ``xxhash64`` of the
 row's values. Unlike ``rand()``, the score does not depend on partitioning or
 on the order rows reach a task, so every pass (and every retried task) scores
-a row the same way. Rows whose score is below a cut chosen to keep about
-``n + 8 sqrt(n)`` rows survive, and the final top-n runs on those: the merge
-handles ~n rows instead of n per task, and no full sort happens. The number
-of survivors is counted (and the cut widened if short), so the result is
-exactly the ``n`` rows with the smallest scores.
+a row the same way.
+
+Two passes, no full sort:
+
+1. a histogram of the scores over power-of-two buckets (bucket k holds the
+   scores whose offset from the minimum lies in [2^k, 2^(k+1))): one
+   aggregation returning at most 65 rows;
+2. the rows of the smallest bucket prefix that holds at least ``n`` rows are
+   the candidates (fewer than about 2n when scores are uniform); the final
+   top-n runs on those.
+
+Buckets are monotonic in the score, so the candidates always contain the
+``n`` smallest scores: the result is exactly those rows.
 """
 
 from __future__ import annotations
 
-import math
 import random
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SPAN = 2 ** 64
-_LOW = -(2 ** 63)
+_OFFSET = float(2 ** 63)
 
 
-def score(df: DataFrame, seed: int):
+def score(df: DataFrame, seed: int) -> Column:
     """Seeded hash of all columns, uniform over the signed 64-bit range."""
     return F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
 
 
+def _bucket(scored: Column) -> Column:
+    # floor(log2(score - min)); the minimum itself (log2(0) is NULL) is bucket -1.
+    return F.coalesce(F.floor(F.log2(scored.cast("double") + F.lit(_OFFSET))), F.lit(-1))
+
+
 def sample_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
     """Exactly ``min(n, count)`` uniformly chosen rows (fixed by ``seed``)."""
     seed = random.randrange(1 << 31) if seed is None else seed
-    scored = df.withColumn("_r", score(df, seed))
-    total = df.count()
-    if total <= n:
-        return df
-    share = min(1.0, (n + 8.0 * math.sqrt(n) + 16.0) / total)
-    while True:
-        cut = _LOW + int(share * _SPAN) if share < 1.0 else None
-        candidates = scored if cut is None else scored.where(F.col("_r") < F.lit(cut))
-        if cut is None or candidates.count() >= n:
+    scored = df.withColumn("_r", score(df, seed)).withColumn("_b", _bucket(F.col("_r")))
+    histogram = sorted((r["_b"], r["count"]) for r in scored.groupBy("_b").count().collect())
+    total, cut = 0, None
+    for bucket, count in histogram:           # at most 65 buckets
+        total += count
+        if total >= n:
+            cut = bucket
             break
-        share = min(1.0, share * 2.0)
-    return candidates.orderBy("_r").limit(n).drop("_r")
+    if cut is None:                           # fewer than n rows: all of them
+        return df
+    candidates = scored.where(F.col("_b") <= cut)
+    return candidates.orderBy("_r").limit(n).drop("_r", "_b")
