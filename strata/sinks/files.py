@@ -16,8 +16,12 @@ from pyspark.sql import types as T
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                single_file: bool = False) -> str:
-    """Query result -> JSON-lines files under ``path``."""
-    out = df.coalesce(1) if single_file else df
+    """Query result -> JSON-lines files under ``path``.
+
+    ``single_file`` shuffles the result into one partition for the write;
+    unlike ``coalesce(1)`` this keeps the upstream work spread over all tasks.
+    """
+    out = df.repartition(1) if single_file else df
     out.write.mode(mode).json(path)
     return path
 
