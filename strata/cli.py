@@ -49,11 +49,11 @@ def register_layers(spark: SparkSession, silver_path: str, gold_root: str | None
 
 
 def main(argv: list[str] | None = None) -> int:
-    ap = argparse.ArgumentParser(prog="strata")
+    ap = argparse.ArgumentParser(prog="strata", description="Layered song analytics on Spark.")
     ap.add_argument("--master", default=None)
     sub = ap.add_subparsers(dest="cmd", required=True)
 
-    m = sub.add_parser("medallion")
+    m = sub.add_parser("medallion", help="landed files -> bronze -> silver streams (+ gold)")
     m.add_argument("--source", required=True)
     m.add_argument("--target", required=True)
     m.add_argument("--format", default="json")
@@ -63,19 +63,19 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--max-bytes-per-trigger", type=int, default=None)
     m.add_argument("--incremental-gold", action="store_true")
 
-    g = sub.add_parser("gold")
+    g = sub.add_parser("gold", help="recompute the seven gold tables from silver")
     g.add_argument("--silver", required=True)
     g.add_argument("--target", required=True)
     g.add_argument("--per-table", action="store_true")
 
-    x = sub.add_parser("extract")
+    x = sub.add_parser("extract", help="write a JSON extract of a songs Parquet source")
     x.add_argument("--source", required=True)
     x.add_argument("--out", required=True)
     x.add_argument("--kind", required=True, choices=["complete", "recent", "top-artists", "sample"])
     x.add_argument("--single-file", action="store_true")
     x.add_argument("--seed", type=int, default=None)
 
-    p = sub.add_parser("probe")
+    p = sub.add_parser("probe", help="rows, files, first and last file of a Parquet source")
     p.add_argument("--source", required=True)
 
     args = ap.parse_args(argv)
