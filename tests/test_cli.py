@@ -34,3 +34,11 @@ def test_cli_medallion_gold_extract_probe(spark, tmp_dir, capsys):
     assert main(["probe", "--source", f"{tmp_dir}/songs_parquet"]) == 0
     probe = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert probe["total_rows"] == songs.count()
+
+
+def test_register_layers_skips_missing_gold(spark, tmp_dir):
+    from strata.plans.silver import silver
+    silver(load_songs(spark, SF_SMALL), as_of_year=2025).write.parquet(f"{tmp_dir}/silver")
+    names = register_layers(spark, f"{tmp_dir}/silver", f"{tmp_dir}/no_gold_yet")
+    assert names == ["songs_silver"]
+    assert spark.sql("SELECT count(*) FROM songs_silver").first()[0] > 0
