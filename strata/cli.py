@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 def _session(master: str | None) -> SparkSession:
     from strata.session import apply_defaults
     builder = SparkSession.builder.appName("strata")
-    if master:
-        builder = builder.master(master)
+    if master:                      # local runs: no web UI
+        builder = builder.master(master).config("spark.ui.enabled", "false")
     return apply_defaults(builder.getOrCreate())
 
 
