@@ -76,7 +76,9 @@ def near_links(prints: DataFrame, max_bits: int = 2, width: int | None = None) -
     within ``max_bits`` of each other; every link is verified."""
     masks = half_ball(max_bits)
     flips = F.array(*[F.lit(m) for m in masks])
-    spread = prints.repartition(width, "fp") if width else prints
+    # By another expression than the one that made them distinct: that exchange
+    # would be taken for this one and merged into a few partitions.
+    spread = prints.repartition(width, F.xxhash64("fp")) if width else prints
     variants = spread.select("fp", F.posexplode(flips).alias("i", "flip")).select(
         F.col("fp").bitwiseXOR(F.col("flip")).alias("variant"), "i")
     words = range(0, len(masks), 64)
