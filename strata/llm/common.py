@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+import types
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,3 +44,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """``make()``, once per Python worker: a later task in it gets the same object.
+
+    Functions sent by value have new globals in every task, so the object hangs
+    on a module of its own.
+    """
+    module = sys.modules.setdefault("strata_kept", types.ModuleType("strata_kept"))
+    objects = module.__dict__.setdefault("objects", {})
+    if key not in objects:
+        objects[key] = make()
+    return objects[key]

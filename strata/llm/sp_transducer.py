@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from strata.llm.common import kept
+
 SPACE = "▁"
 
 
@@ -191,7 +193,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def _encoder(path: str, rows: int = 1000) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = Transducer(Model(path))
+        machine = kept(("pieces", path), lambda: Transducer(Model(path)))
         for whole in batches:
             for at in range(0, whole.num_rows, rows):
                 b = whole.slice(at, rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -12,6 +13,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from strata.llm.common import kept
+
 END = 1
 
 
@@ -20,35 +23,81 @@ class WordEncoder:
 
     Such a tokenizer never joins what a space or line feed divides, so a text's
     ids are those of its words, one after the other. Up to ``memory`` words are
-    remembered; then the memory starts over. Words over 64 characters are not kept.
+    remembered; then the memory starts over. Words over 64 characters are not
+    kept. New words are encoded many at a time, with a special token between
+    them that no word holds and that shows where each word's ids end.
     """
 
-    def __init__(self, path: str, memory: int = 400_000):
+    def __init__(self, path: str, memory: int = 600_000):
+        # Workers are many already; threads inside each only contend.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.memory, self.seen = Tokenizer.from_file(path), memory, {"": b""}
+        special = [t for t in self.tokenizer.get_added_tokens_decoder().items()
+                   if t[1].special and not (t[1].lstrip or t[1].rstrip or t[1].single_word)]
+        self.mark, self.mark_id = (special[0][1].content, special[0][0]) if special else (None, -1)
+        self.marks = [t[1].content for t in special]
+        # The ids of a stop or comma after a letter: a token sequence of its own.
+        self.stops = {c: self._ids([c])[0] for c in ".,"}
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes()
+                for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """The ids of words without special tokens."""
+        if self.mark is None:
+            return self._ids(words)
+        out: list[bytes] = []
+        for at in range(0, len(words), 512):
+            text = self.mark.join(words[at:at + 512])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            data, start = ids.tobytes(), 0
+            for end in (4 * np.flatnonzero(ids == self.mark_id)).tolist():
+                out.append(data[start:end])
+                start = end + 4
+            out.append(data[start:])
+        return out
 
     def learn(self, words: set[str]) -> dict[str, bytes]:
         """The ids of new words; short ones are remembered."""
         if len(self.seen) + len(words) > self.memory:
             self.seen = {"": b""}
-        missing = [w for w in words if w not in self.seen]
-        found = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(
-            missing, self.tokenizer.encode_batch(missing, add_special_tokens=False))}
+        found: dict[str, bytes] = {}
+        plain, special, stopped = set(), [], []
+        for w in words:
+            if "<" in w and any(m in w for m in self.marks):
+                special.append(w)
+            elif len(w) > 1 and w[-1] in ".," and w[-2].lower()[-1].isalpha():
+                stopped.append(w)
+                plain.add(w[:-1])
+            else:
+                plain.add(w)
+        todo = [w for w in plain if w not in self.seen]
+        found.update(zip(todo, self._plain(todo) if todo else []))
+        found.update(zip(special, self._ids(special) if special else []))
+        for w in stopped:
+            known = found.get(w[:-1])
+            found[w] = (self.seen[w[:-1]] if known is None else known) + self.stops[w[-1]]
         self.seen.update((w, b) for w, b in found.items() if len(w) <= 64)
         return found
 
+    def encode_all(self, texts: list) -> list[bytes]:
+        split = [t.replace("\n", " ").split(" ") if isinstance(t, str) and t else [] for t in texts]
+        seen, missing = self.seen, set()
+        for words in split:
+            missing |= set(words).difference(seen)
+        found = self.learn(missing) if missing else {}
+        if self.seen is not seen or any(len(w) > 64 for w in missing):
+            # Long words, or a memory that started over while this batch used the old one.
+            both = {**seen, **found} if self.seen is not seen else found
+            get, now = both.get, self.seen
+            return [b"".join([now[w] if w in now else get(w) for w in words]) for words in split]
+        return [b"".join(map(seen.__getitem__, words)) for words in split]
+
     def __call__(self, text) -> bytes:
-        if not isinstance(text, str) or not text:
-            return b""
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.seen.__getitem__, words))
-        except KeyError:
-            new = self.learn({w for w in words if w not in self.seen})
-            get = self.seen.get
-            return b"".join([new[w] if w in new else get(w) or self.learn({w})[w] if w else b""
-                             for w in words])
+        return self.encode_all([text])[0]
 
 
 def encode_pieces(docs: DataFrame, size: int = 4096, with_ids: bool = False,
@@ -70,17 +119,18 @@ def encode_pieces(docs: DataFrame, size: int = 4096, with_ids: bool = False,
     return docs.select("doc_id", "text").mapInArrow(_cutter(path, size, with_ids), schema)
 
 
-def _cutter(path: str, size: int, with_ids: bool) -> Callable:
+def _cutter(path: str, size: int, with_ids: bool, rows: int = 500) -> Callable:
     end = np.array([END], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, uid = WordEncoder(path), TaskContext.get().partitionId() << 33
-        for b in batches:
+        encoder = kept(("words", path), lambda: WordEncoder(path))
+        uid = TaskContext.get().partitionId() << 33
+        for b in (whole.slice(at, rows) for whole in batches for at in range(0, whole.num_rows, rows)):
             of, piece, start, length, crc, ids = [], [], [], [], [], []
-            for k, text in enumerate(b.column(1).to_pylist()):
-                whole = encode(text) + end
-                for n, at in enumerate(range(0, len(whole), 4 * size)):
-                    part = whole[at:at + 4 * size]
+            for k, ids_of in enumerate(encoder.encode_all(b.column(1).to_pylist())):
+                ids_of += end
+                for n, at in enumerate(range(0, len(ids_of), 4 * size)):
+                    part = ids_of[at:at + 4 * size]
                     of.append(k)
                     piece.append(n)
                     start.append(at // 4)
