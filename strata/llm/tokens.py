@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -17,29 +18,36 @@ from strata.llm.common import kept
 
 END = 1
 
+#: Letters that fold to one letter each.
+_LETTERS = "a-zA-Zà-öø-ÿÀ-ÖØ-Þß"
+
 
 class WordEncoder:
     """Ids (little-endian uint32 bytes) by a tokenizer that drops white space.
 
     Such a tokenizer never joins what a space or line feed divides, so a text's
-    ids are those of its words, one after the other. Up to ``memory`` words are
-    remembered; then the memory starts over. Words over 64 characters are not
-    kept. New words are encoded many at a time, with a special token between
-    them that no word holds and that shows where each word's ids end.
+    ids are those of its words, one after the other. The last ``memory`` to twice
+    as many words are remembered, in two generations: when the young one is
+    full, it becomes the old one, and old words that occur again are young
+    again. Words over 64 characters are not kept. New words are encoded many at
+    a time, with a special token between them that shows where each one's ids
+    end. ASCII letters are folded and a stop or comma after a letter or digit
+    is set apart first, as this tokenizer does itself: fewer words to remember.
     """
 
-    def __init__(self, path: str, memory: int = 600_000):
+    def __init__(self, path: str, memory: int = 450_000):
         # Workers are many already; threads inside each only contend.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.memory, self.seen = Tokenizer.from_file(path), memory, {"": b""}
+        self.tokenizer, self.memory, self.seen = Tokenizer.from_file(path), memory, {}
+        self.old: dict[str, bytes] = {}
         special = [t for t in self.tokenizer.get_added_tokens_decoder().items()
                    if t[1].special and not (t[1].lstrip or t[1].rstrip or t[1].single_word)]
         self.mark, self.mark_id = (special[0][1].content, special[0][0]) if special else (None, -1)
         self.marks = [t[1].content for t in special]
-        # The ids of a stop or comma after a letter: a token sequence of its own.
-        self.stops = {c: self._ids([c])[0] for c in ".,"}
+        if "".join(map(str, self.tokenizer.encode("A,b. c", add_special_tokens=False).tokens)) != "a</w>,</w>b</w>.</w>c</w>":
+            raise ValueError("only tokenizers that fold case and set words and marks apart")
 
     def _ids(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
@@ -60,44 +68,77 @@ class WordEncoder:
             out.append(data[start:])
         return out
 
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of new words; short ones are remembered."""
-        if len(self.seen) + len(words) > self.memory:
-            self.seen = {"": b""}
-        found: dict[str, bytes] = {}
-        plain, special, stopped = set(), [], []
-        for w in words:
-            if "<" in w and any(m in w for m in self.marks):
-                special.append(w)
-            elif len(w) > 1 and w[-1] in ".," and w[-2].lower()[-1].isalpha():
-                stopped.append(w)
-                plain.add(w[:-1])
-            else:
-                plain.add(w)
-        todo = [w for w in plain if w not in self.seen]
-        found.update(zip(todo, self._plain(todo) if todo else []))
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of new, distinct words."""
+        special = [w for w in words if "<" in w and any(m in w for m in self.marks)]
+        plain = list(set(words).difference(special)) if special else words
+        found = dict(zip(plain, self._plain(plain))) if plain else {}
         found.update(zip(special, self._ids(special) if special else []))
-        for w in stopped:
-            known = found.get(w[:-1])
-            found[w] = (self.seen[w[:-1]] if known is None else known) + self.stops[w[-1]]
-        self.seen.update((w, b) for w, b in found.items() if len(w) <= 64)
         return found
 
-    def encode_all(self, texts: list) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") if isinstance(t, str) and t else [] for t in texts]
-        seen, missing = self.seen, set()
-        for words in split:
-            missing |= set(words).difference(seen)
-        found = self.learn(missing) if missing else {}
-        if self.seen is not seen or any(len(w) > 64 for w in missing):
-            # Long words, or a memory that started over while this batch used the old one.
-            both = {**seen, **found} if self.seen is not seen else found
-            get, now = both.get, self.seen
-            return [b"".join([now[w] if w in now else get(w) for w in words]) for words in split]
-        return [b"".join(map(seen.__getitem__, words)) for words in split]
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words; short ones are remembered."""
+        if len(self.seen) >= self.memory:
+            self.seen, self.old = {}, self.seen
+        get = self.seen.get
+        ids = [get(w) for w in words]
+        again = [k for k, b in enumerate(ids) if b is None]
+        if again:
+            old = self.old.get
+            new = []
+            for k in again:
+                ids[k] = old(words[k])
+                if ids[k] is None:
+                    new.append(k)
+            learnt = self.learn([words[k] for k in new])
+            for k in new:
+                ids[k] = learnt[words[k]]
+            self.seen.update((words[k], ids[k]) for k in again if len(words[k]) <= 64)
+        return ids
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """The ids of every text of a string array (NULL: none)."""
+        texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        texts = pc.replace_substring_regex(texts, f"([0-9{_LETTERS}])([.,]) ", r"\1 \2 ")
+        split = pc.split_pattern(texts, " ")
+        flat, starts = spelled(split.values, self.ids_of)
+        at = starts[split.offsets.to_numpy()]
+        return [flat[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
     def __call__(self, text) -> bytes:
-        return self.encode_all([text])[0]
+        return self.encode_all(pa.array([text], pa.string()))[0]
+
+
+def portions(batch: pa.RecordBatch, column: int = 1, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose text column has about ``most`` bytes, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def spelled(words: pa.Array, ids_of: Callable[[list[str]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a long run of words, and where each word's ids start (and all end).
+
+    Equal words are found once per run, so ``ids_of`` sees distinct words; the
+    run itself is put together by array operations.
+    """
+    coded = words.dictionary_encode()
+    known = ids_of(coded.dictionary.to_pylist())
+    sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+    first = np.cumsum(sizes) - sizes
+    table = np.frombuffer(b"".join(known), "<u4")
+    which = coded.indices.to_numpy()
+    size = sizes[which]
+    starts = np.concatenate(([0], np.cumsum(size)))
+    kind = np.int32 if starts[-1] < 1 << 31 and len(table) < 1 << 31 else np.int64
+    at = np.repeat((first[which] - starts[:-1]).astype(kind), size)
+    at += np.arange(starts[-1], dtype=kind)
+    return table[at], starts
 
 
 def encode_pieces(docs: DataFrame, size: int = 4096, with_ids: bool = False,
@@ -119,15 +160,15 @@ def encode_pieces(docs: DataFrame, size: int = 4096, with_ids: bool = False,
     return docs.select("doc_id", "text").mapInArrow(_cutter(path, size, with_ids), schema)
 
 
-def _cutter(path: str, size: int, with_ids: bool, rows: int = 500) -> Callable:
+def _cutter(path: str, size: int, with_ids: bool) -> Callable:
     end = np.array([END], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(("words", path), lambda: WordEncoder(path))
         uid = TaskContext.get().partitionId() << 33
-        for b in (whole.slice(at, rows) for whole in batches for at in range(0, whole.num_rows, rows)):
+        for b in (part for whole in batches for part in portions(whole)):
             of, piece, start, length, crc, ids = [], [], [], [], [], []
-            for k, ids_of in enumerate(encoder.encode_all(b.column(1).to_pylist())):
+            for k, ids_of in enumerate(encoder.encode_all(b.column(1))):
                 ids_of += end
                 for n, at in enumerate(range(0, len(ids_of), 4 * size)):
                     part = ids_of[at:at + 4 * size]
