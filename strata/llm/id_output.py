@@ -95,7 +95,7 @@ def packed_rows(lengths: np.ndarray, ids: list[bytes], members: list, size: int,
 
 
 def write_sequences(spark: SparkSession, docs: DataFrame, size: int = 4096, path: str | None = None,
-                    group_bytes: int = 48 << 20) -> DataFrame:
+                    group_bytes: int = 12 << 20) -> DataFrame:
     """One row per packed sequence of the token ids of ``docs``."""
     if not 0 < size <= 1 << 16:
         raise ValueError("positions are written in 16 bits: size must be 1 to 65536")
