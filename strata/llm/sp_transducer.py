@@ -22,15 +22,18 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from strata.llm.common import kept
+from strata.llm.tokens import portions, spelled
 
 SPACE = "▁"
 
@@ -102,6 +105,7 @@ class Transducer:
             node[""] = p
         self.arcs: dict[tuple[str, str], bool] = {}
         self.chunks: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         # Line feeds that are in no piece cut chunks as white space does.
         lf = "" if any("\n" in p for p in model.rank) else "\n"
         self.cut = re.compile(f"{SPACE}*[^{SPACE}{lf}]+|{SPACE}+" + ("|\n" if lf else ""))
@@ -156,14 +160,16 @@ class Transducer:
         return path[::-1]
 
     def chunk_ids(self, chunk: str) -> bytes:
-        ids: list[int] = []
-        for p in self.shortest_path(chunk):
-            known = self.model.ids.get(p)
-            ids += [known] if known is not None else [self.model.bytes[b] for b in p.encode()]
-        out = np.array(ids, "<i4").tobytes()
+        out = self.old.get(chunk)
+        if out is None:
+            ids: list[int] = []
+            for p in self.shortest_path(chunk):
+                known = self.model.ids.get(p)
+                ids += [known] if known is not None else [self.model.bytes[b] for b in p.encode()]
+            out = struct.pack(f"<{len(ids)}i", *ids)
         if len(chunk) <= 64:
-            if len(self.chunks) >= self.memory:
-                self.chunks.clear()
+            if len(self.chunks) >= self.memory:      # two generations of the latest chunks
+                self.chunks, self.old = {}, self.chunks
             self.chunks[chunk] = out
         return out
 
@@ -175,6 +181,26 @@ class Transducer:
         get, make = self.chunks.get, self.chunk_ids
         return b"".join([get(c) or make(c) for c in self.cut.findall(text)])
 
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of words that a space stands before."""
+        get, make = self.chunks.get, self.chunk_ids
+        return [b"".join([get(c) or make(c) for c in self.cut.findall(SPACE + w)]) for w in words]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text of a string array. Where words have one space
+        between, as nearly everywhere, equal words are composed once."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.or_(pc.or_(pc.equal(texts, ""), pc.match_substring(texts, "  ")),
+                     pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " ")))
+        if not self.model.dummy_prefix:
+            odd = pc.or_(odd, True)
+        split = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
+        flat, starts = spelled(split.values, self.word_ids)
+        at = starts[split.offsets.to_numpy()].tolist()
+        even = iter([flat[a:b].tobytes() for a, b in zip(at[:-1], at[1:])])
+        rest = iter(texts.filter(odd).to_pylist())
+        return [self.encode(next(rest)) if o else next(even) for o in odd.to_pylist()]
+
     def decode(self, ids: bytes) -> str:
         text = b"".join(map(self.model.text.__getitem__, np.frombuffer(ids, "<i4").tolist()))
         out = text.decode("utf-8", "replace")
@@ -191,14 +217,13 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_encoder(path), schema)
 
 
-def _encoder(path: str, rows: int = 1000) -> Callable:
+def _encoder(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = kept(("pieces", path), lambda: Transducer(Model(path)))
         for whole in batches:
-            for at in range(0, whole.num_rows, rows):
-                b = whole.slice(at, rows)
+            for b in portions(whole):
                 texts = b.column(1).to_pylist()
-                ids = [machine.encode(t) for t in texts]
+                ids = machine.encode_all(b.column(1))
                 sizes = [len(x) // 4 for x in ids]
                 decoded = [machine.decode(x) for x in ids]
                 yield pa.RecordBatch.from_pydict({
