@@ -83,7 +83,7 @@ def packed_rows(lengths: np.ndarray, ids: list[bytes], members: list, size: int,
     rows = []
     for n, at in enumerate(np.split(order, cuts[1:]) if len(order) else []):
         own = lengths[at]
-        body = b"".join(ids[k] for k in at)
+        body = np.frombuffer(b"".join(ids[k] for k in at), "<u2").astype("<u4").tobytes()
         positions = np.concatenate([np.arange(x, dtype="<u2") for x in own])
         rows.append({
             "sequence_id": first + n, "n_tokens": int(own.sum()),

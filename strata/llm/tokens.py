@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from strata.llm.common import kept
 
@@ -35,11 +36,9 @@ class WordEncoder:
     is set apart first, as this tokenizer does itself: fewer words to remember.
     """
 
-    def __init__(self, path: str, memory: int = 450_000):
+    def __init__(self, path: str, memory: int = 300_000):
         # Workers are many already; threads inside each only contend.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         self.tokenizer, self.memory, self.seen = Tokenizer.from_file(path), memory, {}
         self.old: dict[str, bytes] = {}
         special = [t for t in self.tokenizer.get_added_tokens_decoder().items()
@@ -110,7 +109,7 @@ class WordEncoder:
         return self.encode_all(pa.array([text], pa.string()))[0]
 
 
-def portions(batch: pa.RecordBatch, column: int = 1, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def portions(batch: pa.RecordBatch, column: int = 1, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose text column has about ``most`` bytes, one row at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     at = 0
@@ -147,7 +146,7 @@ def encode_pieces(docs: DataFrame, size: int = 4096, with_ids: bool = False,
 
     A document is its ids and the end id; only longer ones are cut, into full
     pieces and a rest. Columns ``doc_id, piece, start, length, ids_crc32`` (and
-    ``ids``, little-endian uint32), and ``uid``, which differs for every piece.
+    ``ids``, little-endian uint16), and ``uid``, which differs for every piece.
     NULL text is empty: one piece of the end id alone.
     """
     path = path or public_tokenizers.path("word_bpe_49k.json")
@@ -155,6 +154,8 @@ def encode_pieces(docs: DataFrame, size: int = 4096, with_ids: bool = False,
               T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
               T.StructField("ids_crc32", T.LongType()), T.StructField("uid", T.LongType())]
     if with_ids:
+        if Tokenizer.from_file(path).get_vocab_size() > 1 << 16:
+            raise ValueError("ids are written in 16 bits")
         fields.append(T.StructField("ids", T.BinaryType()))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
     return docs.select("doc_id", "text").mapInArrow(_cutter(path, size, with_ids), schema)
@@ -178,7 +179,7 @@ def _cutter(path: str, size: int, with_ids: bool) -> Callable:
                     length.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
                     if with_ids:
-                        ids.append(part)
+                        ids.append(np.frombuffer(part, "<u4").astype("<u2").tobytes())
             columns = {"doc_id": b.column(0).take(pa.array(of, pa.int64())),
                        "piece": pa.array(piece, pa.int32()), "start": pa.array(start, pa.int64()),
                        "length": pa.array(length, pa.int64()), "ids_crc32": pa.array(crc, pa.int64()),
@@ -187,5 +188,6 @@ def _cutter(path: str, size: int, with_ids: bool) -> Callable:
             if with_ids:
                 columns["ids"] = pa.array(ids, pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
+            pa.default_memory_pool().release_unused()
 
     return cut
