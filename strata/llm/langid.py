@@ -49,9 +49,12 @@ def learn_dictionaries(rows: DataFrame, rows_per_language: int = 100,
     """
     known = (rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
              .where(F.length("text") >= 200).select("lang", F.xxhash64("text").alias("h")).distinct())
+    # First among 64 shares of a language, so that a common one is no single task's.
+    shares = Window.partitionBy("lang", F.pmod("h", F.lit(64))).orderBy("h")
     first = Window.partitionBy("lang").orderBy("h")
-    picked = (known.withColumn("n", F.row_number().over(first))
-              .where(F.col("n") <= rows_per_language).select("lang", "h"))
+    picked = (known.withColumn("n", F.row_number().over(shares)).where(F.col("n") <= rows_per_language)
+              .withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows_per_language)
+              .select("lang", "h"))
     # At most rows_per_language x languages hashes: small enough to broadcast.
     sample = (rows.select("lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
               .withColumn("h", F.xxhash64("text"))
