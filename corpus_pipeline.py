@@ -21,7 +21,7 @@ from strata.session import scratch_path
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; the others go."""
-    return langid.keep_identified(docs, langid.learn_dictionaries(docs))
+    return langid.keep_identified(docs, langid.learn(docs))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

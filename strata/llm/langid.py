@@ -5,6 +5,10 @@ is cut into blocks, every block is compressed once per dictionary, and the
 language whose dictionary gives the fewest bytes in all is chosen. A narrow
 relative margin to the runner-up means "rejected".
 
+Frames of very short blocks are stored uncompressed and would tie. So a short
+block is compressed in front of several carriers (bits of unseen text, the same
+number of each language), and what a carrier takes by itself is subtracted.
+
 Defined results: NULL text, or text without a letter: ``und``, score 0,
 rejected. No language learned: ``und``. One language learned: that language.
 Ties: the alphabetically first language, rejected where the margin is below
@@ -16,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 import zstandard
@@ -33,18 +38,28 @@ RESULT = T.StructType([
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
+#: Carriers per language, their length, and the bytes below which a block is short.
+CARRIERS, CARRIER_CHARACTERS, SHORT = 2, 125, 512
+
+
+@dataclass
+class Model:
+    dictionaries: dict[str, bytes]
+    carriers: list[bytes]
+
+
 def letters_only(text: str) -> str:
     """Lower-cased runs of letters, one space between: what is compressed."""
     return " ".join(_WORDS.findall(text.lower()))
 
 
-def learn_dictionaries(rows: DataFrame, rows_per_language: int = 100,
-                       dictionary_bytes: int = 131_072) -> dict[str, bytes]:
-    """A raw dictionary per language from ``rows`` (columns ``text``, ``lang``).
+def learn(rows: DataFrame, rows_per_language: int = 100,
+          dictionary_bytes: int = 131_072) -> Model:
+    """A raw dictionary and carriers per language from ``rows`` (columns ``text``, ``lang``).
 
     The fit reads every row but keeps a bounded sample: per language the
     ``rows_per_language`` rows of smallest text hash (equal texts count once),
-    each giving at most ``dictionary_bytes / 20`` bytes. Rows without text or
+    each giving at most ``dictionary_bytes / 20`` bytes, the last few carriers. Rows without text or
     language are not used.
     """
     known = (rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
@@ -60,16 +75,23 @@ def learn_dictionaries(rows: DataFrame, rows_per_language: int = 100,
               .withColumn("h", F.xxhash64("text"))
               .join(F.broadcast(picked), ["lang", "h"], "left_semi")
               .dropDuplicates(["lang", "h"]).orderBy("lang", "h").collect())
-    parts: dict[str, list[bytes]] = {}
-    share = max(1, dictionary_bytes // 20)
+    parts: dict[str, list[str]] = {}
     for r in sample:
-        cut = letters_only(r.text).encode()[:share]
-        if cut:
-            parts.setdefault(r.lang, []).append(cut)
-    return {k: b" ".join(v)[-dictionary_bytes:] for k, v in sorted(parts.items())}
+        plain = letters_only(r.text)
+        if plain:
+            parts.setdefault(r.lang, []).append(plain)
+    share = max(1, dictionary_bytes // 20)
+    model = Model({}, [])
+    for lang, texts in sorted(parts.items()):
+        # Carriers come from texts that the dictionary does not hold.
+        kept = max(1, len(texts) - CARRIERS)
+        data = b" ".join(t.encode()[:share] for t in texts[:kept])
+        model.dictionaries[lang] = data[-dictionary_bytes:]
+        model.carriers += [t[50:50 + CARRIER_CHARACTERS].encode() for t in texts[kept:]]
+    return model
 
 
-def classifier(dictionaries: dict[str, bytes], level: int = 6, block_bytes: int = 4096,
+def classifier(model: Model, level: int = 6, block_bytes: int = 4096,
                min_margin: float = 0.001):
     """A text -> (lang, score, margin, accepted) column function.
 
@@ -78,50 +100,57 @@ def classifier(dictionaries: dict[str, bytes], level: int = 6, block_bytes: int
     language's share of the weights 2^-bytes, so it lies between 1/languages
     (all tie) and 1.
     """
-    langs = sorted(dictionaries)
+    langs = sorted(model.dictionaries)
 
     @F.pandas_udf(RESULT)
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coders = []
         for lang in langs:
-            d = zstandard.ZstdCompressionDict(dictionaries[lang],
+            d = zstandard.ZstdCompressionDict(model.dictionaries[lang],
                                               dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=level)
             coders.append(zstandard.ZstdCompressor(
                 level=level, dict_data=d, write_checksum=False, write_content_size=False,
                 write_dict_id=False).compress)
+        alone = [[len(c(k)) for c in coders] for k in model.carriers]
+        carriers = list(zip(model.carriers, alone))
         for texts in batches:
-            yield pd.DataFrame([classify_one(t, langs, coders, block_bytes, min_margin)
+            yield pd.DataFrame([classify_one(t, langs, coders, carriers, block_bytes, min_margin)
                                 for t in texts], columns=RESULT.names)
 
     return classify
 
 
-def classify_one(text, langs, coders, block_bytes, min_margin):
+def classify_one(text, langs, coders, carriers, block_bytes, min_margin):
     plain = letters_only(text) if isinstance(text, str) else ""
     if not langs or not any(map(str.isalpha, plain)):
         return "und", 0.0, 0.0, False
     data = plain.encode()
-    sizes = [0] * len(coders)
+    sizes = [0.0] * len(coders)
     for at in range(0, len(data), block_bytes):
         block = data[at:at + block_bytes]
+        short = carriers and len(block) < SHORT
         for k, compress in enumerate(coders):
-            sizes[k] += len(compress(block))
+            if short:
+                mean = sum(len(compress(block + b" " + c)) - alone[k] for c, alone in carriers) / len(carriers)
+                sizes[k] += max(0.0, mean)
+            else:
+                sizes[k] += len(compress(block))
     best = min(range(len(sizes)), key=sizes.__getitem__)
     if len(sizes) == 1:
         return langs[0], 1.0, 1.0, True
-    margin = (min(s for k, s in enumerate(sizes) if k != best) - sizes[best]) / max(1, sizes[best])
+    margin = (min(s for k, s in enumerate(sizes) if k != best) - sizes[best]) / max(1.0, sizes[best])
     score = 1.0 / sum(math.exp(-min(700.0, (s - sizes[best]) * math.log(2))) for s in sizes)
     return langs[best], score, margin, margin >= min_margin
 
 
-def predict(docs: DataFrame, dictionaries: dict[str, bytes], **settings) -> DataFrame:
+def predict(docs: DataFrame, model: Model, **settings) -> tuple[DataFrame, str]:
     """``docs`` with one more column, a struct of RESULT; its name comes second."""
     name = free_name(docs, "_language")
-    return docs.withColumn(name, classifier(dictionaries, **settings)(F.col("text"))), name
+    return docs.withColumn(name, classifier(model, **settings)(F.col("text"))), name
 
 
-def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], **settings) -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model, **settings) -> DataFrame:
     """The rows of ``docs`` whose language is accepted, columns unchanged."""
-    scored, name = predict(docs, dictionaries, **settings)
+    scored, name = predict(docs, model, **settings)
     return scored.where(F.col(name)["accepted"]).select(*docs.columns)

@@ -21,7 +21,7 @@ QUALITY_THRESHOLD = 0.3
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from three quarters of the labelled rows, applied to all."""
     docs = table(spark, sf_dir, "documents")
-    learned = langid.learn_dictionaries(docs.where(id_bucket("doc_id", 4) != 2))
+    learned = langid.learn(docs.where(id_bucket("doc_id", 4) != 2))
     found, name = langid.predict(docs.select("doc_id", "text"), learned)
     got = F.col(name)
     return found.select("doc_id", F.coalesce(id_bucket("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
