@@ -1,0 +1,61 @@
+import numpy as np
+import public_tokenizers
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from strata.llm import pii, queries, simhash
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_stages_take_effect_one_after_another(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for nth, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+        before, after = docs.toPandas(), out.toPandas()
+        assert set(after.doc_id) <= set(before.doc_id) and after.doc_id.is_unique
+        if nth == 2:       # one row of each class, and no two alike left
+            prints = np.array([simhash.fingerprint(t) for t in after.text], np.int64).view(np.uint64)
+            assert all(np.bitwise_count(prints[k] ^ prints[:k]).min(initial=64) > 2 for k in range(len(prints)))
+        if nth == 3:
+            assert len(after) == len(before)
+            assert not any(pii.base_spans(t) for t in after.text)
+            assert (after.n_chars == after.text.map(len)).all()
+            same = before.merge(after, on="doc_id")
+            clean = same.text_x.map(lambda t: not pii.base_spans(t))
+            assert clean.sum() > 500 and (same.text_x == same.text_y)[clean].all()
+        docs = spark.createDataFrame(after, docs.schema)
+
+
+def test_clean_documents_pass_the_filters(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    good = docs.join(labels.where("quality = 1"), "doc_id", "left_semi")
+    kept = corpus_pipeline.language_id(spark, good, SF)
+    assert kept.count() >= 0.99 * good.count()
+    classified = corpus_pipeline.quality_classifier(spark, docs, SF).join(labels, "doc_id")
+    assert classified.where("quality = 1").count() >= 0.99 * good.count()
+    assert classified.where("quality = 0").count() <= 3
+
+
+def test_run_packs_what_the_stages_keep(spark):
+    got = corpus_pipeline.run(spark, SF).toPandas()
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF).cache()
+    texts = docs.toPandas().set_index("doc_id").text
+    assert set(got.doc_id) == set(texts.index)
+    encode = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode
+    sizes = {k: len(encode(t, add_special_tokens=False).ids) + 1 for k, t in texts.items()}
+    assert got.groupby("doc_id").length.sum().to_dict() == sizes
+    assert got.groupby("sequence_id").length.sum().max() <= queries.SEQUENCE_TOKENS
+
+
+def test_odd_and_empty_tables(spark, odd_docs, no_docs):
+    for docs in (odd_docs, no_docs):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, docs, SF).columns == docs.columns
+            stage(spark, docs, SF).count()
+    assert corpus_pipeline.best_fit_packing(spark, odd_docs, SF).agg(F.count_distinct("doc_id")).first()[0] == 8
+    assert corpus_pipeline.best_fit_packing(spark, no_docs, SF).count() == 0
