@@ -1,19 +1,16 @@
 """``row_number() OVER (PARTITION BY g ORDER BY o)`` that survives hot groups.
 
-(Optionally only the groups above a size threshold take the range path
-described below; the rest use an ordinary window.)
-
 A window partitioned by ``g`` sends every row of a group to one task; when a
 single group holds a third of the data that task holds a third of the data.
-Here the rows are range-partitioned on the full sort key instead, so a hot
-group is cut into many tasks:
+Here the rows are range-partitioned on the full sort key instead, at every
+size, so a hot group is cut into many tasks:
 
-1. global sort on ``(g, o)``; record each row's partition id and position;
-2. lineage is cut with a reliable ``checkpoint()`` so both passes below see
-   the same layout even if executors are lost and stages recompute;
-3. a small table of (partition, group) -> (row count, first position) gets a
+1. global sort on ``(g, o)``; each row's partition id and position are written
+   with it to a table in the shared folder, so both passes below see the same
+   layout even if executors are lost and stages recompute;
+2. a small table of (partition, group) -> (row count, first position) gets a
    running sum per group (its size is partitions + groups, not rows);
-4. each row's number = rows of its group in earlier partitions + its offset
+3. each row's number = rows of its group in earlier partitions + its offset
    inside its partition + 1. The join to the small table is a broadcast when
    its size bound is known.
 """
@@ -26,74 +23,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.semijoin import MAX_BROADCAST_KEYS
-from strata.session import checkpoint_root
+from strata.session import scratch_path
 
 
 def number_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[Column],
-                  out_col: str = "row_number", max_groups: int | None = None,
-                  hot_rows: int | None = None, group_sizes: DataFrame | None = None) -> DataFrame:
+                  out_col: str = "row_number", max_groups: int | None = None) -> DataFrame:
     """Append ``out_col`` = 1, 2, ... within each ``partition_cols`` group.
 
     ``order_cols`` should end in a key that is unique within the group (rows
     equal on every key are interchangeable, so any order among them is fine).
     ``max_groups`` is a proven bound on the number of groups; with it the
     per-partition span table is broadcast.
-
-    With ``hot_rows`` the work is split by group size: groups above
-    ``hot_rows`` rows take the range-partitioned path, all others an ordinary
-    window, which is cheaper and safe for them (no such group exceeds
-    ``hot_rows`` rows in one task). Without it every group takes the range path.
-    ``group_sizes`` (the group columns plus a row count ``_n``) saves the pass
-    that counts them when the caller already has the counts.
     """
-    if hot_rows is not None:
-        return _number_split_by_size(df, list(partition_cols), list(order_cols), out_col,
-                                     hot_rows, group_sizes)
-    return _number_by_ranges(df, list(partition_cols), list(order_cols), out_col, max_groups)
-
-
-def _window_number(df: DataFrame, part: list[str], order_cols: list[Column],
-                   out_col: str) -> DataFrame:
-    w = Window.partitionBy(*part).orderBy(*order_cols)
-    return df.withColumn(out_col, F.row_number().over(w).cast("long"))
-
-
-def _match(df: DataFrame, keys: DataFrame, part: list[str]) -> Column:
-    cond = F.lit(True)
-    for c in part:
-        cond = cond & df[c].eqNullSafe(keys[f"_k_{c}"])
-    return cond
-
-
-def _number_split_by_size(df: DataFrame, part: list[str], order_cols: list[Column],
-                          out_col: str, hot_rows: int,
-                          group_sizes: DataFrame | None = None) -> DataFrame:
-    checkpoint_root(df.sparkSession)
-    # Group sizes: partial aggregation, so even a hot group costs one row per task.
-    sizes = (group_sizes if group_sizes is not None
-             else df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")))
-    hot = (sizes.where(F.col("_n") > hot_rows)
-             .select(*[F.col(c).alias(f"_k_{c}") for c in part])
-             .checkpoint(eager=True))
-    n_hot = hot.count()            # at most rows / hot_rows keys
-    if n_hot == 0:
-        return _window_number(df, part, order_cols, out_col)
-    keys = F.broadcast(hot) if n_hot <= MAX_BROADCAST_KEYS else hot
-    cold = df.join(keys, _match(df, hot, part), "left_anti")
-    heavy = df.join(keys, _match(df, hot, part), "left_semi")
-    return (_window_number(cold, part, order_cols, out_col)
-            .unionByName(_number_by_ranges(heavy, part, order_cols, out_col, n_hot)))
-
-
-def _number_by_ranges(df: DataFrame, part: list[str], order_cols: list[Column], out_col: str,
-                      max_groups: int | None) -> DataFrame:
-    spark = df.sparkSession
-    checkpoint_root(spark)
+    spark, part = df.sparkSession, list(partition_cols)
     ordered = df.orderBy(*[F.col(c).asc_nulls_first() for c in part], *order_cols)
-    positioned = ordered.select(
-        "*", F.spark_partition_id().alias("_pid"),
-        F.monotonically_increasing_id().alias("_pos"),
-    ).checkpoint(eager=True)
+    positioned = ordered.select("*", F.spark_partition_id().alias("_pid"),
+                                F.monotonically_increasing_id().alias("_pos"))
+    path = scratch_path(spark, "numbering")
+    positioned.write.parquet(path)
+    positioned = spark.read.schema(positioned.schema).parquet(path)
 
     spans = positioned.groupBy("_pid", *part).agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
@@ -102,13 +50,10 @@ def _number_by_ranges(df: DataFrame, part: list[str], order_cols: list[Column],
         F.col("_pid").alias("_s_pid"), *[F.col(c).alias(f"_s_{c}") for c in part],
         "_first", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"))
 
-    if max_groups is not None:
-        try:
-            bound = positioned.rdd.getNumPartitions() + max_groups
-        except Exception:  # noqa: BLE001 - no RDD access: leave the join to AQE
-            bound = None
-        if bound is not None and bound <= MAX_BROADCAST_KEYS:
-            spans = F.broadcast(spans)
+    # A global sort has at most this many partitions.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if max_groups is not None and width + max_groups <= MAX_BROADCAST_KEYS:
+        spans = F.broadcast(spans)
 
     cond = F.col("_pid") == F.col("_s_pid")
     for c in part:

@@ -1,15 +1,16 @@
 """Exact random sample of ``n`` rows (``ORDER BY rand() LIMIT n``) that scales.
 
-Each row gets a pseudo-random score: a seeded 64-bit ``xxhash64`` of the
-row's values. Unlike ``rand()``, the score does not depend on partitioning or
-on the order rows reach a task, so every pass (and every retried task) scores
-a row the same way.
+Every row draws a score of its own, equal rows too: a seeded hash of the
+row's place in its source (``row_id``: file and row number, the same in every
+pass and every retried task), or, where a source has none, seeded ``rand()``
+right above the scan, which repeats for each of its splits (never above a shuffle,
+whose row order may differ between passes).
 
 Two passes, no full sort:
 
 1. a histogram of the scores over power-of-two buckets (bucket k holds the
    scores whose offset from the minimum lies in [2^k, 2^(k+1))): one
-   aggregation returning at most 65 rows;
+   aggregation over the score alone, returning at most 65 rows;
 2. the rows of the smallest bucket prefix that holds at least ``n`` rows are
    the candidates (fewer than about 2n when scores are uniform); the final
    top-n runs on those.
@@ -21,6 +22,7 @@ Buckets are monotonic in the score, so the candidates always contain the
 from __future__ import annotations
 
 import random
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,9 +30,11 @@ from pyspark.sql import functions as F
 _OFFSET = float(2 ** 63)
 
 
-def score(df: DataFrame, seed: int) -> Column:
-    """Seeded hash of all columns, uniform over the signed 64-bit range."""
-    return F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
+def score(seed: int, row_id: Sequence[str] = ()) -> Column:
+    """A score per row, uniform over the signed 64-bit range."""
+    if row_id:
+        return F.xxhash64(F.lit(seed), *row_id)
+    return ((F.rand(seed) - 0.5) * 2.0 ** 64).cast("long")
 
 
 def _bucket(scored: Column) -> Column:
@@ -38,10 +42,15 @@ def _bucket(scored: Column) -> Column:
     return F.coalesce(F.floor(F.log2(scored.cast("double") + F.lit(_OFFSET))), F.lit(-1))
 
 
-def sample_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
-    """Exactly ``min(n, count)`` uniformly chosen rows (fixed by ``seed``)."""
+def sample_rows(df: DataFrame, n: int, seed: int | None = None, where: Column | None = None,
+                row_id: Sequence[str] = ()) -> DataFrame:
+    """Exactly ``min(n, count)`` uniformly chosen rows of those that pass
+    ``where``, fixed by ``seed``; the ``row_id`` columns are dropped."""
     seed = random.randrange(1 << 31) if seed is None else seed
-    scored = df.withColumn("_r", score(df, seed)).withColumn("_b", _bucket(F.col("_r")))
+    scored = df.withColumn("_r", score(seed, row_id))
+    if where is not None:
+        scored = scored.where(where)
+    scored = scored.withColumn("_b", _bucket(F.col("_r")))
     histogram = sorted((r["_b"], r["count"]) for r in scored.groupBy("_b").count().collect())
     total, cut = 0, None
     for bucket, count in histogram:           # at most 65 buckets
@@ -49,7 +58,6 @@ def sample_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
         if total >= n:
             cut = bucket
             break
-    if cut is None:                           # fewer than n rows: all of them
-        return df
-    candidates = scored.where(F.col("_b") <= cut)
-    return candidates.orderBy("_r").limit(n).drop("_r", "_b")
+    if cut is not None:                       # else fewer than n rows: all of them
+        scored = scored.where(F.col("_b") <= cut).orderBy("_r").limit(n)
+    return scored.drop("_r", "_b", *row_id)

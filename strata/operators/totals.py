@@ -12,25 +12,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import checkpoint_root
-
 
 def group_and_total(df: DataFrame, group: Column | str, group_name: str,
                     partials: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Per-group partial aggregates and their total, from one scan of ``df``.
 
     Every partial must merge by addition (counts, sums). The per-group table
-    (one row per group) is checkpointed to the shared checkpoint folder, so
-    the total and the per-group rows both read it instead of each re-planning
-    (and re-scanning) the input; it also cuts the lineage for retries.
+    (one row per group) stands behind one exchange, which both results reuse.
     Returns ``(per_group, total)``; ``total`` has exactly one row, also on
     empty input.
     """
-    checkpoint_root(df.sparkSession)
     g = F.col(group) if isinstance(group, str) else group
     per_group = (df.groupBy(g.alias(group_name))
-                   .agg(*[c.alias(k) for k, c in partials.items()])
-                   .checkpoint(eager=True))
+                   .agg(*[c.alias(k) for k, c in partials.items()]))
     merged = []
     for k in partials:
         dtype = per_group.schema[k].dataType

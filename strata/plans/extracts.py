@@ -6,6 +6,8 @@ selection logic can be tested without files.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,6 @@ from strata.operators.numbering import number_within
 from strata.operators.sample import sample_rows
 from strata.operators.semijoin import keep_keys
 from strata.operators.topn import top_k
-from strata.session import checkpoint_root
 from strata.schemas import SONG_COLUMNS
 
 # ---------------------------------------------------------------------------
@@ -29,10 +30,6 @@ SAMPLE_SIZE = 1000
 TOP_REPORT = 10
 # ---------------------------------------------------------------------------
 
-# Artists with more songs than this are numbered by the range-partitioned path;
-# smaller ones by an ordinary window (one task sorts at most this many rows).
-HOT_ARTIST_ROWS = 5_000_000
-
 
 def _now(at: Column | None) -> Column:
     return at if at is not None else F.current_timestamp()
@@ -75,40 +72,38 @@ def top_artist_names(songs: DataFrame, top_n: int = TOP_ARTISTS,
 
 
 def extract_top_artists(songs: DataFrame, top_n: int = TOP_ARTISTS,
-                        min_songs: int = TOP_ARTISTS_MIN_SONGS,
-                        hot_rows: int | None = HOT_ARTIST_ROWS) -> DataFrame:
+                        min_songs: int = TOP_ARTISTS_MIN_SONGS) -> DataFrame:
     """Songs of the top artists, numbered per artist by year.
 
     The key set is a top-k, so its size bound (``top_n``) justifies a
-    broadcast semi join. Numbering is skew-safe (see ``number_within``):
-    artists above ``hot_rows`` songs are cut across tasks, the others use an
-    ordinary window (``hot_rows=None``: every artist takes the range path).
+    broadcast semi join. Numbering is skew-safe (see ``number_within``).
     Ties on year are broken by every remaining column.
     """
-    checkpoint_root(songs.sparkSession)
-    # <= top_n rows, computed once: the semi-join keys and the group sizes.
-    top = top_artist_counts(songs, top_n, min_songs).checkpoint(eager=True)
+    top = top_artist_counts(songs, top_n, min_songs)
     chosen = keep_keys(songs.select(*SONG_COLUMNS), top, "artist_name", max_rows=top_n)
     order = ["year", "song_id", "title"] + [c for c in SONG_COLUMNS
                                             if c not in ("year", "song_id", "title", "artist_name")]
     return number_within(chosen, ["artist_name"], [F.col(c).asc_nulls_first() for c in order],
-                         out_col="song_number_by_artist", max_groups=top_n, hot_rows=hot_rows,
-                         group_sizes=top)
+                         out_col="song_number_by_artist", max_groups=top_n)
 
 
 def extract_sample(songs: DataFrame, n: int = SAMPLE_SIZE, seed: int | None = None,
-                   extracted_at: Column | None = None) -> DataFrame:
-    """Exactly ``n`` random songs with an id, tagged as the sample dataset."""
-    chosen = sample_rows(songs.where(F.col("song_id").isNotNull()), n, seed)
+                   extracted_at: Column | None = None, row_id: Sequence[str] = ()) -> DataFrame:
+    """Exactly ``n`` random songs with an id, tagged as the sample dataset
+    (``row_id``: columns that tell source rows apart, see ``sample_rows``)."""
+    chosen = sample_rows(songs, n, seed, F.col("song_id").isNotNull(), row_id)
     return chosen.select("*", _now(extracted_at).alias("extraction_timestamp"),
                          F.lit(SAMPLE_SOURCE_LABEL).alias("data_source"))
 
 
 def source_probe(df: DataFrame, file_col: str = "source_file") -> DataFrame:
-    """Availability of a file source: rows, distinct files, first and last file."""
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_distinct(file_col).alias("total_files"),
+    """Availability of a file source: rows, distinct files, first and last file.
+
+    Counted per file first (one row a file and task), so no row is sorted."""
+    per_file = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("n"))
+    return per_file.agg(
+        F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("total_rows"),
+        F.count(file_col).alias("total_files"),
         F.min(file_col).alias("first_file"),
         F.max(file_col).alias("last_file"),
     )
@@ -123,16 +118,28 @@ def reconcile_counts(source: DataFrame, extract: DataFrame,
 
 
 def extract_stats(df: DataFrame) -> DataFrame:
-    """Seven summary measures of an extract (one pass)."""
-    return df.agg(
-        F.count(F.lit(1)).alias("total_songs"),
-        F.count_distinct("artist_name").alias("unique_artists"),
-        F.count_distinct("year").alias("unique_years"),
-        F.min("year").alias("earliest_year"),
-        F.max("year").alias("latest_year"),
-        F.avg("duration").alias("avg_duration_seconds"),
-        F.avg("tempo").alias("avg_tempo"),
-    )
+    """Seven summary measures of an extract (one pass).
+
+    Rows are combined to (artist, year) sums and counts first; the two distinct
+    counts then work on that table instead of on copies of every row."""
+    mean = lambda c: F.when(F.sum(f"_{c}_n") > 0, F.sum(f"_{c}") / F.sum(f"_{c}_n"))
+    per_year = df.groupBy("artist_name", "year").agg(
+        F.count(F.lit(1)).alias("_n"), *[x for c in ("duration", "tempo") for x in (
+            F.sum(c).alias(f"_{c}"), F.count(c).alias(f"_{c}_n"))])
+    totals = per_year.agg(
+        F.coalesce(F.sum("_n"), F.lit(0).cast("long")).alias("total_songs"),
+        F.min("year").alias("earliest_year"), F.max("year").alias("latest_year"),
+        mean("duration").alias("avg_duration_seconds"), mean("tempo").alias("avg_tempo"))
+
+    def values(column: str, name: str) -> DataFrame:
+        return per_year.groupBy(column).agg(F.count(column).alias("_c")).agg(F.count(column).alias(name))
+    # One row each.
+    artists, years = values("artist_name", "unique_artists"), values("year", "unique_years")
+    joined = totals.withColumn("_k", F.lit(1)).join(
+        F.broadcast(artists.withColumn("_k", F.lit(1))), "_k").join(
+        F.broadcast(years.withColumn("_k", F.lit(1))), "_k")
+    return joined.select("total_songs", "unique_artists", "unique_years", "earliest_year",
+                         "latest_year", "avg_duration_seconds", "avg_tempo")
 
 
 def top_artists_report(df: DataFrame, k: int = TOP_REPORT) -> DataFrame:

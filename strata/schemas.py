@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# ---------------------------------------------------------------------------
+# Column names and types of the source files.
+# ---------------------------------------------------------------------------
 # The 19 measured song attributes, in the order the extracts list them.
 SONG_COLUMNS = [
     "artist_id", "artist_lat", "artist_long", "artist_location", "artist_name",
@@ -22,6 +25,8 @@ _SONG_TYPES = {
     "title": T.StringType(), "year": T.IntegerType(),
 }
 
+# ---------------------------------------------------------------------------
+
 SONG_SCHEMA = T.StructType([T.StructField(c, _SONG_TYPES[c], True) for c in SONG_COLUMNS])
 
 # Raw input rows also carry two free-text columns of the source files.

@@ -18,7 +18,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 # Settings replaced when they still hold Spark's built-in default. Generated
@@ -38,7 +37,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "8g"))
+        .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in {**DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)

@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Folder value that stands for the empty string, which a folder name cannot hold.
+EMPTY_PARTITION = "__EMPTY_STRING__"
+
 
 def read_parquet(spark: SparkSession, path: str, with_source_file: bool = False) -> DataFrame:
     """Path-addressed Parquet scan; optionally adds the source file of each row."""
@@ -22,30 +25,16 @@ def read_parquet(spark: SparkSession, path: str, with_source_file: bool = False)
     return df
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
-                       unique_key: list[str] | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
+def spread_rows(df: DataFrame, partitions: int, unique_key: list[str]) -> DataFrame:
+    """Hash-partition a scan on a unique key, for sources of too few splits
+    (one large row group is read by one task, and so is all narrow work above).
 
-    A single large row group (or a handful of files) is read by one task and
-    every narrow operator after it stays in that task. Only then is the input
-    repartitioned; a large, many-file input already has more splits than
-    cores and is left untouched (no shuffle). With a ``unique_key`` the rows
-    are hash-partitioned on it (balanced, and deterministic without the
-    pre-sort Spark adds to round-robin shuffles); otherwise round-robin,
-    which also spreads many identical rows.
+    A full shuffle, made only where the caller asks for it. The observed row
+    count keeps Catalyst from moving later filters back below the exchange
+    into the single scan task.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the plan as is
-        return df
-    if splits >= target:
-        return df
-    spread = df.repartition(target, *unique_key) if unique_key else df.repartition(target)
-    # The observed row count (the source size, visible through an Observation
-    # or the query listener) also keeps Catalyst from moving later filters back
-    # below the exchange into the single scan task.
-    return spread.observe(f"source_rows_{uuid.uuid4().hex[:8]}", F.count(F.lit(1)).alias("rows"))
+    return df.repartition(partitions, *unique_key).observe(
+        f"source_rows_{uuid.uuid4().hex[:8]}", F.count(F.lit(1)).alias("rows"))
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -100,10 +89,23 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*",
     )
 
 
-def describe(df: DataFrame) -> DataFrame:
-    """Schema description ``(col_name, data_type, comment)`` of a dataset."""
-    spark = df.sparkSession
-    rows = [(f.name, f.dataType.simpleString(), f.metadata.get("comment"))
-            for f in df.schema.fields]
-    schema = "col_name string, data_type string, comment string"
-    return spark.createDataFrame(rows, schema)
+def file_totals(inventory: DataFrame) -> DataFrame:
+    """Files per folder of a ``file_inventory``: folder name, files, whether any is empty."""
+    folder = F.element_at(F.split("path", "/"), -2)
+    return inventory.groupBy(folder.alias("folder")).agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(F.col("length") == 0).alias("empty_files"))
+
+
+def base_name(path: Column) -> Column:
+    """The last part of a path."""
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def read_partitioned_json(spark: SparkSession, path: str, partition_col: str,
+                          schema: T.StructType) -> DataFrame:
+    """What ``write_partitioned_json`` wrote; empty strings of the partition column are kept."""
+    df = read_json(spark, path, schema=schema)
+    if isinstance(schema[partition_col].dataType, T.StringType):
+        df = df.withColumn(partition_col, F.when(F.col(partition_col) != EMPTY_PARTITION, F.col(partition_col))
+                           .when(F.col(partition_col) == EMPTY_PARTITION, F.lit("")))
+    return df.select(*schema.names)

@@ -1,54 +1,13 @@
-"""Literal business records (customers, orders, statuses) as DataFrames."""
+"""Literal records (rows known to the caller) as DataFrames."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from strata.schemas import CUSTOMER_SCHEMA, ORDER_SCHEMA, STATUS_SCHEMA
-
-# ---------------------------------------------------------------------------
-# The sample records of the preparation step.
-# ---------------------------------------------------------------------------
-CUSTOMERS = [
-    (1, "Jean", "Dupont", "jean.dupont@email.com", "0123456789", "123 Rue de la Paix, Paris", "2023-01-15T10:30:00Z"),
-    (2, "Marie", "Martin", "marie.martin@email.com", "0987654321", "456 Avenue des Champs, Lyon", "2023-02-20T14:15:00Z"),
-    (3, "Pierre", "Bernard", "pierre.bernard@email.com", "0147258369", "789 Boulevard Saint-Germain, Marseille", "2023-03-10T09:45:00Z"),
-    (4, "Sophie", "Rousseau", "sophie.rousseau@email.com", "0162534897", "321 Rue Victor Hugo, Toulouse", "2023-04-05T16:20:00Z"),
-    (5, "Lucas", "Moreau", "lucas.moreau@email.com", "0173951426", "654 Place de la République, Nice", "2023-05-12T11:10:00Z"),
-]
-ORDERS = [
-    (1001, 1, "2023-06-15T08:30:00Z", 129.99, "EUR", 1),
-    (1002, 2, "2023-06-16T12:45:00Z", 89.50, "EUR", 2),
-    (1003, 1, "2023-06-17T15:20:00Z", 234.75, "EUR", 1),
-    (1004, 3, "2023-06-18T10:15:00Z", 156.30, "EUR", 3),
-    (1005, 4, "2023-06-19T14:00:00Z", 67.80, "EUR", 1),
-    (1006, 5, "2023-06-20T09:30:00Z", 198.45, "EUR", 2),
-    (1007, 2, "2023-06-21T16:45:00Z", 312.20, "EUR", 4),
-]
-STATUSES = [
-    (1, "Completed", "Order completed successfully"),
-    (2, "Processing", "Order is being processed"),
-    (3, "Shipped", "Order has been shipped"),
-    (4, "Cancelled", "Order has been cancelled"),
-]
-# ---------------------------------------------------------------------------
-
-_SAMPLES = {
-    "customers": (CUSTOMERS, CUSTOMER_SCHEMA),
-    "orders": (ORDERS, ORDER_SCHEMA),
-    "status": (STATUSES, STATUS_SCHEMA),
-}
-
 
 def records_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
     """Literal records (tuples or dicts) -> DataFrame with a declared schema."""
     if rows and isinstance(rows[0], dict):
         rows = [tuple(r.get(f.name) for f in schema.fields) for r in rows]
     return spark.createDataFrame(rows, schema)
-
-
-def sample_records(spark: SparkSession, name: str) -> DataFrame:
-    """One of the sample datasets: 'customers', 'orders' or 'status'."""
-    rows, schema = _SAMPLES[name]
-    return records_frame(spark, rows, schema)

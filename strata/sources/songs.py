@@ -12,9 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.rules import first_match
-from strata.sources.files import ensure_parallelism
+from strata.sources.files import spread_rows
 from strata.schemas import SONG_COLUMNS
 
+#: Columns that tell the rows of a source apart.
+ROW_ID = ["_row_file", "_row_index"]
+
 
 
 def _nan() -> Column:
@@ -33,8 +36,9 @@ def _d(c: Column) -> Column:
     return c.cast("double")
 
 
-def songs_from_lineitem(lineitem: DataFrame, with_source_file: bool = False) -> DataFrame:
-    """Raw song rows (19 attributes + ``partial_sequence``/``value``)."""
+def songs_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """Raw song rows (19 attributes + ``partial_sequence``/``value``, and the
+    source columns that ``lineitem`` has)."""
     ok, pk, sk, ln = (F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"),
                       F.col("l_linenumber"))
     qty = F.col("l_quantity")
@@ -80,25 +84,28 @@ def songs_from_lineitem(lineitem: DataFrame, with_source_file: bool = False) ->
             (F.lit(1950) + (ok * 7 + ln * 13) % 85).cast("int")),
     }
     keep = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
-    src = None
-    if with_source_file:
-        src = F.col("_file") if "_file" in lineitem.columns else F.col("_metadata.file_path")
-    base = lineitem.select(*keep, *([src.alias("_src")] if src is not None else []))
-    base = base.withColumn("_h", h)
+    extra = [c for c in ("source_file", *ROW_ID) if c in lineitem.columns]
+    base = lineitem.select(*keep, *extra).withColumn("_h", h)
     out = [cols[c].alias(c) for c in SONG_COLUMNS]
     out += [_null("string").alias("partial_sequence"), _null("string").alias("value")]
-    if with_source_file:
-        out.append(F.col("_src").alias("source_file"))
-    return base.select(*out)
+    return base.select(*out, *extra)
 
 
 def load_songs(spark: SparkSession, sf_dir: str, with_source_file: bool = False,
-               min_partitions: int | None = None) -> DataFrame:
-    """Songs for a driver data directory (reads ``lineitem.parquet``)."""
+               with_row_id: bool = False, spread: int | None = None) -> DataFrame:
+    """Songs for a driver data directory (reads ``lineitem.parquet``).
+
+    ``with_source_file`` adds the file of each row, ``with_row_id`` the columns
+    ``ROW_ID`` (file and row number); ``spread`` hash-partitions a source of
+    too few splits (off by default: a shuffle of the whole source).
+    """
     lineitem = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
-    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
+    columns = [F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")]
     if with_source_file:
-        lineitem = lineitem.select(*keys, F.col("_metadata.file_path").alias("_file"))
-    lineitem = ensure_parallelism(lineitem.select(*keys, *(["_file"] if with_source_file else [])),
-                                  min_partitions, unique_key=["l_orderkey", "l_linenumber"])
-    return songs_from_lineitem(lineitem, with_source_file=with_source_file)
+        columns.append(F.col("_metadata.file_path").alias("source_file"))
+    if with_row_id:
+        columns += [F.col("_metadata.file_path").alias(ROW_ID[0]), F.col("_metadata.row_index").alias(ROW_ID[1])]
+    lineitem = lineitem.select(*columns)
+    if spread:
+        lineitem = spread_rows(lineitem, spread, ["l_orderkey", "l_linenumber"])
+    return songs_from_lineitem(lineitem)

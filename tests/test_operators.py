@@ -1,5 +1,8 @@
 """Generic operators against brute force on small fixtures, including a hot group."""
 
+import os
+
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -38,15 +41,14 @@ def test_number_within_null_group_and_broadcast(spark):
 
 def test_sample_rows_exact(spark):
     from strata.operators.sample import score
-    df = spark.range(50000)
-    s = sample_rows(df, 1000, seed=7)
-    rows = [r.id for r in s.collect()]
+    df = spark.range(50000).withColumn("k", F.col("id"))
+    rows = [r.id for r in sample_rows(df, 1000, seed=7, row_id=["k"]).collect()]
     assert len(rows) == 1000 and len(set(rows)) == 1000
     # Exactly the 1000 smallest scores: same as the full sort by the same scores.
-    full = df.withColumn("_r", score(df, 7)).orderBy("_r").limit(1000)
+    full = df.withColumn("_r", score(7, ["k"])).orderBy("_r").limit(1000)
     assert sorted(rows) == sorted(r.id for r in full.collect())
-    # Independent of partitioning (scores come from row values, not positions).
-    again = sample_rows(df.repartition(13), 1000, seed=7)
+    # Independent of partitioning (scores come from the row's place in its source).
+    again = sample_rows(df.repartition(13), 1000, seed=7, row_id=["k"])
     assert sorted(r.id for r in again.collect()) == sorted(rows)
     # Roughly uniform: the sample mean of 0..49999 is near 25000.
     assert abs(sum(rows) / len(rows) - 25000) < 2500
@@ -95,15 +97,27 @@ def test_number_within_empty_and_global(spark):
     assert [tuple(r) for r in got.orderBy("o").collect()] == [(i, i + 1) for i in range(5000)]
 
 
-def test_number_within_split_by_size(spark):
+def test_number_within_hot_and_null_groups(spark):
     df = skewed(spark, 20000)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o", "id")))
-    for hot_rows in [100, 1_000_000]:           # hot group routed to ranges / all windows
-        got = number_within(df, ["g"], [F.col("o"), F.col("id")], out_col="rn",
-                            hot_rows=hot_rows)
-        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    got = number_within(df, ["g"], [F.col("o"), F.col("id")], out_col="rn")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     nulls = spark.createDataFrame([(None, i) for i in range(50)] + [("a", 1), ("a", 0)],
                                   "g string, o int")
-    got = number_within(nulls, ["g"], [F.col("o")], out_col="rn", hot_rows=10)
+    got = number_within(nulls, ["g"], [F.col("o")], out_col="rn")
     w = nulls.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")))
     assert got.exceptAll(w).count() == 0 and w.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_sample_draws_repeated_rows_like_any_others(spark, tmp_path_factory, seed):
+    """Half of the rows are equal: a fair draw of 1,000 takes about 500 of them."""
+    path = str(tmp_path_factory.getbasetemp() / "repeated.parquet")
+    if not os.path.exists(path):
+        spark.range(200_000).select(F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("v")) \
+            .repartition(4).write.parquet(path)
+    df = spark.read.parquet(path)
+    placed = df.select("v", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"))
+    for sample in (sample_rows(placed, 1000, seed, row_id=["f", "i"]), sample_rows(df, 1000, seed)):
+        rows = sample.collect()
+        assert len(rows) == 1000 and 400 <= sum(r.v == -1 for r in rows) <= 600

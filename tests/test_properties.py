@@ -83,9 +83,8 @@ def test_number_within_equals_row_number(spark, rows, parts):
     df = df.repartition(parts).cache()
     try:
         want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o", "id")))
-        for hot in [None, 5]:
-            got = number_within(df, ["g"], [F.col("o"), F.col("id")], "rn", hot_rows=hot)
-            assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        got = number_within(df, ["g"], [F.col("o"), F.col("id")], "rn")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     finally:
         df.unpersist()
 
@@ -95,7 +94,8 @@ def test_number_within_equals_row_number(spark, rows, parts):
 def test_sample_rows_exact_for_any_size(spark, rows, n, parts, seed):
     from strata.operators.sample import sample_rows, score
     df = spark.range(rows).repartition(parts)
-    got = sorted(r.id for r in sample_rows(df, n, seed=seed).collect())
+    got = sorted(r.id for r in sample_rows(df.withColumn("k", F.col("id")), n, seed=seed, row_id=["k"]).collect())
     assert len(got) == min(n, rows) and len(set(got)) == len(got)
-    brute = df.withColumn("_r", score(df, seed)).orderBy("_r").limit(n)
+    brute = df.withColumn("_r", score(seed, ["id"])).orderBy("_r").limit(n)
     assert got == sorted(r.id for r in brute.collect())
+    assert sample_rows(spark.range(rows), n, seed=seed).count() == min(n, rows)

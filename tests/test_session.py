@@ -1,9 +1,9 @@
 """Session rules: shared checkpoint folder from the session, defaults only where unset,
-spreading only single-split inputs."""
+spreading only where asked for."""
 
 
 from strata.session import apply_defaults, checkpoint_root, scratch_path
-from strata.sources.files import ensure_parallelism
+from strata.sources.files import spread_rows
 
 
 def test_checkpoint_root_reads_the_session_setting(spark):
@@ -24,15 +24,26 @@ def test_defaults_do_not_override_explicit_settings(spark):
         spark.conf.set(key, old)
 
 
-def test_ensure_parallelism_only_spreads_single_split_inputs(spark, tmp_dir):
-    many = spark.range(0, 1000, numPartitions=16)
-    assert ensure_parallelism(many, 8) is many
+def test_time_zone_of_a_running_session_stays(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.unset("spark.sql.session.timeZone")
+    try:
+        before = spark.conf.get("spark.sql.session.timeZone")
+        apply_defaults(spark)
+        assert spark.conf.get("spark.sql.session.timeZone") == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_spreading_is_explicit(spark):
+    from tests.conftest import SF_SMALL
+    from strata.sources.songs import load_songs
+    plain = load_songs(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plain and "CollectMetrics" not in plain
     one = spark.range(0, 1000, numPartitions=1)
-    spread = ensure_parallelism(one, 8, unique_key=["id"])
+    spread = spread_rows(one, 8, ["id"])
     assert spread.rdd.getNumPartitions() == 8
     assert sorted(r.id for r in spread.collect()) == list(range(1000))
-    plan = spread._jdf.queryExecution().optimizedPlan().toString()
-    assert "CollectMetrics" in plan and "RepartitionByExpression" in plan
 
 
 def test_cluster_without_checkpoint_dir_is_an_error():
