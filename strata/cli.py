@@ -16,6 +16,7 @@ from __future__ import annotations
 import argparse
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -41,10 +42,13 @@ def register_layers(spark: SparkSession, silver_path: str, gold_root: str | None
     names.append("songs_silver")
     for name in GOLD_TABLES if gold_root else []:
         try:
-            spark.read.parquet(f"{gold_root.rstrip('/')}/{name}").createOrReplaceTempView(name)
-            names.append(name)
-        except Exception:  # noqa: BLE001 - table not refreshed yet
-            continue
+            table = spark.read.parquet(f"{gold_root.rstrip('/')}/{name}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue                      # not refreshed yet
+        table.createOrReplaceTempView(name)
+        names.append(name)
     return names
 
 

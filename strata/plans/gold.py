@@ -1,12 +1,19 @@
-"""Gold layer: aggregates over silver, recomputed on every refresh.
+"""Gold layer: seven tables, each defined once over partial aggregates of silver.
+
+``album_partials`` aggregates silver at (decade, year, artist, album) into
+counts and sums from which every gold table rolls up; ``decade_partials`` rolls
+them up to (decade, year), about a hundred rows, for trends and dashboards. A
+single table builds the partials inside its own plan; a refresh writes them
+once and builds all seven from that (``gold_layer``); the stateful stream keeps
+``decade_partials`` in its state store. The table definitions are the same.
 
 Scale notes
-- Every aggregate is partial + final hash aggregation: a hot artist or decade
-  is pre-combined in each task before the shuffle.
-- Rankings run on (decade, artist) aggregates, never on songs; the rank filter
-  becomes ``WindowGroupLimit`` below the shuffle.
-- Trend and dashboard tables read silver once (one groupBy feeding several
-  metrics / a total row) instead of one scan per ``UNION ALL`` branch.
+- Partials hold counts, sums and timestamps only, so every large aggregate is
+  a partial + final hash aggregation; a hot artist or decade is pre-combined in
+  each task before the shuffle. Distinct albums are the album keys themselves.
+- Rankings run on (decade, artist) aggregates; the rank filter becomes
+  ``WindowGroupLimit`` below the shuffle. The representative song of an artist
+  is fetched for the ranked artists alone (at most ``top_n`` a decade).
 """
 
 from __future__ import annotations
@@ -17,11 +24,11 @@ from pyspark.sql import types as T
 
 from strata.functions.categories import (
     SIGNIFICANCE_MIN_ROWS, SIGNIFICANCE_MIN_ROWS_LOUDNESS, analysis_period, artist_tier, decade_v2,
+    significance,
 )
-from strata.operators.metrics import Metric, long_metrics
-from strata.operators.representative import representative
+from strata.operators.representative import representative_rows
 from strata.operators.topn import top_n_per_group
-from strata.operators.totals import decimal_mean, group_and_total
+from strata.operators.totals import decimal_mean
 
 # ---------------------------------------------------------------------------
 # Labels of the gold tables.
@@ -53,169 +60,238 @@ TREND_DIRECTIONS = {
 ROW_KEY = ["song_id", "title"]
 
 
+_MEASURES = {"dur": "duration_seconds", "tempo": "tempo_bpm", "pop": "popularity_score",
+             "loud": "loudness_db"}
+GRAIN = ["decade_category", "release_year", "artist_name", "album_info"]
+DECADE_GRAIN = ["decade_category", "release_year"]
+_COUNTS = ["n", "missing_song_ids", "missing_titles", "missing_artists", "high_quality_records",
+           "hit_songs_count", "standard_duration_songs", "songs_2010s", "score_n",
+           *[f"{m}_n" for m in _MEASURES]]
+_SUMS = ["score_sum", *[f"{m}_sum" for m in _MEASURES]]
+
+
 def _now(at: Column | None) -> Column:
     return at if at is not None else F.current_timestamp()
 
 
-def album_releases_by_year(silver: DataFrame, min_songs: int = MIN_SONGS_PER_YEAR,
-                           ordered: bool = False, exact_distinct: bool = True) -> DataFrame:
-    """Per (release_year, artist): song count, averages, distinct albums.
-
-    ``exact_distinct=False`` counts albums with ``approx_count_distinct``
-    (HyperLogLog++, ~5% error): one aggregation level instead of two, and
-    usable in a streaming aggregation, where exact distinct counts are not.
-    """
-    distinct = (F.count_distinct("album_info") if exact_distinct
-                else F.approx_count_distinct("album_info"))
-    out = (
-        silver.where(F.col("release_year").isNotNull())
-        .groupBy("release_year", "artist_name")
-        .agg(
-            F.count(F.lit(1)).alias("total_songs"),
-            F.round(F.avg("duration_seconds") / 60, 2).alias("avg_duration_minutes"),
-            F.round(F.avg("tempo_bpm"), 2).alias("avg_tempo"),
-            F.round(F.avg("popularity_score"), 4).alias("avg_song_hotness"),
-            distinct.alias("distinct_releases"),
-            F.round(F.avg("data_quality_score"), 3).alias("avg_quality_score"),
-            F.min("processing_timestamp").alias("first_song_date"),
-            F.max("processing_timestamp").alias("last_song_date"),
-        )
-        .where(F.col("total_songs") >= min_songs)
-    )
-    if ordered:
-        out = out.orderBy(F.desc("release_year"), F.desc("total_songs"), "artist_name")
-    return out
-
-
-def _artist_aggregates(df: DataFrame, decade: Column) -> DataFrame:
-    span = F.max("release_year") - F.min("release_year") + 1
-    return df.groupBy(decade.alias("decade"), "artist_name").agg(
-        F.count(F.lit(1)).alias("total_songs"),
-        F.count_distinct("album_info").alias("total_releases"),
-        F.avg("popularity_score").alias("_avg_pop"),
-        span.cast("int").alias("career_span_years"),
-        representative(ROW_KEY, ["artist_location", "popularity_tier"]).alias("_first"),
-    )
-
-
-def rank_artists(agg: DataFrame, min_songs: int, top_n: int) -> DataFrame:
-    ranked = top_n_per_group(
+def partial_aggs() -> list[Column]:
+    """Counts, sums and times of silver rows; all merge by addition, minimum or maximum."""
+    score = F.col("data_quality_score")
+    aggs = [
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("song_id").isNull()).alias("missing_song_ids"),
+        F.count_if(F.col("title").isNull()).alias("missing_titles"),
+        F.count_if(F.col("artist_name").isNull()).alias("missing_artists"),
+        F.count_if(score >= HIGH_QUALITY_MIN).alias("high_quality_records"),
+        F.count_if(F.col("popularity_tier") == HIT_TIER).alias("hit_songs_count"),
+        F.count_if(F.col("duration_category") == STANDARD_DURATION).alias("standard_duration_songs"),
+        F.count_if(F.col("decade_category") == DECADE_2010S).alias("songs_2010s"),
+        F.sum(score).alias("score_sum"), F.count(score).alias("score_n"),
+        F.min("processing_timestamp").alias("first_ts"),
+        F.max("processing_timestamp").alias("last_ts"),
+    ]
+    for short, col in _MEASURES.items():
+        aggs += [F.sum(col).alias(f"{short}_sum"), F.count(col).alias(f"{short}_n")]
+    return aggs
+
+
+def album_partials(silver: DataFrame) -> DataFrame:
+    return silver.groupBy(*GRAIN).agg(*partial_aggs())
+
+
+def decade_partials(partials: DataFrame) -> DataFrame:
+    """Album partials rolled up to (decade, year)."""
+    return partials.groupBy(*DECADE_GRAIN).agg(
+        *[F.sum(c).cast(partials.schema[c].dataType).alias(c) for c in [*_COUNTS, *_SUMS]],
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+
+
+def score_type(silver: DataFrame) -> T.DecimalType:
+    dtype = silver.schema["data_quality_score"].dataType
+    return dtype if isinstance(dtype, T.DecimalType) else T.DecimalType(15, 1)
+
+
+def _mean(short: str) -> Column:
+    n = F.sum(f"{short}_n")
+    return F.when(n > 0, F.sum(f"{short}_sum") / n)
+
+
+# --- tables over partials -------------------------------------------------------
+
+def releases_table(p: DataFrame, stype: T.DecimalType, min_songs: int = MIN_SONGS_PER_YEAR) -> DataFrame:
+    return (p.where(F.col("release_year").isNotNull())
+             .groupBy("release_year", "artist_name").agg(
+                 F.sum("n").alias("total_songs"),
+                 F.round(_mean("dur") / 60, 2).alias("avg_duration_minutes"),
+                 F.round(_mean("tempo"), 2).alias("avg_tempo"),
+                 F.round(_mean("pop"), 4).alias("avg_song_hotness"),
+                 # The decade is a function of the year: one row for each album.
+                 F.count("album_info").alias("distinct_releases"),
+                 F.round(decimal_mean(F.sum("score_sum"), F.sum("score_n"), stype), 3)
+                  .alias("avg_quality_score"),
+                 F.min("first_ts").alias("first_song_date"),
+                 F.max("last_ts").alias("last_song_date"))
+             .where(F.col("total_songs") >= min_songs))
+
+
+def ranked_artists(p: DataFrame, decade: Column, min_songs: int = MIN_SONGS_RANKED,
+                   top_n: int = TOP_PER_DECADE) -> DataFrame:
+    """The first ``top_n`` artists of every decade, without their representative song."""
+    agg = (p.where(F.col("release_year").isNotNull() & (F.col("pop_n") > 0))
+            .groupBy(decade.alias("decade"), "artist_name").agg(
+                F.sum("pop_n").alias("total_songs"),
+                F.count_distinct("album_info").alias("total_releases"),
+                _mean("pop").alias("_avg_pop"),
+                (F.max("release_year") - F.min("release_year") + 1).cast("int")
+                 .alias("career_span_years")))
+    return top_n_per_group(
         agg.where(F.col("total_songs") >= min_songs), ["decade"],
-        [F.desc("total_songs"), F.desc("_avg_pop"), F.asc("artist_name")],
-        top_n, rank_col="artist_rank")
+        [F.desc("total_songs"), F.desc("_avg_pop"), F.asc("artist_name")], top_n, rank_col="artist_rank")
+
+
+def artists_table(p: DataFrame, silver: DataFrame, decade: Column, tier_from_mean: bool,
+                  min_songs: int = MIN_SONGS_RANKED, top_n: int = TOP_PER_DECADE) -> DataFrame:
+    """Ranked artists with place and tier of their representative song
+    (``tier_from_mean``: the tier of their mean popularity)."""
+    ranked = ranked_artists(p, decade, min_songs, top_n)
+    songs = (silver.where(F.col("release_year").isNotNull() & F.col("popularity_score").isNotNull())
+             .select(decade.alias("decade"), "artist_name", *ROW_KEY, "artist_location", "popularity_tier"))
+    # At most top_n artists for each of a dozen decade labels.
+    first = representative_rows(songs, ranked.select("decade", "artist_name"), ["decade", "artist_name"],
+                                [*ROW_KEY, "artist_location", "popularity_tier"], max_rows=20 * top_n)
     productivity = F.round(
         F.log(F.col("total_songs")) * F.col("_avg_pop") * F.col("career_span_years") / 10.0, 3)
-    return ranked.select(
+    tier = artist_tier(F.col("_avg_pop")) if tier_from_mean else F.col("popularity_tier")
+    return ranked.join(F.broadcast(first), ["decade", "artist_name"]).select(
         "decade", "artist_name", "artist_rank", "total_songs", "total_releases",
         F.round("_avg_pop", 4).alias("avg_song_hotness"), "career_span_years",
-        F.coalesce("_first.artist_location", F.lit(UNKNOWN_LOCATION)).alias("geographic_info"),
-        productivity.alias("productivity_score"), F.col("_first.popularity_tier").alias("_tier"),
-        "_avg_pop",
-    )
+        F.coalesce("artist_location", F.lit(UNKNOWN_LOCATION)).alias("geographic_info"),
+        productivity.alias("productivity_score"), tier.alias("popularity_tier"))
+
+
+def trends_table(p: DataFrame, period: Column, tag_col: str, tags: dict,
+                 min_rows: int = SIGNIFICANCE_MIN_ROWS,
+                 min_rows_loudness: int = SIGNIFICANCE_MIN_ROWS_LOUDNESS) -> DataFrame:
+    """Long table: one aggregate per period, unpivoted into four metrics."""
+    wide = (p.where(F.col("release_year").isNotNull()).groupBy(period.alias("analysis_period"))
+             .agg(*[F.sum(f"{m}_{x}").alias(f"{m}_{x}") for m in _MEASURES for x in ("sum", "n")]))
+    specs = [("avg_duration_minutes", "dur", lambda c: F.round(c / 60, 2), min_rows),
+             ("avg_tempo_bpm", "tempo", lambda c: F.round(c, 2), min_rows),
+             ("avg_popularity_score", "pop", lambda c: F.round(c, 4), min_rows),
+             ("avg_loudness_db", "loud", lambda c: F.round(c, 2), min_rows_loudness)]
+    rows = [F.struct(
+        F.lit(name).alias("metric_name"),
+        finish(F.col(f"{m}_sum") / F.col(f"{m}_n")).cast("double").alias("metric_value"),
+        F.lit(tags[name]).alias(tag_col),
+        significance(F.col(f"{m}_n"), least).alias("statistical_significance"),
+        F.col(f"{m}_n").alias("sample_size")) for name, m, finish, least in specs]
+    return wide.select("analysis_period", F.inline(F.array(*rows))).where(F.col("sample_size") > 0)
+
+
+def dashboard_table(p: DataFrame, stype: T.DecimalType, updated_at: Column | None = None,
+                    edition: int = 1) -> DataFrame:
+    """First edition: a 'silver' total row and one row per decade; second: the
+    total alone, without category counts. The total is there for empty silver, too."""
+    sums = [F.sum("n").alias("total_records"),
+            F.sum(F.when(F.col("release_year").isNull(), F.col("n")).otherwise(0)).alias("missing_years")]
+    sums += [F.sum(c).alias(c) for c in [*_COUNTS[1:9], "score_sum"]]
+    shown = ["total_records", "missing_song_ids", "missing_titles", "missing_artists", "missing_years"]
+    more = ["high_quality_records"] + (["hit_songs_count", "standard_duration_songs"] if edition == 1 else [])
+
+    def finish(df: DataFrame, level: Column, songs_2010s: Column) -> DataFrame:
+        count = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+        cols = [level.alias("table_level"), *map(count, shown),
+                F.round(decimal_mean("score_sum", "score_n", stype), 3).alias("avg_quality_score"),
+                *map(count, more)]
+        if edition == 1:
+            cols.append(F.coalesce(songs_2010s, F.lit(0).cast("long")).alias("songs_2010s"))
+        return df.select(*cols, _now(updated_at).alias("last_updated"))
+
+    total = finish(p.agg(*sums), F.lit(TOTAL_LEVEL), F.col("songs_2010s"))
+    if edition == 2:
+        return total
+    # Unnamed decades are dropped by a count: a filter on the key would move
+    # below the partials, and this branch could not share the total's exchange.
+    groups = (p.groupBy(F.col("decade_category").alias("_level"))
+               .agg(*sums, F.count("decade_category").alias("_named")).where(F.col("_named") > 0))
+    # Per-decade rows report the decade's row count under songs_2010s, as published
+    # (the greater of the two, so that both branches read the same columns).
+    return total.unionByName(finish(groups, F.col("_level"), F.greatest("total_records", "songs_2010s")))
+
+
+def decade_tables(p: DataFrame, stype: T.DecimalType = T.DecimalType(15, 1),
+                  updated_at: Column | None = None, min_rows: int = SIGNIFICANCE_MIN_ROWS,
+                  min_rows_loudness: int = SIGNIFICANCE_MIN_ROWS_LOUDNESS) -> dict[str, DataFrame]:
+    """The tables that need (decade, year) partials only."""
+    least = {"min_rows": min_rows, "min_rows_loudness": min_rows_loudness}
+    return {
+        "music_trends_analysis": trends_table(
+            p, F.col("decade_category"), "trend_category", TREND_CATEGORIES, **least),
+        "music_trends_analysis_v2": trends_table(
+            p, analysis_period("release_year"), "trend_direction", TREND_DIRECTIONS, **least),
+        "data_quality_dashboard": dashboard_table(p, stype, updated_at, 1),
+        "data_quality_dashboard_v2": dashboard_table(p, stype, updated_at, 2),
+    }
+
+
+def gold_layer(silver: DataFrame, partials: DataFrame, decades: DataFrame,
+               updated_at: Column | None = None, **least) -> dict[str, DataFrame]:
+    """All seven tables from written partials (``album_partials``, ``decade_partials``)."""
+    stype = score_type(silver)
+    return {
+        "album_releases_by_year": releases_table(partials, stype),
+        "top_artists_by_decade": artists_table(partials, silver, F.col("decade_category"), False),
+        "top_artists_by_decade_v2": artists_table(partials, silver, decade_v2("release_year"), True),
+        **decade_tables(decades, stype, updated_at, **least),
+    }
+
+
+# --- tables straight from silver ---------------------------------------------------
+
+def album_releases_by_year(silver: DataFrame, min_songs: int = MIN_SONGS_PER_YEAR,
+                           ordered: bool = False) -> DataFrame:
+    """Per (release_year, artist): song count, averages, distinct albums."""
+    out = releases_table(album_partials(silver), score_type(silver), min_songs)
+    return out.orderBy(F.desc("release_year"), F.desc("total_songs"), "artist_name") if ordered else out
 
 
 def top_artists_by_decade(silver: DataFrame, min_songs: int = MIN_SONGS_RANKED,
                           top_n: int = TOP_PER_DECADE) -> DataFrame:
     """Top artists per silver decade; tier = the tier of a representative song."""
-    base = silver.where(F.col("release_year").isNotNull() & F.col("popularity_score").isNotNull())
-    ranked = rank_artists(_artist_aggregates(base, F.col("decade_category")), min_songs, top_n)
-    return ranked.withColumn("popularity_tier", F.col("_tier")).drop("_tier", "_avg_pop")
+    return artists_table(album_partials(silver), silver, F.col("decade_category"), False, min_songs, top_n)
 
 
 def top_artists_by_decade_v2(silver: DataFrame, min_songs: int = MIN_SONGS_RANKED,
                              top_n: int = TOP_PER_DECADE) -> DataFrame:
     """Second edition: decades from release_year (2020s fold into 2010s) and the
     tier derived from the artist's average popularity."""
-    base = silver.where(F.col("release_year").isNotNull() & F.col("popularity_score").isNotNull())
-    ranked = rank_artists(_artist_aggregates(base, decade_v2("release_year")), min_songs, top_n)
-    return ranked.withColumn("popularity_tier", artist_tier(F.col("_avg_pop"))).drop("_tier", "_avg_pop")
-
-
-def _trend_metrics(tag: str, tags: dict, min_rows: int, min_rows_loudness: int) -> list[Metric]:
-    def r(d):
-        return lambda c: F.round(c, d)
-    return [
-        Metric("avg_duration_minutes", "duration_seconds", lambda c: F.round(c / 60, 2),
-               {tag: tags["avg_duration_minutes"]}, min_rows),
-        Metric("avg_tempo_bpm", "tempo_bpm", r(2), {tag: tags["avg_tempo_bpm"]}, min_rows),
-        Metric("avg_popularity_score", "popularity_score", r(4),
-               {tag: tags["avg_popularity_score"]}, min_rows),
-        Metric("avg_loudness_db", "loudness_db", r(2), {tag: tags["avg_loudness_db"]},
-               min_rows_loudness),
-    ]
+    return artists_table(album_partials(silver), silver, decade_v2("release_year"), True, min_songs, top_n)
 
 
-def music_trends(silver: DataFrame, min_rows: int = SIGNIFICANCE_MIN_ROWS,
-                 min_rows_loudness: int = SIGNIFICANCE_MIN_ROWS_LOUDNESS) -> DataFrame:
+def _coarse(silver: DataFrame) -> DataFrame:
+    return silver.groupBy(*DECADE_GRAIN).agg(*partial_aggs())
+
+
+def music_trends(silver: DataFrame, **least) -> DataFrame:
     """Long table (analysis_period, metric_name, metric_value, trend_category,
     statistical_significance, sample_size) per silver decade."""
-    base = silver.where(F.col("release_year").isNotNull())
-    metrics = _trend_metrics("trend_category", TREND_CATEGORIES, min_rows, min_rows_loudness)
-    return long_metrics(base, F.col("decade_category"), "analysis_period", metrics)
+    return decade_tables(_coarse(silver), **least)["music_trends_analysis"]
 
 
-def music_trends_v2(silver: DataFrame, min_rows: int = SIGNIFICANCE_MIN_ROWS,
-                    min_rows_loudness: int = SIGNIFICANCE_MIN_ROWS_LOUDNESS) -> DataFrame:
+def music_trends_v2(silver: DataFrame, **least) -> DataFrame:
     """Second edition: coarse periods and a trend_direction label."""
-    base = silver.where(F.col("release_year").isNotNull())
-    metrics = _trend_metrics("trend_direction", TREND_DIRECTIONS, min_rows, min_rows_loudness)
-    return long_metrics(base, analysis_period("release_year"), "analysis_period", metrics)
-
-
-def score_type(silver: DataFrame) -> T.DecimalType:
-    dtype = silver.schema["data_quality_score"].dataType
-    return dtype if isinstance(dtype, T.DecimalType) else T.DecimalType(15, 1)
+    return decade_tables(_coarse(silver), **least)["music_trends_analysis_v2"]
 
 
 def quality_dashboard(silver: DataFrame, updated_at: Column | None = None) -> DataFrame:
-    """A 'silver' total row plus one row per decade_category, from one scan."""
-    score = F.col("data_quality_score")
-    partials = {
-        "total_records": F.count(F.lit(1)),
-        "missing_song_ids": F.count_if(F.col("song_id").isNull()),
-        "missing_titles": F.count_if(F.col("title").isNull()),
-        "missing_artists": F.count_if(F.col("artist_name").isNull()),
-        "missing_years": F.count_if(F.col("release_year").isNull()),
-        "_score_sum": F.sum(score),
-        "_score_n": F.count(score),
-        "high_quality_records": F.count_if(score >= HIGH_QUALITY_MIN),
-        "hit_songs_count": F.count_if(F.col("popularity_tier") == HIT_TIER),
-        "standard_duration_songs": F.count_if(F.col("duration_category") == STANDARD_DURATION),
-        "songs_2010s": F.count_if(F.col("decade_category") == DECADE_2010S),
-    }
-    per_group, total = group_and_total(silver, "decade_category", "table_level", partials)
-    stype = score_type(silver)
-    counts = ["total_records", "missing_song_ids", "missing_titles", "missing_artists",
-              "missing_years"]
-    tail = ["high_quality_records", "hit_songs_count", "standard_duration_songs"]
-
-    def finish(df: DataFrame, level: Column, songs_2010s: Column) -> DataFrame:
-        return df.select(
-            level.alias("table_level"), *counts,
-            F.round(decimal_mean("_score_sum", "_score_n", stype), 3).alias("avg_quality_score"),
-            *tail, songs_2010s.alias("songs_2010s"), _now(updated_at).alias("last_updated"))
-
-    # Per-decade rows report the decade's row count under songs_2010s, as published.
-    groups = finish(per_group.where(F.col("table_level").isNotNull()), F.col("table_level"),
-                    F.col("total_records"))
-    return finish(total, F.lit(TOTAL_LEVEL), F.col("songs_2010s")).unionByName(groups)
+    """A 'silver' total row plus one row per decade_category, from one scan
+    (both branches read one exchange of the same partials)."""
+    return dashboard_table(_coarse(silver), score_type(silver), updated_at, 1)
 
 
 def quality_dashboard_v2(silver: DataFrame, updated_at: Column | None = None) -> DataFrame:
     """One 'silver' row: totals, missing counts, mean score, high-quality rows."""
-    score = F.col("data_quality_score")
-    n = F.count(F.lit(1))
-    return silver.agg(
-        F.lit(TOTAL_LEVEL).alias("table_level"),
-        n.alias("total_records"),
-        (n - F.count("song_id")).alias("missing_song_ids"),
-        (n - F.count("title")).alias("missing_titles"),
-        (n - F.count("artist_name")).alias("missing_artists"),
-        (n - F.count("release_year")).alias("missing_years"),
-        F.round(F.avg(score), 3).alias("avg_quality_score"),
-        F.count_if(score >= HIGH_QUALITY_MIN).alias("high_quality_records"),
-        _now(updated_at).alias("last_updated"),
-    )
+    return dashboard_table(_coarse(silver), score_type(silver), updated_at, 2)
 
 
 # ---------------------------------------------------------------------------

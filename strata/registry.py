@@ -9,6 +9,7 @@ with the SQL oracle in ``strata.oracle_sql``.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,16 +24,21 @@ from strata.operators.topn import top_k, top_n_per_group
 from strata.plans import extracts as X
 from strata.plans import gold
 from strata.plans import silver as S
-from strata.plans.bronze import bronze
+from strata.plans.bronze import REJECTED, bronze
 from strata.plans.silver import flatten, silver
 from strata.schemas import RAW_SONG_SCHEMA, SONG_SCHEMA
 from strata.session import apply_defaults, scratch_path
-from strata.sinks.files import write_json, write_partitioned_json
+from strata.sinks.files import (
+    backup_json_to_parquet, save_table, write_json, write_partitioned_json,
+)
 from strata.sources.files import (
-    describe, file_inventory, preview, read_csv, read_json, read_parquet, register_view,
+    base_name, file_inventory, file_totals, preview, read_csv, read_json, read_parquet,
+    read_partitioned_json, register_view,
+)
+from strata.sources.songs import ROW_ID, load_songs
+from strata.streaming.layers import (
+    bronze_stream, refresh_gold, run_medallion, start_append, stream_decade_gold,
 )
-from strata.sources.songs import load_songs
-from strata.streaming.layers import run_medallion, stream_decade_gold
 
 AS_OF_YEAR = 2025
 PINNED_TS = _dt.datetime(2025, 1, 1, 0, 0, 0)
@@ -50,9 +56,15 @@ def pinned_ts():
     return F.lit(PINNED_TS)
 
 
-def _songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Session setting: into how many partitions song scans are spread (a shuffle
+#: of the whole source, for tables of one split on many cores). Unset: none.
+SPREAD = "spark.strata.spreadPartitions"
+
+
+def _songs(spark: SparkSession, sf_dir: str, **columns) -> DataFrame:
     apply_defaults(spark)
-    return load_songs(spark, sf_dir)
+    spread = spark.conf.get(SPREAD, None)
+    return load_songs(spark, sf_dir, spread=int(spread) if spread else None, **columns)
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,9 +112,15 @@ def q_quality_score(spark, sf_dir):
         "song_id", "title", quality_score(AS_OF_YEAR).alias("data_quality_score"))
 
 
+def q_album_releases_ordered(spark, sf_dir):
+    """The read-time order of the table as a column."""
+    return number_within(q_album_releases_by_year(spark, sf_dir), [],
+                         [F.desc("release_year"), F.desc("total_songs"), F.asc("artist_name")], "position")
+
+
 def q_bronze_songs(spark, sf_dir):
-    raw = load_songs(spark, sf_dir, with_source_file=True)
-    return bronze(raw, ingested_at=pinned_ts(), source_file=F.col("source_file")).drop("source_file")
+    raw = _songs(spark, sf_dir, with_source_file=True)
+    return bronze(raw, ingested_at=pinned_ts(), source_file=base_name(F.col("source_file")))
 
 
 def _rules(spark, sf_dir, parts):
@@ -140,7 +158,8 @@ def _table(spark, sf_dir, name):
 
 
 def q_extract_complete(spark, sf_dir):
-    return X.extract_complete(_songs(spark, sf_dir), extracted_at=pinned_ts())
+    return X.extract_complete(_songs(spark, sf_dir, with_source_file=True), extracted_at=pinned_ts(),
+                              source_file=base_name(F.col("source_file")))
 
 
 def q_extract_2000s(spark, sf_dir):
@@ -160,11 +179,31 @@ def q_extract_top_artists(spark, sf_dir):
 def q_extract_top_artists_json(spark, sf_dir):
     path = scratch_path(spark, "top_artists")
     write_partitioned_json(q_extract_top_artists(spark, sf_dir), path, "artist_name")
-    return read_json(spark, path, schema=TOP_ARTISTS_SCHEMA)
+    return read_partitioned_json(spark, path, "artist_name", TOP_ARTISTS_SCHEMA)
 
 
 def q_extract_sample(spark, sf_dir):
-    return X.extract_sample(_songs(spark, sf_dir), n=1000, seed=42, extracted_at=pinned_ts())
+    return X.extract_sample(_songs(spark, sf_dir, with_row_id=True), n=1000, seed=42,
+                            extracted_at=pinned_ts(), row_id=ROW_ID)
+
+
+def _written_sample(spark, sf_dir):
+    path = scratch_path(spark, "sample_1000")
+    write_json(q_extract_sample(spark, sf_dir), path)
+    return read_json(spark, path, schema=SAMPLE_SCHEMA)
+
+
+def q_extract_sample_check(spark, sf_dir):
+    """What any true sample of 1,000 songs satisfies, read back from its file."""
+    drawn = _written_sample(spark, sf_dir)
+    absent = drawn.join(_songs(spark, sf_dir).select("song_id").distinct(), "song_id", "left_anti")
+    per_id = drawn.groupBy("song_id").agg(F.count(F.lit(1)).alias("n"), F.min("data_source").alias("label"))
+    found = per_id.agg(
+        F.sum("n").alias("sample_rows"), F.count_if(F.col("song_id").isNull()).alias("null_ids"),
+        (F.count("song_id") >= 0.9 * F.sum("n")).alias("mostly_distinct"),
+        F.max("label").alias("data_source"), F.lit(1).alias("k"))
+    missing = absent.agg(F.count(F.lit(1)).alias("absent_rows"), F.lit(1).alias("k"))
+    return found.join(F.broadcast(missing), "k").drop("k")
 
 
 def _complete_json(spark, sf_dir):
@@ -182,21 +221,20 @@ def q_top10_artists(spark, sf_dir):
 
 
 def q_reconcile_counts(spark, sf_dir):
-    path = scratch_path(spark, "sample_1000")
-    write_json(q_extract_sample(spark, sf_dir), path)
-    return X.reconcile_counts(_songs(spark, sf_dir), read_json(spark, path, schema=SAMPLE_SCHEMA))
+    return X.reconcile_counts(_songs(spark, sf_dir), _written_sample(spark, sf_dir))
 
 
 def q_source_probe(spark, sf_dir):
-    return X.source_probe(read_parquet(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet",
-                                       with_source_file=True))
+    rows = read_parquet(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet", with_source_file=True)
+    return X.source_probe(rows.withColumn("source_file", base_name(F.col("source_file"))))
 
 
 def q_category_histogram(spark, sf_dir):
     path = scratch_path(spark, "part_csv")
     _table(spark, sf_dir, "part").write.mode("overwrite").option("header", "true").csv(path)
-    register_view(read_csv(spark, path), "part_csv")
-    return spark.sql("SELECT p_type, count(p_type) AS total FROM part_csv "
+    view = f"part_csv_{uuid.uuid4().hex[:8]}"
+    register_view(read_csv(spark, path), view)
+    return spark.sql(f"SELECT p_type, count(p_type) AS total FROM {view} "
                      "GROUP BY p_type ORDER BY p_type")
 
 
@@ -220,19 +258,63 @@ def q_partitioned_json_roundtrip(spark, sf_dir):
     return read_json(spark, path, schema=orders.schema)
 
 
+def q_partitioned_blank_roundtrip(spark, sf_dir):
+    """Partition values that a folder cannot hold as they are: '' and NULL."""
+    status = F.when(F.col("o_orderkey") % 3 == 0, F.lit("")).when(
+        F.col("o_orderkey") % 3 == 1, F.concat(F.lit("s"), (F.col("o_orderkey") % 5).cast("string")))
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", status.alias("status"))
+    path = scratch_path(spark, "orders_by_status")
+    write_partitioned_json(orders, path, "status")
+    return read_partitioned_json(spark, path, "status", orders.schema)
+
+
 def q_file_inventory(spark, sf_dir):
+    """Written folders with their files' presence and their rows."""
     orders = _table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
     path = scratch_path(spark, "orders_by_year")
     write_partitioned_json(orders, path, "o_year")
-    return file_inventory(spark, path, glob="*.json")
+    files = file_totals(file_inventory(spark, path, glob="*.json"))
+    rows = read_json(spark, path, schema=orders.schema).groupBy(
+        F.concat(F.lit("o_year="), F.col("o_year").cast("string")).alias("folder")).agg(
+        F.count(F.lit(1)).alias("row_count"))
+    return files.join(rows, "folder").select(
+        "folder", (F.col("files") > 0).alias("has_files"), "empty_files", "row_count")
 
 
 def q_source_preview(spark, sf_dir):
-    return preview(read_parquet(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet"), 5)
+    """The first rows of a scan, checked: how many, and how many are not in the source."""
+    source = read_parquet(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    keys = ["l_orderkey", "l_linenumber"]
+    shown = preview(source, 5).select(*keys)
+    absent = shown.join(source.select(*keys), keys, "left_anti").agg(
+        F.count(F.lit(1)).alias("absent_rows"), F.lit(1).alias("k"))
+    return shown.agg(F.count(F.lit(1)).alias("preview_rows"), F.lit(1).alias("k")).join(
+        F.broadcast(absent), "k").drop("k")
 
 
-def q_schema_description(spark, sf_dir):
-    return describe(_table(spark, sf_dir, "lineitem"))
+def q_orders_backup(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders")
+    path, copy = scratch_path(spark, "orders_json"), scratch_path(spark, "orders_backup")
+    write_json(orders, path)
+    backup_json_to_parquet(spark, path, copy, schema=orders.schema)
+    return spark.read.parquet(copy)
+
+
+def q_published_properties(spark, sf_dir):
+    """Comment and properties of a published table, read back from the catalog."""
+    name = f"strata_dashboard_{uuid.uuid4().hex[:8]}"
+    save_table(gold.quality_dashboard_v2(_silver(spark, sf_dir), updated_at=pinned_ts()), name,
+               comment="Owner's \\ dashboard", properties={"quality": "gold", "note": "it's 'quoted'"})
+    try:
+        shown = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        comment = next(r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()
+                       if r["col_name"] == "Comment")
+        total = spark.table(name).first()["total_records"]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.createDataFrame(
+        [("comment", comment), ("note", shown["note"]), ("quality", shown["quality"]),
+         ("total_records", str(total))], "property string, value string")
 
 
 def q_semi_join_top_suppliers(spark, sf_dir):
@@ -259,28 +341,66 @@ def q_topn_suppliers_per_flag(spark, sf_dir):
 
 # --- streaming --------------------------------------------------------------
 
-def _streamed(spark, sf_dir) -> dict:
-    """Songs land as JSON files; bronze and silver streams drain them in
-    several micro-batches."""
+def _landed(spark, sf_dir, files: int = 4) -> str:
+    """Songs as a few JSON files in a landing folder."""
     landing = scratch_path(spark, "landing")
-    write_json(_songs(spark, sf_dir), landing)
-    target = scratch_path(spark, "medallion")
-    res = run_medallion(spark, landing, target, as_of_year=AS_OF_YEAR, max_files_per_trigger=4,
-                        refresh=False, processed_at=pinned_ts())
-    return res["paths"]
+    write_json(load_songs(spark, sf_dir, spread=files), landing)
+    return landing
 
 
-def q_stream_bronze_silver(spark, sf_dir):
-    return flatten(spark.read.parquet(_streamed(spark, sf_dir)["silver"]))
+def _streamed(spark, sf_dir) -> dict:
+    """Bronze and silver streams over landed files, one file a micro-batch."""
+    return run_medallion(spark, _landed(spark, sf_dir), scratch_path(spark, "medallion"),
+                         as_of_year=AS_OF_YEAR, max_files_per_trigger=1, refresh=False,
+                         processed_at=pinned_ts())
 
 
-def q_stream_quality_dashboard(spark, sf_dir):
-    """The dashboard maintained incrementally by a stateful stream over silver."""
-    paths = _streamed(spark, sf_dir)
-    gold_root = f"{paths['gold']}_incremental"
-    stream_decade_gold(spark, paths["silver"], gold_root, f"{gold_root}/_checkpoint",
-                       updated_at=pinned_ts()).awaitTermination()
-    return spark.read.parquet(f"{gold_root}/data_quality_dashboard")
+def q_stream_bronze_silver(spark, sf_dir):
+    return flatten(spark.read.parquet(_streamed(spark, sf_dir)["paths"]["silver"]))
+
+
+def q_stream_expectations(spark, sf_dir):
+    """Counters of every micro-batch of the silver stream, as its listener saw them."""
+    totals = _streamed(spark, sf_dir)["expectations"]
+    return spark.createDataFrame(sorted(totals.items()), "counter string, total bigint")
+
+
+def q_stream_rejects(spark, sf_dir):
+    """Landed lines that are cut short or hold a wrong type stay whole in bronze."""
+    line = F.to_json(F.struct("o_orderkey", "o_custkey", "o_totalprice"))
+    damaged = F.when(F.col("o_orderkey") % 7 == 0, F.expr("substring(line, 1, length(line) - 3)")).when(
+        F.col("o_orderkey") % 7 == 1, F.regexp_replace("line", '"o_custkey":', '"o_custkey":"x')).otherwise(F.col("line"))
+    damaged = F.when(F.col("o_orderkey") % 7 == 1, F.regexp_replace(damaged, ',"o_totalprice"', '","o_totalprice"')).otherwise(damaged)
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "orders-bronze")
+    _table(spark, sf_dir, "orders").withColumn("line", line).select(damaged.alias("value")).write.text(landing)
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+                           T.StructField("o_totalprice", T.DoubleType())])
+    start_append(bronze_stream(spark, landing, schema=schema), target, f"{target}-checkpoint").awaitTermination()
+    rows = spark.read.parquet(target)
+    key = F.regexp_extract(REJECTED, '"o_orderkey":([0-9]+)', 1).cast("long")
+    return rows.where(F.col(REJECTED).isNotNull()).select(
+        key.alias("o_orderkey"), (~F.col(REJECTED).endswith("}")).alias("cut_short"))
+
+
+def _decade_gold(table: str):
+    def query(spark, sf_dir):
+        """Kept by a stateful stream over silver, several micro-batches."""
+        paths = _streamed(spark, sf_dir)["paths"]
+        gold_root = f"{paths['gold']}_incremental"
+        stream_decade_gold(spark, paths["silver"], gold_root, f"{gold_root}/_checkpoint",
+                           updated_at=pinned_ts(), max_files_per_trigger=1).awaitTermination()
+        return spark.read.parquet(f"{gold_root}/{table}")
+    return query
+
+
+def _refreshed(table: str):
+    def query(spark, sf_dir):
+        """As deployed: silver files, one refresh of all gold tables, one of them read."""
+        root = scratch_path(spark, "lake")
+        _silver(spark, sf_dir).write.parquet(f"{root}/silver")
+        return spark.read.parquet(refresh_gold(spark, f"{root}/silver", f"{root}/gold",
+                                               updated_at=pinned_ts())[table])
+    return query
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -315,10 +435,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_roundtrip": q_json_roundtrip,
     "partitioned_json_roundtrip": q_partitioned_json_roundtrip,
     "file_inventory": q_file_inventory,
-    "schema_description": q_schema_description,
+    "partitioned_blank_roundtrip": q_partitioned_blank_roundtrip,
+    "orders_backup": q_orders_backup,
+    "published_properties": q_published_properties,
+    "album_releases_ordered": q_album_releases_ordered,
+    "extract_sample_check": q_extract_sample_check,
     "source_preview": q_source_preview,
     "semi_join_top_suppliers": q_semi_join_top_suppliers,
     "topn_suppliers_per_flag": q_topn_suppliers_per_flag,
     "stream_bronze_silver": q_stream_bronze_silver,
-    "stream_quality_dashboard": q_stream_quality_dashboard,
+    "stream_expectations": q_stream_expectations,
+    "stream_rejects": q_stream_rejects,
+    "stream_music_trends": _decade_gold("music_trends_analysis"),
+    "stream_music_trends_v2": _decade_gold("music_trends_analysis_v2"),
+    "stream_quality_dashboard": _decade_gold("data_quality_dashboard"),
+    "stream_quality_dashboard_v2": _decade_gold("data_quality_dashboard_v2"),
+    **{f"gold_refresh_{name}": _refreshed(name) for name in gold.GOLD_TABLES},
 }

@@ -10,9 +10,14 @@ huge year nor thousands of tiny files stall the job.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sources.files import EMPTY_PARTITION
+
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                single_file: bool = False) -> str:
@@ -30,7 +35,11 @@ def write_partitioned_json(df: DataFrame, path: str, partition_col: str,
                            mode: str = "overwrite", max_records_per_file: int | None = None) -> str:
     """JSON under ``path/<partition_col>=<value>/``. The partition column leaves
     the JSON body and returns on read through partition discovery. An empty
-    string value is stored as the default partition and reads back as NULL."""
+    string gets a folder of its own (``EMPTY_PARTITION``), which
+    ``read_partitioned_json`` turns back."""
+    if isinstance(df.schema[partition_col].dataType, T.StringType):
+        df = df.withColumn(partition_col, F.when(F.col(partition_col) == "", F.lit(EMPTY_PARTITION))
+                           .otherwise(F.col(partition_col)))
     writer = df.hint("rebalance", partition_col).write.mode(mode).partitionBy(partition_col)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -40,7 +49,7 @@ def write_partitioned_json(df: DataFrame, path: str, partition_col: str,
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> str:
-    """Materialized view refresh: recompute and overwrite as Parquet."""
+    """Parquet files under ``path``."""
     writer = df.write.mode(mode)
     if partition_by:
         writer = df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
@@ -48,6 +57,44 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
+def replace_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
+    """Materialized view refresh: the new version is written beside the old
+    one and takes its name when it is complete; the old one is deleted last.
+    A failed write leaves the old version as it was."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex[:12]
+    path = path.rstrip("/")
+    parent, _, name = path.rpartition("/")
+    new, old = f"{parent}/_{name}-new-{mark}", f"{parent}/_{name}-old-{mark}"
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    try:
+        write_parquet(df, new, partition_by=partition_by)
+        had = fs.exists(at(path))
+        if had and not fs.rename(at(path), at(old)):
+            raise OSError(f"cannot set {path} aside")
+        if not fs.rename(at(new), at(path)):
+            if had:
+                fs.rename(at(old), at(path))
+            raise OSError(f"cannot publish {path}")
+        if had:
+            fs.delete(at(old), True)
+    finally:
+        if fs.exists(at(new)):
+            fs.delete(at(new), True)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def save_table(df: DataFrame, name: str, comment: str | None = None,
                properties: dict[str, str] | None = None, mode: str = "overwrite",
                fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
@@ -59,11 +106,10 @@ def save_table(df: DataFrame, name: str, comment: str | None = None,
     else:
         df.write.mode(mode).format(fmt).saveAsTable(name)
     if properties:
-        props = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        props = ", ".join(f"'{_quoted(k)}' = '{_quoted(v)}'" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
     if comment is not None:
-        escaped = comment.replace("'", "\\'")
-        spark.sql(f"COMMENT ON TABLE {name} IS '{escaped}'")
+        spark.sql(f"COMMENT ON TABLE {name} IS '{_quoted(comment)}'")
     return name
 
 

@@ -1,6 +1,6 @@
 """Structured Streaming: bronze ingest, silver cleansing, gold refresh."""
 
 from strata.streaming.layers import (  # noqa: F401
-    bronze_stream, expectation_totals, refresh_gold, run_medallion, silver_stream, start_append,
+    bronze_stream, refresh_gold, run_medallion, silver_stream, start_append,
     stream_decade_gold, ExpectationMonitor,
 )

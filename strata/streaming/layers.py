@@ -7,8 +7,8 @@
   file-sink output, so the silver stream lists it through the sink's
   ``_spark_metadata`` log: only committed files are read, never files left by
   failed or in-flight tasks.
-- Gold: recomputed from the whole of silver and overwritten (a materialized
-  view). Incremental gold is not possible as the tables are written:
+- Gold: recomputed from the whole of silver; a new version of each table
+  takes the place of the old one when it is complete. Incremental gold is not possible as the tables are written:
   streaming rejects distinct aggregates and ``row_number``.
 
 All state lives in checkpoint folders under the caller's target, so a
@@ -18,20 +18,23 @@ restarted job (or a lost executor) resumes without repeating or losing files.
 from __future__ import annotations
 
 import threading
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from strata.functions.quality import expectations
 from strata.operators.expectations import observe_expectations
-from strata.plans.bronze import bronze
-from strata.plans.gold import GOLD_PARTITIONING, GOLD_TABLES, TABLE_COMMENTS, TABLE_PROPERTIES
-from strata.plans.gold_shared import gold_layer
+from strata.plans.bronze import REJECTED, bronze
+from strata.plans import gold as G
 from strata.plans.silver import silver, silver_schema
 from strata.schemas import BRONZE_SCHEMA, RAW_SONG_SCHEMA
-from strata.sinks.files import save_table, write_parquet
+from strata.sinks.files import delete_path, replace_parquet, save_table, write_parquet
 
 SILVER_METRICS = "silver_expectations"
+BRONZE_METRICS = "bronze_rejects"
 
 
 def bronze_stream(spark: SparkSession, source: str, fmt: str = "json", schema=None,
@@ -46,10 +49,16 @@ def bronze_stream(spark: SparkSession, source: str, fmt: str = "json", schema=No
     processed files are moved out of the landing folder (``cleanSource``), so
     the per-trigger listing stays small however long the stream runs. Other
     file-source options (``latestFirst``, ``maxFileAge``, ...) pass through
-    ``options``.
+    ``options``. A JSON or CSV record that does not parse, or holds a value of
+    the wrong type, is kept whole in ``REJECTED`` beside what could be read;
+    rows and rejects are observed as BRONZE_METRICS.
     """
     declared = schema or RAW_SONG_SCHEMA
-    reader = spark.readStream.schema(declared).format(fmt)
+    text = fmt in ("json", "csv")
+    read_as = T.StructType([*declared.fields, T.StructField(REJECTED, T.StringType())]) if text else declared
+    reader = spark.readStream.schema(read_as).format(fmt)
+    if text:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECTED)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     for key, value in (options or {}).items():
@@ -62,7 +71,10 @@ def bronze_stream(spark: SparkSession, source: str, fmt: str = "json", schema=No
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", str(int(max_bytes_per_trigger)))
-    return bronze(reader.load(source), ingested_at=ingested_at, schema=declared)
+    rows = bronze(reader.load(source), ingested_at=ingested_at, schema=declared)
+    if not text:
+        return rows
+    return rows.observe(BRONZE_METRICS, F.count(F.lit(1)).alias("rows"), F.count(REJECTED).alias("rejected"))
 
 
 def silver_stream(spark: SparkSession, bronze_path: str, as_of_year: int | None = None,
@@ -94,18 +106,6 @@ def start_append(df: DataFrame, path: str, checkpoint: str, trigger: str = "avai
     return writer.start()
 
 
-def expectation_totals(query: StreamingQuery, name: str = SILVER_METRICS) -> dict[str, int]:
-    """Sum the observed expectation counters over the query's recent batches."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        metrics = (progress.observedMetrics or {}).get(name)
-        if metrics is None:
-            continue
-        for key, value in metrics.asDict().items():
-            totals[key] = totals.get(key, 0) + int(value or 0)
-    return totals
-
-
 class ExpectationMonitor(StreamingQueryListener):
     """Accumulate the observed expectation counters of every micro-batch.
 
@@ -120,7 +120,8 @@ class ExpectationMonitor(StreamingQueryListener):
         self.name = name
         self.on_violation = on_violation
         self.totals: dict[str, int] = {}
-        self._lock = threading.Lock()
+        self.ended: set[str] = set()
+        self._lock = threading.Condition()
 
     def onQueryStarted(self, event):  # noqa: N802 - listener API
         pass
@@ -142,41 +143,60 @@ class ExpectationMonitor(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):  # noqa: N802
-        pass
+        with self._lock:
+            self.ended.add(str(event.id))
+            self._lock.notify_all()
+
+    def await_totals(self, query: StreamingQuery, seconds: float = 60) -> dict[str, int]:
+        """Totals over all batches of a query that has ended (its events arrive later than it ends)."""
+        with self._lock:
+            if not self._lock.wait_for(lambda: str(query.id) in self.ended, seconds):
+                raise TimeoutError("the query's last events did not arrive")
+            return dict(self.totals)
 
 
 def refresh_gold(spark: SparkSession, silver_path: str, gold_root: str,
                  tables: dict | None = None, catalog_prefix: str | None = None,
-                 shared_scan: bool = True) -> dict[str, str]:
-    """Recompute every gold table from the silver files and overwrite it.
+                 shared_scan: bool = True, updated_at: Column | None = None) -> dict[str, str]:
+    """Recompute every gold table from the silver files and publish the new versions.
 
-    ``shared_scan`` (default) reads silver once for all tables
-    (``gold_shared.gold_layer``); otherwise each table reads it on its own.
+    ``shared_scan`` (default) aggregates silver once into partials, written
+    under ``gold_root`` for the time of the refresh, and builds all tables from
+    them (``gold.gold_layer``); otherwise each table aggregates on its own.
     With ``catalog_prefix`` (e.g. ``"analytics."``) the tables are published
     in the catalog instead, with their comments and properties.
     """
-    current = spark.read.parquet(silver_path)
-    if tables is None and shared_scan:
-        frames = gold_layer(current)
-    else:
-        frames = {name: build(current) for name, build in (tables or GOLD_TABLES).items()}
+    current, root = spark.read.parquet(silver_path), gold_root.rstrip("/")
+    work = f"{root}/_partials-{uuid.uuid4().hex[:12]}"
     out = {}
-    for name, frame in frames.items():
-        parts = GOLD_PARTITIONING.get(name)
-        if catalog_prefix is not None:
-            out[name] = save_table(frame, f"{catalog_prefix}{name}",
-                                   comment=TABLE_COMMENTS.get(name),
-                                   properties=TABLE_PROPERTIES.get(name), partition_by=parts)
+    try:
+        if tables is None and shared_scan:
+            partials = G.album_partials(current)
+            write_parquet(partials, f"{work}/albums")
+            partials = spark.read.schema(partials.schema).parquet(f"{work}/albums")
+            decades = G.decade_partials(partials)
+            write_parquet(decades, f"{work}/decades")
+            decades = spark.read.schema(decades.schema).parquet(f"{work}/decades")
+            frames = G.gold_layer(current, partials, decades, updated_at=updated_at)
         else:
-            out[name] = write_parquet(frame, f"{gold_root.rstrip('/')}/{name}",
-                                      partition_by=parts)
+            frames = {name: build(current) for name, build in (tables or G.GOLD_TABLES).items()}
+        for name, frame in frames.items():
+            parts = G.GOLD_PARTITIONING.get(name)
+            if catalog_prefix is not None:
+                out[name] = save_table(frame, f"{catalog_prefix}{name}",
+                                       comment=G.TABLE_COMMENTS.get(name),
+                                       properties=G.TABLE_PROPERTIES.get(name), partition_by=parts)
+            else:
+                out[name] = replace_parquet(frame, f"{root}/{name}", partition_by=parts)
+    finally:
+        delete_path(spark, work)
     return out
 
 
 def stream_decade_gold(spark: SparkSession, silver_path: str, gold_root: str,
                        checkpoint: str, trigger: str = "availableNow",
-                       interval: str = "1 minute",
-                       updated_at: Column | None = None) -> StreamingQuery:
+                       interval: str = "1 minute", updated_at: Column | None = None,
+                       max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Maintain the decomposable gold tables (trends v1/v2, dashboards v1/v2)
     incrementally from the silver stream.
 
@@ -187,15 +207,19 @@ def stream_decade_gold(spark: SparkSession, silver_path: str, gold_root: str,
     epoch after a failure rewrites the same content. Tables that need distinct
     counts or ``row_number`` stay on ``refresh_gold``.
     """
-    from strata.plans.gold_shared import DECADE_GRAIN, decade_tables, partial_aggs
-
-    source = spark.readStream.schema(silver_schema(spark)).parquet(silver_path)
-    running = source.groupBy(*DECADE_GRAIN).agg(*partial_aggs(with_rows=False))
+    source = spark.readStream.schema(silver_schema(spark))
+    if max_files_per_trigger:
+        source = source.option("maxFilesPerTrigger", max_files_per_trigger)
+    running = source.parquet(silver_path).groupBy(*G.DECADE_GRAIN).agg(*G.partial_aggs())
     root = gold_root.rstrip("/")
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        for name, table in decade_tables(batch, updated_at=updated_at).items():
-            write_parquet(table, f"{root}/{name}")
+        batch.persist()                    # about a hundred rows, read by four tables
+        try:
+            for name, table in G.decade_tables(batch, updated_at=updated_at).items():
+                replace_parquet(table, f"{root}/{name}")
+        finally:
+            batch.unpersist()
 
     writer = (running.writeStream.outputMode("complete").foreachBatch(publish)
                      .option("checkpointLocation", checkpoint))
@@ -215,35 +239,47 @@ def run_medallion(spark: SparkSession, source: str, target: str, fmt: str = "jso
     """Land -> bronze -> silver (streams) -> gold (recompute), under ``target``.
 
     With ``availableNow`` each stream drains what has landed and stops, in
-    order; with ``processingTime`` the two streams keep running and the
-    caller refreshes gold on its own schedule. ``max_files_per_trigger``
-    (or ``max_bytes_per_trigger``) rate-limits the landing (bronze) stream;
-    silver takes what bronze wrote. ``incremental_gold`` also runs
+    order; with ``processingTime`` the streams keep running and the caller
+    refreshes gold on its own schedule. ``max_files_per_trigger`` limits the
+    micro-batches of every stream, ``max_bytes_per_trigger`` those of the
+    landing (bronze) stream by size. ``incremental_gold`` also runs
     ``stream_decade_gold`` over silver (into ``gold/``), which keeps the trend
-    and dashboard tables current in continuous mode.
+    and dashboard tables current in continuous mode. ``expectations`` and
+    ``rejects`` in the result count every batch of the run.
     """
     root = target.rstrip("/")
     paths = {"bronze": f"{root}/bronze", "silver": f"{root}/silver", "gold": f"{root}/gold"}
-    bronze_q = start_append(
-        bronze_stream(spark, source, fmt=fmt, max_files_per_trigger=max_files_per_trigger,
-                      max_bytes_per_trigger=max_bytes_per_trigger),
-        paths["bronze"], f"{root}/_checkpoints/bronze", trigger=trigger, interval=interval)
-    if trigger == "availableNow":
-        bronze_q.awaitTermination()
-    silver_q = start_append(
-        silver_stream(spark, paths["bronze"], as_of_year=as_of_year, processed_at=processed_at),
-        paths["silver"], f"{root}/_checkpoints/silver", trigger=trigger, interval=interval)
-    result = {"paths": paths, "queries": [bronze_q, silver_q]}
-    if trigger == "availableNow":
-        silver_q.awaitTermination()
-        result["expectations"] = expectation_totals(silver_q)
+    drain = trigger == "availableNow"
+    monitors = {"rejects": ExpectationMonitor(BRONZE_METRICS), "expectations": ExpectationMonitor()}
+    for monitor in monitors.values() if drain else ():
+        spark.streams.addListener(monitor)
+    result: dict = {"paths": paths, "queries": []}
+    try:
+        bronze_q = start_append(
+            bronze_stream(spark, source, fmt=fmt, max_files_per_trigger=max_files_per_trigger,
+                          max_bytes_per_trigger=max_bytes_per_trigger),
+            paths["bronze"], f"{root}/_checkpoints/bronze", trigger=trigger, interval=interval)
+        if drain:
+            bronze_q.awaitTermination()
+        silver_q = start_append(
+            silver_stream(spark, paths["bronze"], as_of_year=as_of_year, processed_at=processed_at,
+                          max_files_per_trigger=max_files_per_trigger),
+            paths["silver"], f"{root}/_checkpoints/silver", trigger=trigger, interval=interval)
+        result["queries"] += [bronze_q, silver_q]
+        if drain:
+            silver_q.awaitTermination()
+            result["rejects"] = monitors["rejects"].await_totals(bronze_q)
+            result["expectations"] = monitors["expectations"].await_totals(silver_q)
+    finally:
+        for monitor in monitors.values() if drain else ():
+            spark.streams.removeListener(monitor)
     if incremental_gold:
         gold_q = stream_decade_gold(spark, paths["silver"], paths["gold"],
                                     f"{root}/_checkpoints/gold", trigger=trigger,
-                                    interval=interval)
+                                    interval=interval, max_files_per_trigger=max_files_per_trigger)
         result["queries"].append(gold_q)
-        if trigger == "availableNow":
+        if drain:
             gold_q.awaitTermination()
-    if trigger == "availableNow" and refresh:
+    if drain and refresh:
         result["gold"] = refresh_gold(spark, paths["silver"], paths["gold"])
     return result

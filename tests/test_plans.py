@@ -23,9 +23,19 @@ def test_trends_read_silver_once(spark):
         assert len(re.findall(r"FileScan parquet", plan)) == 1
 
 
-def test_dashboard_final_plan_reads_checkpointed_partials(spark):
-    plan = executed(Q["quality_dashboard"](spark, SF_SMALL))
-    assert "FileScan" not in plan and "Scan ExistingRDD" in plan
+def test_dashboard_total_and_groups_share_one_scan(spark):
+    df = Q["quality_dashboard"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and "SortAggregate" not in plan
+
+
+def test_stats_and_probe_copy_and_sort_no_rows(spark):
+    plan = executed(Q["extract_stats"](spark, SF_SMALL))
+    assert "Expand" not in plan
+    plan = executed(Q["source_probe"](spark, SF_SMALL))
+    # Only the per-file rows, after their aggregate, are compared as strings.
+    assert plan.rindex("HashAggregate") > plan.rindex("SortAggregate")
 
 
 def test_top_n_uses_window_group_limit(spark):

@@ -125,18 +125,41 @@ def test_category_histogram_null_group_counts_zero(spark):
     assert rows == [(None, 0), ("IF", 2), ("VS1", 1)]
 
 
-def test_sample_records_json_to_bronze_stream(spark, tmp_dir):
+def test_records_json_to_bronze_stream(spark, tmp_dir):
     from strata.schemas import ORDER_SCHEMA
     from strata.sinks.files import write_records_json
-    from strata.sources.literals import ORDERS
-    write_records_json(spark, ORDERS, ORDER_SCHEMA, f"{tmp_dir}/orders")
+    rows = [(k, k % 3, "2024-05-01T00:00:00Z", 10.5 * k, "EUR", 1) for k in range(7)]
+    write_records_json(spark, rows, ORDER_SCHEMA, f"{tmp_dir}/orders")
     q = start_append(bronze_stream(spark, f"{tmp_dir}/orders", schema=ORDER_SCHEMA),
                      f"{tmp_dir}/bronze_orders", f"{tmp_dir}/ckpt")
     q.awaitTermination()
     out = spark.read.parquet(f"{tmp_dir}/bronze_orders")
-    assert out.columns == [f.name for f in ORDER_SCHEMA.fields] + ["ingestion_timestamp",
-                                                                   "source_file"]
-    assert out.count() == 7 and out.where("total_amount IS NULL").count() == 0
+    assert out.columns == [f.name for f in ORDER_SCHEMA.fields] + [
+        "ingestion_timestamp", "source_file", "rejected_record"]
+    assert out.count() == 7 and out.where("total_amount IS NULL OR rejected_record IS NOT NULL").count() == 0
+
+
+def test_damaged_records_are_kept_and_counted(spark, tmp_dir):
+    from strata.streaming.layers import run_medallion
+    os.makedirs(f"{tmp_dir}/landing")
+    lines = [json.dumps({**d, "song_id": f"S{k}"}) for k, d in enumerate(_docs(3) * 2)]
+    lines[1], lines[4] = lines[1][:-5], lines[4].replace('"year": ', '"year": "x', 1).replace('"year": "x', '"year": "x", "was": ', 1)
+    with open(f"{tmp_dir}/landing/a.json", "w") as fh:
+        fh.write("\n".join(lines))
+    res = run_medallion(spark, f"{tmp_dir}/landing", f"{tmp_dir}/t", as_of_year=2025, refresh=False)
+    kept = spark.read.parquet(res["paths"]["bronze"])
+    assert sorted(r.rejected_record for r in kept.where("rejected_record IS NOT NULL").collect()) == sorted(
+        [lines[1], lines[4]])
+    assert res["rejects"] == {"rows": 6, "rejected": 2}
+
+
+def test_blank_partition_values_are_kept(spark, tmp_dir):
+    from strata.sinks.files import write_partitioned_json
+    from strata.sources.files import read_partitioned_json
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "a"), (4, " ")], "id int, p string")
+    write_partitioned_json(df, f"{tmp_dir}/p", "p")
+    back = read_partitioned_json(spark, f"{tmp_dir}/p", "p", df.schema)
+    assert {(r.id, r.p) for r in back.collect()} == {(1, ""), (2, None), (3, "a"), (4, " ")}
 
 
 def test_sample_extract_labels_and_size(spark):
@@ -169,14 +192,3 @@ def test_bronze_stream_size_limited_batches(spark, tmp_dir):
     q.awaitTermination()
     batches = [p.numInputRows for p in q.recentProgress if p.numInputRows]
     assert len(batches) >= 2 and sum(batches) == 2400
-
-
-def test_top_artists_numbering_modes_agree(spark):
-    from strata.plans.extracts import extract_top_artists
-    songs = load_songs(spark, SF_SMALL)
-    window = extract_top_artists(songs, top_n=5, min_songs=10, hot_rows=10**9)
-    mixed = extract_top_artists(songs, top_n=5, min_songs=10, hot_rows=595)  # 3 hot, 2 not
-    ranges = extract_top_artists(songs, top_n=5, min_songs=10, hot_rows=None)
-    assert window.count() > 0
-    for other in (mixed, ranges):
-        assert window.exceptAll(other).count() == 0 and other.exceptAll(window).count() == 0
