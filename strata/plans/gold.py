@@ -99,6 +99,12 @@ def album_partials(silver: DataFrame) -> DataFrame:
     return silver.groupBy(*GRAIN).agg(*partial_aggs())
 
 
+def song_partials(silver: DataFrame) -> DataFrame:
+    """Every song as a partial of itself: what the rankings need, without an aggregate."""
+    pop = F.col("popularity_score")
+    return silver.select(*GRAIN, pop.isNotNull().cast("long").alias("pop_n"), pop.alias("pop_sum"))
+
+
 def decade_partials(partials: DataFrame) -> DataFrame:
     """Album partials rolled up to (decade, year)."""
     return partials.groupBy(*DECADE_GRAIN).agg(
@@ -258,14 +264,14 @@ def album_releases_by_year(silver: DataFrame, min_songs: int = MIN_SONGS_PER_YEA
 def top_artists_by_decade(silver: DataFrame, min_songs: int = MIN_SONGS_RANKED,
                           top_n: int = TOP_PER_DECADE) -> DataFrame:
     """Top artists per silver decade; tier = the tier of a representative song."""
-    return artists_table(album_partials(silver), silver, F.col("decade_category"), False, min_songs, top_n)
+    return artists_table(song_partials(silver), silver, F.col("decade_category"), False, min_songs, top_n)
 
 
 def top_artists_by_decade_v2(silver: DataFrame, min_songs: int = MIN_SONGS_RANKED,
                              top_n: int = TOP_PER_DECADE) -> DataFrame:
     """Second edition: decades from release_year (2020s fold into 2010s) and the
     tier derived from the artist's average popularity."""
-    return artists_table(album_partials(silver), silver, decade_v2("release_year"), True, min_songs, top_n)
+    return artists_table(song_partials(silver), silver, decade_v2("release_year"), True, min_songs, top_n)
 
 
 def _coarse(silver: DataFrame) -> DataFrame:

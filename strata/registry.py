@@ -341,18 +341,17 @@ def q_topn_suppliers_per_flag(spark, sf_dir):
 
 # --- streaming --------------------------------------------------------------
 
-def _landed(spark, sf_dir, files: int = 4) -> str:
-    """Songs as a few JSON files in a landing folder."""
-    landing = scratch_path(spark, "landing")
-    write_json(load_songs(spark, sf_dir, spread=files), landing)
-    return landing
+def _batch_files(spark) -> int:
+    """Files per micro-batch: one for each core."""
+    return spark.sparkContext.defaultParallelism
 
 
 def _streamed(spark, sf_dir) -> dict:
-    """Bronze and silver streams over landed files, one file a micro-batch."""
-    return run_medallion(spark, _landed(spark, sf_dir), scratch_path(spark, "medallion"),
-                         as_of_year=AS_OF_YEAR, max_files_per_trigger=1, refresh=False,
-                         processed_at=pinned_ts())
+    """Songs land as JSON files; bronze and silver streams take them in three micro-batches."""
+    landing, files = scratch_path(spark, "landing"), _batch_files(spark)
+    write_json(load_songs(spark, sf_dir, spread=3 * files), landing)
+    return run_medallion(spark, landing, scratch_path(spark, "medallion"), as_of_year=AS_OF_YEAR,
+                         max_files_per_trigger=files, refresh=False, processed_at=pinned_ts())
 
 
 def q_stream_bronze_silver(spark, sf_dir):
@@ -388,7 +387,8 @@ def _decade_gold(table: str):
         paths = _streamed(spark, sf_dir)["paths"]
         gold_root = f"{paths['gold']}_incremental"
         stream_decade_gold(spark, paths["silver"], gold_root, f"{gold_root}/_checkpoint",
-                           updated_at=pinned_ts(), max_files_per_trigger=1).awaitTermination()
+                           updated_at=pinned_ts(),
+                           max_files_per_trigger=_batch_files(spark)).awaitTermination()
         return spark.read.parquet(f"{gold_root}/{table}")
     return query
 
