@@ -134,12 +134,15 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: i
         T.StructField("fp", T.LongType()), T.StructField(key, T.LongType()),
         T.StructField(none, T.BooleanType()), T.StructField(mark, T.LongType())])).parquet(path)
     roots = link_fingerprints(spark, rows, max_bits)
-    first = F.min(F.struct(none, key, mark)).alias("first")
-    least = rows.groupBy("fp").agg(first)
-    kept = (least.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first"))
-            .select("first.*"))
-    # One shuffle of the documents: the semi join and the removal of repeated
-    # rows (equal id and text) both work on the same three keys.
-    keys = [none, key, mark]
-    return (docs.withColumns(rowid).join(kept, keys, "left_semi").dropDuplicates(keys)
-            .select(*docs.columns))
+    # Equal rows share the three keys; how many they are rides along.
+    keys, several = [none, key, mark], free_name(docs, "_dedup_rows")
+    each = rows.groupBy("fp", *keys).agg(F.count(F.lit(1)).alias(several))
+    first = F.min(F.struct(*keys, several)).alias("first")
+    kept = (each.groupBy("fp").agg(first).join(roots, "fp").groupBy("root")
+            .agg(F.min("first").alias("first")).select("first.*"))
+    # One shuffle of the documents, joined without a sort; only rows that occur
+    # more than once are sorted to drop their repeats.
+    found = docs.withColumns(rowid).join(kept.hint("shuffle_hash"), keys)
+    once = found.where(F.col(several) == 1).select(*docs.columns)
+    repeated = found.where(F.col(several) > 1).dropDuplicates(keys).select(*docs.columns)
+    return once.unionByName(repeated)
