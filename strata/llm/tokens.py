@@ -36,7 +36,7 @@ class WordEncoder:
     is set apart first, as this tokenizer does itself: fewer words to remember.
     """
 
-    def __init__(self, path: str, memory: int = 200_000):
+    def __init__(self, path: str, memory: int = 250_000):
         # Workers are many already; threads inside each only contend.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.memory, self.seen = Tokenizer.from_file(path), memory, {}
