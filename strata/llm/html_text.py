@@ -10,8 +10,14 @@ or ``main`` whole, any other from its first to its last content line (and a
 heading just before). Inside the region short lines stay, too; elements that
 are boilerplate by tag, role or class never give lines.
 
-Defined results: NULL or empty html, or a page without text outside
-boilerplate, gives the empty text. Where no line stands out, all lines are the
+A word of a class or id hides an element only where its token has no modifier
+(``with-sidebar``, ``comments-open``). It never hides an element that holds a
+``main``, an outermost ``article`` or most of the page's text; comments alone stay
+hidden at any length where an ``article`` or ``main`` has running text outside
+them. Where nothing else is left, no such word hides.
+
+Defined results: NULL or empty html, or a page without text outside elements
+hidden by tag, role or attribute, gives the empty text. Where no line stands out, all lines are the
 region. Unclosed, crossed and unknown tags are taken as they come; character
 references are decoded; a block's white space becomes one space.
 """
@@ -37,23 +43,42 @@ _BLOCKS = frozenset("html body p div article main section header h1 h2 h3 h4 h5
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _WHOLE = frozenset(("article", "main"))
 _NEVER_HINTED = frozenset("html body main h1 h2 h3 h4 h5 h6".split())
+_COMMENTS = re.compile(r"comments?|commentlist|respond|disqus", re.I)
 _HINTS = re.compile(
-    r"(?:\A|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|alert|"
-    r"sidebar\w*|menu\w*|nav|navbar|navigation|breadcrumbs?|comments?|commentlist|respond|disqus|"
+    r"ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|alert|"
+    r"sidebar\w*|menu\w*|nav|navbar|navigation|breadcrumbs?|"
     r"share|sharing|social|related|recommend\w*|newsletter|subscribe|popup|modal|overlay|footer|"
-    r"masthead|pagination|pager|login|signup|widget|skip)(?:\Z|[\s_-])", re.I)
-_COMMENTS = re.compile(r"(?:\A|[\s_-])comment", re.I)
+    r"masthead|pagination|pager|login|signup|widget|skip|" + _COMMENTS.pattern, re.I)
+#: Parts of a class that say what a layout has or lacks, not what the element is.
+_MODIFIERS = frozenset("with without no has have open closed enabled disabled".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
 
 
+def hinted(named: str, words: re.Pattern) -> bool:
+    """Whether a class or id (tokens between white space) has one of ``words`` as a part."""
+    for token in named.split():
+        parts = re.split("[_-]", token)
+        if any(map(words.fullmatch, parts)) and not _MODIFIERS.intersection(map(str.lower, parts)):
+            return True
+    return False
+
+
 class Lines(HTMLParser):
-    """Streams events into lines: (text, tags, ids of the open elements, is a heading)."""
+    """Streams events into lines: (text, tags, ids of the open elements, is a heading).
+
+    Elements with a hint are numbered as they start; those in ``shown`` (None: all) are not hidden.
+    """
 
-    def __init__(self):
+    def __init__(self, shown: frozenset[int] | None = frozenset()):
         super().__init__(convert_charrefs=True)
+        self.shown = shown
+        self.hints: list[tuple[int, int, int, bool]] = []  # characters, articles, mains, comments
+        self.fixed = 0                                     # open elements hidden by tag, role or attribute
+        self.characters = self.articles = self.mains = 0   # outside those
+        self.running = 0                                   # characters of articles and mains, not hidden
         self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
         self.tag_of: list[str] = []                        # element id -> tag
-        self.open: list[tuple[str, int, bool]] = []        # tag, id, starts boilerplate
+        self.open: list[tuple[str, int, bool, int]] = []   # tag, id, starts boilerplate, hint or -1
         self.hidden = 0                                    # open elements that are boilerplate
         self.text: list[str] = []
         self.tags = 0
@@ -67,20 +92,21 @@ class Lines(HTMLParser):
                 self.tags = 0
             self.text = []
 
-    def boilerplate(self, tag, attrs) -> bool:
+    def boilerplate(self, tag, attrs) -> tuple[bool, bool]:
+        """Whether an element is boilerplate by tag, role or attribute, and by a hint."""
         if tag in _SKIPPED:
-            return True
+            return True, False
         if tag == "header":
-            return not any(e[0] in _WHOLE for e in self.open)
+            return not any(e[0] in _WHOLE for e in self.open), False
         if not attrs or tag in _NEVER_HINTED:
-            return False
+            return False, False
         a = dict(attrs)
         named = f"{a.get('class') or ''} {a.get('id') or ''}"
         if tag == "article":
-            return bool(_COMMENTS.search(named))
-        return ("hidden" in a or a.get("aria-hidden") == "true" or (a.get("role") or "") in _ROLES
-                or "display:none" in (a.get("style") or "").replace(" ", "").lower()
-                or bool(_HINTS.search(named)))
+            return False, hinted(named, _COMMENTS)
+        fixed = ("hidden" in a or a.get("aria-hidden") == "true" or (a.get("role") or "") in _ROLES
+                 or "display:none" in (a.get("style") or "").replace(" ", "").lower())
+        return fixed, not fixed and hinted(named, _HINTS)
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -96,11 +122,22 @@ class Lines(HTMLParser):
             self.text.append(" ")
         if tag in _VOID:
             return
-        hides = self.boilerplate(tag, attrs)
-        if block or hides:
-            self.open.append((tag, len(self.tag_of), hides))
+        fixed, hint = self.boilerplate(tag, attrs)
+        number = -1
+        if hint:
+            number = len(self.hints)
+            a = dict(attrs)
+            named = f"{a.get('class') or ''} {a.get('id') or ''}"
+            self.hints.append((-self.characters, -self.articles, -self.mains, hinted(named, _COMMENTS)))
+        elif tag in _WHOLE and not self.fixed:
+            self.mains += tag == "main"
+            self.articles += tag == "article" and not any(e[0] == "article" for e in self.open)
+        hides = fixed or hint and self.shown is not None and number not in self.shown
+        if block or hides or hint:
+            self.open.append((tag, len(self.tag_of), hides, number))
             self.tag_of.append(tag)
             self.hidden += hides
+            self.fixed += fixed
 
     def handle_startendtag(self, tag, attrs):
         self.tags += 1
@@ -110,7 +147,13 @@ class Lines(HTMLParser):
             self.text.append(" ")
 
     def leave(self):
-        self.hidden -= self.open.pop()[2]
+        _, _, hides, number = self.open.pop()
+        self.hidden -= hides
+        self.fixed -= hides and number < 0
+        if number >= 0:                                    # from counts at the start to those inside
+            characters, articles, mains, comments = self.hints[number]
+            self.hints[number] = (characters + self.characters, articles + self.articles,
+                                  mains + self.mains, comments)
 
     def handle_endtag(self, tag):
         self.tags += 1
@@ -124,19 +167,42 @@ class Lines(HTMLParser):
             self.leave()
 
     def handle_data(self, data):
-        if not self.hidden:
-            self.text.append(data)
+        if not self.fixed:
+            n = len("".join(data.split()))
+            self.characters += n
+            if not self.hidden:
+                self.text.append(data)
+                if not self.heading and any(e[0] in _WHOLE for e in self.open):
+                    self.running += n
+
+    def wrongly_hidden(self) -> frozenset[int]:
+        """Hints whose elements hold what no hint may hide."""
+        return frozenset(
+            k for k, (characters, articles, mains, comments) in enumerate(self.hints)
+            if mains or (articles or 2 * characters > self.characters) and not (comments and self.running))
 
     def parse_marked_section(self, i, report=1):
         end = self.rawdata.find(">", i)                    # any <![...> counts as a comment
         return end + 1 if end >= 0 else len(self.rawdata)
 
 
-def _lines(html: str) -> tuple[list[tuple[str, int, tuple[int, ...], bool]], list[str]]:
-    p = Lines()
+def _parsed(html: str, shown: frozenset[int] | None = frozenset()) -> Lines:
+    p = Lines(shown)
     p.feed(html)
     p.close()
     p.cut()
+    while p.open:
+        p.leave()
+    return p
+
+
+def _lines(html: str) -> tuple[list[tuple[str, int, tuple[int, ...], bool]], list[str]]:
+    p = _parsed(html)
+    shown = p.wrongly_hidden()
+    if shown:
+        p = _parsed(html, shown)
+    if not p.lines and p.hints:
+        p = _parsed(html, None)
     return p.lines, p.tag_of
 
 

@@ -60,3 +60,30 @@ def test_gaussian_and_threshold():
     assert html_text.smooth([3.0]) == [3.0]
     assert html_text.smooth([1.0] * 7) == pytest.approx([1.0] * 7)
     assert 1 < html_text.threshold([0.0, 1.0, 9.0, 10.0]) < 9
+
+
+LONG = " ".join(["A sentence with enough words to be content, and some more of them."] * 4)
+
+
+@pytest.mark.parametrize("attrs", [
+    "class='content with-sidebar'", "id='page' class='no-sidebar'", "class='post has-comments'",
+    "class='has-menu main-wrap'", "class='post comments-open'", "class='sidebar'", "id='social'", "class='comments'"])
+def test_layout_wrappers_are_not_hidden(attrs):
+    for inner in (f"<article><p>{LONG}</p></article>", f"<main><p>{LONG}</p></main>", f"<p>{LONG}</p>"):
+        page = f"<html><body><nav>x</nav><div {attrs}>{inner}</div><div class=ad>buy</div></body></html>"
+        assert html_text.main_text(page) == LONG
+
+
+def test_hints_still_hide():
+    junk = f"<div class='sidebar'><p>{LONG}</p></div><p class='share'>Share this</p>"
+    assert html_text.main_text(f"<body><main><p>{LONG}</p><p>Short.</p><p>{LONG}</p></main>{junk}</body>") == f"{LONG}\nShort.\n{LONG}"
+    thread = f"<div id='comments'>{f'<article class=comment><p>{LONG}</p></article>' * 9}</div>"
+    assert html_text.main_text(f"<body><article><p>{LONG}</p></article>{thread}</body>") == LONG
+    assert html_text.main_text(f"<article><p>{LONG}</p><div class=related><article>Teaser</article></div></article>") == LONG
+    assert html_text.main_text(f"<article class='commentary comments-open'><p>{LONG}</p></article>") == LONG
+
+
+def test_nothing_left_takes_all_lines():
+    page = "<div class=menu>one two</div><div class=share>six ten</div><div class=ad>two six</div>"
+    assert html_text.main_text(page) == "one two\nsix ten\ntwo six"
+    assert html_text.main_text("<nav>one</nav><div role=search>two</div>") == ""
