@@ -40,6 +40,8 @@ _WORDS = re.compile(r"[^\W\d_]+")
 
 #: Carriers per language, their length, and the bytes below which a block is short.
 CARRIERS, CARRIER_CHARACTERS, SHORT = 2, 125, 512
+#: Characters of a text that is learned before shorter ones.
+LONG = 200
 
 
 @dataclass
@@ -59,14 +61,16 @@ def learn(rows: DataFrame, rows_per_language: int = 100,
 
     The fit reads every row but keeps a bounded sample: per language the
     ``rows_per_language`` rows of smallest text hash (equal texts count once),
-    each giving at most ``dictionary_bytes / 20`` bytes, the last few carriers. Rows without text or
-    language are not used.
+    each giving at most ``dictionary_bytes / 20`` bytes, the last few carriers. Texts of
+    ``LONG`` characters come first; shorter ones with a letter fill up what these leave.
+    Rows without text or language are not used.
     """
     known = (rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-             .where(F.length("text") >= 200).select("lang", F.xxhash64("text").alias("h")).distinct())
+             .select("lang", F.xxhash64("text").alias("h"), (F.length("text") < LONG).alias("short"), "text")
+             .where(~F.col("short") | F.col("text").rlike(r"\p{L}")).drop("text").distinct())
     # First among 64 shares of a language, so that a common one is no single task's.
-    shares = Window.partitionBy("lang", F.pmod("h", F.lit(64))).orderBy("h")
-    first = Window.partitionBy("lang").orderBy("h")
+    shares = Window.partitionBy("lang", F.pmod("h", F.lit(64))).orderBy("short", "h")
+    first = Window.partitionBy("lang").orderBy("short", "h")
     picked = (known.withColumn("n", F.row_number().over(shares)).where(F.col("n") <= rows_per_language)
               .withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows_per_language)
               .select("lang", "h"))
@@ -75,22 +79,35 @@ def learn(rows: DataFrame, rows_per_language: int = 100,
               .withColumn("h", F.xxhash64("text"))
               .join(F.broadcast(picked), ["lang", "h"], "left_semi")
               .dropDuplicates(["lang", "h"]).orderBy("lang", "h").collect())
-    parts: dict[str, list[str]] = {}
+    parts: dict[str, tuple[list[str], list[str]]] = {}
     for r in sample:
         plain = letters_only(r.text)
         if plain:
-            parts.setdefault(r.lang, []).append(plain)
+            parts.setdefault(r.lang, ([], []))[len(r.text) < LONG].append(plain)
     share = max(1, dictionary_bytes // 20)
     model = Model({}, [])
-    for lang, texts in sorted(parts.items()):
-        # Carriers come from texts that the dictionary does not hold.
-        kept = max(1, len(texts) - CARRIERS)
-        data = b" ".join(t.encode()[:share] for t in texts[:kept])
+    for lang, (long, short) in sorted(parts.items()):
+        texts, carriers = held_out(long, short)
+        data = b" ".join(t.encode()[:share] for t in texts)
         model.dictionaries[lang] = data[-dictionary_bytes:]
-        model.carriers += [t[50:50 + CARRIER_CHARACTERS].encode() for t in texts[kept:]]
+        model.carriers += [c.encode() for c in carriers]
     return model
 
 
+def held_out(long: list[str], short: list[str]) -> tuple[list[str], list[str]]:
+    """The texts of a dictionary (what is cut first stands first) and carriers
+    from texts that it does not hold: long ones, or short ones joined (half at most)."""
+    if len(long) > CARRIERS or not short:
+        kept = max(1, len(long) - CARRIERS)
+        return short + long[:kept], [t[50:50 + CARRIER_CHARACTERS] for t in long[kept:]]
+    kept, joined = len(short), ""
+    while 2 * kept > len(short) + 1 and len(joined) < CARRIERS * CARRIER_CHARACTERS:
+        kept -= 1
+        joined += short[kept] + " "
+    pieces = (joined[k * CARRIER_CHARACTERS:(k + 1) * CARRIER_CHARACTERS].strip() for k in range(CARRIERS))
+    return short[:kept] + long, [p for p in pieces if p]
+
+
 def classifier(model: Model, level: int = 6, block_bytes: int = 4096,
                min_margin: float = 0.001):
     """A text -> (lang, score, margin, accepted) column function.

@@ -61,3 +61,41 @@ def test_nothing_and_one_language_learned(spark, no_docs):
 def test_ties_are_rejected():
     got = langid.classify_one("abc def", ["a", "b"], [lambda b: b, lambda b: b], [], 64, 0.001)
     assert got == ("a", 0.5, 0.0, False)
+
+
+def short_messages(lang, n):
+    """Different texts of under 200 characters."""
+    words = PROSE[lang].split()
+    return [" ".join(words[k % len(words):] + words[:k % len(words)])[:40 + k % 60] + f" {k}" for k in range(n)]
+
+
+def test_short_labelled_texts_are_learned(spark):
+    docs = spark.createDataFrame(rows(short_messages("en", 60)) + rows(short_messages("de", 60), "de", 100), DOCS)
+    model = langid.learn(docs)
+    assert sorted(model.dictionaries) == ["de", "en"] and len(model.carriers) == 2 * langid.CARRIERS
+    assert all(len(c) > 50 for c in model.carriers)
+    kept = langid.keep_identified(docs, model).collect()
+    out, name = langid.predict(docs, model)
+    got = [(r.lang, r[name].lang) for r in out.collect()]
+    assert len(kept) > 100 and sum(a == b for a, b in got) > 110
+
+
+def test_short_language_beside_a_long_one(spark):
+    long = [" ".join([PROSE["en"]] * (4 + k % 3)) + f" {k}" for k in range(120)]
+    docs = spark.createDataFrame(rows(long + short_messages("en", 30)) + rows(short_messages("de", 300), "de", 900)
+                                 + rows(["12", "", "!!!", "3.5"] * 40, "de", 2000), DOCS)
+    model = langid.learn(docs)
+    assert sorted(model.dictionaries) == ["de", "en"]
+    only_long = langid.learn(spark.createDataFrame(rows(long), DOCS))
+    assert model.dictionaries["en"] == only_long.dictionaries["en"]      # long texts come first
+    out, name = langid.predict(spark.createDataFrame(rows([PROSE["de"], PROSE["en"]]), DOCS), model)
+    assert [r[name].lang for r in out.collect()] == ["de", "en"]
+
+
+def test_short_texts_fill_up(spark):
+    docs = rows([PROSE["en"] * 4, PROSE["en"] * 5 + " x"] + short_messages("en", 50))
+    model = langid.learn(spark.createDataFrame(docs, DOCS), rows_per_language=20)
+    data = model.dictionaries["en"].decode()
+    assert langid.letters_only(PROSE["en"] * 4) in data and len(data) > len(PROSE["en"]) * 9 + 300
+    few = langid.learn(spark.createDataFrame(rows(["just one"]), DOCS))
+    assert few.dictionaries == {"en": b"just one"} and few.carriers == []
