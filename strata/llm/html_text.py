@@ -5,8 +5,9 @@ into lines at block tags; a line's text-to-tag ratio is its characters over its
 tags, on a log scale. Ratios are smoothed with a Gaussian over neighbouring lines and
 clustered into two by an iterated threshold; lines that reach it, smoothed or
 by themselves, are content.
-The element that holds most of that content gives the region: an ``article``
-or ``main`` whole, any other from its first to its last content line (and a
+The innermost ``article`` or ``main`` with four fifths of that content is the
+region, whole; or else the innermost element that has four fifths and every
+``article`` with content, from its first to its last content line (and a
 heading just before). Inside the region short lines stay, too; elements that
 are boilerplate by tag, role or class never give lines.
 
@@ -246,19 +247,23 @@ def main_text(html) -> str:
     cut = threshold(ratios)
     content = [max(r, o) >= cut for r, o in zip(ratios, own)]
     weight: dict[int, int] = {}
-    total = 0
+    held: dict[int, int] = {}                              # content lines of articles and mains
+    total = parts = 0
     for (text, _, path, _), good in zip(lines, content):
         if good:
             total += len(text)
             for e in path:
                 weight[e] = weight.get(e, 0) + len(text)
-    # The last (innermost) article or main with half the content, or else the
-    # innermost element with four fifths.
-    whole = [e for e, w in weight.items() if tag_of[e] in _WHOLE and 2 * w >= total]
+            if any(tag_of[e] in _WHOLE for e in path):
+                parts += 1
+                for e in path:
+                    held[e] = held.get(e, 0) + 1
+    # Elements with four fifths of the content lie in each other: the last is the innermost.
+    whole = [e for e, w in weight.items() if tag_of[e] in _WHOLE and 5 * w >= 4 * total]
     if whole:
         region = max(whole)
         return "\n".join(text for text, _, path, _ in lines if region in path)
-    near = [e for e, w in weight.items() if 5 * w >= 4 * total]
+    near = [e for e, w in weight.items() if 5 * w >= 4 * total and held.get(e, 0) == parts]
     inside = [k for k, line in enumerate(lines) if not near or max(near) in line[2]]
     good = [k for k in inside if content[k]]
     first, last = good[0], good[-1]

@@ -87,3 +87,23 @@ def test_nothing_left_takes_all_lines():
     page = "<div class=menu>one two</div><div class=share>six ten</div><div class=ad>two six</div>"
     assert html_text.main_text(page) == "one two\nsix ten\ntwo six"
     assert html_text.main_text("<nav>one</nav><div role=search>two</div>") == ""
+
+
+def test_region_holds_all_articles_and_sections():
+    def para(k):
+        return f"<p>{LONG} {k}</p>"
+
+    def lines(*which):
+        return "\n".join(f"{LONG} {k}" for k in which)
+
+    links = "<ul>" + "<li><a>x</a></li>" * 8 + "</ul>"
+    two = f"<article>{para(1)}{para(2)}{para(3)}</article><article>{para(4)}{para(5)}</article>"
+    for holder in ("main", "div"):
+        page = f"<body>{links}<{holder}>{two}</{holder}>{links}</body>"
+        assert html_text.main_text(page) == lines(1, 2, 3, 4, 5)
+        page = f"<body>{links}<{holder}>{para(0)}<article>{para(1)}{para(2)}{para(3)}</article>{para(4)}</{holder}>{links}</body>"
+        assert html_text.main_text(page) == lines(0, 1, 2, 3, 4)
+    three = f"<div>{two}</div><article>{para(6)}</article>"
+    assert html_text.main_text(f"<body>{links}<div>{three}</div>{links}</body>") == lines(1, 2, 3, 4, 5, 6)
+    most = f"<article>{para(1)}{para(2)}{para(3)}{para(4) * 4}</article>{para(5)}"
+    assert html_text.main_text(f"<body>{links}<main>{most}</main>{links}</body>") == lines(1, 2, 3, 4, 4, 4, 4)
