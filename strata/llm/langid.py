@@ -63,8 +63,18 @@ def learn(rows: DataFrame, rows_per_language: int = 100,
     ``rows_per_language`` rows of smallest text hash (equal texts count once),
     each giving at most ``dictionary_bytes / 20`` bytes, the last few carriers. Texts of
     ``LONG`` characters come first; shorter ones with a letter fill up what these leave.
-    Rows without text or language are not used.
+    Rows without text or language are not used. Texts are cut before they leave the
+    executors; a language costs the driver and each worker its dictionary, so the number
+    of languages is the caller's to bound.
     """
+    share = max(1, dictionary_bytes // 20)
+    # A share with its last character whole, and enough for a carrier.
+    kept_bytes = max(share + 3, 4 * (50 + CARRIER_CHARACTERS))
+
+    @F.pandas_udf(T.BinaryType())
+    def start(texts: pd.Series) -> pd.Series:
+        return pd.Series([letters_only(t).encode()[:kept_bytes] for t in texts], dtype=object)
+
     known = (rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
              .select("lang", F.xxhash64("text").alias("h"), (F.length("text") < LONG).alias("short"), "text")
              .where(~F.col("short") | F.col("text").rlike(r"\p{L}")).drop("text").distinct())
@@ -78,13 +88,14 @@ def learn(rows: DataFrame, rows_per_language: int = 100,
     sample = (rows.select("lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
               .withColumn("h", F.xxhash64("text"))
               .join(F.broadcast(picked), ["lang", "h"], "left_semi")
-              .dropDuplicates(["lang", "h"]).orderBy("lang", "h").collect())
+              .dropDuplicates(["lang", "h"])
+              .select("lang", "h", (F.length("text") < LONG).alias("short"), start("text").alias("start"))
+              .orderBy("lang", "h").collect())
     parts: dict[str, tuple[list[str], list[str]]] = {}
     for r in sample:
-        plain = letters_only(r.text)
+        plain = r.start.decode(errors="ignore")            # the cut may split the last character
         if plain:
-            parts.setdefault(r.lang, ([], []))[len(r.text) < LONG].append(plain)
-    share = max(1, dictionary_bytes // 20)
+            parts.setdefault(r.lang, ([], []))[r.short].append(plain)
     model = Model({}, [])
     for lang, (long, short) in sorted(parts.items()):
         texts, carriers = held_out(long, short)

@@ -99,3 +99,23 @@ def test_short_texts_fill_up(spark):
     assert langid.letters_only(PROSE["en"] * 4) in data and len(data) > len(PROSE["en"]) * 9 + 300
     few = langid.learn(spark.createDataFrame(rows(["just one"]), DOCS))
     assert few.dictionaries == {"en": b"just one"} and few.carriers == []
+
+
+def test_only_starts_of_texts_reach_the_driver(spark, monkeypatch):
+    sizes = []
+
+    def counted(self):
+        got = collect(self)
+        sizes.append(max(len(v.encode() if isinstance(v, str) else v) for r in got for v in r
+                         if isinstance(v, (str, bytes, bytearray))))
+        return got
+
+    long = [" ".join([PROSE["de"]] * 3000) + f" {k}" for k in range(3)] + ["漢字ü " * 40_000]
+    docs = spark.createDataFrame(rows(long, "de"), DOCS)
+    collect = type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", counted)
+    model = langid.learn(docs)
+    small = langid.learn(docs, dictionary_bytes=400)
+    assert sizes and max(sizes) <= 131_072 // 20 + 3
+    assert len(model.dictionaries["de"]) > 2 * 6000 and len(small.dictionaries["de"]) <= 41
+    assert [len(c.decode()) for c in model.carriers] == [langid.CARRIER_CHARACTERS] * 2 and small.carriers == model.carriers
