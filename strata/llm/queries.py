@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (
-    fingerprints, fm_quality, html_text, id_output, langid, pii, quality_rules, simhash,
-    sos_packing, sp_transducer,
+    divergence, fingerprints, fm_quality, html_text, id_output, langid, lexical, pii, quality_rules,
+    simhash, sos_packing, sp_transducer, suffix_dedup,
 )
 from strata.llm.common import id_bucket, table
 
@@ -79,10 +79,24 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sos_packing.pack_documents(spark, table(spark, sf_dir, "documents"), SEQUENCE_TOKENS)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents")))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_html_extraction, op3_pii, op4_sentencepiece, op5_fingerprints,
         op6_quality_rules, op7_id_output, op8_quality_classifier, op9_simhash,
-        op10_best_fit_packing)}
+        op10_best_fit_packing, op11_lexical_search, op12_suffix_dedup, op13_source_divergence)}
 
-ORACLE: dict[str, str] = {"op6_quality_rules": quality_rules.oracle()}
+ORACLE: dict[str, str] = {
+    "op6_quality_rules": quality_rules.oracle(), "op11_lexical_search": lexical.oracle(),
+    "op12_suffix_dedup": suffix_dedup.oracle(), "op13_source_divergence": divergence.oracle()}
