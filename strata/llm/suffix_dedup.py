@@ -48,7 +48,7 @@ from strata.session import scratch_path
 
 LENGTH, GRAM = 50, 17
 NO_ID = 2 ** 63 - 1                 # stands for a NULL id
-_ROUND = 1 << 20                    # window starts treated at a time
+_ROUND = 1 << 16                    # window starts treated at a time: fits a core's cache
 _LOW48 = np.uint64((1 << 48) - 1)
 _COMMON_BITS = 20
 
@@ -116,7 +116,8 @@ def stretches(text: np.ndarray, ends: np.ndarray, common: np.ndarray | None) ->
         last = breaks[np.searchsorted(breaks, first, side="right")]
         count = last - first
         body = _mix((sums[last + LENGTH - 1] - sums[first]) * down[first]) ^ _mix(count.astype(np.uint64))
-        parts.append((grams[where[first]], body, first + at, count))
+        # Least hashes are small ones: hashed again, they spread evenly over the buckets.
+        parts.append((_mix(~grams[where[first]]), body, first + at, count))
     if not parts:
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none.astype(np.uint64), none, none
@@ -486,7 +487,7 @@ def common_grams(docs: DataFrame, sample_docs: int = 1000, share: float = 0.01,
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, block_bytes: int = 8 << 20,
-                   bucket_bytes: int = 4 << 20, order_bytes: int = 3 << 20) -> DataFrame:
+                   bucket_bytes: int = 2 << 20, order_bytes: int = 1 << 20) -> DataFrame:
     """``doc_id, n_bytes, spans, kept`` for every row of ``docs``: removed spans
     (byte offsets, end exclusive) and the remaining bytes."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
