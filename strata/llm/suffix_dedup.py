@@ -305,12 +305,25 @@ def _resolver(common: np.ndarray | None, buckets: int):
 
 # --- the difference-cover order ---------------------------------------------------
 
-def _named(*columns: np.ndarray) -> np.ndarray:
-    """Ranks, from 1, of the rows of these columns of small numbers."""
-    rank = columns[0]
+def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks, from 1, of the numbers of ``key``, and an order that sorts them."""
+    order = np.argsort(key)
+    rank = np.empty(len(key), np.int64)
+    in_order = key[order]
+    rank[order] = np.cumsum(np.concatenate(([True], in_order[1:] != in_order[:-1]))) if len(key) else 0
+    return rank, order
+
+
+def _named(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_ranked`` of the rows of these columns of small numbers."""
+    key, bound = columns[0], int(columns[0].max(initial=0)) + 1
     for column in columns[1:]:
-        rank = np.unique(rank * (int(column.max(initial=0)) + 1) + column, return_inverse=True)[1]
-    return rank + 1
+        width = int(column.max(initial=0)) + 1
+        if bound * width >= 1 << 63:
+            key = _ranked(key)[0]
+            bound = len(key) + 1
+        key, bound = key * width + column, bound * width
+    return _ranked(key)
 
 
 def difference_cover_order(text: np.ndarray) -> np.ndarray:
@@ -324,28 +337,20 @@ def difference_cover_order(text: np.ndarray) -> np.ndarray:
     at = np.arange(n)
     cover = np.concatenate((at[1::3], at[2::3]))
     name = np.zeros(n + 64, np.int64)
-    name[cover] = np.unique(letter[cover], return_inverse=True)[1] + 1
+    name[cover] = _ranked(letter[cover])[0]
     for step in (6, 18):                      # sorted triples: 18 bytes, then, of the names, 54
-        name[cover] = _named(name[cover], name[cover + step], name[cover + 2 * step])
-    cover = cover[np.argsort(name[cover], kind="stable")]
+        name[cover], order = _named(name[cover], name[cover + step], name[cover + 2 * step])
+    cover = cover[order]
     width = int(name.max(initial=0)) + 1
     behind_1 = padded[:n] * width + name[1:n + 1]
     behind_2 = (padded[:n] * 256 + padded[1:n + 1]) * width + name[2:n + 2]
     rest = at[::3]
-    rest = rest[np.argsort(behind_1[rest], kind="stable")]
-    # Where a remaining suffix goes among the sorted ones: a member at 1 modulo 3 has
+    rest = rest[np.argsort(behind_1[rest])]
+    # A remaining suffix goes behind the members that are less: one at 1 modulo 3 has
     # a name one byte on, as the suffix has; one at 2 modulo 3 has it two bytes on.
-    one = cover % 3 == 1
-    key = np.where(one, behind_1[cover], behind_2[cover])
-    low, high = np.zeros(len(rest), np.int64), np.full(len(rest), len(cover), np.int64)
-    while len(rest) and len(cover):
-        open_ = low < high
-        if not open_.any():
-            break
-        mid = np.minimum((low + high) // 2, len(cover) - 1)
-        less = key[mid] < np.where(one[mid], behind_1[rest], behind_2[rest])
-        low, high = np.where(open_ & less, mid + 1, low), np.where(open_ & ~less, mid, high)
-    low = np.maximum.accumulate(low) if len(low) else low
+    # (Keys differ from the order in the cover only among suffixes of 54 equal bytes.)
+    low = sum(np.searchsorted(np.sort(behind[at[k::3]]), behind[rest]) for k, behind in ((1, behind_1), (2, behind_2)))
+    low = np.maximum.accumulate(low) if len(rest) else low
     out = np.empty(n, np.int64)
     mine = np.zeros(n, bool)
     mine[low + np.arange(len(rest))] = True
