@@ -174,8 +174,11 @@ def audit(spark: SparkSession, docs: DataFrame, min_docs: int = MIN_DOCS, top: i
     excess = flat.join(groups, ["lang", "source"]).select(
         "lang", "source", F.col("term").alias("item"), (p - q).alias("value")).where("value > 0")
 
-    ordered = vectors.select("lang", "cells").repartitionByRange("lang", F.size("cells"), "cells") \
-        .sortWithinPartitions("lang", F.size("cells"), "cells")
+    # Ranges by a short key (the driver samples it), the full order inside them.
+    first = F.get("cells", F.lit(0))
+    ordered = vectors.select("lang", "cells").repartitionByRange(
+        "lang", F.size("cells"), first["source"], first["n"], F.xxhash64("cells")
+    ).sortWithinPartitions("lang", F.size("cells"), "cells")
     runs = written(ordered.mapInArrow(encode_runs(block_terms), "lang string, block long, source string, "
                                       "n_terms long, starts array<long>, counts array<long>"), "runs")
     blocks = runs.where("source IS NULL").select("lang", "block", "n_terms").unionByName(
