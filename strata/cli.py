@@ -16,7 +16,6 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +33,7 @@ def register_layers(spark: SparkSession, silver_path: str, gold_root: str | None
     """Expose the layers to SQL as temporary views (songs_bronze, songs_silver,
     and every gold table found under ``gold_root``)."""
     from strata.plans.gold import GOLD_TABLES
+    from strata.sinks import versions
     names = []
     if bronze_path:
         spark.read.parquet(bronze_path).createOrReplaceTempView("songs_bronze")
@@ -42,10 +42,8 @@ def register_layers(spark: SparkSession, silver_path: str, gold_root: str | None
     names.append("songs_silver")
     for name in GOLD_TABLES if gold_root else []:
         try:
-            table = spark.read.parquet(f"{gold_root.rstrip('/')}/{name}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+            table = versions.read(spark, f"{gold_root.rstrip('/')}/{name}")
+        except FileNotFoundError:
             continue                      # not refreshed yet
         table.createOrReplaceTempView(name)
         names.append(name)

@@ -1,27 +1,21 @@
 """Deterministic representative row of a group (replaces ``first()``).
 
 ``first(col)`` depends on row arrival order, which changes with partitioning
-and retries. The smallest row by its key and values is the same every time.
-Strings do not fit a hash aggregate's buffer, so a minimum over all rows would
-sort them; the row is looked up for the groups that are wanted instead: a
-bounded, broadcast key list picks their rows, and each task forwards one row a
-group (``WindowGroupLimit``).
+and retries. The smallest row by its key and values is the same every time,
+merges by minimum, and is computed in the pass that aggregates the group, so
+partial tables can carry it and no group's rows are looked up again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strata.operators.semijoin import keep_keys
-from strata.operators.topn import top_n_per_group
 
-
-def representative_rows(df: DataFrame, groups: DataFrame, on: Sequence[str],
-                        order_cols: Sequence[str], max_rows: int) -> DataFrame:
-    """The smallest row by ``order_cols`` of each of ``groups`` (at most ``max_rows``)."""
-    rows = keep_keys(df, groups, list(on), max_rows=max_rows)
-    return top_n_per_group(rows, list(on), [F.col(c).asc_nulls_first() for c in order_cols], 1,
-                           rank_col="_first").drop("_first")
+def smallest_row(order_cols: Sequence[str], where: Column | None = None) -> Column:
+    """Aggregate: the smallest row by ``order_cols`` (NULLs first) of those that
+    pass ``where``, as a struct; NULL if there is none."""
+    row = F.struct(*order_cols)
+    return F.min(row if where is None else F.when(where, row))

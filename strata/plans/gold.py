@@ -13,7 +13,8 @@ Scale notes
   each task before the shuffle. Distinct albums are the album keys themselves.
 - Rankings run on (decade, artist) aggregates; the rank filter becomes
   ``WindowGroupLimit`` below the shuffle. The representative song of an artist
-  is fetched for the ranked artists alone (at most ``top_n`` a decade).
+  is a minimum that the same aggregates carry: silver is read once, and partial
+  tables hold all that a ranking needs.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from strata.functions.categories import (
     SIGNIFICANCE_MIN_ROWS, SIGNIFICANCE_MIN_ROWS_LOUDNESS, analysis_period, artist_tier, decade_v2,
     significance,
 )
-from strata.operators.representative import representative_rows
+from strata.operators.representative import smallest_row
 from strata.operators.topn import top_n_per_group
 from strata.operators.totals import decimal_mean
 
@@ -95,14 +96,42 @@ def partial_aggs() -> list[Column]:
     return aggs
 
 
+#: The row that stands for an artist: smallest by these, in this order.
+_REP = [*ROW_KEY, "artist_location", "popularity_tier"]
+
+
+def _rated() -> Column:
+    return F.col("release_year").isNotNull() & F.col("popularity_score").isNotNull()
+
+
 def album_partials(silver: DataFrame) -> DataFrame:
-    return silver.groupBy(*GRAIN).agg(*partial_aggs())
+    """Partials of every album and year, with the representative of its rated songs (``rep``)."""
+    return silver.groupBy(*GRAIN).agg(*partial_aggs(), smallest_row(_REP, _rated()).alias("rep"))
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """One row for each album and year, of album partials that were made apart."""
+    return partials.groupBy(*GRAIN).agg(
+        *[F.sum(c).cast(partials.schema[c].dataType).alias(c) for c in [*_COUNTS, *_SUMS]],
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+        F.min("rep").alias("rep")).select(*partials.columns)
 
 
-def song_partials(silver: DataFrame) -> DataFrame:
-    """Every song as a partial of itself: what the rankings need, without an aggregate."""
+def artist_albums(silver: DataFrame, decade: Column) -> DataFrame:
+    """Rated songs of every (decade, artist, album): what a ranking needs."""
     pop = F.col("popularity_score")
-    return silver.select(*GRAIN, pop.isNotNull().cast("long").alias("pop_n"), pop.alias("pop_sum"))
+    return silver.where(_rated()).groupBy(decade.alias("decade"), "artist_name", "album_info").agg(
+        F.count(F.lit(1)).alias("pop_n"), F.sum(pop).alias("pop_sum"), F.min("release_year").alias("first_year"),
+        F.max("release_year").alias("last_year"), smallest_row(_REP).alias("rep"))
+
+
+def artist_albums_of(partials: DataFrame, decade: Column) -> DataFrame:
+    """``artist_albums`` from album partials."""
+    return (partials.where(F.col("release_year").isNotNull() & (F.col("pop_n") > 0))
+            .groupBy(decade.alias("decade"), "artist_name", "album_info").agg(
+                F.sum("pop_n").alias("pop_n"), F.sum("pop_sum").alias("pop_sum"),
+                F.min("release_year").alias("first_year"), F.max("release_year").alias("last_year"),
+                F.min("rep").alias("rep")))
 
 
 def decade_partials(partials: DataFrame) -> DataFrame:
@@ -140,38 +169,31 @@ def releases_table(p: DataFrame, stype: T.DecimalType, min_songs: int = MIN_SONG
              .where(F.col("total_songs") >= min_songs))
 
 
-def ranked_artists(p: DataFrame, decade: Column, min_songs: int = MIN_SONGS_RANKED,
+def ranked_artists(albums: DataFrame, min_songs: int = MIN_SONGS_RANKED,
                    top_n: int = TOP_PER_DECADE) -> DataFrame:
-    """The first ``top_n`` artists of every decade, without their representative song."""
-    agg = (p.where(F.col("release_year").isNotNull() & (F.col("pop_n") > 0))
-            .groupBy(decade.alias("decade"), "artist_name").agg(
-                F.sum("pop_n").alias("total_songs"),
-                F.count_distinct("album_info").alias("total_releases"),
-                _mean("pop").alias("_avg_pop"),
-                (F.max("release_year") - F.min("release_year") + 1).cast("int")
-                 .alias("career_span_years")))
+    """The first ``top_n`` artists of every decade (``albums``: see ``artist_albums``)."""
+    agg = albums.groupBy("decade", "artist_name").agg(
+        F.sum("pop_n").alias("total_songs"),
+        F.count("album_info").alias("total_releases"),
+        _mean("pop").alias("_avg_pop"),
+        (F.max("last_year") - F.min("first_year") + 1).cast("int").alias("career_span_years"),
+        F.min("rep").alias("_rep"))
     return top_n_per_group(
         agg.where(F.col("total_songs") >= min_songs), ["decade"],
         [F.desc("total_songs"), F.desc("_avg_pop"), F.asc("artist_name")], top_n, rank_col="artist_rank")
 
 
-def artists_table(p: DataFrame, silver: DataFrame, decade: Column, tier_from_mean: bool,
-                  min_songs: int = MIN_SONGS_RANKED, top_n: int = TOP_PER_DECADE) -> DataFrame:
+def artists_table(albums: DataFrame, tier_from_mean: bool, min_songs: int = MIN_SONGS_RANKED,
+                  top_n: int = TOP_PER_DECADE) -> DataFrame:
     """Ranked artists with place and tier of their representative song
     (``tier_from_mean``: the tier of their mean popularity)."""
-    ranked = ranked_artists(p, decade, min_songs, top_n)
-    songs = (silver.where(F.col("release_year").isNotNull() & F.col("popularity_score").isNotNull())
-             .select(decade.alias("decade"), "artist_name", *ROW_KEY, "artist_location", "popularity_tier"))
-    # At most top_n artists for each of a dozen decade labels.
-    first = representative_rows(songs, ranked.select("decade", "artist_name"), ["decade", "artist_name"],
-                                [*ROW_KEY, "artist_location", "popularity_tier"], max_rows=20 * top_n)
     productivity = F.round(
         F.log(F.col("total_songs")) * F.col("_avg_pop") * F.col("career_span_years") / 10.0, 3)
-    tier = artist_tier(F.col("_avg_pop")) if tier_from_mean else F.col("popularity_tier")
-    return ranked.join(F.broadcast(first), ["decade", "artist_name"]).select(
+    tier = artist_tier(F.col("_avg_pop")) if tier_from_mean else F.col("_rep.popularity_tier")
+    return ranked_artists(albums, min_songs, top_n).select(
         "decade", "artist_name", "artist_rank", "total_songs", "total_releases",
         F.round("_avg_pop", 4).alias("avg_song_hotness"), "career_span_years",
-        F.coalesce("artist_location", F.lit(UNKNOWN_LOCATION)).alias("geographic_info"),
+        F.coalesce("_rep.artist_location", F.lit(UNKNOWN_LOCATION)).alias("geographic_info"),
         productivity.alias("productivity_score"), tier.alias("popularity_tier"))
 
 
@@ -240,14 +262,19 @@ def decade_tables(p: DataFrame, stype: T.DecimalType = T.DecimalType(15, 1),
     }
 
 
-def gold_layer(silver: DataFrame, partials: DataFrame, decades: DataFrame,
+def artist_tables(partials: DataFrame) -> dict[str, DataFrame]:
+    """Both rankings from album partials."""
+    return {
+        "top_artists_by_decade": artists_table(artist_albums_of(partials, F.col("decade_category")), False),
+        "top_artists_by_decade_v2": artists_table(artist_albums_of(partials, decade_v2("release_year")), True),
+    }
+
+
+def gold_layer(partials: DataFrame, decades: DataFrame, stype: T.DecimalType,
                updated_at: Column | None = None, **least) -> dict[str, DataFrame]:
     """All seven tables from written partials (``album_partials``, ``decade_partials``)."""
-    stype = score_type(silver)
     return {
-        "album_releases_by_year": releases_table(partials, stype),
-        "top_artists_by_decade": artists_table(partials, silver, F.col("decade_category"), False),
-        "top_artists_by_decade_v2": artists_table(partials, silver, decade_v2("release_year"), True),
+        "album_releases_by_year": releases_table(partials, stype), **artist_tables(partials),
         **decade_tables(decades, stype, updated_at, **least),
     }
 
@@ -264,14 +291,14 @@ def album_releases_by_year(silver: DataFrame, min_songs: int = MIN_SONGS_PER_YEA
 def top_artists_by_decade(silver: DataFrame, min_songs: int = MIN_SONGS_RANKED,
                           top_n: int = TOP_PER_DECADE) -> DataFrame:
     """Top artists per silver decade; tier = the tier of a representative song."""
-    return artists_table(song_partials(silver), silver, F.col("decade_category"), False, min_songs, top_n)
+    return artists_table(artist_albums(silver, F.col("decade_category")), False, min_songs, top_n)
 
 
 def top_artists_by_decade_v2(silver: DataFrame, min_songs: int = MIN_SONGS_RANKED,
                              top_n: int = TOP_PER_DECADE) -> DataFrame:
     """Second edition: decades from release_year (2020s fold into 2010s) and the
     tier derived from the artist's average popularity."""
-    return artists_table(song_partials(silver), silver, decade_v2("release_year"), True, min_songs, top_n)
+    return artists_table(artist_albums(silver, decade_v2("release_year")), True, min_songs, top_n)
 
 
 def _coarse(silver: DataFrame) -> DataFrame:

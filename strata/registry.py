@@ -25,17 +25,19 @@ from strata.plans import extracts as X
 from strata.plans import gold
 from strata.plans import silver as S
 from strata.plans.bronze import REJECTED, bronze
-from strata.plans.silver import flatten, silver
+from strata.plans.silver import flatten, silver, silver_schema
 from strata.schemas import RAW_SONG_SCHEMA, SONG_SCHEMA
 from strata.session import apply_defaults, scratch_path
+from strata.sinks import versions
 from strata.sinks.files import (
-    backup_json_to_parquet, save_table, write_json, write_partitioned_json,
+    backup_json_to_parquet, publish_view, write_json, write_partitioned_json,
 )
 from strata.sources.files import (
     base_name, file_inventory, file_totals, preview, read_csv, read_json, read_parquet,
     read_partitioned_json, register_view,
 )
 from strata.sources.songs import ROW_ID, load_songs
+from strata.streaming.incremental import artist_gold_merger
 from strata.streaming.layers import (
     bronze_stream, refresh_gold, run_medallion, start_append, stream_decade_gold,
 )
@@ -303,15 +305,16 @@ def q_orders_backup(spark, sf_dir):
 def q_published_properties(spark, sf_dir):
     """Comment and properties of a published table, read back from the catalog."""
     name = f"strata_dashboard_{uuid.uuid4().hex[:8]}"
-    save_table(gold.quality_dashboard_v2(_silver(spark, sf_dir), updated_at=pinned_ts()), name,
-               comment="Owner's \\ dashboard", properties={"quality": "gold", "note": "it's 'quoted'"})
+    publish_view(gold.quality_dashboard_v2(_silver(spark, sf_dir), updated_at=pinned_ts()), name,
+                 scratch_path(spark, "published"), comment="Owner's \\ dashboard",
+                 properties={"quality": "gold", "note": "it's 'quoted'"})
     try:
         shown = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
         comment = next(r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()
                        if r["col_name"] == "Comment")
         total = spark.table(name).first()["total_records"]
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
     return spark.createDataFrame(
         [("comment", comment), ("note", shown["note"]), ("quality", shown["quality"]),
          ("total_records", str(total))], "property string, value string")
@@ -389,17 +392,34 @@ def _decade_gold(table: str):
         stream_decade_gold(spark, paths["silver"], gold_root, f"{gold_root}/_checkpoint",
                            updated_at=pinned_ts(),
                            max_files_per_trigger=_batch_files(spark)).awaitTermination()
-        return spark.read.parquet(f"{gold_root}/{table}")
+        return versions.read(spark, f"{gold_root}/{table}")
+    return query
+
+
+def _artist_gold(table: str):
+    def query(spark, sf_dir):
+        """Kept by the silver stream, batch by batch; every batch is delivered twice, as after a failure."""
+        paths, root = _streamed(spark, sf_dir)["paths"], scratch_path(spark, "gold-artists")
+        merge = artist_gold_merger(root, max_deltas=2)
+
+        def delivered_twice(batch, epoch):
+            merge(batch, epoch)
+            merge(batch, epoch)
+
+        source = spark.readStream.schema(silver_schema(spark)).option("maxFilesPerTrigger", _batch_files(spark))
+        (source.parquet(paths["silver"]).writeStream.foreachBatch(delivered_twice).trigger(availableNow=True)
+         .option("checkpointLocation", f"{root}/_checkpoint").start().awaitTermination())
+        return versions.read(spark, f"{root}/{table}")
     return query
 
 
 def _refreshed(table: str):
     def query(spark, sf_dir):
-        """As deployed: silver files, one refresh of all gold tables, one of them read."""
+        """As deployed: silver files, a refresh of the table, its current version read."""
         root = scratch_path(spark, "lake")
         _silver(spark, sf_dir).write.parquet(f"{root}/silver")
-        return spark.read.parquet(refresh_gold(spark, f"{root}/silver", f"{root}/gold",
-                                               updated_at=pinned_ts())[table])
+        return versions.read(spark, refresh_gold(spark, f"{root}/silver", f"{root}/gold", tables=[table],
+                                                 updated_at=pinned_ts())[table])
     return query
 
 
@@ -450,5 +470,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_music_trends_v2": _decade_gold("music_trends_analysis_v2"),
     "stream_quality_dashboard": _decade_gold("data_quality_dashboard"),
     "stream_quality_dashboard_v2": _decade_gold("data_quality_dashboard_v2"),
+    "stream_album_releases_by_year": _artist_gold("album_releases_by_year"),
+    "stream_top_artists_by_decade": _artist_gold("top_artists_by_decade"),
+    "stream_top_artists_by_decade_v2": _artist_gold("top_artists_by_decade_v2"),
     **{f"gold_refresh_{name}": _refreshed(name) for name in gold.GOLD_TABLES},
 }

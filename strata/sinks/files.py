@@ -10,6 +10,7 @@ huge year nor thousands of tiny files stall the job.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,34 +58,6 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
-def replace_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Materialized view refresh: the new version is written beside the old
-    one and takes its name when it is complete; the old one is deleted last.
-    A failed write leaves the old version as it was."""
-    spark, mark = df.sparkSession, uuid.uuid4().hex[:12]
-    path = path.rstrip("/")
-    parent, _, name = path.rpartition("/")
-    new, old = f"{parent}/_{name}-new-{mark}", f"{parent}/_{name}-old-{mark}"
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path
-    fs = at(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    try:
-        write_parquet(df, new, partition_by=partition_by)
-        had = fs.exists(at(path))
-        if had and not fs.rename(at(path), at(old)):
-            raise OSError(f"cannot set {path} aside")
-        if not fs.rename(at(new), at(path)):
-            if had:
-                fs.rename(at(old), at(path))
-            raise OSError(f"cannot publish {path}")
-        if had:
-            fs.delete(at(old), True)
-    finally:
-        if fs.exists(at(new)):
-            fs.delete(at(new), True)
-    return path
-
-
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared file system, if it is there."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -113,6 +86,34 @@ def save_table(df: DataFrame, name: str, comment: str | None = None,
     return name
 
 
+def publish_view(df: DataFrame, name: str, location: str, comment: str | None = None,
+                 properties: dict[str, str] | None = None, partition_by: list[str] | None = None) -> str:
+    """Refresh a materialized view of the catalog: the rows go to a new folder
+    under ``location``, then one statement sets comment, properties and folder.
+
+    Readers see the old rows until that statement, and the old rows stay if the
+    write fails; a query that runs on keeps its files. Old folders but the last
+    are deleted."""
+    spark, location = df.sparkSession, location.rstrip("/")
+    path = f"{location}/{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
+    try:
+        write_parquet(df, path, mode="errorifexists", partition_by=partition_by)
+    except Exception:
+        delete_path(spark, path)
+        raise
+    columns = ", ".join(f"`{c}`" for c in df.columns)
+    note = f" COMMENT '{_quoted(comment)}'" if comment is not None else ""
+    props = ", ".join(f"'{_quoted(k)}' = '{_quoted(v)}'" for k, v in (properties or {}).items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name}{note}{f' TBLPROPERTIES ({props})' if props else ''} "
+              f"AS SELECT {columns} FROM parquet.`{path}`")
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(location).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    whole = sorted(f.getPath().getParent().toString() for f in fs.globStatus(jvm.Path(f"{location}/*/_SUCCESS")) or [])
+    for old in whole[:-2]:
+        delete_path(spark, old)
+    return name
+
+
 def backup_json_to_parquet(spark: SparkSession, source: str, target: str,
                            schema: T.StructType | None = None) -> str:
     """Copy a JSON extract into a Parquet backup (overwrite)."""

@@ -7,9 +7,9 @@
   file-sink output, so the silver stream lists it through the sink's
   ``_spark_metadata`` log: only committed files are read, never files left by
   failed or in-flight tasks.
-- Gold: recomputed from the whole of silver; a new version of each table
-  takes the place of the old one when it is complete. Incremental gold is not possible as the tables are written:
-  streaming rejects distinct aggregates and ``row_number``.
+- Gold: recomputed from the whole of silver, or kept current by the stream
+  (``stream_decade_gold`` here, releases and rankings in ``incremental``). Every
+  new version of a table is published whole (``sinks.versions``).
 
 All state lives in checkpoint folders under the caller's target, so a
 restarted job (or a lost executor) resumes without repeating or losing files.
@@ -31,7 +31,10 @@ from strata.plans.bronze import REJECTED, bronze
 from strata.plans import gold as G
 from strata.plans.silver import silver, silver_schema
 from strata.schemas import BRONZE_SCHEMA, RAW_SONG_SCHEMA
-from strata.sinks.files import delete_path, replace_parquet, save_table, write_parquet
+from strata.sinks import versions
+from strata.sinks.files import delete_path, publish_view, write_parquet
+from strata.streaming.incremental import stream_artist_gold
+from strata.streaming.triggers import triggered
 
 SILVER_METRICS = "silver_expectations"
 BRONZE_METRICS = "bronze_rejects"
@@ -97,13 +100,7 @@ def start_append(df: DataFrame, path: str, checkpoint: str, trigger: str = "avai
                 .option("checkpointLocation", checkpoint).option("path", path))
     if query_name:
         writer = writer.queryName(query_name)
-    if trigger == "availableNow":
-        writer = writer.trigger(availableNow=True)
-    elif trigger == "processingTime":
-        writer = writer.trigger(processingTime=interval)
-    else:
-        raise ValueError(f"unknown trigger {trigger!r}")
-    return writer.start()
+    return triggered(writer, trigger, interval).start()
 
 
 class ExpectationMonitor(StreamingQueryListener):
@@ -156,38 +153,44 @@ class ExpectationMonitor(StreamingQueryListener):
 
 
 def refresh_gold(spark: SparkSession, silver_path: str, gold_root: str,
-                 tables: dict | None = None, catalog_prefix: str | None = None,
+                 tables: list[str] | None = None, catalog_prefix: str | None = None,
                  shared_scan: bool = True, updated_at: Column | None = None) -> dict[str, str]:
-    """Recompute every gold table from the silver files and publish the new versions.
+    """Recompute the gold tables (or those named in ``tables``) from the silver files
+    and publish the new versions.
 
     ``shared_scan`` (default) aggregates silver once into partials, written
     under ``gold_root`` for the time of the refresh, and builds all tables from
     them (``gold.gold_layer``); otherwise each table aggregates on its own.
-    With ``catalog_prefix`` (e.g. ``"analytics."``) the tables are published
-    in the catalog instead, with their comments and properties.
+    Each table becomes the next version of its folder (``sinks.versions``; read it
+    with ``versions.read``), so readers never see half of a refresh. With
+    ``catalog_prefix`` (e.g. ``"analytics."``) the tables are published as catalog
+    views over their folders instead, with comments and properties.
     """
     current, root = spark.read.parquet(silver_path), gold_root.rstrip("/")
-    work = f"{root}/_partials-{uuid.uuid4().hex[:12]}"
+    work, wanted = f"{root}/_partials-{uuid.uuid4().hex[:12]}", list(tables or G.GOLD_TABLES)
     out = {}
     try:
-        if tables is None and shared_scan:
+        if shared_scan and len(wanted) > 1:
             partials = G.album_partials(current)
             write_parquet(partials, f"{work}/albums")
             partials = spark.read.schema(partials.schema).parquet(f"{work}/albums")
             decades = G.decade_partials(partials)
             write_parquet(decades, f"{work}/decades")
             decades = spark.read.schema(decades.schema).parquet(f"{work}/decades")
-            frames = G.gold_layer(current, partials, decades, updated_at=updated_at)
+            frames = G.gold_layer(partials, decades, G.score_type(current), updated_at=updated_at)
         else:
-            frames = {name: build(current) for name, build in (tables or G.GOLD_TABLES).items()}
+            clock = lambda name: {"updated_at": updated_at} if "dashboard" in name else {}
+            frames = {name: G.GOLD_TABLES[name](current, **clock(name)) for name in wanted}
+        frames = {name: frames[name] for name in wanted}
         for name, frame in frames.items():
             parts = G.GOLD_PARTITIONING.get(name)
             if catalog_prefix is not None:
-                out[name] = save_table(frame, f"{catalog_prefix}{name}",
-                                       comment=G.TABLE_COMMENTS.get(name),
-                                       properties=G.TABLE_PROPERTIES.get(name), partition_by=parts)
+                out[name] = publish_view(frame, f"{catalog_prefix}{name}", f"{root}/{name}",
+                                         comment=G.TABLE_COMMENTS.get(name),
+                                         properties=G.TABLE_PROPERTIES.get(name), partition_by=parts)
             else:
-                out[name] = replace_parquet(frame, f"{root}/{name}", partition_by=parts)
+                versions.publish(frame, f"{root}/{name}", parts)
+                out[name] = f"{root}/{name}"
     finally:
         delete_path(spark, work)
     return out
@@ -205,7 +208,7 @@ def stream_decade_gold(spark: SparkSession, silver_path: str, gold_root: str,
     complete mode every micro-batch sees all current partials and
     ``foreachBatch`` rewrites the four finished tables from them. Re-running an
     epoch after a failure rewrites the same content. Tables that need distinct
-    counts or ``row_number`` stay on ``refresh_gold``.
+    counts or ``row_number`` are kept by ``incremental.stream_artist_gold``.
     """
     source = spark.readStream.schema(silver_schema(spark))
     if max_files_per_trigger:
@@ -217,17 +220,13 @@ def stream_decade_gold(spark: SparkSession, silver_path: str, gold_root: str,
         batch.persist()                    # about a hundred rows, read by four tables
         try:
             for name, table in G.decade_tables(batch, updated_at=updated_at).items():
-                replace_parquet(table, f"{root}/{name}")
+                versions.publish(table, f"{root}/{name}")
         finally:
             batch.unpersist()
 
     writer = (running.writeStream.outputMode("complete").foreachBatch(publish)
                      .option("checkpointLocation", checkpoint))
-    if trigger == "availableNow":
-        writer = writer.trigger(availableNow=True)
-    else:
-        writer = writer.trigger(processingTime=interval)
-    return writer.start()
+    return triggered(writer, trigger, interval).start()
 
 
 def run_medallion(spark: SparkSession, source: str, target: str, fmt: str = "json",
@@ -243,8 +242,8 @@ def run_medallion(spark: SparkSession, source: str, target: str, fmt: str = "jso
     refreshes gold on its own schedule. ``max_files_per_trigger`` limits the
     micro-batches of every stream, ``max_bytes_per_trigger`` those of the
     landing (bronze) stream by size. ``incremental_gold`` also runs
-    ``stream_decade_gold`` over silver (into ``gold/``), which keeps the trend
-    and dashboard tables current in continuous mode. ``expectations`` and
+    ``stream_decade_gold`` and ``stream_artist_gold`` over silver (into ``gold/``),
+    which keep all gold tables current, in continuous mode too. ``expectations`` and
     ``rejects`` in the result count every batch of the run.
     """
     root = target.rstrip("/")
@@ -277,9 +276,12 @@ def run_medallion(spark: SparkSession, source: str, target: str, fmt: str = "jso
         gold_q = stream_decade_gold(spark, paths["silver"], paths["gold"],
                                     f"{root}/_checkpoints/gold", trigger=trigger,
                                     interval=interval, max_files_per_trigger=max_files_per_trigger)
-        result["queries"].append(gold_q)
-        if drain:
-            gold_q.awaitTermination()
+        artists_q = stream_artist_gold(spark, paths["silver"], paths["gold"],
+                                       f"{root}/_checkpoints/gold_artists", trigger=trigger,
+                                       interval=interval, max_files_per_trigger=max_files_per_trigger)
+        result["queries"] += [gold_q, artists_q]
+        for query in (gold_q, artists_q) if drain else ():
+            query.awaitTermination()
     if drain and refresh:
         result["gold"] = refresh_gold(spark, paths["silver"], paths["gold"])
     return result

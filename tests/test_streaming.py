@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from strata.plans.silver import flatten, silver
+from strata.sinks import versions
 from strata.sinks.files import write_json
 from strata.sources.songs import load_songs
 from strata.streaming.layers import run_medallion
@@ -38,7 +39,7 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark, tmp_dir):
         assert exp[f"{rule}__passed"] + exp[f"{rule}__failed"] + exp[f"{rule}__null"] == exp["rows"]
 
     # Gold refreshed from silver files.
-    gold = spark.read.parquet(res["gold"]["album_releases_by_year"])
+    gold = versions.read(spark, res["gold"]["album_releases_by_year"])
     assert gold.count() > 0
 
     # Same checkpoints, no new files: nothing is appended.
@@ -69,7 +70,7 @@ def test_incremental_decade_gold_matches_batch(spark, tmp_dir):
             build = GOLD_TABLES[name]
             want = (build(current_silver, updated_at=ts()) if "dashboard" in name
                     else build(current_silver))
-            got = spark.read.parquet(f"{gold}/{name}").select(*want.columns)
+            got = versions.read(spark, f"{gold}/{name}").select(*want.columns)
             assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name
 
     s1 = run_once()
@@ -111,25 +112,28 @@ def test_gold_refresh_partitioned_layout(spark, tmp_dir):
     silver_path = f"{tmp_dir}/silver"
     silver(load_songs(spark, SF_SMALL), as_of_year=2025).write.parquet(silver_path)
     out = refresh_gold(spark, silver_path, f"{tmp_dir}/gold")
-    years = [d for d in os.listdir(out["album_releases_by_year"]) if d.startswith("release_year=")]
-    decades = [d for d in os.listdir(out["top_artists_by_decade"]) if d.startswith("decade=")]
+    years = [d for d in os.listdir(out["album_releases_by_year"] + "/data") if d.startswith("release_year=")]
+    decades = [d for d in os.listdir(out["top_artists_by_decade"] + "/data") if d.startswith("decade=")]
     assert len(years) > 10 and len(decades) >= 7
-    table = spark.read.parquet(out["album_releases_by_year"])
+    table = versions.read(spark, out["album_releases_by_year"])
     plan = table.where("release_year = 2000")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(release_year" in plan
 
 
 def test_run_medallion_with_incremental_gold(spark, tmp_dir):
-    from strata.plans.gold import quality_dashboard_v2
+    from strata.plans.gold import album_releases_by_year, quality_dashboard_v2
     songs = load_songs(spark, SF_SMALL)
     write_json(songs.repartition(2), f"{tmp_dir}/landing")
     res = run_medallion(spark, f"{tmp_dir}/landing", f"{tmp_dir}/t", as_of_year=2025,
                         refresh=False, incremental_gold=True, processed_at=ts())
-    got = spark.read.parquet(f"{res['paths']['gold']}/data_quality_dashboard_v2")
+    got = versions.read(spark, f"{res['paths']['gold']}/data_quality_dashboard_v2")
     want = quality_dashboard_v2(spark.read.parquet(res["paths"]["silver"]))
     cols = [c for c in want.columns if c != "last_updated"]
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
-    assert len(res["queries"]) == 3
+    assert len(res["queries"]) == 4
+    releases = versions.read(spark, f"{res['paths']['gold']}/album_releases_by_year")
+    want = album_releases_by_year(spark.read.parquet(res["paths"]["silver"]))
+    assert releases.select(*want.columns).exceptAll(want).count() == 0 and releases.count() == want.count()
 
 
 def test_continuous_mode_keeps_incremental_gold_current(spark, tmp_dir):
@@ -146,7 +150,7 @@ def test_continuous_mode_keeps_incremental_gold_current(spark, tmp_dir):
         for q in res["queries"]:          # bronze -> silver -> gold, drained in order
             q.processAllAvailable()
         silver_now = spark.read.parquet(res["paths"]["silver"])
-        got = spark.read.parquet(f"{res['paths']['gold']}/data_quality_dashboard_v2")
+        got = versions.read(spark, f"{res['paths']['gold']}/data_quality_dashboard_v2")
         want = quality_dashboard_v2(silver_now)
         assert got.first()["total_records"] == want.first()["total_records"] == silver_now.count()
     finally:
