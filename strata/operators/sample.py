@@ -1,22 +1,16 @@
-"""Exact random sample of ``n`` rows (``ORDER BY rand() LIMIT n``) that scales.
-
-Every row draws a score of its own, equal rows too: a seeded hash of the
-row's place in its source (``row_id``: file and row number, the same in every
-pass and every retried task), or, where a source has none, seeded ``rand()``
-right above the scan, which repeats for each of its splits (never above a shuffle,
-whose row order may differ between passes).
-
-Two passes, no full sort:
-
-1. a histogram of the scores over power-of-two buckets (bucket k holds the
-   scores whose offset from the minimum lies in [2^k, 2^(k+1))): one
-   aggregation over the score alone, returning at most 65 rows;
-2. the rows of the smallest bucket prefix that holds at least ``n`` rows are
-   the candidates (fewer than about 2n when scores are uniform); the final
-   top-n runs on those.
-
-Buckets are monotonic in the score, so the candidates always contain the
-``n`` smallest scores: the result is exactly those rows.
+"""Exact random sample of ``n`` rows (``ORDER BY rand() LIMIT n``) in one pass.
+
+Every row draws a score of its own, equal rows too: a seeded hash of the row's
+place in its source (``row_id``: file and row number), or, where a source has
+none (JSON, CSV), seeded ``rand()``, which repeats when a task reads its split
+again. The sample is the ``n`` smallest scores.
+
+Each task keeps its ``n`` smallest and sends them to one of ``MERGERS`` groups
+of tasks, each of which keeps its ``n`` smallest again; the last merge sees at
+most ``n * MERGERS`` rows, however many tasks there are. The source is read once
+and nothing runs before the result is asked for. Beyond the number of rows up
+to which Spark limits a window group in the task (``windowGroupLimitThreshold``),
+tasks send their rows to the last merge directly.
 """
 
 from __future__ import annotations
@@ -27,7 +21,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_OFFSET = float(2 ** 63)
+from strata.operators.topn import top_k, top_n_per_group
+
+MERGERS = 64
 
 
 def score(seed: int, row_id: Sequence[str] = ()) -> Column:
@@ -37,11 +33,6 @@ def score(seed: int, row_id: Sequence[str] = ()) -> Column:
     return ((F.rand(seed) - 0.5) * 2.0 ** 64).cast("long")
 
 
-def _bucket(scored: Column) -> Column:
-    # floor(log2(score - min)); the minimum itself (log2(0) is NULL) is bucket -1.
-    return F.coalesce(F.floor(F.log2(scored.cast("double") + F.lit(_OFFSET))), F.lit(-1))
-
-
 def sample_rows(df: DataFrame, n: int, seed: int | None = None, where: Column | None = None,
                 row_id: Sequence[str] = ()) -> DataFrame:
     """Exactly ``min(n, count)`` uniformly chosen rows of those that pass
@@ -50,14 +41,7 @@ def sample_rows(df: DataFrame, n: int, seed: int | None = None, where: Column |
     scored = df.withColumn("_r", score(seed, row_id))
     if where is not None:
         scored = scored.where(where)
-    scored = scored.withColumn("_b", _bucket(F.col("_r")))
-    histogram = sorted((r["_b"], r["count"]) for r in scored.groupBy("_b").count().collect())
-    total, cut = 0, None
-    for bucket, count in histogram:           # at most 65 buckets
-        total += count
-        if total >= n:
-            cut = bucket
-            break
-    if cut is not None:                       # else fewer than n rows: all of them
-        scored = scored.where(F.col("_b") <= cut).orderBy("_r").limit(n)
-    return scored.drop("_r", "_b", *row_id)
+    if 0 < n <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        scored = top_n_per_group(scored.withColumn("_m", F.spark_partition_id() % MERGERS),
+                                 ["_m"], [F.col("_r")], n, rank_col="_k").drop("_m", "_k")
+    return top_k(scored, [F.col("_r")], n).drop("_r", *row_id)

@@ -118,29 +118,21 @@ def reconcile_counts(source: DataFrame, extract: DataFrame,
 
 
 def extract_stats(df: DataFrame) -> DataFrame:
-    """Seven summary measures of an extract (one pass).
+    """Seven summary measures of an extract, from one scan.
 
     Rows are combined to (artist, year) sums and counts first; the two distinct
-    counts then work on that table instead of on copies of every row."""
+    counts then expand that table instead of copies of every row."""
     mean = lambda c: F.when(F.sum(f"_{c}_n") > 0, F.sum(f"_{c}") / F.sum(f"_{c}_n"))
     per_year = df.groupBy("artist_name", "year").agg(
         F.count(F.lit(1)).alias("_n"), *[x for c in ("duration", "tempo") for x in (
             F.sum(c).alias(f"_{c}"), F.count(c).alias(f"_{c}_n"))])
-    totals = per_year.agg(
+    return per_year.agg(
         F.coalesce(F.sum("_n"), F.lit(0).cast("long")).alias("total_songs"),
+        F.count_distinct("artist_name").alias("unique_artists"),
+        F.count_distinct("year").alias("unique_years"),
         F.min("year").alias("earliest_year"), F.max("year").alias("latest_year"),
         mean("duration").alias("avg_duration_seconds"), mean("tempo").alias("avg_tempo"))
 
-    def values(column: str, name: str) -> DataFrame:
-        return per_year.groupBy(column).agg(F.count(column).alias("_c")).agg(F.count(column).alias(name))
-    # One row each.
-    artists, years = values("artist_name", "unique_artists"), values("year", "unique_years")
-    joined = totals.withColumn("_k", F.lit(1)).join(
-        F.broadcast(artists.withColumn("_k", F.lit(1))), "_k").join(
-        F.broadcast(years.withColumn("_k", F.lit(1))), "_k")
-    return joined.select("total_songs", "unique_artists", "unique_years", "earliest_year",
-                         "latest_year", "avg_duration_seconds", "avg_tempo")
-
 
 def top_artists_report(df: DataFrame, k: int = TOP_REPORT) -> DataFrame:
     """The ``k`` artists with most songs; ties by name."""
@@ -153,6 +145,14 @@ def top_artists_report(df: DataFrame, k: int = TOP_REPORT) -> DataFrame:
     return top_k(per_artist, [F.desc("song_count"), F.asc("artist_name")], k)
 
 
+def songs_by_artist(songs: DataFrame) -> DataFrame:
+    """Songs, years and the first song of every named artist. Over a table bucketed
+    by artist, no step moves a row."""
+    return (songs.where(F.col("artist_name").isNotNull()).groupBy("artist_name").agg(
+        F.count(F.lit(1)).alias("song_count"), F.count("year").alias("dated_songs"),
+        F.min("year").alias("first_year"), F.max("year").alias("last_year")))
+
+
 def category_histogram(df: DataFrame, column: str, total_col: str = "total",
                        ordered: bool = True) -> DataFrame:
     """Non-NULL count per value of ``column`` (the NULL group counts 0)."""

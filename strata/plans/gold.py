@@ -134,6 +134,31 @@ def artist_albums_of(partials: DataFrame, decade: Column) -> DataFrame:
                 F.min("rep").alias("rep")))
 
 
+#: log2 of the registers of a sketch, and the relative standard error of its estimate.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def release_sketches(silver: DataFrame) -> DataFrame:
+    """Mergeable sketches of the distinct releases of every (year, artist): for streams,
+    where the exact count keeps a row for every album."""
+    return silver.where(F.col("release_year").isNotNull()).groupBy("release_year", "artist_name").agg(
+        F.hll_sketch_agg("album_info", SKETCH_BITS).alias("releases"))
+
+
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """One sketch for each (year, artist), of sketches that were made apart."""
+    return sketches.groupBy("release_year", "artist_name").agg(
+        F.hll_union_agg("releases").alias("releases")).select(*sketches.columns)
+
+
+def approximate_releases(sketches: DataFrame, by: str | Column) -> DataFrame:
+    """Estimated distinct releases by year, artist or any roll-up of them."""
+    group = F.col(by) if isinstance(by, str) else by
+    return sketches.groupBy(group.alias("group")).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("releases")).alias("distinct_releases"))
+
+
 def decade_partials(partials: DataFrame) -> DataFrame:
     """Album partials rolled up to (decade, year)."""
     return partials.groupBy(*DECADE_GRAIN).agg(

@@ -30,16 +30,17 @@ from strata.schemas import RAW_SONG_SCHEMA, SONG_SCHEMA
 from strata.session import apply_defaults, scratch_path
 from strata.sinks import versions
 from strata.sinks.files import (
-    backup_json_to_parquet, publish_view, write_json, write_partitioned_json,
+    backup_json_to_parquet, publish_view, save_table, write_json, write_partitioned_json,
 )
 from strata.sources.files import (
     base_name, file_inventory, file_totals, preview, read_csv, read_json, read_parquet,
-    read_partitioned_json, register_view,
+    read_partitioned_json, read_table, register_view,
 )
 from strata.sources.songs import ROW_ID, load_songs
-from strata.streaming.incremental import artist_gold_merger
+from strata.streaming.compaction import compact_output, read_output
+from strata.streaming.incremental import artist_gold_merger, sketch_merger
 from strata.streaming.layers import (
-    bronze_stream, refresh_gold, run_medallion, start_append, stream_decade_gold,
+    bronze_stream, drain_live, refresh_gold, run_medallion, start_append, stream_decade_gold,
 )
 
 AS_OF_YEAR = 2025
@@ -197,7 +198,21 @@ def _written_sample(spark, sf_dir):
 
 def q_extract_sample_check(spark, sf_dir):
     """What any true sample of 1,000 songs satisfies, read back from its file."""
-    drawn = _written_sample(spark, sf_dir)
+    return _sample_check(spark, sf_dir, _written_sample(spark, sf_dir))
+
+
+def q_extract_sample_json_check(spark, sf_dir):
+    """The same for a sample of JSON lines, whose rows have no number."""
+    path = scratch_path(spark, "songs_json")
+    write_json(_songs(spark, sf_dir), path)
+    songs = read_json(spark, path, schema=RAW_SONG_SCHEMA)
+    drawn = X.extract_sample(songs, n=1000, seed=42, extracted_at=pinned_ts())
+    copy = scratch_path(spark, "sample_of_json")
+    write_json(drawn, copy)
+    return _sample_check(spark, sf_dir, read_json(spark, copy, schema=SAMPLE_SCHEMA))
+
+
+def _sample_check(spark, sf_dir, drawn):
     absent = drawn.join(_songs(spark, sf_dir).select("song_id").distinct(), "song_id", "left_anti")
     per_id = drawn.groupBy("song_id").agg(F.count(F.lit(1)).alias("n"), F.min("data_source").alias("label"))
     found = per_id.agg(
@@ -320,6 +335,65 @@ def q_published_properties(spark, sf_dir):
          ("total_records", str(total))], "property string, value string")
 
 
+def q_catalog_artists(spark, sf_dir):
+    """Counts and first songs by artist over a catalog table bucketed by artist."""
+    name = f"strata_songs_{uuid.uuid4().hex[:8]}"
+    save_table(_songs(spark, sf_dir).select("artist_name", "song_id", "title", "year"), name,
+               bucket_by=["artist_name"], buckets=shuffle_width(spark))
+    return X.songs_by_artist(read_table(spark, name))
+
+
+def q_multiline_json(spark, sf_dir):
+    """A stream over pretty-printed JSON files of a glob: whole records over many lines."""
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "orders-bronze")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    pretty = F.to_json(F.collect_list(F.struct(*orders.columns)), {"pretty": "true"})
+    # A file for every 500 orders: a bounded document each.
+    parts = orders.groupBy(F.floor(F.col("o_orderkey") / 500).alias("part")).agg(pretty.alias("value"))
+    parts.select("value", F.concat(F.lit("day"), (F.col("part") % 7).cast("string")).alias("day")).write.option(
+        "maxRecordsPerFile", 1).partitionBy("day").text(landing)
+    stream = bronze_stream(spark, f"{landing}/day=day[0-9]/*.txt", schema=orders.schema, multi_line=True)
+    start_append(stream, target, f"{target}-checkpoint").awaitTermination()
+    return spark.read.parquet(target).select(*orders.columns)
+
+
+def q_live_medallion(spark, sf_dir):
+    """Continuous streams with the clocks running, ended when every landed row is through."""
+    landing, began = scratch_path(spark, "landing"), _dt.datetime.now(_dt.timezone.utc)
+    write_json(load_songs(spark, sf_dir, spread=3 * _batch_files(spark)), landing)
+    live = run_medallion(spark, landing, scratch_path(spark, "live"), trigger="processingTime", interval="1 second",
+                         max_files_per_trigger=_batch_files(spark))
+    drain_live(live["queries"])
+    ended = _dt.datetime.now(_dt.timezone.utc)
+    bronze_rows, rows = (spark.read.parquet(live["paths"][k]) for k in ("bronze", "silver"))
+    inside = lambda c: F.min(c).between(F.lit(began), F.lit(ended)) & F.max(c).between(F.lit(began), F.lit(ended))
+    # A micro-batch has one time: as many as batches, and one in every file.
+    landed = bronze_rows.groupBy("_metadata.file_name").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("ingestion_timestamp").alias("times"),
+        F.min("ingestion_timestamp").alias("at")).agg(
+        F.sum("n").alias("landed_rows"), F.max("times").alias("times_in_a_file"),
+        F.count_distinct("at").alias("batches"), inside("at").alias("landed_in_run"), F.lit(1).alias("k"))
+    silver_checks = rows.agg(
+        F.count(F.lit(1)).alias("silver_rows"), inside("processing_timestamp").alias("processed_in_run"),
+        F.max("release_year").cast("long").alias("latest_year"), F.lit(1).alias("k"))
+    return landed.join(F.broadcast(silver_checks), "k").drop("k")
+
+
+def q_approximate_releases(spark, sf_dir):
+    """Distinct releases by year from sketches kept by the stream, each beside the exact count."""
+    paths, root = _streamed(spark, sf_dir)["paths"], scratch_path(spark, "sketches")
+    source = spark.readStream.schema(silver_schema(spark)).option("maxFilesPerTrigger", _batch_files(spark))
+    (source.parquet(paths["silver"]).writeStream.foreachBatch(sketch_merger(root, max_deltas=2))
+     .trigger(availableNow=True).option("checkpointLocation", f"{root}/_checkpoint").start().awaitTermination())
+    near = gold.approximate_releases(versions.read(spark, root), "release_year")
+    exact = spark.read.parquet(paths["silver"]).where("release_year IS NOT NULL").groupBy(
+        F.col("release_year").alias("group")).agg(F.count_distinct("album_info").alias("exact"))
+    error = 3 * gold.SKETCH_ERROR * F.col("exact")
+    return exact.join(near, "group", "left").select(
+        F.col("group").alias("release_year"), F.col("exact").alias("distinct_releases"),
+        (F.abs(F.col("distinct_releases") - F.col("exact")) <= error).alias("within_three_errors"))
+
+
 def q_semi_join_top_suppliers(spark, sf_dir):
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
@@ -344,6 +418,10 @@ def q_topn_suppliers_per_flag(spark, sf_dir):
 
 # --- streaming --------------------------------------------------------------
 
+def shuffle_width(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _batch_files(spark) -> int:
     """Files per micro-batch: one for each core."""
     return spark.sparkContext.defaultParallelism
@@ -361,6 +439,20 @@ def q_stream_bronze_silver(spark, sf_dir):
     return flatten(spark.read.parquet(_streamed(spark, sf_dir)["paths"]["silver"]))
 
 
+def q_stream_compacted(spark, sf_dir):
+    """Silver of a stream whose bronze and silver files are compacted between its runs."""
+    landing, lake, files = scratch_path(spark, "landing"), scratch_path(spark, "medallion"), _batch_files(spark)
+    for third in range(3):
+        songs = load_songs(spark, sf_dir, spread=2 * files, with_row_id=True)
+        write_json(songs.where(F.col(ROW_ID[1]) % 3 == third).drop(*ROW_ID), landing, mode="append")
+        paths = run_medallion(spark, landing, lake, as_of_year=AS_OF_YEAR, max_files_per_trigger=files,
+                              refresh=False, processed_at=pinned_ts())["paths"]
+        if third < 2:                      # the files of the last run are read as the stream left them
+            for layer in ("bronze", "silver"):
+                compact_output(spark, paths[layer], f"{lake}/compact/{layer}")
+    return flatten(read_output(spark, paths["silver"], f"{lake}/compact/silver"))
+
+
 def q_stream_expectations(spark, sf_dir):
     """Counters of every micro-batch of the silver stream, as its listener saw them."""
     totals = _streamed(spark, sf_dir)["expectations"]
@@ -460,10 +552,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "published_properties": q_published_properties,
     "album_releases_ordered": q_album_releases_ordered,
     "extract_sample_check": q_extract_sample_check,
+    "extract_sample_json_check": q_extract_sample_json_check,
+    "catalog_artists": q_catalog_artists,
+    "multiline_json": q_multiline_json,
+    "live_medallion": q_live_medallion,
+    "approximate_releases": q_approximate_releases,
     "source_preview": q_source_preview,
     "semi_join_top_suppliers": q_semi_join_top_suppliers,
     "topn_suppliers_per_flag": q_topn_suppliers_per_flag,
     "stream_bronze_silver": q_stream_bronze_silver,
+    "stream_compacted": q_stream_compacted,
     "stream_expectations": q_stream_expectations,
     "stream_rejects": q_stream_rejects,
     "stream_music_trends": _decade_gold("music_trends_analysis"),

@@ -69,15 +69,26 @@ def _quoted(text: str) -> str:
 
 
 def save_table(df: DataFrame, name: str, comment: str | None = None,
-               properties: dict[str, str] | None = None, mode: str = "overwrite",
-               fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
-    """Catalog table with a comment and key/value properties."""
+               properties: dict[str, str] | None = None, mode: str = "errorifexists",
+               fmt: str = "parquet", partition_by: list[str] | None = None,
+               bucket_by: list[str] | None = None, buckets: int = 0) -> str:
+    """Catalog table with a comment and key/value properties.
+
+    ``bucket_by`` stores rows in ``buckets`` by these columns, sorted by them: scans
+    that group, number or join by them need no shuffle. Rows are dealt by the
+    same hash first, so that every bucket is one file. ``mode="overwrite"`` drops
+    the table before it writes; under readers, refresh with ``publish_view``."""
     spark = df.sparkSession
+    if bucket_by:
+        df = df.repartition(buckets, *bucket_by)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode(mode).format(fmt)
     if partition_by:
-        df.hint("rebalance", *partition_by).write.mode(mode).format(fmt) \
-          .partitionBy(*partition_by).saveAsTable(name)
-    else:
-        df.write.mode(mode).format(fmt).saveAsTable(name)
+        writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    writer.saveAsTable(name)
     if properties:
         props = ", ".join(f"'{_quoted(k)}' = '{_quoted(v)}'" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")

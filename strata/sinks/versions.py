@@ -80,6 +80,9 @@ class Folder:
         at = self._at(name)
         return [s.getLen() for s in self._fs.listStatus(at) if s.getPath().getName().endswith(".parquet")]
 
+    def size(self, name: str) -> int:
+        return self._fs.getFileStatus(self._at(name)).getLen()
+
     def text(self, name: str) -> str:
         stream = self._fs.open(self._at(name))
         try:

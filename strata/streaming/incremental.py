@@ -39,7 +39,7 @@ def _year_of(leaf: str) -> int | None:
     return None if value == "__HIVE_DEFAULT_PARTITION__" else int(value)
 
 
-def _merge_deltas(spark: SparkSession, root: str, max_deltas: int) -> None:
+def _merge_deltas(spark: SparkSession, root: str, merged: Callable[[DataFrame], DataFrame], max_deltas: int) -> None:
     """Years of more than ``max_deltas`` folders become one folder each."""
     manifest = V.current(spark, root)
     if manifest is None:
@@ -48,17 +48,28 @@ def _merge_deltas(spark: SparkSession, root: str, max_deltas: int) -> None:
     many = [leaf for leaf in manifest.leaves if folders[V.partition_of(leaf)] > max_deltas]
     if many:
         rows = V.read(spark, root, V.Manifest(manifest.number, manifest.schema, manifest.partition_by, many))
-        V.publish(G.merged_partials(rows), root, [_YEAR], V.PARTITIONS, manifest.meta)
+        V.publish(merged(rows), root, [_YEAR], V.PARTITIONS, manifest.meta)
 
 
-def add_batch(batch: DataFrame, epoch: int, root: str, max_deltas: int = 8) -> V.Manifest:
-    """The stored partials with those of micro-batch ``epoch``, added once however often it comes."""
+def add_batch(batch: DataFrame, epoch: int, root: str, max_deltas: int = 8,
+              made: Callable[[DataFrame], DataFrame] = G.album_partials,
+              merged: Callable[[DataFrame], DataFrame] = G.merged_partials) -> V.Manifest:
+    """The stored partials with those of micro-batch ``epoch``, added once however often it comes.
+
+    ``made`` aggregates a batch, ``merged`` several of its results into one; both keep the year."""
     spark = batch.sparkSession
     before = V.current(spark, root)
     if before is not None and before.meta["batch"] >= epoch:
         return before
-    _merge_deltas(spark, root, max_deltas)
-    return V.publish(G.album_partials(batch), root, [_YEAR], V.APPEND, {"batch": epoch})
+    _merge_deltas(spark, root, merged, max_deltas)
+    return V.publish(made(batch), root, [_YEAR], V.APPEND, {"batch": epoch})
+
+
+def sketch_merger(root: str, max_deltas: int = 8) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function that keeps the sketches of distinct releases (``gold.release_sketches``)."""
+    def merge(batch: DataFrame, epoch: int) -> None:
+        add_batch(batch, epoch, root, max_deltas, G.release_sketches, G.merged_sketches)
+    return merge
 
 
 def _years_to_read(spark: SparkSession, known: list[int], touched: list[int]) -> dict[str, list[int]]:

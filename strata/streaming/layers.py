@@ -152,6 +152,17 @@ class ExpectationMonitor(StreamingQueryListener):
             return dict(self.totals)
 
 
+def drain_live(queries: list[StreamingQuery]) -> None:
+    """Stop continuous streams once everything that had landed is through all of
+    them, in their order (each one's output is the next one's source)."""
+    try:
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def refresh_gold(spark: SparkSession, silver_path: str, gold_root: str,
                  tables: list[str] | None = None, catalog_prefix: str | None = None,
                  shared_scan: bool = True, updated_at: Column | None = None) -> dict[str, str]:
