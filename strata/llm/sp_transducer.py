@@ -1,14 +1,16 @@
 """SentencePiece encoding and decoding by a weighted transducer (operator 4).
 
-Compiled from a BPE model: the normaliser (dummy prefix, white space escaped),
-the piece trie and the byte fallback. States of the piece machine are the last
-piece read; the arc from piece a to piece b weighs 0 if merging the text of ab
-by the model's merge priorities ends in exactly [a, b], and infinity if not.
-A sequence of pieces is the model's encoding iff all its neighbours pass, and
-every prefix of a text has just one such last piece. So composing the machine
-with an input gives a lattice in which the tropical-semiring shortest path
-(weight 0) is the encoding; it is found position by position. Arc weights are
-computed when first met and remembered.
+Compiled from a BPE model into one machine: the normaliser (an arc that reads a
+space and writes U+2581, arcs that copy every other character, an arc that
+reads nothing and writes the dummy prefix), the pieces (a trie, an arc at every
+end of a piece) and the byte fallback (an arc from any character that is no
+piece to the ids of its UTF-8 bytes). States are the last piece written. The
+arc from piece a to piece b weighs 0 if merging the text of ab by the model's
+merge priorities ends in exactly [a, b], and infinity if not; a fallback arc
+weighs ``BYTES`` more. A sequence of pieces is the model's encoding iff all its
+neighbours pass, so the shortest path of the input composed with the machine,
+in the tropical semiring (minimum over arcs, sum along a path), is the encoding.
+Arc weights are computed when first met and remembered.
 
 White space starts chunks and no piece has it further in, so chunks compose
 independently; chunks already met in a task are remembered (bounded).
@@ -36,6 +38,7 @@ from strata.llm.common import kept
 from strata.llm.tokens import portions, spelled
 
 SPACE = "▁"
+BYTES = 1                     # weight of a character written as bytes
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -97,6 +100,8 @@ class Model:
 class Transducer:
     def __init__(self, model: Model, memory: int = 250_000):
         self.model, self.memory = model, memory
+        self.normal = {" ": SPACE}                   # the normaliser's arcs that change a character
+        self.writes = str.maketrans(self.normal)
         self.trie: dict = {}
         for p in model.rank:
             node = self.trie
@@ -108,7 +113,8 @@ class Transducer:
         self.old: dict[str, bytes] = {}
         # Line feeds that are in no piece cut chunks as white space does.
         lf = "" if any("\n" in p for p in model.rank) else "\n"
-        self.cut = re.compile(f"{SPACE}*[^{SPACE}{lf}]+|{SPACE}+" + ("|\n" if lf else ""))
+        white = "".join([SPACE, *(c for c, to in self.normal.items() if to == SPACE)])
+        self.cut = re.compile(f"[{white}]*[^{white}{lf}]+|[{white}]+" + ("|\n" if lf else ""))
 
     def merged(self, text: str) -> list[str]:
         """Merge symbols by priority, leftmost first: the meaning of the model."""
@@ -131,35 +137,47 @@ class Transducer:
             known = self.arcs[a, b] = self.merged(a + b) == ([a, b] if a else [b])
         return known
 
-    def shortest_path(self, chunk: str) -> list[str]:
-        """The pieces on the path of weight 0 through chunk o machine."""
-        n = len(chunk)
-        last: list[str | None] = [None] * (n + 1)    # the piece that ends here; None: infinite
-        last[0] = ""
+    def written(self, chunk: str, start: bool = False) -> str:
+        """What the normaliser's arcs write; at the start of a text the dummy prefix, too."""
+        prefix = SPACE if start and self.model.dummy_prefix else ""
+        return prefix + chunk.translate(self.writes)
+
+    def outgoing(self, symbols: str, i: int, a: str) -> Iterator[tuple[int, str]]:
+        """Weight and piece (or character) of the finite arcs from piece a at position i."""
+        node = self.trie.get(symbols[i])
+        if node is None or "" not in node:           # byte fallback
+            if self.finite(a, symbols[i]):
+                yield BYTES, symbols[i]
+        k = i + 1
+        while node is not None:
+            b = node.get("")
+            if b is not None and self.finite(a, b):
+                yield 0, b
+            node = node.get(symbols[k]) if k < len(symbols) else None
+            k += 1
+
+    def shortest_path(self, chunk: str, start: bool = False) -> list[str]:
+        """The pieces of the least weight through chunk o machine."""
+        symbols = self.written(chunk, start)
+        n = len(symbols)
+        # Position -> state -> (least weight, state and position before).
+        best: list[dict[str, tuple[int, str, int]]] = [{} for _ in range(n + 1)]
+        best[0][""] = (0, "", 0)
         for i in range(n):
-            a = last[i]
-            if a is None:
-                continue
-            node = self.trie.get(chunk[i])
-            if node is None or "" not in node:       # a character that is no piece
-                if self.finite(a, chunk[i]):
-                    last[i + 1] = chunk[i]
-            k = i + 1
-            while node is not None:
-                b = node.get("")
-                if b is not None and last[k] is None and self.finite(a, b):
-                    last[k] = b
-                if k == n:
-                    break
-                node = node.get(chunk[k])
-                k += 1
+            for a, (so_far, _, _) in best[i].items():
+                for weight, b in self.outgoing(symbols, i, a):
+                    at, total = best[i + len(b)], so_far + weight
+                    if b not in at or total < at[b][0]:
+                        at[b] = (total, a, i)
         path, at = [], n
+        state = min(best[n], key=lambda b: best[n][b][0])
         while at:
-            path.append(last[at])
-            at -= len(last[at])
+            path.append(state)
+            _, state, at = best[at][state]
         return path[::-1]
 
     def chunk_ids(self, chunk: str) -> bytes:
+        """Ids of what the normaliser has written."""
         out = self.old.get(chunk)
         if out is None:
             ids: list[int] = []
@@ -177,9 +195,8 @@ class Transducer:
         """Ids as little-endian int32."""
         if not isinstance(text, str) or not text:
             return b""
-        text = (SPACE if self.model.dummy_prefix else "") + text.replace(" ", SPACE)
         get, make = self.chunks.get, self.chunk_ids
-        return b"".join([get(c) or make(c) for c in self.cut.findall(text)])
+        return b"".join([get(c) or make(c) for c in self.cut.findall(self.written(text, True))])
 
     def word_ids(self, words: list[str]) -> list[bytes]:
         """The ids of words that a space stands before."""
@@ -188,10 +205,12 @@ class Transducer:
 
     def encode_all(self, texts: pa.Array) -> list[bytes]:
         """Ids of every text of a string array. Where words have one space
-        between, as nearly everywhere, equal words are composed once."""
+        between, as nearly everywhere, equal words are composed once. Texts with
+        other white space, or with U+2581 (which joins it), are composed whole."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         odd = pc.or_(pc.or_(pc.equal(texts, ""), pc.match_substring(texts, "  ")),
                      pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " ")))
+        odd = pc.or_(odd, pc.match_substring(texts, SPACE))
         if not self.model.dummy_prefix:
             odd = pc.or_(odd, True)
         split = pc.split_pattern(texts.filter(pc.invert(odd)), " ")

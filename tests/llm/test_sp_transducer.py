@@ -28,6 +28,8 @@ def test_encoding_and_decoding_equal_the_library(library, machine):
     texts = ["", " ", "  a", "a  ", "Hello  world\n a\tb é漢字 😀 <s> <0x41> ", "\n\n", "aaaaaaa", "▁x", "\x00z", " \n "]
     texts += ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 8))) for _ in range(3000)]
     texts += ["".join(rng.choice("ab c\né漢😀.1 the") for _ in range(rng.randint(1, 30))) for _ in range(3000)]
+    texts += ["a▁ ▁b", "▁", " ▁", "▁ ", "a ▁b", "a▁", "▁\n▁"]
+    texts += ["".join(rng.choice("▁▁ ab\né漢 the") for _ in range(rng.randint(1, 20))) for _ in range(6000)]
     for at in range(0, len(texts), 50):
         some = texts[at:at + 50]
         for t, ids in zip(some, machine.encode_all(pa.array(some + [None]))):
@@ -51,6 +53,31 @@ def test_one_path_of_weight_zero(machine):
         assert list(paths(text)) == [machine.shortest_path(text)] == [machine.merged(text)]
 
 
+def test_normaliser_and_fallback_are_arcs_with_least_weight(machine):
+    assert machine.written("a b", True) == "▁a▁b" and machine.written("a b") == "a▁b"
+    assert machine.shortest_path(" there", True) == machine.shortest_path("▁▁there")
+    arcs = list(machine.outgoing("▁there", 0, ""))
+    assert ("▁there" in [b for _, b in arcs]) and all(w == 0 for w, _ in arcs)
+    rare = "\U0001F9FF"
+    assert rare not in machine.model.rank
+    assert list(machine.outgoing(rare, 0, "")) == [(sp_transducer.BYTES, rare)]
+    # Of two finite paths the lighter one is taken, wherever its arcs come.
+    class Two(sp_transducer.Transducer):
+        def finite(self, a, b):
+            return True
+
+        def outgoing(self, symbols, i, a):
+            for weight, b in super().outgoing(symbols, i, a):
+                yield (5 if len(b) == 1 else 2 * len(b) if b == "the" else 1), b
+    two = Two(machine.model)
+    cost = lambda path: sum(5 if len(b) == 1 else 2 * len(b) if b == "the" else 1 for b in path)
+    def every(text):
+        return [[]] if not text else [[text[:k], *rest] for k in range(1, len(text) + 1)
+                                      if text[:k] in machine.model.rank for rest in every(text[k:])]
+    for text in ("there", "these", "another", "▁thethe"):
+        assert cost(two.shortest_path(text)) == min(map(cost, every(text)))
+
+
 def test_query(spark, small, library):
     got = queries.op4_sentencepiece(spark, SF).toPandas().set_index("doc_id")
     assert len(got) == len(small["documents"]) and got.round_trip.all()
