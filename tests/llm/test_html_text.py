@@ -107,3 +107,60 @@ def test_region_holds_all_articles_and_sections():
     assert html_text.main_text(f"<body>{links}<div>{three}</div>{links}</body>") == lines(1, 2, 3, 4, 5, 6)
     most = f"<article>{para(1)}{para(2)}{para(3)}{para(4) * 4}</article>{para(5)}"
     assert html_text.main_text(f"<body>{links}<main>{most}</main>{links}</body>") == lines(1, 2, 3, 4, 4, 4, 4)
+
+
+def renamed(page, *tags):
+    for tag in tags:
+        page = page.replace(f"<{tag}>", "<div>").replace(f"</{tag}>", "</div>")
+    return page
+
+
+def test_article_is_found_without_its_tag(small):
+    """Brute force: the article's lines, cut out of the page before its tag is renamed."""
+    for page in small["pages"].html:
+        assert html_text.main_text(renamed(page, "article")) == article(page)
+
+
+def test_clustering_alone_finds_the_article(small, monkeypatch):
+    """No tag, class or role tells anything: menu, advert, article and footer are all plain divs."""
+    bare = [renamed(p, "article", "nav", "footer").replace('<div class="ad">', "<div>") for p in small["pages"].html]
+    want = [article(p).split("\n") for p in small["pages"].html]
+
+    def outcome():
+        got = [html_text.main_text(p).split("\n") for p in bare]
+        assert all(set(w) <= set(g) for w, g in zip(want, got))
+        return sum(len(g) - len(w) for w, g in zip(want, got)), sum(w == g for w, g in zip(want, got))
+
+    added, exact = outcome()
+    assert exact >= 0.85 * len(bare)
+    monkeypatch.setattr(html_text, "threshold", lambda values, rounds=20: -1.0)
+    assert outcome()[0] > 2 * added
+
+
+@pytest.mark.parametrize("inner", [
+    f"<section class='related-work'><p>{LONG}</p></section>", f"<div class='alert'><p>{LONG}</p></div>",
+    "<ul class='menu'><li>Soup</li><li>Steak</li></ul>", "<table class='ads-data'><tr><td>1</td><td>2</td></tr></table>",
+    f"<div class='notice notice-box'><p>{LONG}</p></div>", "<p>Hi.</p>", "<ul><li><a href=x>One</a></li></ul>"])
+def test_true_content_inside_the_region_stays(inner):
+    want = [x for x in re.split(r"<[^>]*>", inner) if x]
+    for holder in ("article", "main", "div"):
+        page = f"<body><nav>x</nav><{holder}>{inner}<p>{LONG} 1</p><p>{LONG} 2</p></{holder}><div class=ad>buy</div></body>"
+        assert html_text.main_text(page).split("\n") == [*want, f"{LONG} 1", f"{LONG} 2"]
+
+
+@pytest.mark.parametrize("junk", [
+    "<ul class='menu'><li><a href=x>Home</a></li><li><a href=y>News</a></li></ul>", "<div class='ad-box'>Buy now</div>",
+    "<p class='share-links'>Share this</p>", "<div class='related'><p>Teaser</p></div>", f"<div class='sidebar'><p>{LONG}</p></div>",
+    f"<div class='comments'><p>{LONG}</p></div>", "<div class='alert alert-top'>Cookies!</div>", f"<form><p>{LONG}</p></form>"])
+def test_boilerplate_inside_the_region_goes(junk):
+    for holder in ("article", "main", "div"):
+        page = f"<body><{holder}><p>{LONG} 1</p>{junk}<p>{LONG} 2</p></{holder}></body>"
+        assert html_text.main_text(page) == f"{LONG} 1\n{LONG} 2"
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<p>a &amp; b<p>c", "a & b\nc"), ("<table><tr><td>a<td>b</table>", "a\nb"),
+    (f"<p>Hi.</p><p>{LONG} 1</p><p>{LONG} 2</p><p>Bye.</p>", f"Hi.\n{LONG} 1\n{LONG} 2\nBye."),
+    (f"<ul><li><a href=x>Home</a><li><a href=y>News</a></ul><h1>T</h1><p>{LONG}</p><p>{LONG}</p>", f"T\n{LONG}\n{LONG}")])
+def test_pages_without_a_group(page, text):
+    assert html_text.main_text(page) == text
