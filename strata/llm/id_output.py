@@ -8,11 +8,12 @@ padded), the cumulative segment lengths, and position ids that restart at 0
 with every segment (little-endian uint16).
 
 Ids travel once, in the shuffle that deals pieces by hash over groups of about
-``group_bytes`` of text; a group is one Arrow table in one task, and there are
-as many groups as the input needs.
+``group_bytes`` of text and rows; a group is one Arrow table in one task, and
+there are as many groups as the input needs. The pieces of a group are packed in
+the order of their numbers, so a task that runs again packs the same sequences.
 
 Defined results: an empty table gives no row; NULL or empty text is a segment
-of the end id alone; repeated rows are packed as often as they occur.
+of the end id alone; repeated rows are packed as often as they occur. ``doc_id`` may be of any type.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from strata.llm.tokens import encode_pieces
 
 PAD = 0
+ROW_BYTES = 64               # what a row counts beside its text, as its place and segment take memory
 
 
 class RoomTree:
@@ -99,8 +102,9 @@ def write_sequences(spark: SparkSession, docs: DataFrame, size: int = 4096, path
     """One row per packed sequence of the token ids of ``docs``."""
     if not 0 < size <= 1 << 16:
         raise ValueError("positions are written in 16 bits: size must be 1 to 65536")
-    text = docs.select(F.sum(F.octet_length("text")).alias("n")).first().n or 0
-    groups = max(1, -(-text // group_bytes))
+    # Rows weigh, too: a group has a bounded number of pieces however short the texts are.
+    charge = F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(ROW_BYTES)
+    groups = max(1, -(-(docs.select(F.sum(charge).alias("n")).first().n or 0) // group_bytes))
     pieces = encode_pieces(docs, size, with_ids=True, path=path).withColumn(
         "_group", F.pmod(F.xxhash64("uid"), F.lit(groups)))
     segment = T.StructType([docs.schema["doc_id"], T.StructField("piece", T.IntegerType()),
@@ -109,13 +113,15 @@ def write_sequences(spark: SparkSession, docs: DataFrame, size: int = 4096, path
         T.StructField("sequence_id", T.LongType()), T.StructField("n_tokens", T.IntegerType()),
         T.StructField("ids", T.BinaryType()), T.StructField("cu_seqlens", T.ArrayType(T.IntegerType())),
         T.StructField("positions", T.BinaryType()), T.StructField("segments", T.ArrayType(segment))])
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[docs.schema["doc_id"].dataType.simpleString()]
+    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     out = pa.schema([
         ("sequence_id", pa.int64()), ("n_tokens", pa.int32()), ("ids", pa.binary()),
         ("cu_seqlens", pa.list_(pa.int32())), ("positions", pa.binary()),
         ("segments", pa.list_(pa.struct([("doc_id", id_type), ("piece", pa.int32()), ("start", pa.int64())])))])
 
     def packer(key, rows):
+        # Shuffled rows come in any order: equal lengths are placed by number.
+        rows = rows.sort_by("uid")
         members = rows.select(["doc_id", "piece", "start"]).to_pylist()
         packed = packed_rows(rows["length"].to_numpy(), rows["ids"].to_pylist(), members, size,
                              key[0].as_py() << 32)

@@ -131,3 +131,13 @@ def test_many_groups_and_large_ids(spark):
     assert set(got.doc_id) == set(range(big, big + 51))
     pieces = encode_pieces(docs, 64, with_ids=True).toPandas()
     assert pieces.uid.is_unique and (pieces.ids.map(len) == 2 * pieces.length).all()
+
+
+def test_empty_texts_make_groups_and_ties_have_one_order(spark):
+    docs = spark.range(4000).selectExpr("cast(id as decimal(20,0)) AS doc_id", "CASE WHEN id % 2 = 0 THEN '' END AS text")
+    sent = lambda df: sorted((r.sequence_id, tuple(int(s.doc_id) for s in r.segments)) for r in df.collect())
+    got = sent(id_output.write_sequences(spark, docs, 64, group_bytes=64_000))
+    assert sorted(i for _, ids in got for i in ids) == list(range(4000))
+    assert len({sequence >> 32 for sequence, _ in got}) == 4             # 256,000 bytes of rows
+    assert got == sent(id_output.write_sequences(spark, docs, 64, group_bytes=64_000))
+    assert all(len(ids) <= 64 for _, ids in got)
