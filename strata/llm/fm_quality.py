@@ -130,10 +130,12 @@ def learn(docs: DataFrame, labels: DataFrame, bits: int = 14, max_rows: int = 60
     """
     ids = docs.select("doc_id").distinct()
     sample = (labels.where(F.col("label").isin(0, 1)).select("doc_id", F.col("label").cast("int").alias("label"))
-              .join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+              .join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("label").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
+    # Of repeated ids the least label and the text of least hash: the same on every run.
+    mark = F.struct(F.xxhash64("text").alias("hash"), F.col("text"), F.col("label"))
     texts = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-             .dropDuplicates(["doc_id"]).select("text", "label"))
+             .groupBy("doc_id").agg(F.min(mark).alias("one")).select("one.text", "one.label"))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         make = Featurizer(bits)

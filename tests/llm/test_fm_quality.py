@@ -61,3 +61,17 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert Q.keep_good(odd_docs, None).count() == 12 and Q.keep_good(no_docs, machine).count() == 0
     ones = Q.learn(odd_docs, labels.where("label = 1"))
     assert Q.predict(odd_docs, ones)[0].count() == 12
+
+
+def test_repeated_ids_have_one_label_and_text(spark):
+    """Whatever the order of the rows, the machine is the same."""
+    texts = [f"{'good long prose' if k % 2 else 'click here !!!'} number {k} of the table" for k in range(60)]
+    data = [(k % 40, t) for k, t in enumerate(texts)]
+    marks = [(k, k % 2) for k in range(40)] + [(k, 1) for k in range(0, 40, 4)]
+    machines = []
+    for parts in (1, 5):
+        docs = spark.createDataFrame(data[::-1 if parts == 5 else 1], "doc_id long, text string").repartition(parts)
+        labels = spark.createDataFrame(marks[::-1 if parts == 5 else 1], "doc_id long, label int").repartition(parts)
+        machines.append(fm_quality.learn(docs, labels))
+    one, other = machines
+    assert one.bias == other.bias and (one.linear == other.linear).all() and (one.factors == other.factors).all()
