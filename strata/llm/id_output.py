@@ -107,7 +107,7 @@ def write_sequences(spark: SparkSession, docs: DataFrame, size: int = 4096, path
     groups = max(1, -(-(docs.select(F.sum(charge).alias("n")).first().n or 0) // group_bytes))
     pieces = encode_pieces(docs, size, with_ids=True, path=path).withColumn(
         "_group", F.pmod(F.xxhash64("uid"), F.lit(groups)))
-    segment = T.StructType([docs.schema["doc_id"], T.StructField("piece", T.IntegerType()),
+    segment = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("piece", T.IntegerType()),
                             T.StructField("start", T.LongType())])
     schema = T.StructType([
         T.StructField("sequence_id", T.LongType()), T.StructField("n_tokens", T.IntegerType()),

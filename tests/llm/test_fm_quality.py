@@ -72,6 +72,6 @@ def test_repeated_ids_have_one_label_and_text(spark):
     for parts in (1, 5):
         docs = spark.createDataFrame(data[::-1 if parts == 5 else 1], "doc_id long, text string").repartition(parts)
         labels = spark.createDataFrame(marks[::-1 if parts == 5 else 1], "doc_id long, label int").repartition(parts)
-        machines.append(fm_quality.learn(docs, labels))
+        machines.append(Q.learn(docs, labels))
     one, other = machines
     assert one.bias == other.bias and (one.linear == other.linear).all() and (one.factors == other.factors).all()
