@@ -1,3 +1,10 @@
+import math
+import re
+
+import numpy as np
+import pandas as pd
+import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from strata.llm import langid, queries
@@ -58,9 +65,83 @@ def test_nothing_and_one_language_learned(spark, no_docs):
     assert [(r[name].lang, r[name].accepted) for r in got.collect()] == [("en", True), ("und", False)]
 
 
+class Same:
+    """Every language takes as many bytes."""
+    langs = ["a", "b"]
+
+    def __call__(self, plain):
+        return [len(plain), len(plain)]
+
+
 def test_ties_are_rejected():
-    got = langid.classify_one("abc def", ["a", "b"], [lambda b: b, lambda b: b], [], 64, 0.001)
-    assert got == ("a", 0.5, 0.0, False)
+    assert langid.classify_one("abc def", Same()) == ("a", 0.5, 0.0, False)
+    assert langid.classify_one("abc def", Same(), langid.Curve([9.0, 0, 0, 0], 0.5))[3] is False
+
+
+def brute_force(model, text):
+    """Language, margin in bytes and length by a loop over blocks and whole dictionaries."""
+    plain = " ".join(re.findall(r"[^\W\d_]+", text.lower()))
+    if not any(c.isalpha() for c in plain):
+        return "und", 0.0, 0
+    totals = {}
+    for lang, data in model.dictionaries.items():
+        size = lambda b: len(zstandard.ZstdCompressor(level=6, dict_data=zstandard.ZstdCompressionDict(
+            data, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_checksum=False, write_content_size=False,
+            write_dict_id=False).compress(b))
+        raw, total = plain.encode(), 0.0
+        for block in (raw[k:k + 4096] for k in range(0, len(raw), 4096)):
+            if len(block) < 512 and model.carriers:
+                total += max(0.0, sum(size(block + b" " + c) - size(c) for c in model.carriers) / len(model.carriers))
+            else:
+                total += size(block)
+        totals[lang] = total
+    (least, best), (second, _) = sorted((t, lang) for lang, t in totals.items())[:2]
+    return best, second - least, len(raw)
+
+
+def test_all_texts_against_brute_force(spark, small):
+    docs = spark.createDataFrame(small["documents"][["doc_id", "text", "lang"]])
+    model = langid.learn(docs.where("doc_id % 4 <> 2"), rows_per_language=15)
+    assert model.curve is not None and 0 < model.curve.least <= langid.SURE
+    out, name = langid.predict(docs, model)
+    got = {r.doc_id: r[name] for r in out.collect()}
+    for r in small["documents"].sample(80, random_state=1).itertuples():
+        lang, ahead, size = brute_force(model, r.text)
+        assert got[r.doc_id].lang == lang
+        if lang != "und":
+            score = 1 / (1 + math.exp(-sum(w * x for w, x in zip(
+                model.curve.weights, (1, math.log1p(ahead), ahead / size, math.log1p(size))))))
+            assert got[r.doc_id].score == pytest.approx(score)
+            assert got[r.doc_id].accepted == (ahead > 0 and score >= model.curve.least)
+
+
+def test_wrong_predictions_are_rejected_far_more_often():
+    """Short and mixed texts that no dictionary holds: rejected and score tell right from wrong."""
+    docs = pd.read_parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = docs[docs.text.str.len() > 400]
+    texts = [(r.lang, langid.letters_only(r.text)[:3000]) for r in docs.itertuples()]
+    model = langid.Model({x: " ".join(t for k, (y, t) in enumerate(texts) if y == x and k % 3 == 0).encode()[:100_000]
+                          for x in ("de", "en", "es", "fr")}, [])
+    model.curve = langid.learned_curve(model, texts[1::3])
+    sizes, right, wrong = langid.Sizes(model), [], []
+    for k, (lang, t) in enumerate(texts[2::3]):
+        other = next(t2 for y, t2 in texts[k:] + texts if y != lang)
+        for text, hard in ((t, False), (f"{t[:300]} {other[:280]}", True), (t[40:56], True)):
+            got, score, _, accepted = langid.classify_one(text, sizes, model.curve)
+            (right if got == lang else wrong).append((accepted, score, hard))
+    whole = [x for x in right if not x[2]]
+    share = lambda rows: sum(not x[0] for x in rows) / len(rows)
+    assert len(wrong) >= 10 and share(wrong) > 3 * share(right) and share(whole) < 0.05
+    # Calibrated: of texts scored about s, about s are right.
+    every = sorted((x[1], ok) for ok, rows in ((1, right), (0, wrong)) for x in rows)
+    for part in np.array_split(np.array(every), 3):
+        assert abs(part[:, 0].mean() - part[:, 1].mean()) < 0.12
+
+
+def test_curve_needs_wrong_predictions(spark):
+    model = learned(spark)
+    assert langid.learned_curve(model, [("en", PROSE["en"])] * 5) is None
+    assert model.curve is None or 0 < model.curve.least <= langid.SURE
 
 
 def short_messages(lang, n):
