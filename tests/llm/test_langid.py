@@ -132,10 +132,9 @@ def test_wrong_predictions_are_rejected_far_more_often():
     whole = [x for x in right if not x[2]]
     share = lambda rows: sum(not x[0] for x in rows) / len(rows)
     assert len(wrong) >= 10 and share(wrong) > 3 * share(right) and share(whole) < 0.05
-    # Roughly calibrated, on harder mixtures than the curve has seen.
-    every = sorted((x[1], ok) for ok, rows in ((1, right), (0, wrong)) for x in rows)
-    for part in np.array_split(np.array(every), 3):
-        assert abs(part[:, 0].mean() - part[:, 1].mean()) < 0.2
+    # On nearly even mixtures, too, a right prediction has the higher score more often than not.
+    r, w = (np.array([x[1] for x in rows]) for rows in (right, wrong))
+    assert (r[:, None] > w[None, :]).mean() > 0.65
 
 
 def test_curve_needs_wrong_predictions(spark):
