@@ -23,6 +23,7 @@ U+2581 in the text, which the model itself reads as a space.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import struct
 from collections.abc import Callable, Iterator
@@ -98,7 +99,7 @@ class Model:
 
 
 class Transducer:
-    def __init__(self, model: Model, memory: int = 250_000):
+    def __init__(self, model: Model, memory: int = 250_000, weight: Callable[[str], int] = lambda piece: 0):
         self.model, self.memory = model, memory
         self.normal = {" ": SPACE}                   # the normaliser's arcs that change a character
         self.writes = str.maketrans(self.normal)
@@ -107,7 +108,7 @@ class Transducer:
             node = self.trie
             for c in p:
                 node = node.setdefault(c, {})
-            node[""] = p
+            node[""] = p, weight(p)                  # an arc: what it writes, what it weighs
         self.arcs: dict[tuple[str, str], bool] = {}
         self.chunks: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -142,38 +143,37 @@ class Transducer:
         prefix = SPACE if start and self.model.dummy_prefix else ""
         return prefix + chunk.translate(self.writes)
 
-    def outgoing(self, symbols: str, i: int, a: str) -> Iterator[tuple[int, str]]:
-        """Weight and piece (or character) of the finite arcs from piece a at position i."""
-        node = self.trie.get(symbols[i])
-        if node is None or "" not in node:           # byte fallback
-            if self.finite(a, symbols[i]):
-                yield BYTES, symbols[i]
-        k = i + 1
-        while node is not None:
-            b = node.get("")
-            if b is not None and self.finite(a, b):
-                yield 0, b
-            node = node.get(symbols[k]) if k < len(symbols) else None
-            k += 1
-
     def shortest_path(self, chunk: str, start: bool = False) -> list[str]:
-        """The pieces of the least weight through chunk o machine."""
+        """The pieces of the least weight through chunk o machine.
+
+        A prefix has one last piece of finite weight at most, so the states at a
+        position are one. An arc that cannot lower the weight at its end is not
+        looked at further; whether it is finite is found out only then."""
         symbols = self.written(chunk, start)
         n = len(symbols)
-        # Position -> state -> (least weight, state and position before).
-        best: list[dict[str, tuple[int, str, int]]] = [{} for _ in range(n + 1)]
-        best[0][""] = (0, "", 0)
-        for i in range(n):
-            for a, (so_far, _, _) in best[i].items():
-                for weight, b in self.outgoing(symbols, i, a):
-                    at, total = best[i + len(b)], so_far + weight
-                    if b not in at or total < at[b][0]:
-                        at[b] = (total, a, i)
+        least: list[float] = [0, *[math.inf] * n]    # weight of the best path to a position
+        last: list[str] = [""] * (n + 1)             # and its last piece
+        finite, roots = self.finite, self.trie
+        for i, c in enumerate(symbols):
+            so_far = least[i]
+            if so_far == math.inf:
+                continue
+            a, node = last[i], roots.get(c)
+            if (node is None or "" not in node) and so_far + BYTES < least[i + 1] and finite(a, c):
+                least[i + 1], last[i + 1] = so_far + BYTES, c         # byte fallback
+            k = i + 1
+            while node is not None:
+                arc = node.get("")
+                if arc is not None and so_far + arc[1] < least[k] and finite(a, arc[0]):
+                    least[k], last[k] = so_far + arc[1], arc[0]
+                if k == n:
+                    break
+                node = node.get(symbols[k])
+                k += 1
         path, at = [], n
-        state = min(best[n], key=lambda b: best[n][b][0])
         while at:
-            path.append(state)
-            _, state, at = best[at][state]
+            path.append(last[at])
+            at -= len(last[at])
         return path[::-1]
 
     def chunk_ids(self, chunk: str) -> bytes:
