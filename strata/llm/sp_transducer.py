@@ -103,12 +103,14 @@ class Transducer:
         self.model, self.memory = model, memory
         self.normal = {" ": SPACE}                   # the normaliser's arcs that change a character
         self.writes = str.maketrans(self.normal)
-        self.trie: dict = {}
+        # A node: its children, and the arc that ends there (what it writes, what it weighs).
+        self.trie: dict[str, list] = {}
         for p in model.rank:
-            node = self.trie
+            children = self.trie
             for c in p:
-                node = node.setdefault(c, {})
-            node[""] = p, weight(p)                  # an arc: what it writes, what it weighs
+                node = children.setdefault(c, [{}, None])
+                children = node[0]
+            node[1] = p, weight(p)
         self.arcs: dict[tuple[str, str], bool] = {}
         self.chunks: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -149,23 +151,30 @@ class Transducer:
         A prefix has one last piece of finite weight at most, so the states at a
         position are one. An arc that cannot lower the weight at its end is not
         looked at further; whether it is finite is found out only then."""
-        symbols = self.written(chunk, start)
+        return self.path_through(self.written(chunk, start))
+
+    def path_through(self, symbols: str) -> list[str]:
+        """``shortest_path`` of what the normaliser has written."""
         n = len(symbols)
         least: list[float] = [0, *[math.inf] * n]    # weight of the best path to a position
         last: list[str] = [""] * (n + 1)             # and its last piece
-        finite, roots = self.finite, self.trie
+        finite, known, roots = self.finite, self.arcs.get, self.trie
         for i, c in enumerate(symbols):
             so_far = least[i]
             if so_far == math.inf:
                 continue
             a, node = last[i], roots.get(c)
-            if (node is None or "" not in node) and so_far + BYTES < least[i + 1] and finite(a, c):
+            if (node is None or node[1] is None) and so_far + BYTES < least[i + 1] and finite(a, c):
                 least[i + 1], last[i + 1] = so_far + BYTES, c         # byte fallback
             k = i + 1
             while node is not None:
-                arc = node.get("")
-                if arc is not None and so_far + arc[1] < least[k] and finite(a, arc[0]):
-                    least[k], last[k] = so_far + arc[1], arc[0]
+                node, arc = node
+                if arc is not None:
+                    b, weight = arc
+                    if so_far + weight < least[k]:
+                        passes = known((a, b))
+                        if finite(a, b) if passes is None else passes:
+                            least[k], last[k] = so_far + weight, b
                 if k == n:
                     break
                 node = node.get(symbols[k])
@@ -181,7 +190,7 @@ class Transducer:
         out = self.old.get(chunk)
         if out is None:
             ids: list[int] = []
-            for p in self.shortest_path(chunk):
+            for p in self.path_through(chunk):
                 known = self.model.ids.get(p)
                 ids += [known] if known is not None else [self.model.bytes[b] for b in p.encode()]
             out = struct.pack(f"<{len(ids)}i", *ids)
