@@ -56,7 +56,9 @@ def compact_output(spark: SparkSession, path: str, root: str, target_bytes: int
     # Written whole: rows of a round that did not get to its end go.
     V.publish(copied.repartition(1), f"{root}/files")
     size = sum(V.Folder(spark, f.rpartition("/")[0]).size(f.rpartition("/")[2]) for f in new)
-    rows = spark.read.schema(output.schema).parquet(*new).repartition(max(1, -(-size // target_bytes)))
+    rows, wanted = spark.read.schema(output.schema).parquet(*new), max(1, -(-size // target_bytes))
+    # A task reads the small files of one target file; rows move only where splits are larger than that.
+    rows = rows.coalesce(wanted) if wanted <= rows.rdd.getNumPartitions() else rows.repartition(wanted)
     out = V.publish(rows, f"{root}/rows", mode=V.APPEND, meta={"round": number})
     return V.compact(spark, f"{root}/rows", max_leaves, target_bytes) or out
 

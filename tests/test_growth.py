@@ -2,8 +2,10 @@
 
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from strata.operators.sample import sample_rows, score, smallest
 from strata.plans import gold
 from strata.plans.silver import silver
 from strata.registry import pinned_ts
@@ -60,3 +62,55 @@ def test_rankings_look_up_albums_of_ranked_artists_only(spark, tmp_dir):
         "artist_name", F.when(F.col("artist_name") != "A1", F.col("artist_name")))
     ranked = gold.ranked_artists_of(gold.artist_years(odd), odd, F.col("decade_category"), top_n=200)
     assert ranked.count() == 120 and ranked.where("artist_name IS NULL AND decade IS NULL").count() == 1
+
+
+def test_landed_and_extracted_json_is_compressed(spark, tmp_dir):
+    rows = songs(spark)
+    write_json(rows, f"{tmp_dir}/plain")
+    write_json(rows, f"{tmp_dir}/small", compression="gzip")
+    size = lambda name: sum(spark.read.format("binaryFile").load(f"{tmp_dir}/{name}/*.json*").toPandas().length)
+    assert size("small") * 4 < size("plain")
+    back = spark.read.schema(RAW_SONG_SCHEMA).json(f"{tmp_dir}/small")
+    assert back.exceptAll(rows).count() == 0 and back.count() == rows.count()
+
+
+def test_a_third_is_chosen_before_rows_are_spread(spark, tmp_dir):
+    keys = spark.range(1000).select(*[F.col("id").alias(c) for c in ("l_orderkey", "l_partkey", "l_suppkey")],
+                                    F.lit(1).alias("l_linenumber"), F.col("id").cast("double").alias("l_quantity"))
+    keys.coalesce(1).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    thirds = [load_songs(spark, tmp_dir, spread=2, part=(k, 3)) for k in range(3)]
+    whole = load_songs(spark, tmp_dir)
+    together = thirds[0].unionByName(thirds[1]).unionByName(thirds[2])
+    assert sorted(t.count() for t in thirds) == [333, 333, 334] and together.columns == whole.columns
+    assert together.exceptAll(whole).count() == 0 and whole.exceptAll(together).count() == 0
+    plan = thirds[1]._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.index("Filter")          # printed from the top: the filter is below
+
+
+def test_compaction_moves_no_rows(spark, tmp_dir, monkeypatch):
+    written = []
+    publish = versions.publish
+    monkeypatch.setattr(compaction.V, "publish", lambda df, root, *a, **k: (written.append((root, df)), publish(df, root, *a, **k))[1])
+    spark.range(0, 1000, 1, 6).write.parquet(f"{tmp_dir}/out")
+    compaction.compact_output(spark, f"{tmp_dir}/out", f"{tmp_dir}/compact")
+    rows = next(df for root, df in written if root.endswith("/rows"))
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    found = compaction.read_output(spark, f"{tmp_dir}/out", f"{tmp_dir}/compact")
+    assert len(found.inputFiles()) == 1 and sorted(r.id for r in found.collect()) == list(range(1000))
+
+
+def test_a_task_keeps_its_smallest_rows_while_it_reads(spark):
+    rng = random.Random(4)
+    for n, size in ((1, 50), (7, 1000), (100, 30)):
+        values = [rng.randrange(-10 ** 6, 10 ** 6) for _ in range(size)]
+        batches = [pa.RecordBatch.from_pydict({"v": values[k:k + 13], "s": [str(v) for v in values[k:k + 13]]})
+                   for k in range(0, size, 13)]
+        got = [r for b in smallest("v", n)(iter(batches)) for r in b.to_pylist()]
+        assert sorted(r["v"] for r in got) == sorted(values)[:n] and all(r["s"] == str(r["v"]) for r in got)
+    assert list(smallest("v", 3)(iter([]))) == []
+    rows = spark.range(0, 20_000, 1, 3).select("id", F.array("id").alias("a"), F.struct(F.lit(None).cast("string").alias("x")).alias("b"))
+    drawn = sample_rows(rows, 500, 9, row_id=["id"])
+    want = sorted(r.id for r in rows.select("id", score(9, ["id"]).alias("_r")).orderBy("_r").limit(500).collect())
+    assert sorted(r.a[0] for r in drawn.collect()) == want
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan[plan.rindex("WindowGroupLimit"):]   # rows are few before the first sort
