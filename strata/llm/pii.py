@@ -12,8 +12,9 @@ or better span is left out. Base spans always stay.
 The trees learn without hand labels: respelled base spans of the corpus in
 their own context are positives; look-alikes (a digit or octet spoilt, dates,
 identifiers, runs of unlike numbers), and proposals of the corpus in which no
-check holds, are negatives; other proposals of the corpus have no label. Trees
-learn from one half of the texts and thresholds are calibrated on the other.
+check holds, are negatives; other proposals of the corpus have no label. All
+texts give rows: trees learn from one half of them and thresholds are
+calibrated on the other.
 
 Of a run of more than 19 digits, cards are looked for at the edges of its groups
 of digits, not in the middle of one group.
@@ -27,15 +28,15 @@ from __future__ import annotations
 
 import bisect
 import hashlib
-import heapq
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -315,60 +316,127 @@ class Detector:
     thresholds: dict[str, float]
 
 
-def calibrate(p: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """The least threshold whose selection on held-out rows reaches ``precision``
-    (with one assumed mistake); above 1 if none does."""
+def calibrate(p: np.ndarray, y: np.ndarray, precision: float, n: np.ndarray | None = None) -> float:
+    """The least threshold whose selection on held-out rows (row k ``n[k]`` times, or
+    once) reaches ``precision`` (with one assumed mistake); above 1 if none does."""
+    n = np.ones(len(y)) if n is None else n
     order = np.argsort(-p, kind="stable")
-    hits = np.cumsum(y[order])
-    good = hits / (np.arange(len(y)) + 2) >= precision
-    return float(p[order][np.nonzero(good)[0][-1]]) if good.any() else 2.0
+    p, count, hits = p[order], np.cumsum(n[order]), np.cumsum((n * y)[order])
+    # Equal probabilities are selected together; the threshold lies right above the next ones.
+    below = np.append(p[1:], 0.0)
+    good = (hits / (count + 1) >= precision) & (below < p)
+    return float(np.nextafter(below[good][-1], 1.0)) if good.any() else 2.0
 
 
-def fit(rows: list[tuple[list[float], int, int]], precision: float = 0.97) -> Detector:
+@dataclass
+class Rows:
+    """Training rows, equal ones together: features, label, whether trees (or else
+    thresholds) learn from them, and how many there are."""
+    x: np.ndarray
+    y: np.ndarray
+    trains: np.ndarray
+    n: np.ndarray
+
+    @classmethod
+    def of(cls, rows) -> Rows:
+        x, y, h, n = zip(*((*r[:3], r[3] if len(r) > 3 else 1) for r in rows))
+        return cls(np.array(x, float), np.array(y, float), np.array(h) % 2 == 0, np.array(n, float))
+
+    def __len__(self) -> int:
+        return int(self.n.sum())
+
+    def __iter__(self) -> Iterator[tuple[list[float], int, int]]:
+        for x, y, trains, n in zip(self.x.tolist(), self.y, self.trains, self.n):
+            yield from ((x, int(y), int(not trains)) for _ in range(int(n)))
+
+
+def fit(rows: Rows | list[tuple[list[float], int, int]], precision: float = 0.97) -> Detector:
     """Trees on the rows of one half of the texts, thresholds per kind on the other;
     a row is features, label and a number of its text."""
-    if not rows:
+    if not len(rows):
         return Detector(boosting.Boosted(), dict.fromkeys(KINDS, 2.0))
-    x, y = np.array([r[0] for r in rows], float), np.array([r[1] for r in rows], float)
-    part = np.array([r[2] % 2 == 0 for r in rows])
-    model = boosting.fit(x[part], y[part])
-    held = ~part
-    p = model.probability(x[held]) if held.any() else np.zeros(0)
+    r = rows if isinstance(rows, Rows) else Rows.of(rows)
+    held = ~r.trains
+    model = boosting.fit(r.x[r.trains], r.y[r.trains], r.n[r.trains])
+    p = model.probability(r.x[held]) if held.any() else np.zeros(0)
     cut = {}
     for k, kind in enumerate(KINDS):
-        of = x[held][:, 0] == k
-        cut[kind] = max(0.5, calibrate(p[of], y[held][of], precision)) if of.any() else 2.0
+        of = r.x[held][:, 0] == k
+        cut[kind] = max(0.5, calibrate(p[of], r.y[held][of], precision, r.n[held][of])) if of.any() else 2.0
     return Detector(model, cut)
 
 
-def learn(docs: DataFrame, max_documents: int = 3000, max_rows: int = 100_000, **settings) -> Detector:
-    """Fit on at most ``max_documents`` texts that hold a digit or an at sign
-    (those of smallest text hash; all rows are read to choose them), and on at most
-    ``max_rows`` of their training rows (those of smallest hash of text and place)."""
+def fit_spread(rows: DataFrame, precision: float = 0.97) -> Detector:
+    """``fit`` for any number of rows, which stay on the executors."""
+    model = boosting.fit_spread(rows.where("trains"))
+
+    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                x = np.stack(b["x"].to_list())
+                yield pd.DataFrame({"kind": x[:, 0].astype(int), "p": model.probability(x),
+                                    "n": b["n"], "hits": b["n"] * b["y"]})
+
+    by_p = (rows.where("not trains").select("x", "y", "n")
+            .mapInPandas(scores, "kind int, p double, n long, hits long")
+            .groupBy("kind", "p").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+            .withColumn("level", F.floor(1000 * F.log(F.col("p") / (1 - F.col("p"))))))
+    # Running totals, likeliest first: over whole levels of log odds, then within one level.
+    levels = by_p.groupBy("kind", "level").agg(F.sum("n").alias("level_n"), F.sum("hits").alias("level_hits"))
+    above = Window.partitionBy("kind").orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, -1)
+    levels = levels.select("kind", "level", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(c)
+                                              for c in ("level_n", "level_hits")])
+    within = Window.partitionBy("kind", "level").orderBy(F.desc("p"))
+    good = (F.sum("hits").over(within) + F.col("level_hits")) / (F.sum("n").over(within) + F.col("level_n") + 1)
+    least = (by_p.join(levels, ["kind", "level"]).select("kind", "p", good.alias("good"))
+             .where(F.col("good") >= precision).groupBy("kind").agg(F.min("p").alias("least")))
+    below = by_p.join(F.broadcast(least), "kind").groupBy("kind").agg(
+        F.max(F.when(F.col("p") < F.col("least"), F.col("p"))))
+    cut = dict.fromkeys(KINDS, 2.0)
+    cut.update((KINDS[k], max(0.5, float(np.nextafter(p or 0.0, 1.0)))) for k, p in below.collect())
+    return Detector(model, cut)
+
+
+#: Unlike training rows that the driver fits itself; of more it gets sums only.
+IN_MEMORY = 1 << 16
+
+
+def training(docs: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """The training rows of all different texts, equal ones together: ``x, y, trains, n``."""
+    # A digit or an at sign is in each base span and each proposal that gives rows.
     some = docs.where(F.col("text").rlike(r"[0-9@]")).select("text", F.xxhash64("text").alias("h"))
-    cut = some.select("h").distinct().orderBy("h").limit(max_documents).agg(F.max("h")).first()[0]
-    if cut is None:
-        return fit([])
 
-    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, list[float], int, int]]:
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = []
         for b in batches:
             for t, h in zip(b["text"], b["h"]):
-                for n, (x, y) in enumerate(examples(t)):
-                    key = hashlib.blake2b(f"{h}:{n}".encode(), digest_size=8).digest()
-                    yield int.from_bytes(key, signed=True), x, y, h
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = heapq.nsmallest(max_rows, keyed(batches))  # no task keeps or sends more
-        for k in range(0, len(found), 10_000):
-            yield pd.DataFrame(found[k:k + 10_000], columns=["k", "x", "y", "h"])
-
-    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("x", T.ArrayType(T.DoubleType())),
-                           T.StructField("y", T.IntegerType()), T.StructField("h", T.LongType())])
-    # One partition after the limit: the executors merge, and the driver gets max_rows at most.
-    sample = (some.where(F.col("h") <= cut).dropDuplicates(["h"]).mapInPandas(rows, schema)
-              .orderBy("k", "x", "y").limit(max_rows).repartition(1).select("x", "y", "h").collect())
-    found = sorted((list(r.x), r.y, r.h) for r in sample)  # a fixed order
-    return fit(found, **settings)
+                for (x, y), n in Counter((tuple(x), y) for x, y in examples(t)).items():
+                    out.append((h, x, y, n))
+                    if len(out) == 10_000:
+                        yield pd.DataFrame(out, columns=["h", "x", "y", "n"])
+                        out = []
+        yield pd.DataFrame(out, columns=["h", "x", "y", "n"])
+
+    # Equal texts have equal rows, which count once; the texts themselves are not moved.
+    rows = (some.mapInPandas(counted, "h long, x array<double>, y int, n long")
+            .groupBy("h", "x", "y").agg(F.max("n").alias("n")))
+    if max_rows is not None:
+        rows = (rows.withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).withColumn("n", F.lit(1))
+                .orderBy(F.xxhash64("h", "x", "y", "k"), "h", "x", "y", "k").limit(max_rows))
+    return rows.groupBy("x", "y", (F.col("h") % 2 == 0).alias("trains")).agg(F.sum("n").alias("n"))
+
+
+def learn(docs: DataFrame, max_rows: int | None = None, **settings) -> Detector:
+    """Fit on all training rows of all texts (or on the ``max_rows`` of smallest hash,
+    where that is asked for). Equal rows are fitted as one with their number."""
+    rows = training(docs, max_rows).persist()
+    try:
+        if rows.count() > IN_MEMORY:
+            return fit_spread(rows, **settings)
+        found = [(r.x, r.y, int(not r.trains), r.n) for r in rows.collect()]
+        return fit(Rows.of(found) if found else [], **settings)
+    finally:
+        rows.unpersist()
 
 
 def added_spans(text: str, base: list[Span], detector: Detector) -> list[Span]:

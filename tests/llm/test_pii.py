@@ -176,3 +176,63 @@ def test_texts_full_of_numbers_stay_fast():
         base, more = pii.detect(t, detector)
         spans = sorted(s[1:] for s in base + more)
         assert more and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_every_text_and_row_is_learned_from(spark, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(pii, "fit", lambda found, **settings: fitted.append(found))
+    texts = [f"call 713-555-{k:04d} or 10.0.0.{k % 256}, {2 * k}-{k}-17" for k in range(3500)]
+    docs = spark.createDataFrame(rows(texts + texts[:700]), DOCS)
+    pii.learn(docs)
+    # More than 3,000 different texts and 100,000 rows; a repeated text counts once.
+    want = sum(1 for t in texts for _ in pii.examples(t))
+    assert len(fitted[0]) == want
+    many = spark.createDataFrame(rows([f"from 10.0.{k}.7 and +1 (269) 555-{k:04d}, " * 9 for k in range(400)]), DOCS)
+    found = pii.training(many).agg(F.sum("n"), F.count("n"), F.count_distinct("trains")).first()
+    assert found[0] > 100_000 > found[1] and found[2] == 2
+
+
+def test_spread_fit_equals_the_fit_in_memory(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    near = pii.learn(docs)
+    monkeypatch.setattr(pii, "IN_MEMORY", 0)
+    monkeypatch.setattr(boosting, "BLOCK", 100)
+    far = pii.learn(docs)
+    assert len(near.model.trees) == 60 and far.model.base == near.model.base and far.thresholds == near.thresholds
+    assert min(near.thresholds.values()) < 1
+    for a, b in zip(near.model.trees, far.model.trees):
+        assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and (a.leaf == b.leaf).all()
+    assert pii.learn(docs.where("text is null")).thresholds == dict.fromkeys(pii.KINDS, 2.0)
+
+
+def test_spread_thresholds_equal_those_in_memory(spark, monkeypatch):
+    class ByLength:
+        def probability(self, x):
+            return x[:, 1] / 40
+
+    monkeypatch.setattr(boosting, "fit_spread", lambda rows: ByLength())
+    rng = random.Random(5)
+    data = []
+    for _ in range(400):
+        kind, size = rng.randrange(3), rng.randrange(1, 40)
+        data.append(([float(kind), float(size)], int(rng.random() < size / 30), False, rng.randint(1, 9)))
+    got = pii.fit_spread(spark.createDataFrame(data, "x array<double>, y int, trains boolean, n long"), .9)
+    want = dict.fromkeys(pii.KINDS, 2.0)
+    for k, kind in enumerate(pii.KINDS):
+        each = [(x, y) for x, y, _, n in data if x[0] == k for _ in range(n)]
+        p, y = ByLength().probability(np.array([x for x, _ in each] or np.zeros((0, 2)))), [y for _, y in each]
+        cuts = [t for t in [0.0, *p] if sum(b for a, b in zip(p, y) if a > t) >= .9 * (sum(p > t) + 1) > .9]
+        if cuts:
+            want[kind] = max(.5, float(np.nextafter(min(cuts), 1)))
+    assert got.thresholds == want and min(want.values()) < 1
+
+
+def test_rows_that_occur_twice_weigh_twice():
+    rng = np.random.default_rng(4)
+    x = np.floor(rng.random((300, 4)) * 30)
+    y = ((x[:, 0] > 12) ^ (x[:, 2] > 20)).astype(float)
+    n = rng.integers(1, 5, 300)
+    a, b = boosting.fit(x, y, n), boosting.fit(np.repeat(x, n, axis=0), np.repeat(y, n))
+    assert (a.probability(x) == b.probability(x)).all()
+    for c, column in zip(boosting._cuts(x, n, 16), x.T):
+        assert np.allclose(c, np.unique(np.quantile(np.repeat(column, n), np.arange(16) / 16)))
