@@ -114,3 +114,56 @@ def test_a_task_keeps_its_smallest_rows_while_it_reads(spark):
     assert sorted(r.a[0] for r in drawn.collect()) == want
     plan = drawn._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan[plan.rindex("WindowGroupLimit"):]   # rows are few before the first sort
+
+
+def test_artists_and_years_are_rolled_up_in_one_shuffle(spark, tmp_dir):
+    rows = silver(songs(spark, 6000), as_of_year=2025, processed_at=pinned_ts())
+    halves = [gold.artist_partials(rows.where(f"length(song_id) % 2 = {k}")) for k in (0, 1)]
+    halves[0].unionByName(halves[1]).write.parquet(f"{tmp_dir}/p")        # made apart: albums come twice
+    partials = spark.read.parquet(f"{tmp_dir}/p").withColumn(
+        "artist_name", F.when(F.col("artist_name") != "A1", F.col("artist_name"))).withColumn(
+        "album_info", F.when(F.col("album_info") != "R1", F.col("album_info")))
+    years = gold.artist_years(partials)
+    assert years._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    want = partials.groupBy("decade_category", "release_year", "artist_name").agg(
+        *[F.sum(c).cast(partials.schema[c].dataType).alias(c) for c in gold._YEAR_SUMS],
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+        F.count_distinct("album_info").alias("albums"))
+    assert years.exceptAll(want).count() == 0 and want.exceptAll(years).count() == 0 < want.count()
+    assert want.where("artist_name IS NULL").count() and partials.where("album_info IS NULL").count()
+    # Releases are these rows, rounded: nothing is grouped again.
+    years.write.parquet(f"{tmp_dir}/y")
+    rolled = spark.read.parquet(f"{tmp_dir}/y")
+    releases = gold.releases_table(rolled, gold.score_type(rows))
+    assert "Exchange" not in releases._jdf.queryExecution().executedPlan().toString()
+    direct = gold.releases_table(gold.merged_partials(partials), gold.score_type(rows)).select(*releases.columns)
+    assert releases.dtypes == direct.dtypes
+    assert releases.exceptAll(direct).count() == 0 and direct.exceptAll(releases).count() == 0 < direct.count()
+
+
+def test_the_stream_stores_what_artists_need(spark, tmp_dir):
+    rows = silver(songs(spark), as_of_year=2025, processed_at=pinned_ts())
+    assert rows.where("release_year IS NULL").count()
+    merge, root = incremental.artist_gold_merger(tmp_dir), f"{tmp_dir}/{incremental.PARTIALS}"
+    first, second = (rows.where(f"length(song_id) % 2 = {k}") for k in (0, 1))
+    incremental.add_batch(first, 0, root, made=gold.album_partials)       # as stored by an earlier version
+    before = versions.read(spark, root)
+    assert "loud_sum" in before.columns and before.where("release_year IS NULL").count()
+    for epoch, part in enumerate((first, second)):                        # the first is delivered again
+        merge(part.select(*gold.ARTIST_COLUMNS), epoch)
+    stored = versions.read(spark, root)
+    assert stored.columns == gold.ARTIST_PARTIALS and stored.where("release_year IS NULL").count() == 0
+    for t in TABLES:
+        want = gold.GOLD_TABLES[t](rows)
+        got = versions.read(spark, f"{tmp_dir}/{t}").select(*want.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 < want.count(), t
+
+
+def test_gzip_level_is_kept_by_the_writer(spark, tmp_dir):
+    rows = songs(spark)
+    for name, level in (("fast", "BEST_SPEED"), ("three", "THREE"), ("default", None)):
+        write_json(rows, f"{tmp_dir}/{name}", compression="gzip", level=level)
+    size = lambda name: sum(spark.read.format("binaryFile").load(f"{tmp_dir}/{name}/*.json*").toPandas().length)
+    assert size("fast") > size("three") > size("default")
+    back = spark.read.schema(RAW_SONG_SCHEMA).json(f"{tmp_dir}/three")
+    assert back.exceptAll(rows).count() == 0 and back.count() == rows.count()
